@@ -1,0 +1,28 @@
+"""Intermediate tables in the folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def work_dir(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`; a temporary folder only where that is unset, as in local tests."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="tripforge-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{work_dir(spark)}/tripforge-{uuid.uuid4().hex}/{name}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read back: lineage ends here and survives lost executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
