@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripforge.llm.bpe import bpe_encode_decode
+from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
+from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
 
 
@@ -11,12 +15,54 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    filters = fit_language_filters(docs.where(fold("doc_id", 4) != 2))
+    return identify_languages(docs, filters).select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe_encode_decode(_table(spark, sf_dir, "documents"), word_bpe_path())
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def _scored(docs: DataFrame, model, parts: int, out: int, threshold: float) -> DataFrame:
+    return score_documents(docs, model).select("doc_id", F.coalesce(fold("doc_id", parts) == out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"), lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(3)) != 1)
+    return _scored(docs, model, 3, 1, 0.5)
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), ngram=3, num=85, den=100)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(4)) != 2)
+    return _scored(docs, model, 4, 2, 0.3)
+
+
 QUERIES = {
+    "op5_language_id": op5_language_id,
+    "op6_bpe": op6_bpe,
+    "op7_quality": op7_quality,
     "op8_near_dup": op8_near_dup,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
