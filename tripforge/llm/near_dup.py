@@ -2,7 +2,7 @@
 
 1. One pass over the texts makes, per document, its shingle set's size and
    128-bit digest, the band keys of its MinHash signature and a compact
-   signature of 16-bit values.
+   signature of 8-bit values.
 2. Documents with equal sets form classes; only each class's smallest id goes on.
 3. In every band bucket the smallest id is the hub. Each other member makes one
    candidate pair with it, so a bucket of n members makes n - 1 pairs.
@@ -32,7 +32,7 @@ from tripforge.llm.textcore import chunks, digest128, mix64, shingles, utf8, wor
 from tripforge.llm.work import saved
 
 #: Values of a signature that verification compares at a time, and all it has.
-BATCH, DEPTH = 32, 128
+BATCH, DEPTH = 64, 256
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 256
 #: Rows of a band; the number of bands follows from the threshold.
@@ -40,11 +40,11 @@ ROWS = 6
 #: Probability that no band of a pair at the threshold agrees, at most.
 BAND_MISS = 1e-7
 #: Posterior probability under which a pair is dropped before its exact check.
-BAYES_MISS = 1e-6
+BAYES_MISS = 1e-4
 
 
 def band_count(threshold: float, rows: int = ROWS, miss: float = BAND_MISS) -> int:
-    return max(math.ceil(DEPTH / rows), math.ceil(math.log(miss) / math.log1p(-(threshold**rows))))
+    return math.ceil(math.log(miss) / math.log1p(-(threshold**rows)))
 
 
 def least_matches(threshold: float, miss: float = BAYES_MISS) -> list[int]:
@@ -71,7 +71,7 @@ def _hash_family(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _signer(ngram: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _hash_family(bands * rows)
+        a, b = _hash_family(max(bands * rows, DEPTH))
         weights = mix64(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
         salts = mix64(np.arange(bands, dtype=np.uint64) + np.uint64(99))
         for batch in batches:
@@ -93,8 +93,8 @@ def _signer(ngram: int, bands: int, rows: int):
                         np.minimum(sig, (x[k : k + 1024, None] * a + b).min(0), out=sig)
                     low.append(d[0])
                     high.append(d[1])
-                    keys.append(mix64((sig.reshape(bands, rows) * weights).sum(1) + salts).tobytes())
-                    sigs.append(sig[:DEPTH].astype(np.uint16).tobytes())
+                    keys.append(mix64((sig[: bands * rows].reshape(bands, rows) * weights).sum(1) + salts).tobytes())
+                    sigs.append((sig[:DEPTH] >> np.uint32(16)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
                     ["doc_id", "n_shingles", "low", "high", "keys", "sig"],
@@ -113,7 +113,7 @@ def _spread_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, DEPTH)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, DEPTH)
 
 
 def _bayes_filter(num: int, den: int, least: list[int]):
@@ -145,7 +145,7 @@ def _block_filter(num: int, den: int, least: list[int]):
         table = table.combine_chunks()
         doc, comp, n = (table[x].to_numpy() for x in ("doc_id", "comp", "n"))
         side = table["side"].to_numpy()
-        sig = _matrix(table["sig"].combine_chunks()) if table.num_rows else np.zeros((0, DEPTH), np.uint16)
+        sig = _matrix(table["sig"].combine_chunks()) if table.num_rows else np.zeros((0, DEPTH), np.uint8)
         left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         if not len(right):  # a block against itself
             right = left
@@ -172,15 +172,22 @@ def _exact_filter(num: int, den: int, ngram: int):
     """Keeps pairs whose full shingle sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}
+
+        def of(batch: pa.RecordBatch, i: int, side: int) -> np.ndarray:
+            key = batch.column(side)[i].as_py()
+            if key not in sets:
+                if len(sets) >= 1_000:
+                    sets.clear()
+                sets[key] = shingle_set(batch.column(side + 2)[i].as_py(), ngram)
+            return sets[key]
+
         for batch in batches:
-            keep, kept_text, kept = [], None, None
+            keep = []
             for i in range(batch.num_rows):
-                ta, tb = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
-                if tb != kept_text:
-                    kept_text, kept = tb, shingle_set(tb, ngram)
-                own = shingle_set(ta, ngram)
-                both = len(np.intersect1d(own, kept, assume_unique=True))
-                keep.append(den * both >= num * (len(own) + len(kept) - both))
+                x, y = of(batch, i, 0), of(batch, i, 1)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(den * both >= num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
