@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripforge.llm.bpe import bpe_encode_decode
 from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
+from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
 
@@ -21,6 +22,10 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     filters = fit_language_filters(docs.where(fold("doc_id", 4) != 2))
@@ -58,6 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
