@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.llm.ann import nearest_neighbours
 from tripforge.llm.bpe import bpe_encode_decode
 from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
 from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
+from tripforge.llm.warc import page_records, read_pages, write_warc
+from tripforge.llm.work import fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,12 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    write_warc(page_records(_table(spark, sf_dir, "pages")), path)
+    return read_pages(spark, path)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +65,10 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), ngram=3, num=85, den=100)
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), lambda c: c % 100 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(4)) != 2)
@@ -63,12 +76,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
     "op8_near_dup": op8_near_dup,
+    "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+             d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+             f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)""",
+}
