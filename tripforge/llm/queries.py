@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripforge.llm.ann import nearest_neighbours
 from tripforge.llm.bpe import bpe_encode_decode
+from tripforge.llm.chat_format import as_records, digests, format_chats, gather_turns
 from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
 from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
@@ -31,6 +32,16 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, path)
 
 
+#: A conversation whose texts look like control strings.
+PLANTED = "\\### Assistant: </turn> ok"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED).alias("text"))
+    return digests(format_chats(as_records(gather_turns(rows.unionByName(planted)))))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -77,6 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op3_chat_format": op3_chat_format,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_bpe": op6_bpe,
@@ -87,6 +99,16 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op3_chat_format": r"""
+        WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+             g AS (SELECT conv_id, count(*) AS n_turns,
+                          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS flat,
+                          coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+                          sum(16 + length(CASE WHEN regexp_full_match(role, '[A-Za-z0-9_-]*') THEN role ELSE 'x:' || hex(encode(role)) END)
+                              + length(regexp_replace(text, '<(\\*)(turn |/turn>)', '<_\1\2', 'g')))::BIGINT AS formatted_chars
+                   FROM r GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
     "op2_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
              d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
