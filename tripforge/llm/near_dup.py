@@ -41,6 +41,8 @@ ROWS = 6
 BAND_MISS = 1e-7
 #: Posterior probability under which a pair is dropped before its exact check.
 BAYES_MISS = 1e-4
+#: Ids of documents to verify that are broadcast to the scan of texts, at most; beyond that the semi-join shuffles.
+BROADCAST_IDS = 2_000_000
 
 
 def band_count(threshold: float, rows: int = ROWS, miss: float = BAND_MISS) -> int:
@@ -112,6 +114,13 @@ def _spread_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["bucket", "doc_id"])
 
 
+def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Band keys cut to their low 32 bits."""
+    for batch in batches:
+        short = [np.frombuffer(k, np.uint64).astype(np.uint32).tobytes() for k in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(short, pa.binary())], ["doc_id", "n", "sig", "bands"])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, DEPTH)
 
@@ -139,10 +148,15 @@ def _bayes_filter(num: int, den: int, least: list[int]):
 
 
 def _block_filter(num: int, den: int, least: list[int]):
-    """Within one (bucket, left block, right block): pairs of different components that survive the bounds."""
+    """Within one (bucket, left block, right block): pairs of different components that survive the bounds.
+
+    A pair leaves only the bucket of the first band that its two documents share.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
+        bucket = np.int64(key[0].as_py()).astype(np.uint64).astype(np.uint32)
+        bands = np.frombuffer(b"".join(table["bands"].to_pylist()), np.uint32).reshape(table.num_rows, -1)
         doc, comp, n = (table[x].to_numpy() for x in ("doc_id", "comp", "n"))
         side = table["side"].to_numpy()
         sig = _matrix(table["sig"].combine_chunks()) if table.num_rows else np.zeros((0, DEPTH), np.uint8)
@@ -160,6 +174,8 @@ def _block_filter(num: int, den: int, least: list[int]):
                 cut = slice(k * BATCH, (k + 1) * BATCH)
                 got = got + (sig[ok, cut] == sig[i, cut]).sum(1)
                 ok, got = ok[got >= need], got[got >= need]
+            if len(ok):
+                ok = ok[bands[i][(bands[ok] == bands[i]).argmax(1)] == bucket]
             out_a += [doc[i]] * len(ok)
             out_b += doc[ok].tolist()
         a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
@@ -201,7 +217,9 @@ def shingle_set(text: str | None, ngram: int) -> np.ndarray:
 def _exact_links(pairs: DataFrame, texts: DataFrame, num: int, den: int, ngram: int) -> DataFrame:
     """Pairs (a, b) held against both whole texts. Sides are joined one at a time; a hot hub's partition can be split."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = saved(texts.join(ends, texts.doc_id == ends.id, "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "texts")
+    if ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ends = F.broadcast(ends)
+    needed = saved(texts.join(ends, texts.doc_id == ends.id, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     one = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return two.select("a", "b", "text_a", "text_b").mapInArrow(_exact_filter(num, den, ngram), "a long, b long")
@@ -217,8 +235,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty or blank texts have empty sets, link with nothing and stay. A
     row with a null id is kept with a null component. Rows that repeat an id
-    form one document: the texts of all of them count as its links, and each
-    input row comes back. Other columns, whatever their names, are ignored. An
+    belong to one component, and each input row comes back; where their texts
+    differ, the least of them is the one that links are verified on. Other columns, whatever their names, are ignored. An
     empty table gives an empty table.
     """
     threshold = num / den
@@ -228,19 +246,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = saved(base.mapInArrow(_signer(ngram, bands, rows), "doc_id long, n_shingles long, low long, high long, keys binary, sig binary"), "signed")
 
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = saved(usable.groupBy("low", "high").agg(F.min("doc_id").alias("rep")), "classes")
-    chosen = classes.select(F.col("low").alias("l"), F.col("high").alias("h"), "rep")
-    reps = saved(
-        usable.join(chosen, (usable.doc_id == chosen.rep) & (usable.low == chosen.l) & (usable.high == chosen.h)).groupBy("doc_id", "low").agg(F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")),
-        "reps",
-    )
+    least_row = F.min(F.struct("doc_id", "n_shingles", "keys", "sig"))
+    reps = saved(usable.groupBy("low", "high").agg(least_row.alias("r")).select("low", "high", F.col("r.doc_id").alias("doc_id"), F.col("r.n_shingles").alias("n"), F.col("r.keys").alias("keys"), F.col("r.sig").alias("sig")), "reps")
+    classes = reps.select("low", "high", F.col("doc_id").alias("rep"))
     spread = reps.select("doc_id", "keys").mapInArrow(_spread_bands, "bucket long, doc_id long")
     hubs = spread.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select(F.col("bucket").alias("of"), "hub")
     members = saved(spread.join(hubs, spread.bucket == hubs.of).select("bucket", "doc_id", "hub").distinct(), "members")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
-    slim = reps.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
-    withsig = pairs.join(slim.toDF("a", "n_a", "sig_a"), "a").join(slim.toDF("b", "n_b", "sig_b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
+    # an id that several texts carry may stand for several classes
+    slim = reps.groupBy("doc_id").agg(F.min(F.struct("n", "sig", "keys")).alias("r")).select("doc_id", "r.n", "r.sig", "r.keys")
+    sides = slim.drop("keys")
+    withsig = pairs.join(sides.toDF("a", "n_a", "sig_a"), "a").join(sides.toDF("b", "n_b", "sig_b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
     likely = saved(withsig.mapInArrow(_bayes_filter(num, den, least), "a long, b long"), "likely")
     links = saved(_exact_links(likely, base, num, den, ngram), "links")
 
@@ -250,12 +267,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("comp"))
     comp = saved(comp, "comp")
     mixed = comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select(F.col("bucket").alias("of"), F.expr(f"cast(ceil(m / {BLOCK}) as int)").alias("blocks"))
-    left = comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp", "blocks").join(slim, "doc_id")
+    folded = slim.mapInArrow(_fold_keys, "doc_id long, n long, sig binary, bands binary")
+    left = comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp", "blocks").join(folded, "doc_id")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     tiles = (
         left.withColumn("own", block)
-        .select("bucket", "doc_id", "comp", "n", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("bucket", "doc_id", "comp", "n", "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+        .select("bucket", "doc_id", "comp", "n", "sig", "bands", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("bucket", "doc_id", "comp", "n", "sig", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     )
     rest = saved(tiles.groupBy("bucket", "i", "j").applyInArrow(_block_filter(num, den, least), "a long, b long").distinct(), "rest")
     more = saved(_exact_links(rest, base, num, den, ngram), "more")
