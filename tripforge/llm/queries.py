@@ -12,6 +12,7 @@ from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
 from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
+from tripforge.llm.url_filters import filter_urls, host_of
 from tripforge.llm.warc import page_records, read_pages, write_warc
 from tripforge.llm.work import fresh_path
 
@@ -26,6 +27,31 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries from the hosts of `pages`: some hosts join, leave and rejoin a block list, some sections are blocked or allowed for good."""
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host is not null").distinct()
+    h = F.length("host") * 7 + F.ascii(F.col("host")) * 13 + F.ascii(F.substring("host", 3, 1)) * 31 + F.ascii(F.substring("host", -12, 1)) * 17
+    hosts = hosts.withColumn("h", h)
+
+    def entry(name: str, kind: str, pattern, action: str, day):
+        return F.struct(F.lit(name).alias("list"), F.lit(kind).alias("kind"), pattern.alias("pattern"), F.lit(action).alias("action"), F.timestamp_seconds(F.lit(1704067200) + day * 86400).alias("since"))
+
+    host, own = F.col("host"), F.col("h")
+    several = F.array(entry("spam", "block", host, "add", own % 5), entry("spam", "block", host, "remove", 8 + own % 5), entry("spam", "block", host, "add", 18 + own % 5))
+    section = F.array(entry("sections", "block", F.concat(host, F.lit("/en")), "add", own % 20))
+    trusted = F.array(entry("trusted", "allow", F.concat(host, F.lit("/en")), "add", own % 25))
+    none = F.filter(several, lambda x: F.lit(False))
+    chosen = F.concat(F.when(own % 3 == 0, several).otherwise(none), F.when(own % 4 == 1, section).otherwise(none), F.when(own % 5 == 2, trusted).otherwise(none))
+    return hosts.select(F.explode(chosen).alias("e")).select("e.*")
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(2592000))).alias("fetched_at"))
+    out = filter_urls(captures, dated_entries(pages), "page_id")
+    return out.select(F.col("capture_id").alias("page_id"), "host", "blocked", "n_active", "pattern", F.array_join("lists", ",").alias("lists"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archives")
     write_warc(page_records(_table(spark, sf_dir, "pages")), path)
@@ -87,6 +113,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_warc": op2_warc,
     "op3_chat_format": op3_chat_format,
     "op4_decontamination": op4_decontamination,
@@ -99,6 +126,22 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_url_filters": r"""
+        WITH c AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_seconds(((page_id * 7919) % 2592000 + 2592000) % 2592000) AS ts,
+                          nullif(lower(regexp_replace(regexp_replace(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '') AS host,
+                          regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path FROM pages),
+             h AS (SELECT DISTINCT host, length(host) * 7 + ascii(host) * 13 + ascii(substr(host, 3, 1)) * 31 + ascii(substr(host, -12, 1)) * 17 AS h FROM c WHERE host IS NOT NULL),
+             v AS (SELECT 'spam' AS list, 'block' AS kind, host AS pattern, h % 5 AS since, 8 + h % 5 AS until FROM h WHERE h % 3 = 0
+                   UNION ALL SELECT 'spam', 'block', host, 18 + h % 5, NULL FROM h WHERE h % 3 = 0
+                   UNION ALL SELECT 'sections', 'block', host || '/en', h % 20, NULL FROM h WHERE h % 4 = 1
+                   UNION ALL SELECT 'trusted', 'allow', host || '/en', h % 25, NULL FROM h WHERE h % 5 = 2),
+             w AS (SELECT list, kind, pattern, TIMESTAMP '2024-01-01' + to_days(since::INTEGER) AS since, TIMESTAMP '2024-01-01' + to_days(until::INTEGER) AS until FROM v),
+             k AS (SELECT page_id, ts, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') AS key FROM c, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')) + 1)) AS i)
+                   UNION ALL SELECT page_id, ts, host || '/' || array_to_string(list_slice(s, 1, i), '/') FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM c WHERE host IS NOT NULL), LATERAL (SELECT unnest(range(1, len(s) + 1)) AS i)),
+             j AS (SELECT page_id, count(*) AS n_active, max({'n': length(pattern), 'allow': kind = 'allow', 'pattern': pattern}) AS best, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+                   FROM k JOIN w ON lower(key) = pattern AND ts >= since AND (until IS NULL OR ts < until) GROUP BY page_id)
+        SELECT c.page_id, host, coalesce(NOT best.allow, false) AS blocked, coalesce(n_active, 0) AS n_active, best.pattern AS pattern, coalesce(lists, '') AS lists
+        FROM c LEFT JOIN j USING (page_id)""",
     "op3_chat_format": r"""
         WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
