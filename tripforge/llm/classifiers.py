@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tripforge.llm.lang_id import _codes
 from tripforge.llm.pu_learning import Rows, fit_nnpu, sigmoid
-from tripforge.llm.textcore import chunks, mix64, utf8, words
+from tripforge.llm.textcore import chunks, filter_rows, mix64, utf8, words
 from tripforge.llm.work import saved
 
 #: Rows that a classifier is fitted on, at most about.
@@ -117,6 +117,9 @@ class WordModel:
         place, owner = self.find(*word_features(texts))
         return sigmoid(self.bias + np.bincount(owner, self.weights[place], len(texts)))
 
+    def score_column(self, column: pa.Array) -> np.ndarray:
+        return self.score(column.to_pylist())
+
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, trusted, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> WordModel:
     """Learns which words and word beginnings mark toxic texts.
@@ -246,7 +249,7 @@ class MeasureModel:
         """Numbers of each row's bins, one for each measure."""
         return np.stack([np.searchsorted(e, values[:, k], side="right") + k * MEASURE_BINS for k, e in enumerate(self.edges)], axis=1)
 
-    def score(self, column: pa.Array) -> np.ndarray:
+    def score_column(self, column: pa.Array) -> np.ndarray:
         if not self.edges:
             return np.full(len(column), sigmoid(np.array(self.bias)))
         return sigmoid(self.bias + self.weights[self.active(measures(column))].sum(1))
@@ -293,7 +296,13 @@ def score_documents(docs: DataFrame, model: WordModel | MeasureModel, id_col: st
         own = shared.value
         for batch in batches:
             for part in chunks(batch, 1):
-                score = own.score(part.column(1)) if isinstance(own, MeasureModel) else own.score(part.column(1).to_pylist())
+                score = own.score_column(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.asarray(score, float))], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_below(docs: DataFrame, model: WordModel | MeasureModel, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, text_col, lambda column: shared.value.score_column(column) < threshold)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.textcore import chunks, mix64
+from tripforge.llm.textcore import chunks, filter_rows, mix64
 
 #: Letters of an n-gram; a word's border counts as one.
 SIZE = 3
@@ -187,6 +187,12 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, id_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, filters: LanguageFilters, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose language is not `und`."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    return filter_rows(docs, text_col, lambda column: np.array([x != UNDETERMINED for x in shared.value.predict(column.to_pylist())[0]], bool))
+
+
 def fold(key: str, parts: int) -> Column:
     """crc32 of the key as text, modulo `parts`."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))

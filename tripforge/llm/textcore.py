@@ -7,10 +7,12 @@ separators are ASCII, working on UTF-8 bytes splits exactly as on code points.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -130,3 +132,15 @@ def chunks(batch: pa.RecordBatch, text: int, limit: int = 4_000_000):
         j = max(i + 1, int(np.searchsorted(total, base + limit, side="right")))
         yield batch.slice(i, j - i)
         i = j
+
+
+def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of `docs`, all columns, for whose text `keep` says True. No shuffle; each row is judged by itself."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, at):
+                yield part.filter(pa.array(np.asarray(keep(part.column(at)), bool)))
+
+    return docs.mapInArrow(run, docs.schema)
