@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge.llm.bpe import bpe_encode_decode
-from tripforge.llm.classifiers import fit_toxicity, score_documents
+from tripforge.llm.classifiers import fit_toxicity, keep_below
 from tripforge.llm.decontaminate import contaminated
-from tripforge.llm.lang_id import UNDETERMINED, fit_language_filters, fold, identify_languages
-from tripforge.llm.near_dup import near_duplicates
+from tripforge.llm.lang_id import fit_language_filters, fold, keep_identified
+from tripforge.llm.near_dup import BROADCAST_IDS, near_duplicates
 from tripforge.llm.queries import word_bpe_path
 from tripforge.llm.work import saved
 
@@ -24,25 +24,29 @@ TOXIC = 0.3
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is not among `ids` (one column, doc_id); rows with a null doc_id stay."""
-    return docs.join(ids.select(F.col("doc_id").alias("__gone")).distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = saved(ids.select(F.col("doc_id").alias("__gone")).where("__gone is not null").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be determined: null texts and those without a letter."""
-    filters = fit_language_filters(docs.where(fold("doc_id", 4) != 2))
-    found = identify_languages(docs, filters)
-    return _without(docs, found.where(F.col("lang_pred") == UNDETERMINED))
+    return keep_identified(docs, fit_language_filters(docs.where(fold("doc_id", 4) != 2)))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score TOXIC or more."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(4)) != 2)
-    return _without(docs, score_documents(docs, model).where(F.col("score") >= TOXIC))
+    return keep_below(docs, model, TOXIC)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates (five-word shingles, 0.8)."""
-    return _without(docs, near_duplicates(docs).where(~F.col("kept")))
+    """Keeps one document, that with the smallest id, of each group of near duplicates (five-word shingles, 0.8). Rows that repeat an id are one document."""
+    kept = _without(docs, near_duplicates(docs).where(~F.col("kept")))
+    if kept.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count():
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return kept
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +67,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language ID", keep_identified),
+    ("language ID", identify),
     ("toxicity", drop_toxic),
     ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
