@@ -1,6 +1,27 @@
-"""Registered queries and their SQL."""
+"""Registered queries of the trip engine and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its own or the given name, with its SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            SQL[key] = sql
+        return f
+
+    return add
+
+
+from tripforge.plans import q_analytics, q_scalars, q_tables  # noqa: E402, F401
