@@ -188,9 +188,16 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, id_col: str =
 
 
 def keep_identified(docs: DataFrame, filters: LanguageFilters, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, whose language is not `und`."""
+    """The rows of `docs`, all columns, whose language is not `und`. Filters that learned no language reject no text with a letter."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    return filter_rows(docs, text_col, lambda column: np.array([x != UNDETERMINED for x in shared.value.predict(column.to_pylist())[0]], bool))
+
+    def keep(column: pa.Array) -> np.ndarray:
+        texts = column.to_pylist()
+        if not shared.value.languages:
+            return _codes(texts)[2]
+        return np.array([x != UNDETERMINED for x in shared.value.predict(texts)[0]], bool)
+
+    return filter_rows(docs, text_col, keep)
 
 
 def fold(key: str, parts: int) -> Column:

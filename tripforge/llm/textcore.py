@@ -121,7 +121,7 @@ def digest128(sorted_set: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def chunks(batch: pa.RecordBatch, text: int, limit: int = 4_000_000):
+def chunks(batch: pa.RecordBatch, text: int, limit: int = 1_000_000):
     """Slices of a batch with at most about `limit` bytes of text each, one row at least."""
     column = batch.column(text)
     lengths = np.nan_to_num(np.asarray(pa.compute.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.float64))
