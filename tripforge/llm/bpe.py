@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import math
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -34,8 +35,8 @@ _NOT_WHITE = regex.compile(r"[\x1c-\x1f]")
 _WHITE_RUN = regex.compile(f"[{WHITE}]+")
 #: Added to the code of a byte's character when it ends a word.
 _FINAL = 0x400
-#: Entries that a worker's memo of chunks holds before it starts anew.
-MEMO = 300_000
+#: Entries of a worker's memo of chunks and words; a full one is kept as the older generation until the next is full.
+MEMO = 250_000
 
 
 def _byte_characters() -> list[str]:
@@ -75,6 +76,7 @@ class WordBpe:
             if whole not in self._made:
                 self._made[whole], self._parts[whole] = rank, (a, b)
         self._memo: dict[str, tuple[bytes, str]] = {}
+        self._older: dict[str, tuple[bytes, str]] = {}
         self._fits: dict[int, bool] = {}
         self._whole: dict[str, int] = {}
         self._automaton = ahocorasick.Automaton()
@@ -119,7 +121,7 @@ class WordBpe:
         key = left << 20 | right
         got = self._fits.get(key)
         if got is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 300_000:
                 self._fits.clear()
             got = self._fits[key] = not self._joined(left, right, math.inf)
         return got
@@ -157,19 +159,37 @@ class WordBpe:
         out.reverse()
         return out
 
-    def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids, as bytes of int32, and their decoded text, of a text without white space."""
-        normal = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for piece in self._pattern.findall(normal) for i in self.encode_piece(piece)]
-        got = np.array(ids, np.int32).tobytes(), self.decode(ids)
-        if len(self._memo) >= MEMO:
-            self._memo.clear()
+    def _keep(self, chunk: str, got: tuple[bytes, str]) -> tuple[bytes, str]:
         if len(chunk) <= 64:
             self._memo[chunk] = got
         return got
 
+    def _encode_word(self, piece: str) -> tuple[bytes, str]:
+        """Of one piece; a piece of letters encodes as a chunk of its own would."""
+        got = self._memo.get(piece) or self._older.get(piece)
+        if got is None:
+            ids = self.encode_piece(piece)
+            got = array("i", ids).tobytes(), " ".join([self.names[i] for i in ids])
+            if piece.isalpha():
+                self._keep(piece, got)
+        return got
+
+    def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Ids, as bytes of int32, and their decoded text, of a text without white space."""
+        if got := self._older.get(chunk):
+            return self._keep(chunk, got)
+        normal = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        if normal.isalpha():
+            got = self._encode_word(normal)
+        else:
+            parts = [self._encode_word(piece) for piece in self._pattern.findall(normal)]
+            got = b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+        return self._keep(chunk, got)
+
     def encode_both(self, text: str) -> tuple[bytes, str]:
         """Ids of a whole text, as bytes of int32, and their decoded text."""
+        if len(self._memo) >= MEMO:
+            self._memo, self._older = {}, self._memo
         memo, chunked, ids, decoded = self._memo, self._encode_chunk, [], []
         for k, part in enumerate(self._special.split(text) if self._special and "<" in text else [text]):
             if k % 2:
