@@ -152,6 +152,17 @@ SQL: dict[str, str] = {
                               + length(regexp_replace(text, '<(\\*)(turn |/turn>)', '<_\1\2', 'g')))::BIGINT AS formatted_chars
                    FROM r GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
+    "op8_near_dup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+             s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM w),
+             e AS (SELECT doc_id, hash(unnest(sh)) AS g FROM s),
+             n AS (SELECT doc_id, len(sh) AS n FROM s),
+             c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+             k AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+             u AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+             r AS (SELECT DISTINCT a, a AS b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+             m AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY 1)
+        SELECT n.doc_id, n.n AS n_shingles, coalesce(m.least, n.doc_id) AS component_id, coalesce(m.least, n.doc_id) = n.doc_id AS kept FROM n LEFT JOIN m USING (doc_id)""",
     "op2_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
              d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
