@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = reps.select("low", "high", F.col("doc_id").alias("rep"))
     spread = reps.select("doc_id", "keys").mapInArrow(_spread_bands, "bucket long, doc_id long")
     hubs = spread.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select(F.col("bucket").alias("of"), "hub")
-    members = saved(spread.join(hubs, spread.bucket == hubs.of).select("bucket", "doc_id", "hub").distinct(), "members")
+    members = saved(spread.join(hubs, spread.bucket == hubs.of).select("bucket", "doc_id", "hub"), "members")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
     # an id that several texts carry may stand for several classes
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("bucket", "doc_id", "comp", "n", "sig", "bands", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("bucket", "doc_id", "comp", "n", "sig", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     )
-    rest = saved(tiles.groupBy("bucket", "i", "j").applyInArrow(_block_filter(num, den, least), "a long, b long").distinct(), "rest")
+    rest = saved(tiles.groupBy("bucket", "i", "j").applyInArrow(_block_filter(num, den, least), "a long, b long"), "rest")
     more = saved(_exact_links(rest, base, num, den, ngram), "more")
 
     settled = connected_components(links.unionByName(more).unionByName(_tied(usable, classes)))
