@@ -224,12 +224,12 @@ def union_relaxed(spark, sf_dir):
     return cols.union_relaxed(r, table(spark, sf_dir, "nation").select(F.col("n_name").alias("k"), F.col("n_nationkey").alias("n")))
 
 
-@query("SELECT id, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM (SELECT CASE WHEN p_partkey % 4 = 0 THEN p_brand || '-' || p_partkey ELSE p_partkey::VARCHAR END AS id FROM part)")
+@query("SELECT brand, id, row_number() OVER (PARTITION BY brand ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM (SELECT p_brand AS brand, CASE WHEN p_partkey % 4 = 0 THEN 'X' || p_partkey ELSE p_partkey::VARCHAR END AS id FROM part)")
 def id_sort(spark, sf_dir):
-    """Order of ids as a rank: a report over one dimension, whose size is that of a station list."""
+    """The order of ids within each brand, as a place."""
     k = F.col("p_partkey")
-    ids = table(spark, sf_dir, "part").select(F.when(k % 4 == 0, F.concat("p_brand", F.lit("-"), k.cast("string"))).otherwise(k.cast("string")).alias("id"))
-    return ids.withColumn("place", F.row_number().over(Window.orderBy(*cols.id_order("id"))).cast("bigint"))
+    ids = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.when(k % 4 == 0, F.concat(F.lit("X"), k.cast("string"))).otherwise(k.cast("string")).alias("id"))
+    return ids.withColumn("place", F.row_number().over(Window.partitionBy("brand").orderBy(*cols.id_order("id"))).cast("bigint"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN json_extract_string(props, '$.k') ELSE '2021-06-01T05:00:00Z' END AS k FROM events")
