@@ -50,18 +50,28 @@ def interpolated_median(trips: DataFrame, keys: list[str], value: str, name: str
 
 
 def summary(trips: DataFrame, keys: tuple[str, ...] = ("year",)) -> DataFrame:
-    """Counts over all rows, duration statistics over valid ones; rows without a year form their own."""
-    keys = list(keys)
-    counts = trips.groupBy(*keys).agg(F.count("*").alias("trip_count"), F.count_if(valid()).alias("valid_duration_count"), F.count_if(any_null(*KEY_COLUMNS)).alias("null_rows"))
-    good = trips.where(valid())
-    ranks = nearest_rank(good, keys, "duration", {"duration_5_percent": 0.05, "duration_q1": 0.25, "duration_q3": 0.75, "duration_95_percent": 0.95})
-    medians = interpolated_median(good, keys, "duration", "duration_median")
-    # a handful of rows per side: keys are calendar parts and cities
-    out = counts
-    for i, part in enumerate((ranks, medians)):
-        renamed = part.withColumnsRenamed({k: f"__{i}{k}" for k in keys})
-        out = out.join(renamed, [F.col(k).eqNullSafe(F.col(f"__{i}{k}")) for k in keys], "left").drop(*[f"__{i}{k}" for k in keys])
-    return out
+    """Counts over all rows, duration statistics over valid ones; rows without a year form their own.
+
+    One scan: rows are counted by key and valid duration, and everything else,
+    nearest-rank quantiles and interpolated median included, comes from those
+    counts. So raw rows are neither joined nor sorted.
+    """
+    keys, d = list(keys), F.col("__d")
+    counted = trips.groupBy(*keys, F.when(valid(), F.col("duration")).alias("__d")).agg(F.count("*").alias("__n"), F.count_if(any_null(*KEY_COLUMNS)).alias("__nulls"))
+    w, ok = Window.partitionBy(*keys), F.when(d.isNotNull(), F.col("__n"))
+    running = counted.withColumn("__cum", F.when(d.isNotNull(), F.sum(ok).over(w.orderBy("__d")))).withColumn("__all", F.sum(ok).over(w))
+    at = lambda place: F.min(F.when(F.col("__cum") > F.floor(place), d))
+    rank = lambda q: at((F.col("__all") - 1) * q + 0.5)
+    return running.groupBy(*keys).agg(
+        F.sum("__n").alias("trip_count"),
+        F.coalesce(F.sum(ok), F.lit(0)).alias("valid_duration_count"),
+        F.sum("__nulls").alias("null_rows"),
+        rank(0.05).alias("duration_5_percent"),
+        rank(0.25).alias("duration_q1"),
+        rank(0.75).alias("duration_q3"),
+        rank(0.95).alias("duration_95_percent"),
+        ((at((F.col("__all") - 1) / 2) + at(F.col("__all") / 2)) / 2).alias("duration_median"),
+    )
 
 
 def null_rows(trips: DataFrame) -> DataFrame:
