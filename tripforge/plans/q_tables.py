@@ -13,7 +13,7 @@ from tripforge.plans import feeds
 from tripforge.plans.catalog import query
 from tripforge.plans.views import EVENT_TRIPS, ORDER_TRIPS, event_trips, order_trips, table, trips
 from tripforge.sources import files as src
-from tripforge.work import fresh_path
+from tripforge.work import fresh_path, saved
 
 
 def _line_trips(spark, sf_dir):
@@ -155,7 +155,8 @@ def publish_merge(spark, sf_dir):
     """One section of several cities, merged behind the gates; the cities are one region's nations."""
     nation = table(spark, sf_dir, "nation").where("n_regionkey = 1")
     base = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    volume = base.groupBy("n_name", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(F.count("*").alias("trips"))
+    # every city's section comes from this one small result
+    volume = saved(base.groupBy("n_name", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(F.count("*").alias("trips")), "volume")
     names = [r.n_name for r in nation.orderBy("n_name").collect()]
     return publish.merge_section({n: {"volume": volume.where(F.col("n_name") == n).drop("n_name")} for n in names}, publish.Output("volume_by_month", "volume", ("city", "year", "month")))
 
