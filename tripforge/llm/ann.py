@@ -26,6 +26,8 @@ SAMPLE = 20_000
 COLUMNS, EPSILON = 16, 2.1
 #: Candidates and queries that one task compares at a time.
 CANDIDATES, QUERIES_AT_ONCE = 4_096, 512
+#: Vectors that are held against all centroids at a time.
+ROWS = 2_048
 #: Share of true neighbours within the probed lists that the fit asks for, on the sample.
 COVERAGE = 0.97
 
@@ -41,6 +43,11 @@ class Lists:
         return np.argsort(_squares(vectors, self.centroids), axis=1, kind="stable")
 
 
+def _nearest_list(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each vector, in blocks of bounded size."""
+    return np.concatenate([_squares(vectors[k : k + ROWS], centroids).argmin(1) for k in range(0, max(1, len(vectors)), ROWS)])
+
+
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :]
 
@@ -52,11 +59,11 @@ def _fit(sample: np.ndarray, total: int, k: int, seed: int = 13) -> Lists:
     count = int(np.clip(round(math.sqrt(total)), 1, max(1, len(sample) // 20)))
     centroids = sample[rng.choice(len(sample), count, replace=False)].copy()
     for _ in range(8):
-        own = _squares(sample, centroids).argmin(1)
+        own = _nearest_list(sample, centroids)
         for j in range(count):
             if (mine := sample[own == j]).size:
                 centroids[j] = mine.mean(0)
-    own = _squares(sample, centroids).argmin(1)
+    own = _nearest_list(sample, centroids)
     asked = rng.choice(len(sample), min(400, len(sample)), replace=False)
     away = _squares(sample[asked], sample)
     away[np.arange(len(asked)), asked] = np.inf
@@ -141,7 +148,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
     def assign(batches):
         for batch in batches:
             if batch.num_rows:
-                own = _squares(_vectors(batch.column(1), d), lists.value.centroids).argmin(1)
+                own = _nearest_list(_vectors(batch.column(1), d), lists.value.centroids)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.astype(np.int32))], ["vec_id", "v", "list"])
 
     indexed = saved(rows.mapInArrow(assign, "vec_id long, v array<float>, list int"), "indexed")
@@ -150,9 +157,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
 
     def probe(batches):
         own = lists.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (x.slice(k, ROWS) for x in batches for k in range(0, x.num_rows, ROWS)):
             order = own.nearest(_vectors(batch.column(1), d))
             # at least the fitted number of lists, and more until enough candidates are in them
             enough = (np.cumsum(amounts[order], axis=1) < 4 * (k + 1)).sum(1) + 1
