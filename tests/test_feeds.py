@@ -269,3 +269,54 @@ def test_stream_appends_each_file_once(spark, tmp_path):
         ingest.append_trips(ingest.stream_trips(spark, source, schema), table, str(tmp_path / "c")).awaitTermination(60)
     assert spark.read.parquet(table).count() == 3
     assert [r.trips for r in ingest.hourly_volume(spark.read.parquet(source).where("start_time is not null")).collect()] == [2]
+
+
+def test_reference_and_station_files(spark, tmp_path):
+    (tmp_path / "ref.csv").write_text("id,name,lat,lng\n 7 ,A,1.5,n/a\n")
+    r = src.read_reference_table(spark, str(tmp_path / "ref.csv")).first()
+    assert tuple(r) == ("7", "A", 1.5, None)
+    with pytest.raises(Exception):
+        src.read_reference_table(spark, str(tmp_path / "none.csv"))
+    (tmp_path / "s_2020_01.csv").write_text("id,name\n1,Old\n2,Two\n")
+    (tmp_path / "s_2021_01.csv").write_text("id,name,lat\n1,New,5\n")
+    files = src.read_station_files(spark, [str(tmp_path / "s_2020_01.csv"), str(tmp_path / "s_2021_01.csv")])
+    got = reference_tables.newest(files, "id", ["name", "lat"], ["file"])
+    assert {tuple(r) for r in got.collect()} == {("1", "New", "5"), ("2", "Two", None)}
+
+
+def test_encodings_are_picked_by_contents(spark, tmp_path):
+    (tmp_path / "k.csv").write_bytes("가\n".encode("euc-kr"))
+    (tmp_path / "u.csv").write_text("가\n")
+    found = src.pick_encoding(spark, str(tmp_path), "EUC-KR")
+    assert {k: [os.path.basename(p) for p in v] for k, v in found.items()} == {"EUC-KR": ["k.csv"], "UTF-8": ["u.csv"]}
+    assert {r.line for r in src.read_lossy_lines(spark, str(tmp_path / "u.csv")).collect()} == {"가"}
+
+
+def test_headers_by_file_name(spark):
+    df = spark.createDataFrame([("x_2015.csv", "1,2"), ("y.csv", "1")], "file string, line string")
+    assert {r.file: r.header for r in ln.header_for_files(df, [("2015", "a,b")]).collect()} == {"x_2015.csv": "a,b", "y.csv": None}
+
+
+def test_hooks_run_once_and_do_not_stop_the_feed(spark, raw):
+    ran = []
+    feeds.register_hook("note")(lambda s, f: ran.append(f.name))
+
+    @feeds.register_hook("fail")
+    def fail(s, f):
+        raise RuntimeError("no network")
+
+    assert feeds.run_hooks(spark, spec(before=["note", "fail"])) == ["fail: no network"] and ran == ["town"]
+    with pytest.raises(KeyError):
+        feeds.run_hooks(spark, spec(before=["unknown"]))
+
+
+def test_orphans_and_files_of_their_own(spark, tmp_path):
+    recorded = spark.createDataFrame([("a", ["x", "y"]), ("b", ["y"])], "path string, outputs array<string>")
+    current = spark.createDataFrame([("b",)], "path string")
+    said, kept = incremental.settle_orphans(recorded, current, "prune")
+    assert said == ["pruned x"] and [r.path for r in kept.collect()] == ["b"]
+    assert incremental.settle_orphans(recorded, current)[1].count() == 2
+    out = str(tmp_path / "o")
+    incremental.write_by_file(spark.createDataFrame([("f1", 1), ("f2", 2)], "source_file string, v int"), out)
+    incremental.write_by_file(spark.createDataFrame([("f2", 3)], "source_file string, v int"), out)
+    assert {tuple(r) for r in spark.read.parquet(out).select("source_file", "v").collect()} == {("f1", 1), ("f2", 3)}

@@ -92,3 +92,17 @@ def _drop_months(spark: SparkSession, table: str, months: list[tuple]) -> None:
         folder = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in (("year", y), ("month", m)))
         path = jvm.org.apache.hadoop.fs.Path(f"{table}/{folder}")
         path.getFileSystem(conf).delete(path, True)
+
+
+def write_by_file(rows: DataFrame, path: str) -> None:
+    """One folder per input file (`source_file`); only the folders of files in `rows` are overwritten."""
+    rows.repartition("source_file").write.partitionBy("source_file").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def settle_orphans(recorded: DataFrame, current: DataFrame, policy: str = "warn") -> tuple[list[str], DataFrame]:
+    """(messages about vanished inputs' outputs, manifest to keep). `warn` keeps their records, `prune` drops them."""
+    if policy not in ("warn", "prune"):
+        raise ValueError(f"unknown policy {policy}")
+    found = [r.output for r in orphan_outputs(recorded, current).orderBy("output").limit(25).collect()]
+    kept = recorded.join(current.select("path"), "path", "left_semi") if policy == "prune" else recorded
+    return [f"{'pruned' if policy == 'prune' else 'no input any more for'} {x}" for x in found], kept

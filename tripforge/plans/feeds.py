@@ -9,6 +9,7 @@ the groups are united on the final columns.
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 from functools import reduce
@@ -42,6 +43,7 @@ class FeedSpec:
     exclude: list[str] = field(default_factory=list)
     invalid: dict[str, list[str]] = field(default_factory=dict)
     allowed_ids: list[str] = field(default_factory=list)
+    before: list[str] = field(default_factory=list)
     stations: DataFrame | None = None
 
     @classmethod
@@ -194,8 +196,35 @@ def apply_steps(df: DataFrame, spec: FeedSpec) -> DataFrame:
     return reduce(lambda d, name: STEPS[name](d, spec), spec.steps, df)
 
 
+Hook = Callable[[SparkSession, FeedSpec], None]
+HOOKS: dict[str, Hook] = {}
+
+
+def register_hook(name: str) -> Callable[[Hook], Hook]:
+    """Hooks run once before a feed is read, such as a refresh of its station table."""
+
+    def add(f: Hook) -> Hook:
+        HOOKS[name] = f
+        return f
+
+    return add
+
+
+def run_hooks(spark: SparkSession, spec: FeedSpec) -> list[str]:
+    """Runs the feed's hooks; an unknown name raises, a hook that fails is reported and does not stop the feed."""
+    failed = []
+    for hook in [(name, HOOKS[name]) for name in spec.before]:
+        try:
+            hook[1](spark, spec)
+        except Exception as e:
+            failed.append(f"{hook[0]}: {e}")
+    return failed
+
+
 def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
     """Canonical trips of files whose headers may differ, with year, month and source_file."""
+    for message in run_hooks(spark, spec):
+        warnings.warn(message, stacklevel=2)
     parts = []
     for header, own in sorted(src.header_signatures(spark, paths).items()):
         raw = src.read_csv(spark, own, list(header), spec.sep, spec.encoding).withColumn("source_file", F.col("_metadata.file_path"))

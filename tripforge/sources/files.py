@@ -141,3 +141,36 @@ def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool =
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths).select("path", "content")
     return files.mapInArrow(run, "archive string, member string, line_no long, line string")
+
+
+def pick_encoding(spark: SparkSession, paths: list[str] | str, declared: str) -> dict[str, list[str]]:
+    """Files by charset: UTF-8 where the whole contents are valid, else the feed's declared one. As many paths as files reach the driver."""
+    out: dict[str, list[str]] = {}
+    for r in is_utf8(spark, paths).orderBy("path").collect():
+        out.setdefault("UTF-8" if r.utf8 else declared, []).append(r.path)
+    return out
+
+
+def read_lossy_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(file, line): text lines with broken UTF-8 replaced."""
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("line"))
+
+
+def read_reference_table(spark: SparkSession, path: str) -> DataFrame:
+    """A committed table `id,name` or `id,name,lat,lng`: ids trimmed, coordinates leniently as numbers; a missing file raises."""
+    header = next(iter(header_signatures(spark, path)))
+    if not {"id", "name"} <= set(header):
+        raise ValueError(f"no id and name in {path}")
+    table = read_csv(spark, path, list(header)).withColumn("id", F.trim("id"))
+    return table.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lng") if c in header})
+
+
+def read_station_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Station files of differing columns, united by name as text, with `file` to tell which is newer."""
+    parts = []
+    for header, own in sorted(header_signatures(spark, paths).items()):
+        parts.append(read_csv(spark, own, list(header)).withColumn("file", F.col("_metadata.file_name")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -52,3 +52,11 @@ def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",") -> DataFra
     """Columns of cleaned lines; other columns stay. A line that does not fit raises."""
     parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep, "mode": "FAILFAST"})
     return lines.withColumn("__r", parsed).select(*[c for c in lines.columns if c != "line"], "__r.*")
+
+
+def header_for_files(lines: DataFrame, headers: list[tuple[str, str]]) -> DataFrame:
+    """Adds `header` to (file, …): the header of the first entry (part of the file's name, header) that fits; null for files that carry their own."""
+    picked = F.lit(None).cast("string")
+    for part, header in reversed(headers):
+        picked = F.when(F.col("file").contains(part), header).otherwise(picked)
+    return lines.withColumn("header", picked)
