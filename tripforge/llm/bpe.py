@@ -22,10 +22,13 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripforge.work import bounded_batches
+
 #: The white space and the piece pattern of the vocabulary file's normalizer and pre-tokenizer.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -36,7 +39,7 @@ _WHITE_RUN = regex.compile(f"[{WHITE}]+")
 #: Added to the code of a byte's character when it ends a word.
 _FINAL = 0x400
 #: Entries of a worker's memo of chunks and words; a full one is kept as the older generation until the next is full.
-MEMO = 250_000
+MEMO = 150_000
 
 
 def _byte_characters() -> list[str]:
@@ -75,8 +78,9 @@ class WordBpe:
                 self._rank[a, b] = rank
             if whole not in self._made:
                 self._made[whole], self._parts[whole] = rank, (a, b)
-        self._memo: dict[str, tuple[bytes, str]] = {}
-        self._older: dict[str, tuple[bytes, str]] = {}
+        self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._strings: pa.Array | None = None
         self._fits: dict[int, bool] = {}
         self._whole: dict[str, int] = {}
         self._automaton = ahocorasick.Automaton()
@@ -121,7 +125,7 @@ class WordBpe:
         key = left << 20 | right
         got = self._fits.get(key)
         if got is None:
-            if len(self._fits) > 300_000:
+            if len(self._fits) > 150_000:
                 self._fits.clear()
             got = self._fits[key] = not self._joined(left, right, math.inf)
         return got
@@ -159,56 +163,54 @@ class WordBpe:
         out.reverse()
         return out
 
-    def _keep(self, chunk: str, got: tuple[bytes, str]) -> tuple[bytes, str]:
+    def _keep(self, chunk: str, got: bytes) -> bytes:
         if len(chunk) <= 64:
             self._memo[chunk] = got
         return got
 
-    def _encode_word(self, piece: str) -> tuple[bytes, str]:
+    def _encode_word(self, piece: str) -> bytes:
         """Of one piece; a piece of letters encodes as a chunk of its own would."""
         got = self._memo.get(piece) or self._older.get(piece)
         if got is None:
-            ids = self.encode_piece(piece)
-            got = array("i", ids).tobytes(), " ".join([self.names[i] for i in ids])
+            got = array("i", self.encode_piece(piece)).tobytes()
             if piece.isalpha():
                 self._keep(piece, got)
         return got
 
-    def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids, as bytes of int32, and their decoded text, of a text without white space."""
+    def _encode_chunk(self, chunk: str) -> bytes:
+        """Ids, as bytes of int32, of a text without white space."""
         if got := self._older.get(chunk):
             return self._keep(chunk, got)
         normal = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         if normal.isalpha():
-            got = self._encode_word(normal)
-        else:
-            parts = [self._encode_word(piece) for piece in self._pattern.findall(normal)]
-            got = b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
-        return self._keep(chunk, got)
-
-    def encode_both(self, text: str) -> tuple[bytes, str]:
-        """Ids of a whole text, as bytes of int32, and their decoded text."""
+            return self._keep(chunk, self._encode_word(normal))
+        return self._keep(chunk, b"".join([self._encode_word(piece) for piece in self._pattern.findall(normal)]))
+
+    def encode_bytes(self, text: str) -> bytes:
+        """Ids of a whole text, as bytes of int32."""
         if len(self._memo) >= MEMO:
             self._memo, self._older = {}, self._memo
-        memo, chunked, ids, decoded = self._memo, self._encode_chunk, [], []
+        memo, chunked, ids = self._memo, self._encode_chunk, []
         for k, part in enumerate(self._special.split(text) if self._special and "<" in text else [text]):
             if k % 2:
                 ids.append(np.int32(self.specials[part]).tobytes())
-                decoded.append(part)
-                continue
-            for chunk in part.split() if _NOT_WHITE.search(part) is None else filter(None, _WHITE_RUN.split(part)):
-                a, b = memo.get(chunk) or chunked(chunk)
-                ids.append(a)
-                decoded.append(b)
-        return b"".join(ids), " ".join(decoded)
+            else:
+                ids += [memo.get(c) or chunked(c) for c in (part.split() if _NOT_WHITE.search(part) is None else filter(None, _WHITE_RUN.split(part)))]
+        return b"".join(ids)
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encode_both(text)[0], np.int32).tolist()
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by one space, as for a vocabulary file without a decoder."""
         return " ".join([self.names[i] for i in ids])
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """Every list decoded, by one gather and one join."""
+        if self._strings is None:
+            self._strings = pa.array([self.names.get(i, "") for i in range(max(self.names) + 1)], pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self._strings.take(ids.values)), " ")
+
 
 _models: dict[int, WordBpe] = {}
 
@@ -231,6 +233,7 @@ def bpe_encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     """
     with open(vocabulary, encoding="utf-8") as f:
         source = f.read()
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(source)
     key = hash(source)
 
@@ -239,16 +242,14 @@ def bpe_encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
         for batch in batches:
             i = 0
             while i < batch.num_rows:
-                ids, decoded, begin, room = [], [], i, 8_000_000
+                ids, begin, room = [], i, 2_000_000
                 while i < batch.num_rows and room > 0:
-                    a, b = model.encode_both(batch.column(1)[i].as_py() or "")
-                    ids.append(a)
-                    decoded.append(b)
-                    room -= len(a) + len(b)
+                    ids.append(model.encode_bytes(batch.column(1)[i].as_py() or ""))
+                    room -= len(ids[-1])
                     i += 1
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i - begin), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+                ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i - begin), lists, model.decode_all(lists)], ["doc_id", "ids", "decoded"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, ids array<int>, decoded string")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tripforge.llm.lang_id import _codes
 from tripforge.llm.pu_learning import Rows, fit_nnpu, sigmoid
 from tripforge.llm.textcore import chunks, filter_rows, mix64, utf8, words
-from tripforge.work import saved
+from tripforge.work import bounded_batches, saved
 
 #: Rows that a classifier is fitted on, at most about.
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 12_000
@@ -36,6 +36,7 @@ def _sample(docs: DataFrame, labels: DataFrame, label_col: str, trusted, id_col:
     label. Both are chosen by a hash of the id, so that about MAX_POSITIVE and
     MAX_UNLABELLED remain at any input size.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y is not null").where(trusted(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     got = known.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0)).alias("p")).first()
     pool = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null").where(trusted(F.col("id")))
@@ -290,6 +291,7 @@ def score_documents(docs: DataFrame, model: WordModel | MeasureModel, id_col: st
     columns are ignored, an empty table gives an empty table. The model is of
     bounded size and is broadcast.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

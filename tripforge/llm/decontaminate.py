@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.llm.textcore import chunks, mix64
+from tripforge.work import bounded_batches
 
 #: Sampled positions per repetition, and the probability to reach that a passage at the largest distance becomes a candidate.
 SAMPLES, RECALL = 2, 0.995
@@ -243,6 +244,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bench = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("item_text")).where("item_id is not null and item_text is not null")
+    bounded_batches(docs.sparkSession)
     size = bench.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0)).alias("n")).first().n
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     schema = "doc_id long, item_id long, n_words int, edits int, at_word int"

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.llm.textcore import chunks, filter_rows, mix64
+from tripforge.work import bounded_batches
 
 #: Letters of an n-gram; a word's border counts as one.
 SIZE = 3
@@ -123,6 +124,7 @@ def fit_language_filters(rows: DataFrame, text_col: str = "text", lang_col: str
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(65).collect()}
     if len(counts) > 64:
         raise ValueError("at most 64 languages fit the mask")
+    bounded_batches(rows.sparkSession)
     languages = sorted(counts)
     if not languages:
         return LanguageFilters([], np.zeros(POSITIONS, np.uint8), np.zeros(0), UNDETERMINED)
@@ -176,6 +178,7 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, id_col: str =
     Repeated rows come back repeated, null ids as null, other columns are
     ignored. The filters (1 to 8 MB, whatever the data) are broadcast.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tripforge.operators.graph import connected_components
 from tripforge.llm.textcore import chunks, digest128, mix64, shingles, utf8, words
-from tripforge.work import saved
+from tripforge.work import bounded_batches, saved
 
 #: Values of a signature that verification compares at a time, and all it has.
 BATCH, DEPTH = 64, 256
@@ -239,6 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     differ, the least of them is the one that links are verified on. Other columns, whatever their names, are ignored. An
     empty table gives an empty table.
     """
+    bounded_batches(docs.sparkSession)
     threshold = num / den
     rows = ROWS if threshold >= 0.82 else ROWS - 1
     bands, least = band_count(threshold, rows), least_matches(threshold)

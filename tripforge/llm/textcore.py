@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
+from tripforge.work import bounded_batches
+
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -136,6 +138,7 @@ def chunks(batch: pa.RecordBatch, text: int, limit: int = 1_000_000):
 
 def filter_rows(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows of `docs`, all columns, for whose text `keep` says True. No shuffle; each row is judged by itself."""
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
