@@ -35,6 +35,6 @@ BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 def bounded_batches(spark: SparkSession) -> None:
     """Lowers the session's Arrow batch limits, so that batches of long texts stay small on both sides of the exchange."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = str(spark.conf.get(key, "0")).rstrip("b")
+        now = str(spark.conf.get(key, str(most))).rstrip("b")
         if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
