@@ -125,3 +125,9 @@ def canonical_stations(points: DataFrame, radius_m: float = 5.0, n_obs_floor: in
     rest = clustered.groupBy("cluster").agg(F.collect_set("name").alias("names"), F.array_sort(F.collect_set("key")).alias("ids"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
     out = chosen.join(rest, "cluster").withColumn("aliases", F.array_sort(F.array_except("names", F.array("name"))))
     return out.select("name", "lat", "lng", "first_seen", "last_seen", "aliases", *(["ids"] if keep_ids else []))
+
+
+def name_points(points: DataFrame, names: DataFrame) -> DataFrame:
+    """Adds the latest names (id, name) to points keyed by station id; a point without one keeps a null name."""
+    one = names.groupBy("id").agg(F.max("name").alias("name"))
+    return points.join(one.toDF("__id", "name"), F.col("station") == F.col("__id"), "left").drop("__id")
