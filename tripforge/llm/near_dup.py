@@ -11,9 +11,9 @@
    (uniform prior) is below `miss`. Survivors are checked on full shingle sets.
 5. Linked documents become components. Buckets that still hold several
    components are compared in blocks of at most `BLOCK` members, signature
-   batch by signature batch, and only pairs of different components that
-   survive the Bayesian bounds leave a block for the exact check. So no pair
-   inside a component and no implausible pair is ever emitted.
+   batch by signature batch. Pairs of different components that survive the
+   Bayesian bounds are held against each other's shingle sets within the block,
+   and only what links two components goes on to the exact check of the texts.
 6. Components over all links; classes map every document to its component.
 """
 
@@ -35,6 +35,8 @@ from tripforge.work import bounded_batches, saved
 BATCH, DEPTH = 64, 256
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 256
+#: Members by which sets cut to 32-bit hashes may differ from whole ones.
+SLACK = 2
 #: Rows of a band; the number of bands follows from the threshold.
 ROWS = 6
 #: Probability that no band of a pair at the threshold agrees, at most.
@@ -150,7 +152,10 @@ def _bayes_filter(num: int, den: int, least: list[int]):
 def _block_filter(num: int, den: int, least: list[int]):
     """Within one (bucket, left block, right block): pairs of different components that survive the bounds.
 
-    A pair leaves only the bucket of the first band that its two documents share.
+    A pair is looked at only in the bucket of the first band that its two
+    documents share. It leaves the block if its shingle sets, cut to 32-bit
+    hashes, reach the threshold give or take SLACK members, and if links that
+    are sure even so have not connected its components within the block yet.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -160,6 +165,20 @@ def _block_filter(num: int, den: int, least: list[int]):
         doc, comp, n = (table[x].to_numpy() for x in ("doc_id", "comp", "n"))
         side = table["side"].to_numpy()
         sig = _matrix(table["sig"].combine_chunks()) if table.num_rows else np.zeros((0, DEPTH), np.uint8)
+        members = table["members"]
+        sets: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        def own_set(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.frombuffer(members[i].as_py(), np.uint32)
+            return sets[i]
+
         left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         if not len(right):  # a block against itself
             right = left
@@ -176,8 +195,17 @@ def _block_filter(num: int, den: int, least: list[int]):
                 ok, got = ok[got >= need], got[got >= need]
             if len(ok):
                 ok = ok[bands[i][(bands[ok] == bands[i]).argmax(1)] == bucket]
-            out_a += [doc[i]] * len(ok)
-            out_b += doc[ok].tolist()
+            for j in ok.tolist():
+                a, b = root(int(comp[i])), root(int(comp[j]))
+                if a == b:
+                    continue
+                both = len(np.intersect1d(own_set(int(i)), own_set(j), assume_unique=True))
+                union = len(own_set(int(i))) + len(own_set(j)) - both
+                if den * (both + SLACK) >= num * (union - SLACK):
+                    out_a.append(doc[i])
+                    out_b.append(doc[j])
+                if den * (both - SLACK) >= num * (union + SLACK):
+                    parent[max(a, b)] = min(a, b)
         a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -214,12 +242,28 @@ def shingle_set(text: str | None, ngram: int) -> np.ndarray:
     return np.unique(shingles(*words(raw, at)[::3], ngram)[0])
 
 
+def _short_sets(ngram: int):
+    """Shingle sets as sorted 32-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique((shingle_set(t, ngram) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "members"])
+
+    return run
+
+
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, text) of the ids (column id), one text each."""
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return texts.join(ids, texts.doc_id == ids.id, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def _exact_links(pairs: DataFrame, texts: DataFrame, num: int, den: int, ngram: int) -> DataFrame:
     """Pairs (a, b) held against both whole texts. Sides are joined one at a time; a hot hub's partition can be split."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ends = F.broadcast(ends)
-    needed = saved(texts.join(ends, texts.doc_id == ends.id, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    needed = saved(_texts_of(ends, texts), "texts")
     one = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return two.select("a", "b", "text_a", "text_b").mapInArrow(_exact_filter(num, den, ngram), "a long, b long")
@@ -269,12 +313,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = saved(comp, "comp")
     mixed = comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select(F.col("bucket").alias("of"), F.expr(f"cast(ceil(m / {BLOCK}) as int)").alias("blocks"))
     folded = slim.mapInArrow(_fold_keys, "doc_id long, n long, sig binary, bands binary")
-    left = comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp", "blocks").join(folded, "doc_id")
+    residual = saved(comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp", "blocks"), "residual")
+    members = _texts_of(residual.select(F.col("doc_id").alias("id")).distinct(), base).mapInArrow(_short_sets(ngram), "doc_id long, members binary")
+    left = residual.join(folded.join(members, "doc_id"), "doc_id")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     tiles = (
         left.withColumn("own", block)
-        .select("bucket", "doc_id", "comp", "n", "sig", "bands", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("bucket", "doc_id", "comp", "n", "sig", "bands", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+        .select("bucket", "doc_id", "comp", "n", "sig", "bands", "members", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("bucket", "doc_id", "comp", "n", "sig", "bands", "members", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     )
     rest = saved(tiles.groupBy("bucket", "i", "j").applyInArrow(_block_filter(num, den, least), "a long, b long"), "rest")
     more = saved(_exact_links(rest, base, num, den, ngram), "more")
