@@ -62,4 +62,13 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, n: int, prior: float, steps: int
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = np.maximum(w - step[:-1], least), b - step[-1]
-    return w, b
+    return w, matched_bias(unlabelled.times(w), prior)
+
+
+def matched_bias(margins: np.ndarray, prior: float) -> float:
+    """The bias at which the unlabelled rows' mean probability is the prior; on small samples the clipped risk leaves it free."""
+    low, high = -40.0, 40.0
+    for _ in range(80):
+        b = (low + high) / 2
+        low, high = (b, high) if sigmoid(margins + b).mean() < prior else (low, b)
+    return (low + high) / 2
