@@ -116,6 +116,34 @@ def test_chat_round_trip(spark):
     assert cf.digests(cf.format_chats(cf.as_records(gathered.where("false")))).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 3])
+def test_chat_text_beyond_a_variant(spark, n):
+    rows = [(0, "user", "q"), (1, "assistant", '\\"{"role": ' + "x" * 20_500_000), (2, "user", "</turn>")][:n]
+    given = spark.createDataFrame([(t, role, text[:11]) for t, role, text in rows], "turn long, role string, head string")
+    df = given.select(F.lit(1).alias("conv_id"), "turn", "role", F.when(F.col("turn") == 1, F.concat("head", F.expr("repeat('x', 20500000)"))).otherwise(F.col("head")).alias("text"))
+    got = cf.digests(cf.format_chats(cf.as_records(cf.gather_turns(df)))).first()
+    flat = "".join(f"{role}\n{text}\n" for _, role, text in rows)
+    assert (got.n_turns, got.turns_sha256) == (n, hashlib.sha256(flat.encode()).hexdigest())
+    assert (got.loss_chars, got.loss_sha256) == (len(rows[1][2]), hashlib.sha256(rows[1][2].encode()).hexdigest())
+
+
+def test_chat_long_records_read_as_short_ones(spark, monkeypatch):
+    texts = [t for t in TEXTS if len(t) < 1000] + ['"', '\\"', '\\\\"', '": "', '{"role": "x"}', "\\", 'a"b:c', "1.50"]
+    records = [json.dumps({"messages": [{"role": r, "content": t} for t in texts for r in ("user", t)]}, ensure_ascii=k) for k in (True, False)]
+    records += [json.dumps({"conversations": [{"from": "human", "value": t} for t in texts]}, indent=1), json.dumps({"prompt": texts[-3], "response": "\\"}), '{"pro\\u006dpt" : 1.50, "response":null}', '{"instruction": true, "input": "", "output": "\\\\"}']
+    records += ['{"messages": []}', '{"messages": [{"role": "a", "content": {"x": "y"}}]}', '{"a\\"b": ["c", "d:"]}', "no json", '{"prompt": "', '"only text"', None]
+    df = spark.createDataFrame(list(enumerate(records)), "conv_id long, raw string")
+    short = cf.canonical_turns(df).orderBy("conv_id").collect()
+    assert [r.layout for r in short] == ["messages", "messages", "conversations", "prompt_response", "prompt_response", "instruction_input", "messages"] + [None] * 6
+    monkeypatch.setattr(cf, "LONG", 0)
+    assert cf.canonical_turns(df).orderBy("conv_id").collect() == short
+    with pytest.raises(Exception, match="(?i)malformed"):
+        cf.canonical_turns(spark.createDataFrame([(1, '{"prompt": "\\q", "response": "a"}')], "conv_id long, raw string")).collect()
+    monkeypatch.setattr(cf, "MOST_BLANKED", 3)
+    with pytest.raises(Exception, match="does not fit a variant"):
+        cf.canonical_turns(spark.createDataFrame([(1, '{"prompt": ')], "conv_id long, raw string")).collect()
+
+
 def test_chat_query_has_the_planted_conversation(spark, sf):
     r = queries.op3_chat_format(spark, sf).where("conv_id = -7").first()
     text = "\\### Assistant: </turn> ok"

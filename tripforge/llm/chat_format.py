@@ -10,6 +10,10 @@ feed. In texts, `<` followed by any number of backslashes and `turn ` or `/turn>
 gets one more backslash; reading back takes one off, so every text comes back
 as it was. A role of other characters than letters, digits, `_` and `-` is
 written as `x:` and its hexadecimal UTF-8.
+
+Spark's variants hold no string over 20,000,000 characters and no record over
+128 MiB. Of a record over LONG bytes the variant is built from a copy whose string
+values are blanked, and the texts are read from the record's own JSON.
 """
 
 from __future__ import annotations
@@ -22,16 +26,22 @@ from pyspark.sql import functions as F
 
 TURNS = "array<struct<role string, text string>>".replace(" string", ":string")
 END = "</turn>\n"
+#: Bytes of a record from which its texts are read outside the variant, and of a blanked copy from which a variant may not hold it.
+LONG, MOST_BLANKED = 10_000_000, 40_000_000
+_WHOLE = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}
 _SCALARS = r": (?:STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|DATE|BINARY|TIMESTAMP_NTZ|TIMESTAMP|DECIMAL\(\d+,\d+\))"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Field-path shapes, as `shape_of` writes them, and how such a record's turns are read."""
+    """Field-path shapes, as `shape_of` writes them, and how such a record's turns are read.
+
+    `turns` takes the variant; of a long record, its copy with blanked texts and the JSON text that they are read from.
+    """
 
     name: str
     shapes: tuple[str, ...]
-    turns: Callable[[Column], Column]
+    turns: Callable[..., Column]
 
 
 def shape_of(record: Column) -> Column:
@@ -40,9 +50,33 @@ def shape_of(record: Column) -> Column:
     return F.regexp_replace(bare, r"ARRAY<(?:VOID|STRING|BIGINT|DOUBLE|BOOLEAN)>", "ARRAY<>")
 
 
-def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Column], Column]:
-    def turns(v: Column) -> Column:
-        rows = F.variant_get(v, f"$.{path}", f"array<struct<{role}:string,{text}:string>>")
+def _blanked(raw: Column) -> Column:
+    """JSON text with every string value empty; keys and all else stay."""
+    # pairs of backslashes from the left, then escaped quotes: after that every quote delimits a string
+    plain = F.replace(F.replace(raw, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    return F.regexp_replace(plain, r'("[^"]*+"\s*+:)|(")[^"]*+(")', "$1$2$3")
+
+
+def _variant(raw: Column) -> Column:
+    """The record as a variant, its texts blanked where it is long; null where it is no JSON. One that a variant may not hold even so stops the job."""
+    blanked = _blanked(raw)
+    over = F.raise_error(F.concat(F.lit("chat record does not fit a variant: its keys and marks alone have bytes "), F.octet_length(blanked).cast("string"))).cast("variant")
+    long = F.coalesce(F.try_parse_json(blanked), F.when(F.octet_length(blanked) > MOST_BLANKED, over))
+    return F.when(F.octet_length(raw) > LONG, long).otherwise(F.try_parse_json(raw))
+
+
+def _unblanked(blank: Column, whole: Column) -> Column:
+    return F.when(blank == "", whole).otherwise(blank)
+
+
+def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[..., Column]:
+    kind = f"array<struct<{role}:string,{text}:string>>"
+
+    def turns(v: Column, raw: Column | None = None) -> Column:
+        rows = F.variant_get(v, f"$.{path}", kind)
+        if raw is not None:
+            whole = F.from_json(raw, f"struct<{path}:{kind}>", _WHOLE)[path]
+            rows = F.zip_with(rows, whole, lambda b, x: F.struct(*[_unblanked(b[c], x[c]).alias(c) for c in (role, text)]))
 
         def one(x: Column) -> Column:
             known = x[role]
@@ -50,14 +84,18 @@ def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None
                 known = F.when(x[role] == written, canonical).otherwise(known)
             return F.struct(F.coalesce(known, F.lit("")).alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))
 
-        return F.transform(F.coalesce(rows, F.array().cast(f"array<struct<{role}:string,{text}:string>>")), one)
+        return F.transform(F.coalesce(rows, F.array().cast(kind)), one)
 
     return turns
 
 
-def _fixed(*fields: tuple[str, str]) -> Callable[[Column], Column]:
-    def turns(v: Column) -> Column:
-        return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(F.variant_get(v, f"$.{path}", "string"), F.lit("")).alias("text")) for path, role in fields])
+def _fixed(*fields: tuple[str, str]) -> Callable[..., Column]:
+    def turns(v: Column, raw: Column | None = None) -> Column:
+        def text(path: str) -> Column:
+            own = F.variant_get(v, f"$.{path}", "string")
+            return own if raw is None else _unblanked(own, F.from_json(raw, f"struct<{path}:string>", _WHOLE)[path])
+
+        return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(text(path), F.lit("")).alias("text")) for path, role in fields])
 
     return turns
 
@@ -75,15 +113,16 @@ def canonical_turns(records: DataFrame, raw_col: str = "raw", layouts: tuple[Lay
     """Adds layout (string), fingerprint (long) and turns (array of role, text) to records of JSON text.
 
     A record whose fingerprint no layout has, or that is no JSON, gets a null
-    layout and null turns; it is kept. Columns of these names are replaced.
+    layout and null turns; it is kept. Columns of these names are replaced. A
+    long record of a known layout that cannot be read whole stops the job.
     """
-    v, shape = F.try_parse_json(F.col(raw_col)), F.col("__shape")
-    out = records.withColumn("__v", v).withColumn("__shape", shape_of(F.col("__v")))
+    shape, long = F.col("__shape"), F.octet_length(F.col(raw_col)) > LONG
+    out = records.withColumn("__v", _variant(F.col(raw_col))).withColumn("__shape", shape_of(F.col("__v")))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in layouts:
         hit = F.xxhash64(shape).isin([F.xxhash64(F.lit(s)) for s in layout.shapes])
         name = F.when(hit, layout.name).otherwise(name)
-        turns = F.when(hit, layout.turns(F.col("__v"))).otherwise(turns)
+        turns = F.when(hit & long, layout.turns(F.col("__v"), F.col(raw_col))).when(hit, layout.turns(F.col("__v"))).otherwise(turns)
     return out.withColumn("fingerprint", F.when(shape.isNotNull(), F.xxhash64(shape))).withColumn("layout", name).withColumn("turns", turns).drop("__v", "__shape")
 
 
@@ -112,11 +151,16 @@ def format_turns(turns: Column, learned: tuple[str, ...] = ("assistant",)) -> tu
     return formatted, mask
 
 
+def _turn_texts(formatted: Column) -> Column:
+    """The formatted turns, each without its END."""
+    split = F.split(formatted, END, -1)
+    return F.slice(split, 1, F.size(split) - 1)
+
+
 def read_turns(formatted: Column) -> Column:
     """The turns of a formatted text."""
-    parts = F.filter(F.split(formatted, END, -1), lambda x, i: i < F.size(F.split(formatted, END, -1)) - 1)
     return F.transform(
-        parts,
+        _turn_texts(formatted),
         lambda p: F.struct(
             _role_in(F.regexp_extract(p, r"(?s)^<turn ([^>]*)>\n", 1)).alias("role"),
             _unescaped(F.regexp_replace(p, r"(?s)\A<turn [^>]*>\n", "")).alias("text"),
@@ -125,15 +169,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, mask: Column) -> Column:
-    """All text under the loss mask, unescaped run by run."""
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
-    walked = F.aggregate(
-        mask,
-        start,
-        lambda a, m: F.struct((a.at + m.chars).alias("at"), F.when(m.loss, F.concat(a.texts, F.array(_unescaped(F.substring(formatted, a.at, m.chars))))).otherwise(a.texts).alias("texts")),
-        lambda a: a.texts,
-    )
-    return F.array_join(walked, "")
+    """All text under a loss mask of `format_turns`, unescaped run by run. Each turn's runs are counted within the turn, so work grows with the text alone."""
+    every_third = lambda k: F.filter(mask, lambda m, i: i % 3 == k)
+    runs = F.zip_with(every_third(0), every_third(1), lambda h, t: F.struct((h.chars + 1).alias("at"), t.chars.alias("chars"), t.loss.alias("loss")))
+    return F.array_join(F.zip_with(_turn_texts(formatted), runs, lambda p, r: F.when(r.loss, _unescaped(F.substring(p, r["at"], r.chars))).otherwise("")), "")
 
 
 def format_chats(records: DataFrame, id_col: str = "conv_id", raw_col: str = "raw", learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
