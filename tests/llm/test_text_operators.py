@@ -271,6 +271,39 @@ def test_decontamination_equals_brute_force(spark):
     assert contaminated(table(spark, docs), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("n_words", [300, 480, 1000])
+def test_decontamination_of_long_items_beside_short_ones(n_words):
+    from tripforge.llm.decontaminate import ItemIndex
+
+    rng = random.Random(n_words)
+    vocabulary = [a + b for a in WORDS for b in WORDS[:20]]
+    written = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [written(rng.randint(20, 40)) for _ in range(220)] + [written(n_words) for _ in range(4)]
+    texts = []
+    for k in range(24):
+        passage = list(items[220 + k % 4])
+        for _ in range(n_words // 5):
+            kind, at = rng.randrange(3), rng.randrange(len(passage))
+            passage[at : at + (kind < 2)] = [] if kind == 1 else ["edited"]
+        texts.append(" ".join(written(50) + passage + written(50)))
+    index = ItemIndex(list(range(224)), [" ".join(x) for x in items], 0.2)
+    got = index.matches(texts)
+    assert [(d, i) for d, i, *_ in got] == [(k, 220 + k % 4) for k in range(24)]
+    assert all(n == n_words and 0 < edits <= n_words // 5 for _, _, n, edits, _ in got)
+    assert index.matches([" ".join(written(3 * n_words)), "", None]) == []
+
+
+def test_decontamination_with_and_without_walks(monkeypatch):
+    from tripforge.llm import decontaminate
+
+    rng = random.Random(8)
+    items = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(2, 90))) for _ in range(25)]
+    texts = [" ".join([*(rng.choice(WORDS) for _ in range(rng.randint(0, 40))), *x.split()[: rng.randint(1, 90)], "end", *x.split()]) for x in items]
+    walked = decontaminate.ItemIndex(list(range(25)), items, 0.2).matches(texts)
+    monkeypatch.setattr(decontaminate, "LONG_ITEM", 0)
+    assert [x[:4] for x in decontaminate.ItemIndex(list(range(25)), items, 0.2).matches(texts)] == [x[:4] for x in walked]
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     from tripforge.llm import decontaminate
 

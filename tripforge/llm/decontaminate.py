@@ -9,8 +9,9 @@
    emits the word under its pointer, which then moves on by a random bit of
    (j, word). Edits cost few Hamming differences of the walks' outputs. Each of
    `walks` repetitions compares sampled positions; one agreement makes the
-   window a candidate. `plan_walks` derives the repetitions from the agreement
-   that edited copies of the items themselves show.
+   window a candidate. `plan_walks` derives the repetitions, for items of about
+   the same length, from the agreement that edited copies of all of them show.
+   Of lengths that would need more than MAX_WALKS, every window is a candidate.
 4. Candidates are verified by exact edit distance of the whole item against the
    window with its surroundings, both ends free.
 """
@@ -31,6 +32,10 @@ from tripforge.work import bounded_batches
 
 #: Sampled positions per repetition, and the probability to reach that a passage at the largest distance becomes a candidate.
 SAMPLES, RECALL = 2, 0.995
+#: Repetitions beyond which, and words of an item from which, walks cost more than they save; all such windows are verified.
+MAX_WALKS, LONG_ITEM = 96, 512
+#: Edited copies at least that the repetitions of a length are planned on.
+PLANNED_ON = 64
 #: Bytes of benchmark text that are broadcast at a time; larger benchmarks go in blocks.
 BLOCK_BYTES = 8_000_000
 #: Words of an intact run that is looked for, at most.
@@ -129,12 +134,21 @@ def _matrix(items: list[np.ndarray], width: int) -> np.ndarray:
     return out
 
 
-def plan_walks(items: list[np.ndarray], max_share: float, recall: float = RECALL, seed: int = 3) -> int:
-    """Repetitions at which copies of the items with the most edits allowed reach `recall`, from how often one repetition agrees."""
+def length_class(n: int) -> int:
+    """Items of one class differ in length by less than a factor of about 1.4."""
+    return int(2 * math.log2(n))
+
+
+def plan_walks(items: list[np.ndarray], max_share: float, recall: float = RECALL, seed: int = 3) -> int | None:
+    """Repetitions at which copies of the items with the most edits allowed reach `recall`, from how often one repetition agrees; None where MAX_WALKS do not."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    chosen = [x for x in items if allowed_edits(len(x), max_share)][:200]
+    chosen = [x for x in items if allowed_edits(len(x), max_share)]
     if not chosen:
         return 1
+    width = max(map(len, chosen))
+    if width >= LONG_ITEM:
+        return None
+    chosen = chosen * math.ceil(PLANNED_ON / len(chosen))
     edited = []
     for x in chosen:
         y = x.tolist()
@@ -147,15 +161,24 @@ def plan_walks(items: list[np.ndarray], max_share: float, recall: float = RECALL
             else:
                 y.insert(at, int(rng.integers(1, 2**63)))
         edited.append(np.array((y + [0] * len(x))[: len(x)], np.uint64))
-    width = max(map(len, chosen))
     n = np.array([len(x) for x in chosen])
     walks = Walks.drawn(48, 2 * width, seed + 1)
     agree = (walks.keys(_matrix(chosen, width), n) == walks.keys(_matrix(edited, width), n)).mean(1)
     # an item misses all r repetitions with probability (1 - its own rate) to the r
-    for r in range(1, 97):
+    for r in range(1, MAX_WALKS + 1):
         if 1 - ((1 - agree) ** r).mean() >= recall:
             return r
-    return 96
+    return None
+
+
+@dataclass
+class WalkedItems:
+    """The items of a length class with their walks' keys; `at` gives an item's row."""
+
+    width: int
+    walks: Walks
+    keys: np.ndarray
+    at: np.ndarray
 
 
 class ItemIndex:
@@ -170,9 +193,19 @@ class ItemIndex:
                 self.items.append(h[a:b])
                 self.edits.append(allowed_edits(int(b - a), max_share))
         self.n = np.array([len(x) for x in self.items], np.int64)
-        self.width = int(self.n.max(initial=1))
-        self.walks = Walks.drawn(plan_walks(self.items, max_share), 2 * self.width)
-        self.keys = self.walks.keys(_matrix(self.items, self.width), self.n)
+        self.length_class = np.array([length_class(len(x)) for x in self.items], np.int64)
+        #: of each class, its walks; None where every window is verified
+        self.walked: dict[int, WalkedItems | None] = {}
+        for c in np.unique(self.length_class).tolist():
+            own = np.flatnonzero(self.length_class == c)
+            items = [self.items[i] for i in own]
+            repetitions, width = plan_walks(items, max_share), max(map(len, items))
+            if repetitions is None:
+                self.walked[c] = None
+                continue
+            walks, at = Walks.drawn(repetitions, 2 * width), np.zeros(len(self.items), np.int64)
+            at[own] = np.arange(len(own))
+            self.walked[c] = WalkedItems(width, walks, walks.keys(_matrix(items, width), self.n[own]), at)
         self.by_length: dict[int, tuple] = {}
         for q in {run_length(len(x), e) for x, e in zip(self.items, self.edits)}:
             runs, item, offset = [], [], []
@@ -209,25 +242,52 @@ class ItemIndex:
         doc, item, start = np.unique(np.concatenate(found, axis=1), axis=1)
         return doc, item, start
 
-    def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-        """(text's number, item's number, words, edits, first word) of each text and item within the distance, at its best place."""
-        h, of = word_hashes(texts)
-        doc, item, start = self.windows(h, of)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for k in range(0, len(doc), 20_000):
-            d, i, s = doc[k : k + 20_000], item[k : k + 20_000], start[k : k + 20_000]
-            columns = np.arange(self.width)[None, :]
+    def candidates(self, c: int, doc: np.ndarray, item: np.ndarray, start: np.ndarray, h: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first word, end) of the parts to verify, from the windows of a length class, in order of document, item, start."""
+        own = self.walked[c]
+        if own is None:
+            yield from self.merged(doc, item, start, h, of)
+            return
+        step = max(1, min(20_000, 1_200_000 // own.width))
+        columns = np.arange(own.width)[None, :]
+        for k in range(0, len(doc), step):
+            d, i, s = doc[k : k + step], item[k : k + step], start[k : k + step]
             place = s[:, None] + columns
             inside = (place >= of[d][:, None]) & (place < of[d + 1][:, None]) & (columns < self.n[i][:, None])
             rows = np.where(inside, h[np.clip(place, 0, len(h) - 1)], np.uint64(0))
-            hit = (self.walks.keys(rows, self.n[i]) == self.keys[i]).any(1)
+            hit = (own.walks.keys(rows, self.n[i]) == own.keys[own.at[i]]).any(1)
             for d1, i1, s1 in zip(d[hit].tolist(), i[hit].tolist(), s[hit].tolist()):
                 e, n = self.edits[i1], int(self.n[i1])
-                low, high = max(of[d1], s1 - e), min(of[d1 + 1], s1 + n + e)
-                edits, end = edit_distance(self.items[i1], h[low:high])
-                if edits <= e:
-                    got = edits, int(low + end - n - of[d1])
-                    best[d1, i1] = min(best.get((d1, i1), got), got)
+                yield d1, i1, max(int(of[d1]), s1 - e), min(int(of[d1 + 1]), s1 + n + e)
+
+    def merged(self, doc: np.ndarray, item: np.ndarray, start: np.ndarray, h: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """As `candidates`, without walks: all windows with enough words of the item for a passage within the distance; overlapping ones are one part."""
+        cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)]):
+            if a == b:
+                continue
+            d, i = int(doc[a]), int(item[a])
+            e, n = self.edits[i], int(self.n[i])
+            low, high = np.maximum(start[a:b] - e, of[d]), np.minimum(start[a:b] + n + e, of[d + 1])
+            shared = np.concatenate([[0], np.cumsum(np.isin(h[of[d] : of[d + 1]], self.items[i]))])
+            enough = shared[high - of[d]] - shared[low - of[d]] >= n - e
+            low, high = low[enough], high[enough]
+            if len(low):
+                new = np.flatnonzero(low[1:] > high[:-1]) + 1
+                yield from ((d, i, int(x), int(y)) for x, y in zip(low[np.append(0, new)], high[np.append(new - 1, len(high) - 1)]))
+
+    def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
+        """(text's number, item's number, words, edits, first word) of each text and item within the distance, at its best place."""
+        h, of = word_hashes(texts)
+        doc, item, start = self.windows(h, of)
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for c in self.walked:
+            own = self.length_class[item] == c
+            for d, i, low, high in self.candidates(c, doc[own], item[own], start[own], h, of):
+                edits, end = edit_distance(self.items[i], h[low:high])
+                if edits <= self.edits[i]:
+                    got = edits, int(low + end - self.n[i] - of[d])
+                    best[d, i] = min(best.get((d, i), got), got)
         return [(d, i, int(self.n[i]), e, max(0, s)) for (d, i), (e, s) in sorted(best.items())]
 
 
