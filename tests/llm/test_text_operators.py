@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -304,6 +305,68 @@ def test_decontamination_with_and_without_walks(monkeypatch):
     assert [x[:4] for x in decontaminate.ItemIndex(list(range(25)), items, 0.2).matches(texts)] == [x[:4] for x in walked]
 
 
+def test_decontamination_of_phrases_that_all_items_share():
+    from tripforge.llm.decontaminate import ItemIndex
+
+    rng = random.Random(12)
+    vocabulary = [a + b for a in WORDS for b in WORDS[:20]]
+    items = ["which of the following " + " ".join(rng.choice(vocabulary) for _ in range(rng.randint(4, 30))) for _ in range(800)]
+    index = ItemIndex(list(range(800)), items, 0.2)
+    began = time.perf_counter()
+    hot = "which of the following is " * 800
+    assert index.matches([hot, hot + items[3], " ".join(x for x in items[5].split() if x != "following")]) == [(1, 3, len(items[3].split()), 0, 4000), (2, 5, len(items[5].split()), 1, 0)]
+    assert time.perf_counter() - began < 10
+
+
+def test_decontamination_of_items_that_differ_in_one_word():
+    """Templates: a passage of one is near all others, and each says so; as often as a text repeats it."""
+    from tripforge.llm.decontaminate import ItemIndex
+
+    items = [f"what is the capital of the country {x}" for x in WORDS[:40]]
+    index = ItemIndex(list(range(40)), items, 0.2)
+    got = index.matches([f"{items[7]} and " * 200, "", None])
+    assert [(d, i, e) for d, i, _, e, _ in got] == [(0, i, int(i != 7)) for i in range(40)]
+
+
+def test_decontamination_of_very_long_items_and_texts(spark):
+    rng = random.Random(13)
+    vocabulary = [a + b for a in WORDS for b in WORDS]
+    book = [rng.choice(vocabulary) for _ in range(8_000)]
+    items = [(1, " ".join(book)), (2, "word word word word"), (3, " ".join(rng.choice(vocabulary) for _ in range(20)))]
+    cut = [w for k, w in enumerate(book) if k % 6]
+    docs = [(1, " ".join(book[5000:] + cut + book[:4000])), (2, " ".join(book[:6000])), *odd_rows()]
+    got = {(r.doc_id, r.item_id): r.edits for r in contaminated(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 1): len(book) - len(cut), (9008, 2): 0}
+    from tripforge.llm.decontaminate import keep_uncontaminated
+
+    kept = keep_uncontaminated(table(spark, [*docs, (None, "word word word word")]), spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == table(spark, []).columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {1, 9008} and kept.where("doc_id is null").count() == 1
+
+
+def test_pieces_are_disjoint_and_enough():
+    from tripforge.llm.decontaminate import choose_pieces, word_hashes
+
+    rng = random.Random(14)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 60))) for _ in range(80)]
+    h, of = word_hashes(texts)
+    items = [h[a:b] for a, b in itertools.pairwise(of)]
+    edits = [allowed_edits(len(x), 0.2) for x in items]
+    item, first, words = choose_pieces(items, edits)
+    for i, x in enumerate(items):
+        own = sorted((a, q) for a, q in zip(first[item == i].tolist(), words[item == i].tolist()))
+        assert len(own) == edits[i] + 1 and own[0][0] >= 0 and own[-1][0] + own[-1][1] <= len(x)
+        assert all(a + q <= b for (a, q), (b, _) in itertools.pairwise(own))
+
+
+def test_decontamination_query_equals_brute_force(spark, sf):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    short = [(i, t) for i, t in docs if len(t or "") < 2000]
+    got = {(r.doc_id, r.item_id): r.edits for r in queries.op4_decontamination(spark, sf).collect()}
+    assert {k: v for k, v in got.items() if k[0] in dict(short)} == brute_matches(short, items)
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     from tripforge.llm import decontaminate
 
