@@ -103,6 +103,31 @@ def test_near_duplicates_repeated_rows_and_empty_table(spark):
     assert near_duplicates(table(spark, []), ngram=3, num=85).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """Every text of an id keeps its own links; the id's texts are one component; blank ones and null ids tie nothing."""
+    rng = random.Random(21)
+    a, b, c, d = ([rng.choice(WORDS) for _ in range(60)] for _ in range(4))
+    near = lambda x: " ".join([*x[:-1], "changed"])
+    rows = [(10, " ".join(a)), (10, " ".join(b)), (11, near(a)), (12, near(b)), (13, " ".join(c)), (13, " "), (14, None), (14, near(c)), (5, " ".join(d)), (None, near(d)), (6, near(d)), (None, None), (20, "")]
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(table(spark, rows)).collect()), key=str)
+    whole = {10: 10, 11: 10, 12: 10, 13: 13, 14: 13, 5: 5, 6: 5, None: None, 20: 20}
+    # the blank rows of 13 and 14 link with nothing, but are of their id
+    expected = [(i, i if t is None or not t.strip() else whole[i]) for i, t in rows]
+    assert [(i, c) for i, c, _ in got] == sorted(expected, key=str)
+    assert all(k == (c is None or c == i) for i, c, k in got)
+
+
+def test_near_duplicates_in_blocks_and_copies_of_hubs(spark, monkeypatch):
+    from tripforge.llm import near_dup
+
+    rows = sample(seed=5, groups=12)
+    whole = {(r.doc_id, r.component_id) for r in near_duplicates(table(spark, rows), ngram=3, num=85).collect()}
+    monkeypatch.setattr(near_dup, "BLOCK", 2)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(near_dup, "PAIRS_PER_COPY", 1)
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(table(spark, rows), ngram=3, num=85).collect()} == whole
+
+
 def test_bands_and_bounds():
     for t, rows in ((0.85, 6), (0.8, 5)):
         assert (1 - t**rows) ** band_count(t, rows) <= 1e-7

@@ -33,8 +33,10 @@ from tripforge.work import bounded_batches, saved
 
 #: Values of a signature that verification compares at a time, and all it has.
 BATCH, DEPTH = 64, 256
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 256
+#: Members of a bucket, and bytes of their shingle sets, that one task compares with as many others.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
+#: Pairs of a document that meet one copy of its text in a task; a document with more pairs gets more copies.
+PAIRS_PER_COPY = 256
 #: Members by which sets cut to 32-bit hashes may differ from whole ones.
 SLACK = 2
 #: Rows of a band; the number of bands follows from the threshold.
@@ -119,8 +121,8 @@ def _spread_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _fold_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Band keys cut to their low 32 bits."""
     for batch in batches:
-        short = [np.frombuffer(k, np.uint64).astype(np.uint32).tobytes() for k in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(short, pa.binary())], ["doc_id", "n", "sig", "bands"])
+        short = [np.frombuffer(k, np.uint64).astype(np.uint32).tobytes() for k in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short, pa.binary())], ["doc_id", "sig", "bands"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -261,12 +263,16 @@ def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _exact_links(pairs: DataFrame, texts: DataFrame, num: int, den: int, ngram: int) -> DataFrame:
-    """Pairs (a, b) held against both whole texts. Sides are joined one at a time; a hot hub's partition can be split."""
+    """Pairs (a, b) held against both whole texts. Sides are joined one at a time; of b, which may be a hub of many pairs, there is a copy per PAIRS_PER_COPY pairs."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     needed = saved(_texts_of(ends, texts), "texts")
-    one = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return two.select("a", "b", "text_a", "text_b").mapInArrow(_exact_filter(num, den, ngram), "a long, b long")
+    copies = saved(pairs.groupBy("b").agg(F.expr(f"cast(ceil(count(*) / {PAIRS_PER_COPY}) as int)").alias("copies")).where("copies > 1"), "copies")
+    many = F.broadcast(copies) if copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else copies
+    one = pairs.join(many, "b", "left").join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    one = one.withColumn("copy", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+    hubs = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).join(many, "b", "left")
+    hubs = hubs.select("b", "text_b", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
+    return one.join(hubs, ["b", "copy"]).select("a", "b", "text_a", "text_b").mapInArrow(_exact_filter(num, den, ngram), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -278,18 +284,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links reach, kept says whether it is the row's own.
 
     Null, empty or blank texts have empty sets, link with nothing and stay. A
-    row with a null id is kept with a null component. Rows that repeat an id
-    belong to one component, and each input row comes back; where their texts
-    differ, the least of them is the one that links are verified on. Other columns, whatever their names, are ignored. An
-    empty table gives an empty table.
+    row with a null id is kept with a null component and links nothing. Rows
+    that repeat an id with texts of different sets are compared each by itself
+    and belong to one component, blank ones aside; each input row comes back.
+    Other columns, whatever their names, are ignored. An empty table gives an
+    empty table.
     """
     bounded_batches(docs.sparkSession)
     threshold = num / den
     rows = ROWS if threshold >= 0.82 else ROWS - 1
-    bands, least = band_count(threshold, rows), least_matches(threshold)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = saved(base.mapInArrow(_signer(ngram, bands, rows), "doc_id long, n_shingles long, low long, high long, keys binary, sig binary"), "signed")
-
+    signed = saved(base.mapInArrow(_signer(ngram, band_count(threshold, rows), rows), "doc_id long, n_shingles long, low long, high long, keys binary, sig binary"), "signed")
+    own = F.struct(F.coalesce("low", F.lit(0)), F.coalesce("high", F.lit(0)))
+    several = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("x"), F.max(own).alias("y")).where("x <> y").limit(1).count()
+    return _by_row(base, signed, ngram, num, den) if several else _components(base, signed, rows, ngram, num, den)
+
+
+def _by_row(base: DataFrame, signed: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
+    """`near_duplicates` where ids carry several texts: rows are numbered and compared, and those of an id tied together after that."""
+    numbered = saved(base.where("doc_id is not null").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+    found = near_duplicates(numbered, "row", "text", ngram, num, den).toDF("of", "n_shingles", "comp", "kept")
+    both = saved(numbered.select("row", "doc_id").join(found, F.col("row") == F.col("of")).select("doc_id", "n_shingles", "comp"), "found")
+    worded = both.where("n_shingles > 0")
+    least = worded.groupBy("doc_id").agg(F.min("comp").alias("to")).select(F.col("doc_id").alias("id"), "to")
+    ties = worded.join(least, worded.doc_id == least.id).where("comp <> to").select(F.col("comp").alias("a"), F.col("to").alias("b")).distinct()
+    tied = worded.join(connected_components(ties), F.col("comp") == F.col("node"), "left").select("doc_id", "comp", F.coalesce("label", "comp").alias("whole"))
+    names = tied.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    known = tied.select("comp", "whole").distinct().join(names, "whole").select(F.col("comp").alias("c"), "component_id")
+    out = both.join(known, F.col("comp") == F.col("c"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    unnamed = signed.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return out.unionByName(unnamed).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+
+
+def _components(base: DataFrame, signed: DataFrame, rows: int, ngram: int, num: int, den: int) -> DataFrame:
+    """`near_duplicates` where an id has one set."""
+    least = least_matches(num / den)
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     least_row = F.min(F.struct("doc_id", "n_shingles", "keys", "sig"))
     reps = saved(usable.groupBy("low", "high").agg(least_row.alias("r")).select("low", "high", F.col("r.doc_id").alias("doc_id"), F.col("r.n_shingles").alias("n"), F.col("r.keys").alias("keys"), F.col("r.sig").alias("sig")), "reps")
@@ -299,41 +328,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = saved(spread.join(hubs, spread.bucket == hubs.of).select("bucket", "doc_id", "hub"), "members")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
-    # an id that several texts carry may stand for several classes
-    slim = reps.groupBy("doc_id").agg(F.min(F.struct("n", "sig", "keys")).alias("r")).select("doc_id", "r.n", "r.sig", "r.keys")
-    sides = slim.drop("keys")
+    sides = reps.select("doc_id", "n", "sig")
     withsig = pairs.join(sides.toDF("a", "n_a", "sig_a"), "a").join(sides.toDF("b", "n_b", "sig_b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
     likely = saved(withsig.mapInArrow(_bayes_filter(num, den, least), "a long, b long"), "likely")
     links = saved(_exact_links(likely, base, num, den, ngram), "links")
-
-    # rows that repeat an id with other texts tie their classes together
-    first = saved(connected_components(links.unionByName(_tied(usable, classes))), "first")
+    first = saved(connected_components(links), "first")
 
     comp = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("comp"))
     comp = saved(comp, "comp")
-    mixed = comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select(F.col("bucket").alias("of"), F.expr(f"cast(ceil(m / {BLOCK}) as int)").alias("blocks"))
-    folded = slim.mapInArrow(_fold_keys, "doc_id long, n long, sig binary, bands binary")
-    residual = saved(comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp", "blocks"), "residual")
-    members = _texts_of(residual.select(F.col("doc_id").alias("id")).distinct(), base).mapInArrow(_short_sets(ngram), "doc_id long, members binary")
-    left = residual.join(folded.join(members, "doc_id"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    mixed = comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(F.col("bucket").alias("of"))
+    sizes = reps.select("doc_id", "n")
+    residual = saved(comp.join(mixed, comp.bucket == mixed.of).select("bucket", "doc_id", "comp").join(sizes, "doc_id"), "residual")
+    blocks = residual.groupBy(F.col("bucket").alias("of")).agg(F.expr(f"cast(greatest(ceil(count(*) / {BLOCK}), ceil(sum(4 * n) / {BLOCK_BYTES})) as int)").alias("blocks"))
+    folded = reps.select("doc_id", "sig", "keys").mapInArrow(_fold_keys, "doc_id long, sig binary, bands binary")
+    sets = _texts_of(residual.select(F.col("doc_id").alias("id")).distinct(), base).mapInArrow(_short_sets(ngram), "doc_id long, members binary")
+    left = residual.join(blocks, residual.bucket == blocks.of).select("bucket", "doc_id", "comp", "n", "blocks").join(folded.join(sets, "doc_id"), "doc_id")
     tiles = (
-        left.withColumn("own", block)
+        left.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         .select("bucket", "doc_id", "comp", "n", "sig", "bands", "members", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("bucket", "doc_id", "comp", "n", "sig", "bands", "members", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     )
     rest = saved(tiles.groupBy("bucket", "i", "j").applyInArrow(_block_filter(num, den, least), "a long, b long"), "rest")
     more = saved(_exact_links(rest, base, num, den, ngram), "more")
 
-    settled = connected_components(links.unionByName(more).unionByName(_tied(usable, classes)))
+    settled = connected_components(links.unionByName(more))
     by_class = classes.join(settled, classes.rep == settled.node, "left").select("low", "high", F.coalesce("label", "rep").alias("root"))
     out = signed.select("doc_id", "n_shingles", "low", "high").join(by_class, ["low", "high"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
-
-
-def _tied(usable: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between the classes of an id that several different texts carry."""
-    several = usable.groupBy("doc_id").agg(F.min("low").alias("x"), F.max("low").alias("y")).where("x <> y").select("doc_id")
-    rows = usable.join(several, "doc_id", "left_semi").join(classes, ["low", "high"]).select("doc_id", "rep").distinct()
-    return rows.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
