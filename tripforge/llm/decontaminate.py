@@ -78,7 +78,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs(hashes: np.ndarray, q: int) -> np.ndarray:
     out = np.zeros(max(0, len(hashes) - q + 1), np.uint64)
-    for k in range(q):
+    for k in range(q) if len(out) else ():
         out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - q + 1 + k]
     return mix64(out + np.uint64(q))
 
