@@ -39,3 +39,25 @@ def test_stages_take_odd_tables(spark, sf):
         for _, stage in corpus_pipeline.STAGES:
             current = stage(spark, current, sf).cache()
         assert current.count() == (0 if table is docs else 2)
+
+
+def test_rows_with_null_and_repeated_ids_are_judged_like_any_other(spark, sf):
+    """Clashing extra columns, a very long text, repeated rows; nothing clean is lost, nothing else stays."""
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    words = lambda seed, n: " ".join(f"{'abcdefghij'[(seed * k + k * k) % 10]}{'klmnopqrst'[(seed + k * 7) % 10]}ation{seed}" for k in range(n))
+    a, b, c, long = words(1, 40), words(2, 40), words(3, 40), words(4, 120_000)
+    rows = [(7, a, "x"), (7, b, "y"), (None, a, "z"), (None, c, "w"), (None, c, "w"), (8, c + " end", "v"), (None, f"{words(5, 30)} {item}", "u"), (9, long, "t"), (3, long + " end", "s"), (4, "", "r"), (5, None, "q")]
+    table = spark.createDataFrame([(i, t, "xx", "s", 1, e, e) for i, t, e in rows], "doc_id long, text string, lang string, source string, n_chars long, component_id string, `__gone` string")
+    current = table
+    for name, stage in corpus_pipeline.STAGES[2:4]:
+        current = stage(spark, current, sf).cache()
+        assert current.columns == table.columns
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r["component_id"]) for r in current.collect())
+    assert kept == [(False, 3, "s"), (False, 4, "r"), (False, 5, "q"), (False, 7, "x"), (False, 7, "y"), (False, 8, "v")]
+    encoded = corpus_pipeline.STAGES[4][1](spark, current, sf).collect()
+    assert sorted(r.doc_id for r in encoded) == [3, 4, 5, 7, 7, 8]
+    both = spark.createDataFrame([(7, a, "xx", "s", 1, "x", "x"), (None, "1 2 3", "xx", "s", 1, "y", "y")], table.schema)
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        both = stage(spark, both, sf)
+        assert both.columns == table.columns
+    assert [r.doc_id for r in both.collect()] == [7]
