@@ -6,8 +6,12 @@ parsed first; predicates on the record type and other header columns that Spark
 pushes down, or the `recordTypes` option names, are tested then. A rejected
 record's payload is not decoded: files of this writer carry each member's
 compressed length in the gzip extra field `sl`, so the reader seeks past it.
-Members without that field are inflated but not kept. Uncompressed archives are
-seeked through by Content-Length.
+Other gzip files are unpacked in pieces of PIECE bytes, whatever the members that
+they are cut into; of a rejected record no more is held at a time. Uncompressed
+archives are seeked through by Content-Length.
+
+A path that is not there raises, as does a file that ends within a record or
+holds something else; an empty folder or file has no records.
 
 Paths may be local or any URI that pyarrow.fs.FileSystem.from_uri knows.
 """
@@ -33,8 +37,10 @@ SCHEMA = "record_type string, record_id string, target_uri string, warc_date str
 #: Which header each column holds.
 HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "warc_date": "warc-date", "refers_to": "warc-refers-to", "content_type": "content-type", "payload_digest": "warc-payload-digest"}
 MAX_FILE_BYTES = 64 << 20
-#: Bytes that reading first inflates of a record to find its headers.
-HEAD = 2_048
+#: Bytes that reading first inflates of a record to find its headers, and those that headers may take.
+HEAD, MOST_HEAD = 2_048, 1 << 20
+#: Bytes that are unpacked at a time of gzip files that do not name their members' lengths.
+PIECE = 1 << 18
 _MAGIC = b"\x1f\x8b\x08\x04"
 
 
@@ -101,77 +107,127 @@ def _payload(headers: dict[str, str], block: bytes) -> bytes:
 def _wanted(headers: dict[str, str], tests: list[tuple[str, str, tuple]]) -> bool:
     for header, how, values in tests:
         own = headers.get(header)
-        if own is None or (own not in values if how == "in" else not own.startswith(values)):
+        if own is None or (how == "in" and own not in values) or (how == "starts" and not own.startswith(values)):
             return False
     return True
 
 
+def _unpacked(f, at: int) -> Iterator[tuple[int, bytes]]:
+    """(where its gzip member begins, bytes) of a file from `at` on, PIECE bytes at a time."""
+    f.seek(at)
+    raw = f.read(PIECE)
+    while raw:
+        start, unpack = f.tell() - len(raw), zlib.decompressobj(31)
+        while not unpack.eof:
+            data = unpack.decompress(raw, PIECE)
+            raw = unpack.unused_data if unpack.eof else unpack.unconsumed_tail
+            if data:
+                yield start, data
+            elif not unpack.eof and not raw:
+                raw = f.read(PIECE)
+                if not raw:
+                    raise ValueError(f"gzip member cut off at {start}")
+        raw = (raw or f.read(PIECE)).lstrip(b"\x00")
+
+
+def _streamed(f, at: int, tests: list[tuple[str, str, tuple]], with_payload: bool) -> Iterator[tuple[int, dict[str, str], bytes | None]]:
+    """As `records`, of a gzip file from `at` on whose members hold any number of records, or parts of one. An offset is that of the member in which the record begins."""
+    pieces, held, origins = _unpacked(f, at), bytearray(), []
+
+    def more() -> bool:
+        got = next(pieces, None)
+        if got is not None:
+            origins.append((len(held), got[0]))
+            held.extend(got[1])
+        return got is not None
+
+    def drop(n: int) -> None:
+        del held[:n]
+        origins[:] = [(max(0, i - n), o) for k, (i, o) in enumerate(origins) if k + 1 == len(origins) or origins[k + 1][0] > n]
+
+    while True:
+        blank = 0
+        while blank == len(held) or held[blank] in b"\r\n":
+            if blank < len(held):
+                blank += 1
+            elif not more():
+                return
+        drop(blank)
+        origin = origins[0][1]
+        while (end := held.find(b"\r\n\r\n")) < 0:
+            if len(held) > MOST_HEAD or not more():
+                raise ValueError(f"record without end of headers at {origin}")
+        head = parse_head(bytes(held[: end + 4]))
+        headers, start = head
+        drop(start)
+        left, block = int(headers.get("content-length", 0)), bytearray()
+        wanted = _wanted(headers, tests)
+        while left:
+            if not held and not more():
+                raise ValueError(f"record cut off at {origin}")
+            n = min(left, len(held))
+            if wanted and with_payload:
+                block += held[:n]
+            drop(n)
+            left -= n
+        if wanted:
+            yield origin, headers, _payload(headers, bytes(block)) if with_payload else None
+
+
 def records(f, tests: list[tuple[str, str, tuple]], with_payload: bool) -> Iterator[tuple[int, dict[str, str], bytes | None]]:
     """(offset, headers, payload or None) of a file's records that pass the header tests."""
     size, at = f.size(), 0
     while at < size:
         f.seek(at)
         lead = f.read(24)
+        if blank := len(lead) - len(lead.lstrip(b"\r\n")):
+            at += blank
+            continue
         if lead[:2] == b"\x1f\x8b":
-            known = lead[:4] == _MAGIC and lead[12:14] == b"sl"
-            if known:
-                extra, (packed,) = struct.unpack("<H", lead[10:12])[0], struct.unpack("<I", lead[16:20])
-                begin = at + 12 + extra
-                nxt = begin + packed + 8
-                unpack = zlib.decompressobj(-15)
-                f.seek(begin)
-                raw = f.read(min(packed, HEAD))
-                data = unpack.decompress(raw)
-                while (head := parse_head(data)) is None and len(raw) < packed:
-                    more = f.read(min(packed - len(raw), 16 * HEAD))
-                    raw += more
-                    data += unpack.decompress(more)
-                if head is None:
-                    raise ValueError(f"record without end of headers at {at}")
-                headers, start = head
-                if _wanted(headers, tests):
-                    if with_payload:
-                        data += unpack.decompress(f.read(packed - len(raw))) + unpack.flush()
-                        length = int(headers.get("content-length", 0))
-                        yield at, headers, _payload(headers, data[start : start + length])
-                    else:
-                        yield at, headers, None
-                at = nxt
-                continue
-            unpack, data, used = zlib.decompressobj(31), b"", 0
-            f.seek(at)
-            while not unpack.eof:
-                raw = f.read(1 << 16)
-                if not raw:
-                    raise ValueError(f"gzip member cut off at {at}")
+            if lead[:4] != _MAGIC or lead[12:14] != b"sl":
+                yield from _streamed(f, at, tests, with_payload)
+                return
+            extra, (packed,) = struct.unpack("<H", lead[10:12])[0], struct.unpack("<I", lead[16:20])
+            begin = at + 12 + extra
+            nxt = begin + packed + 8
+            unpack = zlib.decompressobj(-15)
+            f.seek(begin)
+            raw = f.read(min(packed, HEAD))
+            data, got = unpack.decompress(raw), len(raw)
+            while (head := parse_head(data)) is None and got < packed:
+                raw = f.read(min(packed - got, 16 * HEAD))
+                got += len(raw)
                 data += unpack.decompress(raw)
-                used += len(raw)
-            nxt = at + used - len(unpack.unused_data)
-            head = parse_head(data)
             if head is None:
                 raise ValueError(f"record without end of headers at {at}")
             headers, start = head
-            length = int(headers.get("content-length", 0))
             if _wanted(headers, tests):
-                yield at, headers, _payload(headers, data[start : start + length]) if with_payload else None
+                if with_payload:
+                    data += unpack.decompress(f.read(packed - got)) + unpack.flush()
+                    length = int(headers.get("content-length", 0))
+                    yield at, headers, _payload(headers, data[start : start + length])
+                else:
+                    yield at, headers, None
             at = nxt
             continue
         f.seek(at)
         data = f.read(HEAD)
         while (head := parse_head(data)) is None:
             more = f.read(16 * HEAD)
-            if not more:
+            if not more or len(data) > MOST_HEAD:
                 raise ValueError(f"record without end of headers at {at}")
             data += more
         headers, start = head
         length = int(headers.get("content-length", 0))
+        if at + start + length > size:
+            raise ValueError(f"record cut off at {at}")
         if _wanted(headers, tests):
             block = None
             if with_payload:
                 f.seek(at + start)
                 block = _payload(headers, f.read(length))
             yield at, headers, block
-        at += start + length + 4
+        at += start + length
 
 
 @dataclass
@@ -197,8 +253,8 @@ class WarcReader(DataSourceReader):
                 self.tests.append((header, "in", tuple(f.value)))
             elif header and isinstance(f, StringStartsWith):
                 self.tests.append((header, "starts", (f.value,)))
-            elif column in ("record_type", "record_id") and isinstance(f, IsNotNull):
-                continue
+            elif header and isinstance(f, IsNotNull):
+                self.tests.append((header, "there", ()))
             else:
                 yield f
 
@@ -208,7 +264,9 @@ class WarcReader(DataSourceReader):
         prefix = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else ""
         if info.type == fs.FileType.File:
             return [File(self.path)]
-        found = where.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"no WARC archives at {self.path}")
+        found = where.get_file_info(fs.FileSelector(path, recursive=True))
         return [File(prefix + x.path) for x in sorted(found, key=lambda x: x.path) if x.type == fs.FileType.File and not x.base_name.startswith((".", "_")) and x.base_name.endswith((".warc", ".warc.gz"))] or [File("")]
 
     def read(self, partition):
@@ -271,6 +329,7 @@ class WarcWriter(DataSourceWriter):
 
     def commit(self, messages) -> None:
         where, path = _at(self.path)
+        where.create_dir(path, recursive=True)
         new = {n for m in messages if m is not None for n in m.names}
         if self.overwrite:
             for x in where.get_file_info(fs.FileSelector(path, allow_not_found=True)):
