@@ -1,9 +1,10 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
-A record in any registered layout is parsed as a variant; the hash of its nested
-field paths (objects' keys and arrays, without scalar types) selects the
-declarative mapping that gives canonical turns. Turns are written with a
-template whose control strings cannot occur inside a text, and can be read back.
+A record in any registered layout is parsed as a variant. Its nested field paths
+are hashed; the first layout all of whose own paths are among them gives the
+declarative mapping to canonical turns, whatever other fields a record has.
+Turns are written with a template whose control strings cannot occur inside a
+text, and can be read back.
 
 Template of a turn: `<turn ROLE>`, a line feed, the text, `</turn>`, a line
 feed. In texts, `<` followed by any number of backslashes and `turn ` or `/turn>`
@@ -11,7 +12,7 @@ gets one more backslash; reading back takes one off, so every text comes back
 as it was. A role of other characters than letters, digits, `_` and `-` is
 written as `x:` and its hexadecimal UTF-8.
 
-Spark's variants hold no string over 20,000,000 characters and no record over
+Records may be as large as Spark rows. Spark's variants hold no string over 20,000,000 characters and no record over
 128 MiB. Of a record over LONG bytes the variant is built from a copy whose string
 values are blanked, and the texts are read from the record's own JSON.
 """
@@ -29,25 +30,52 @@ END = "</turn>\n"
 #: Bytes of a record from which its texts are read outside the variant, and of a blanked copy from which a variant may not hold it.
 LONG, MOST_BLANKED = 10_000_000, 40_000_000
 _WHOLE = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}
-_SCALARS = r": (?:STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|DATE|BINARY|TIMESTAMP_NTZ|TIMESTAMP|DECIMAL\(\d+,\d+\))"
+#: What a variant's schema is made of: types with their opening, closings, names.
+_TOKENS = r"OBJECT<|ARRAY<|VOID|VARIANT|>|`(?:[^`]|``)*`|[A-Za-z_0-9]+(?=: )"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Field-path shapes, as `shape_of` writes them, and how such a record's turns are read.
+    """The field paths that a record of this layout has among its own, and how its turns are read.
 
-    `turns` takes the variant; of a long record, its copy with blanked texts and the JSON text that they are read from.
+    In paths, `a.b` is a field of a field and `[]` an array's element; `[none]`
+    stands for an array without elements, `{}` for an object or a mix of types.
+    Odd names are in backticks. A layout's paths must be texts or other scalars. `turns` takes the variant; of a long
+    record, its copy with blanked texts and the JSON text that they are read from.
     """
 
     name: str
-    shapes: tuple[str, ...]
+    paths: tuple[str, ...]
     turns: Callable[..., Column]
 
 
-def shape_of(record: Column) -> Column:
-    """Nested field paths of a variant, in order of their names, without scalar types."""
-    bare = F.regexp_replace(F.schema_of_variant(record), _SCALARS, "")
-    return F.regexp_replace(bare, r"ARRAY<(?:VOID|STRING|BIGINT|DOUBLE|BOOLEAN)>", "ARRAY<>")
+def field_paths(record: Column) -> Column:
+    """Nested field paths of a variant, in order of their names; null for null.
+
+    One fold over the tokens of the variant's schema: an opening type adds a
+    level that later names are put under, a closing one takes it away.
+    """
+    schema = F.schema_of_variant(record)
+    start = F.struct(F.array().cast("array<string>").alias("above"), F.lit("").alias("at"), F.array().cast("array<string>").alias("paths"))
+
+    def step(state: Column, token: Column) -> Column:
+        above, at, paths = state["above"], state["at"], state["paths"]
+        under = F.when(F.size(above) > 0, F.get(above, F.size(above) - 1)).otherwise("")
+        element, branch = F.concat(at, F.lit("[]")), F.array(F.concat(at, F.lit("{}")))
+        name = F.concat(under, F.when(under != "", ".").otherwise(""), token)
+        grown = lambda level, here, more: F.struct(F.concat(above, F.array(level)).alias("above"), here.alias("at"), more.alias("paths"))
+        return (
+            F.when(token == "OBJECT<", grown(at, at, F.when(at != "", F.concat(paths, branch)).otherwise(paths)))
+            .when(token == "VARIANT", F.struct(above.alias("above"), at.alias("at"), F.concat(paths, branch).alias("paths")))
+            .when(token == "ARRAY<", grown(under, element, F.concat(paths, F.array(element))))
+            .when(token == ">", F.struct(F.slice(above, 1, F.greatest(F.size(above) - 1, F.lit(0))).alias("above"), at.alias("at"), paths.alias("paths")))
+            .when((token == "VOID") & at.endswith("[]"), F.struct(above.alias("above"), at.alias("at"), F.concat(paths, F.array(F.regexp_replace(at, r"\[\]$", "[none]"))).alias("paths")))
+            .when(token == "VOID", state)
+            .otherwise(F.struct(above.alias("above"), name.alias("at"), F.concat(paths, F.array(name)).alias("paths")))
+        )
+
+    tokens = F.regexp_extract_all(schema, F.lit(_TOKENS), F.lit(0))
+    return F.when(schema.isNotNull(), F.aggregate(tokens, start, step, lambda x: F.array_sort(x["paths"])))
 
 
 def _blanked(raw: Column) -> Column:
@@ -69,61 +97,108 @@ def _unblanked(blank: Column, whole: Column) -> Column:
     return F.when(blank == "", whole).otherwise(blank)
 
 
+#: Names that roles go by, in lower case, and the canonical ones.
+ROLES = {"human": "user", "gpt": "assistant", "chatgpt": "assistant", "bard": "assistant", "bing": "assistant", "bot": "assistant", "model": "assistant"}
+
+
+def _turn(role: Column, text: Column) -> Column:
+    return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
+
 def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[..., Column]:
-    kind = f"array<struct<{role}:string,{text}:string>>"
+    """Turns from an array of objects; a text field by itself, or, as `field[].part`, the parts of one joined."""
+    field, _, part = text.partition("[].")
+    kind = f"array<struct<{role}:string,{field}:{f'array<struct<{part}:string>>' if part else 'string'}>>"
 
     def turns(v: Column, raw: Column | None = None) -> Column:
-        rows = F.variant_get(v, f"$.{path}", kind)
-        if raw is not None:
-            whole = F.from_json(raw, f"struct<{path}:{kind}>", _WHOLE)[path]
-            rows = F.zip_with(rows, whole, lambda b, x: F.struct(*[_unblanked(b[c], x[c]).alias(c) for c in (role, text)]))
+        whole = None if raw is None else F.from_json(raw, f"struct<{path}:{kind}>", _WHOLE)[path]
+        rows = F.variant_get(v, f"$.{path}", kind) if whole is None or not part else whole
+        if whole is not None and not part:
+            rows = F.zip_with(rows, whole, lambda b, x: F.struct(*[_unblanked(b[c], x[c]).alias(c) for c in (role, field)]))
 
         def one(x: Column) -> Column:
             known = x[role]
             for written, canonical in (names or {}).items():
-                known = F.when(x[role] == written, canonical).otherwise(known)
-            return F.struct(F.coalesce(known, F.lit("")).alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))
+                known = F.when(F.lower(x[role]) == written, canonical).otherwise(known)
+            return _turn(known, F.array_join(F.transform(x[field], lambda p: p[part]), "", "") if part else x[field])
 
         return F.transform(F.coalesce(rows, F.array().cast(kind)), one)
 
     return turns
 
 
-def _fixed(*fields: tuple[str, str]) -> Callable[..., Column]:
+def _fixed(*fields: tuple[tuple[str, ...], str]) -> Callable[..., Column]:
+    """Turns from fields of their own: (fields, role). Of several fields those with a text are joined by a blank line. A system turn is there only with a text."""
+
     def turns(v: Column, raw: Column | None = None) -> Column:
         def text(path: str) -> Column:
             own = F.variant_get(v, f"$.{path}", "string")
             return own if raw is None else _unblanked(own, F.from_json(raw, f"struct<{path}:string>", _WHOLE)[path])
 
-        return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(text(path), F.lit("")).alias("text")) for path, role in fields])
+        def joined(paths: tuple[str, ...]) -> Column:
+            return text(paths[0]) if len(paths) == 1 else F.concat_ws("\n\n", *[F.nullif(text(p), F.lit("")) for p in paths])
+
+        made = [F.when(F.length(joined(paths)) > 0, _turn(F.lit(role), joined(paths))) if role == "system" else _turn(F.lit(role), joined(paths)) for paths, role in fields]
+        return F.array_compact(F.array(*made))
 
     return turns
 
 
+def _pair(name: str, question: str, answer: str, *more: str) -> tuple[Layout, ...]:
+    """Layouts of a question and an answer, with and without a system text."""
+    asked = ((question, *more), "user"), ((answer,), "assistant")
+    systems = tuple(Layout(f"{name}_{s}", (s, question, answer, *more), _fixed(((s,), "system"), *asked)) for s in ("system", "system_prompt"))
+    return (*systems, Layout(name, (question, answer, *more), _fixed(*asked)))
+
+
+#: In order: of layouts whose paths a record has, the first counts.
 LAYOUTS = (
-    Layout("messages", ("OBJECT<messages: ARRAY<OBJECT<content, role>>>", "OBJECT<messages: ARRAY<>>"), _listed("messages", "role", "content")),
-    Layout("conversations", ("OBJECT<conversations: ARRAY<OBJECT<from, value>>>", "OBJECT<conversations: ARRAY<>>"), _listed("conversations", "from", "value", {"human": "user", "gpt": "assistant"})),
-    Layout("prompt_response", ("OBJECT<prompt, response>",), _fixed(("prompt", "user"), ("response", "assistant"))),
-    Layout("instruction", ("OBJECT<instruction, output>",), _fixed(("instruction", "user"), ("output", "assistant"))),
-    Layout("instruction_input", ("OBJECT<input, instruction, output>",), _fixed(("instruction", "system"), ("input", "user"), ("output", "assistant"))),
+    Layout("message_parts", ("messages[].content[].text", "messages[].role"), _listed("messages", "role", "content[].text")),
+    Layout("messages", ("messages[].content", "messages[].role"), _listed("messages", "role", "content")),
+    Layout("messages", ("messages[none]",), _listed("messages", "role", "content")),
+    Layout("conversations", ("conversations[].from", "conversations[].value"), _listed("conversations", "from", "value", ROLES)),
+    Layout("conversations", ("conversations[none]",), _listed("conversations", "from", "value", ROLES)),
+    Layout("conversation_roles", ("conversations[].content", "conversations[].role"), _listed("conversations", "role", "content", ROLES)),
+    Layout("conversation", ("conversation[].content", "conversation[].role"), _listed("conversation", "role", "content", ROLES)),
+    Layout("dialogue", ("dialogue[].role", "dialogue[].text"), _listed("dialogue", "role", "text", ROLES)),
+    *_pair("instruction_input", "instruction", "output", "input"),
+    *_pair("instruction", "instruction", "output"),
+    *_pair("instruction_response_input", "instruction", "response", "input"),
+    *_pair("instruction_response", "instruction", "response"),
+    *_pair("prompt_response", "prompt", "response"),
+    *_pair("prompt_completion", "prompt", "completion"),
+    *_pair("question_answer", "question", "answer"),
+    *_pair("question_response", "question", "response"),
+    *_pair("query_response", "query", "response"),
+    *_pair("input_output", "input", "output"),
 )
 
 
 def canonical_turns(records: DataFrame, raw_col: str = "raw", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds layout (string), fingerprint (long) and turns (array of role, text) to records of JSON text.
 
-    A record whose fingerprint no layout has, or that is no JSON, gets a null
-    layout and null turns; it is kept. Columns of these names are replaced. A
-    long record of a known layout that cannot be read whole stops the job.
+    The fingerprint is the hash of the hashes of a record's field paths; records
+    of one shape share it. A record that has the paths of no layout, or that is
+    no JSON, gets a null layout and null turns; it is kept. Columns of these names
+    are replaced. A long record of a known layout that cannot be read whole stops
+    the job.
     """
-    shape, long = F.col("__shape"), F.octet_length(F.col(raw_col)) > LONG
-    out = records.withColumn("__v", _variant(F.col(raw_col))).withColumn("__shape", shape_of(F.col("__v")))
+    long, hashes = F.octet_length(F.col(raw_col)) > LONG, F.col("__hashes")
+    out = records.withColumn("__v", _variant(F.col(raw_col))).withColumn("__hashes", F.transform(field_paths(F.col("__v")), lambda p: F.xxhash64(p)))
+    known = F.lit(None).cast("int")
+    for i, layout in reversed(list(enumerate(layouts))):
+        has = F.lit(True)
+        for path in layout.paths:
+            there = lambda p: F.array_contains(hashes, F.xxhash64(F.lit(p)))
+            has = has & there(path) & ~there(path + "{}") & ~there(path + "[]")
+        known = F.when(has, i).otherwise(known)
+    out = out.withColumn("__layout", known)
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for layout in layouts:
-        hit = F.xxhash64(shape).isin([F.xxhash64(F.lit(s)) for s in layout.shapes])
+    for i, layout in enumerate(layouts):
+        hit = F.col("__layout") == i
         name = F.when(hit, layout.name).otherwise(name)
         turns = F.when(hit & long, layout.turns(F.col("__v"), F.col(raw_col))).when(hit, layout.turns(F.col("__v"))).otherwise(turns)
-    return out.withColumn("fingerprint", F.when(shape.isNotNull(), F.xxhash64(shape))).withColumn("layout", name).withColumn("turns", turns).drop("__v", "__shape")
+    return out.withColumn("fingerprint", F.when(hashes.isNotNull(), F.xxhash64(hashes))).withColumn("layout", name).withColumn("turns", turns).drop("__v", "__hashes", "__layout")
 
 
 def _escaped(text: Column) -> Column:
