@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,45 @@ def test_warc_of_others(spark, tmp_path):
         warc.read_warc(spark, str(tmp_path)).collect()
 
 
+def test_warc_records_in_any_members(spark, tmp_path, monkeypatch):
+    """Several records in a gzip member, records across members, a file of one member, blank lines between records, padding."""
+    rows = [{"record_type": "metadata" if k % 3 else "response", "record_id": f"<{k}>", "target_uri": "http://t/" if k % 2 else None, "payload": bytes([65 + k]) * (k * 700), "content_type": "text/plain"} for k in range(12)]
+    raw = [warc.record_bytes(r) for r in rows]
+    whole = b"".join(raw)
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(whole))
+    (tmp_path / "pairs.warc.gz").write_bytes(b"".join(gzip.compress(raw[k] + raw[k + 1]) for k in range(0, 12, 2)) + bytes(40))
+    (tmp_path / "cut.warc.gz").write_bytes(b"".join(gzip.compress(whole[k : k + 1111]) for k in range(0, len(whole), 1111)))
+    (tmp_path / "plain.warc").write_bytes(b"\r\n".join(raw))
+    want = sorted((r["record_id"], bytes(r["payload"])) for r in rows)
+    for piece in (warc.PIECE, 100):
+        monkeypatch.setattr(warc, "PIECE", piece)
+        for name in ("one.warc.gz", "pairs.warc.gz", "cut.warc.gz", "plain.warc"):
+            f = warc.fs.LocalFileSystem().open_input_file(str(tmp_path / name))
+            assert sorted((h["warc-record-id"], p) for _, h, p in warc.records(f, [], True)) == want
+            kept = list(warc.records(f, [("warc-type", "in", ("response",))], False))
+            assert [h["warc-record-id"] for _, h, _ in kept] == ["<0>", "<3>", "<6>", "<9>"] and all(p is None for *_, p in kept)
+    monkeypatch.undo()
+    df = warc.read_warc(spark, str(tmp_path))
+    assert df.count() == 48 and df.where("target_uri is not null").count() == 24 and df.where("target_uri is null").count() == 24
+
+
+def test_warc_missing_path_and_cut_file(spark, tmp_path):
+    with pytest.raises(Exception, match="no WARC archives"):
+        warc.read_warc(spark, str(tmp_path / "nowhere")).collect()
+    assert warc.read_warc(spark, str(tmp_path)).collect() == []
+    one = warc.record_bytes({"record_id": "<a>", "payload": b"x" * 5_000})
+    for name, data in (("a.warc.gz", gzip.compress(one)[:-20]), ("b.warc.gz", gzip.compress(one[:-100])), ("c.warc", one[:-100])):
+        (tmp_path / name).write_bytes(data)
+        with pytest.raises(Exception, match="cut off"):
+            warc.read_warc(spark, str(tmp_path / name)).collect()
+
+
+def test_warc_null_headers(spark, tmp_path):
+    (tmp_path / "n.warc").write_bytes(b"WARC/1.0\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n" + warc.record_bytes({"record_id": "<a>", "payload": b"hello"}))
+    df = warc.read_warc(spark, str(tmp_path))
+    assert df.count() == 2 and df.where("record_type is not null").count() == 1 and df.where("record_id is null").count() == 1
+
+
 # ---- chat formatting ------------------------------------------------------------------------------------------------
 
 
@@ -90,11 +130,46 @@ def test_chat_layouts_meet_in_canonical_turns(spark):
     df = spark.createDataFrame([(i, json.dumps(r), "clash") for i, r in records] + [(8, "no json", "x"), (9, None, "x")], "conv_id long, raw string, layout string")
     got = {r.conv_id: r for r in cf.canonical_turns(df).collect()}
     turns = {i: None if r.turns is None else [(t.role, t.text) for t in r.turns] for i, r in got.items()}
-    assert turns == {1: [("user", "q"), ("assistant", "")], 2: [("user", "q"), ("assistant", "a")], 3: [("user", "q"), ("assistant", "a")], 4: [("user", "q"), ("assistant", "a")], 5: [("system", "s"), ("user", "q"), ("assistant", "a")], 6: [], 7: None, 8: None, 9: None}
+    assert turns == {1: [("user", "q"), ("assistant", "")], 2: [("user", "q"), ("assistant", "a")], 3: [("user", "q"), ("assistant", "a")], 4: [("user", "q"), ("assistant", "a")], 5: [("user", "s\n\nq"), ("assistant", "a")], 6: [], 7: None, 8: None, 9: None}
     assert got[7].layout is None and got[7].fingerprint is not None and got[8].fingerprint is None
     assert len({got[i].fingerprint for i in (1, 2, 3, 4, 5)}) == 5
 
 
+def test_chat_layouts_of_records_with_other_fields(spark):
+    pair = [("user", "q"), ("assistant", "a")]
+    records = [
+        ({"id": "x", "messages": [{"role": "user", "content": "q", "name": "bob"}, {"role": "assistant", "content": "a", "tool_calls": [{"f": {"g": 1}}]}]}, "messages", pair),
+        ({"prompt": "q", "completion": "a", "score": 0.5}, "prompt_completion", pair),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "GPT", "value": "a"}], "source": {"u": ["v"]}}, "conversations", pair),
+        ({"conversations": [{"role": "human", "content": "q"}, {"role": "assistant", "content": "a"}]}, "conversation_roles", pair),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": [{"text": "a"}]}]}, "message_parts", pair),
+        ({"system": "s", "question": "q", "answer": "a"}, "question_answer_system", [("system", "s"), *pair]),
+        ({"system_prompt": "", "instruction": "q", "input": "", "output": "a"}, "instruction_input_system_prompt", pair),
+        ({"a b": 1, "c.d": [[{"e": 2}]], "query": "q", "response": "a"}, "query_response", pair),
+        ({"messages": ["q", "a"]}, None, None),
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "user", "content": ["a"]}]}, None, None),
+        ({"messages": [{"role": "user", "content": {"text": "q"}}]}, None, None),
+        ({"outer": {"prompt": "q", "response": "a"}}, None, None),
+        ({}, None, None),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, *_) in enumerate(records)] + [(99, "[1, 2]"), (98, '"text"')], "conv_id long, raw string")
+    got = {r.conv_id: (r.layout, None if r.turns is None else [(t.role, t.text) for t in r.turns]) for r in cf.canonical_turns(df).collect()}
+    assert got == {i: (name, turns) for i, (_, name, turns) in enumerate(records)} | {99: (None, None), 98: (None, None)}
+    same = spark.createDataFrame([(1, '{"prompt": "x", "id": 1, "response": "y"}'), (2, '{"response": null, "id": "z", "prompt": "q"}'), (3, '{"prompt": "x", "response": "y"}')], "conv_id long, raw string")
+    a, b, c = (r.fingerprint for r in cf.canonical_turns(same).orderBy("conv_id").collect())
+    assert a == b != c
+
+
+def test_chat_of_thousands_of_turns(spark):
+    n = 8_000
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn </turn> "), F.col("id").cast("string")).alias("text"))
+    began = time.perf_counter()
+    got = cf.digests(cf.format_chats(cf.as_records(cf.gather_turns(df)))).first()
+    loss = "".join(f"turn </turn> {k}" for k in range(1, n, 2))
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (n, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert time.perf_counter() - began < 30
+
+
 TEXTS = ["", "plain", "</turn>", "</turn>\n<turn user>\n", "<\\/turn>", "<\\\\/turn>\\", "\\### Assistant: </turn> ok", "a <turn x>\n</turn", "<", "<\\", "<turn", "é𝄞中" * 50, "\n\n", "x" * 50_000, "$1 \\1 \\$"]
 
 
@@ -206,6 +281,18 @@ def test_url_filters_equal_brute_force(spark, monkeypatch, broadcast):
     assert filter_urls(c.where("false"), e).count() == 0 and {r.blocked for r in filter_urls(c, e.where("false")).collect()} == {False}
 
 
+def test_url_filters_of_very_long_urls(spark):
+    """A megabyte of path, of host, of slashes; prefixes that end at the longest pattern's length."""
+    long = "http://a.b.example.org/en/docs/" + "seg/" * 250_000
+    rows = [(1, long), (2, "http://" + "x." * 200_000 + "example.org/"), (3, "http://a.b.example.org" + "/" * 500_000 + "EN/docs"), (4, "http://example.org/en/docsmore"), (5, "http://example.org/en/docs?q=" + "y" * 100_000), (6, "http://example.org/en/doc")]
+    captures = spark.createDataFrame([(i, u, None) for i, u in rows], "capture_id long, url string, list string").withColumn("fetched_at", F.timestamp_seconds(F.lit(1_000)))
+    entries = spark.createDataFrame([("l", "block", "example.org/en/docs", "add"), ("m", "allow", "a.b.example.org/en", "add")], "list string, kind string, pattern string, action string").withColumn("since", F.timestamp_seconds(F.lit(0)))
+    began = time.perf_counter()
+    got = {r.capture_id: (r.blocked, r.pattern) for r in filter_urls(captures, entries).collect()}
+    assert got == {1: (False, "a.b.example.org/en"), 2: (False, None), 3: (False, "a.b.example.org/en"), 4: (False, None), 5: (True, "example.org/en/docs"), 6: (False, None)}
+    assert time.perf_counter() - began < 30
+
+
 def test_intervals(spark):
     rows = [("L", "block", "a", "add", 1), ("L", "block", "a", "add", 2), ("L", "block", "a", "remove", 5), ("L", "block", "a", "remove", 6), ("L", "block", "a", "add", 9), ("L", "block", "a", "add", 12), ("L", "block", "a", "remove", 12)]
     df = spark.createDataFrame(rows, "list string, kind string, pattern string, action string, d int").withColumn("since", F.timestamp_seconds(F.col("d")))
