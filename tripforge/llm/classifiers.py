@@ -39,15 +39,16 @@ def _sample(docs: DataFrame, labels: DataFrame, label_col: str, trusted, id_col:
     bounded_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y is not null").where(trusted(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     got = known.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0)).alias("p")).first()
-    pool = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null").where(trusted(F.col("id")))
+    pool = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").where(trusted(F.col("id")))
     total = pool.select("id").count()
 
     def drawn(seed: int, most: int, n: int):
         return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, most / max(1, n)) * (1 << 30))
 
-    positives = known.where("y = 1").where(drawn(1, MAX_POSITIVE, got.p)).select("id")
     # about MAX_POSITIVE ids: a side of bounded size
-    chosen = pool.join(F.broadcast(positives), "id", "left_semi").select("text", F.lit(True).alias("positive")).unionByName(pool.where(drawn(2, MAX_UNLABELLED, total)).select("text", F.lit(False).alias("positive")))
+    positives = F.broadcast(known.where("y = 1").where(drawn(1, MAX_POSITIVE, got.p)).select(F.col("id").alias("of"), F.lit(True).alias("positive")))
+    both = F.array_compact(F.array(F.when(F.col("positive"), True), F.when(drawn(2, MAX_UNLABELLED, total), False)))
+    chosen = pool.join(positives, F.col("id") == F.col("of"), "left").where(F.col("positive") | drawn(2, MAX_UNLABELLED, total)).where("text is not null").select("text", F.explode(both).alias("positive"))
     return saved(chosen, "sample"), (got.p / got.n if got.n else 0.5)
 
 

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripforge.llm.textcore import chunks, filter_rows, mix64
-from tripforge.work import bounded_batches
+from tripforge.work import bounded_batches, saved
 
 #: Letters of an n-gram; a word's border counts as one.
 SIZE = 3
@@ -115,12 +115,13 @@ class LanguageFilters:
 
 
 def fit_language_filters(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> LanguageFilters:
-    """Learns filters from rows with a language. Of each language about SAMPLE_PER_LANGUAGE rows, chosen by a hash of the key, are read whole.
+    """Learns filters from rows with a language. Of each language about SAMPLE_PER_LANGUAGE rows, chosen by a hash of the key, are read whole, in one scan.
 
     The n-grams are counted on the executors; GRAMS_PER_LANGUAGE bounds what
     reaches the driver. More than 64 languages raise. No rows give no languages.
+    Null texts count as empty ones.
     """
-    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(key_col).alias("key")).where("lang is not null and text is not null")
+    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(key_col).alias("key")).where("lang is not null")
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(65).collect()}
     if len(counts) > 64:
         raise ValueError("at most 64 languages fit the mask")
@@ -145,17 +146,16 @@ def fit_language_filters(rows: DataFrame, text_col: str = "text", lang_col: str
                     own, n = np.unique(grams[of_gram == i], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # a gram's languages are at most 64, a language's grams are cut to the most frequent
-    totals = counted.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
+    counted = saved(sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     sums = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     rate = F.create_map(*[F.lit(x) for lang in languages for x in (lang, 1.0 / max(1, sums.get(lang, 0)))])
-    rated = totals.select("gram", F.transform("by", lambda x: F.struct(x.lang.alias("lang"), (x.n * rate[x.lang]).alias("r"))).alias("by"))
-    rated = rated.select("gram", F.explode("by").alias("x"), F.array_max(F.transform("by", lambda x: x.r)).alias("most")).select("gram", "x.lang", "x.r", "most").where(F.col("r") >= SHARE * F.col("most"))
-    kept: dict[str, np.ndarray] = {}
-    for lang in languages:
-        top = rated.where(F.col("lang") == lang).orderBy(F.desc("r"), "gram").limit(GRAMS_PER_LANGUAGE).select("gram").toArrow()
-        kept[lang] = top.column(0).to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, np.uint64)
+    # a gram's languages are at most 64, a language's grams are cut to the most frequent
+    rated = counted.withColumn("r", F.col("n") * rate[F.col("lang")]).groupBy("gram").agg(F.max("r").alias("most"), F.collect_list(F.struct("lang", "r")).alias("by"))
+    rated = rated.select("gram", "most", F.explode("by").alias("x")).select("gram", "x.lang", "x.r", "most").where(F.col("r") >= SHARE * F.col("most"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("r"), "gram"))
+    top = rated.withColumn("place", place).where(F.col("place") <= GRAMS_PER_LANGUAGE).select("lang", "gram").toArrow()
+    grams, by = top.column(1).to_numpy().view(np.uint64), np.array(top.column(0).to_pylist(), object)
+    kept = {lang: grams[by == lang] for lang in languages}
     kind = np.dtype(f"u{next(b for b in (1, 2, 4, 8) if 8 * b >= len(languages))}")
     table = np.zeros(POSITIONS, kind)
     rates = []
