@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import shutil
 import time
 import zipfile
 from datetime import datetime
@@ -70,6 +71,196 @@ def test_short_row_raises_and_quarantine_keeps_it(spark, tmp_path):
     assert sorted(r._corrupt for r in got.collect() if r._corrupt) == ["1,2,3,4", "4,5"]
 
 
+def test_feed_of_semicolons_and_quoted_commas(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text('\n"start;date";"end, date";from;to\n2020-01-01 00:00:00;2020-01-01 00:01:00;"A;1";B\n;;;\n')
+    (tmp_path / "b.csv").write_text("to;from;end, date;start;date\n")
+    feed = feeds.FeedSpec("x", ["rename", "drop_all_null", "parse_times", "select_final"], sep=";", rename={"start;date": "start_time", "end, date": "end_time", "from": "start_station_name", "to": "end_station_name"})
+    got = feeds.read_feed(spark, feed, [str(tmp_path / "a b.csv")]).collect()
+    assert [(r.start_time, r.end_time, r.start_station_name, r.end_station_name) for r in got] == [(datetime(2020, 1, 1), datetime(2020, 1, 1, 0, 1), "A;1", "B")]
+    assert got[0].source_file.endswith("/a b.csv")
+    (tmp_path / "c.csv").write_text('"start, date",from\n2020-01-01 00:00:00,A\n')
+    one = feeds.read_feed(spark, feeds.FeedSpec("x", ["rename", "parse_times"], rename={"start, date": "start_time", "from": "start_station_name"}), [str(tmp_path / "c.csv")]).first()
+    assert (one.start_time, one.start_station_name, one.end_time) == (datetime(2020, 1, 1), "A", None)
+    with pytest.raises(quality.QualityError, match="start_time"):
+        feeds.read_feed(spark, feeds.FeedSpec("x", ["rename", "parse_times"], rename=feed.rename), [str(tmp_path / "a b.csv")])
+
+
+@pytest.mark.parametrize("packed", [False, True])
+@pytest.mark.parametrize("detect", [False, True])
+def test_feed_of_another_charset(spark, tmp_path, packed, detect):
+    def put(name, text, encoding):
+        data = text.encode(encoding)
+        (tmp_path / (name + ".gz" * packed)).write_bytes(gzip.compress(data) if packed else data)
+        return str(tmp_path / (name + ".gz" * packed))
+
+    head = "대여일시,반납일시,대여소,반납소\n"
+    paths = [put("k.csv", head + "2020-01-01 00:00:00,2020-01-01 00:01:00,가나,다라\n", "euc-kr")]
+    if detect:
+        paths.append(put("u.csv", head + "2020-02-01 00:00:00,2020-02-01 00:01:00,가나,마\n", "utf-8"))
+    feed = feeds.FeedSpec("x", ["rename", "parse_times"], encoding="EUC-KR", detect_encoding=detect, rename={"대여일시": "start_time", "반납일시": "end_time", "대여소": "start_station_name", "반납소": "end_station_name"})
+    got = sorted((r.month, r.start_station_name, r.end_station_name) for r in feeds.read_feed(spark, feed, paths).collect())
+    assert got == [(1, "가나", "다라"), (2, "가나", "마")][: len(paths)]
+
+
+@pytest.mark.parametrize("repair", [False, True])
+def test_ragged_rows_stop_a_feed_or_are_set_aside(spark, tmp_path, repair):
+    (tmp_path / "a.csv").write_text("start_time,end_time,start_station_name,end_station_name,bike\n2020-01-01 00:00:00,,A,B,1\n2020-01-02 00:00:00,,A,B\n2020-01-03 00:00:00,,A,B,1,2\n")
+    feed = feeds.FeedSpec("x", ["parse_times", "select_final"], fixes=[("nothing", "a", "b")] if repair else [])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "a.csv")]).count()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        src.read_csv(spark, str(tmp_path / "a.csv"), ["a", "b", "c", "d", "e"]).select("a").collect()
+    feed.quarantine = True
+    assert [r.start_time.day for r in feeds.read_feed(spark, feed, [str(tmp_path / "a.csv")]).collect()] == [1]
+    assert sorted(r.line for r in feeds.quarantined(spark, feed, [str(tmp_path / "a.csv")]).collect()) == ["2020-01-02 00:00:00,,A,B", "2020-01-03 00:00:00,,A,B,1,2"]
+
+
+def test_files_of_a_feed_and_documents_without_fields(spark, tmp_path):
+    trips_file(tmp_path / "2020-trips.csv", "2020-01-01")
+    trips_file(tmp_path / "2020-other.csv", "2020-02-01")
+    trips_file(tmp_path / "2020-trips_1.csv", "2020-03-01")
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    feed = feeds.FeedSpec("x", ["parse_times"], include=["trips"], exclude=["trips_1"])
+    assert [r.month for r in feeds.read_feed(spark, feed, paths).collect()] == [1]
+    with pytest.raises(quality.QualityError, match="no input files"):
+        feeds.read_feed(spark, feed, paths[:1])
+    (tmp_path / "trips.json").write_text('{"at": {"$date": "2020-05-01 10:00:00"}, "from": "A"}\n')
+    feed.rename = {"at": "start_time", "from": "start_station_name"}
+    feed.steps = ["rename", "parse_times"]
+    with pytest.raises(quality.QualityError, match="json_fields"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "trips.json")])
+    feed.json_fields = ["at", "from"]
+    got = feeds.read_feed(spark, feed, [*paths, str(tmp_path / "trips.json")]).collect()
+    assert sorted((r.month, r.start_station_name) for r in got) == [(1, "A"), (5, "A")]
+
+
+def test_files_without_headers_and_with_broken_lines(spark, tmp_path):
+    (tmp_path / "x_2015.csv").write_text('2015-01-01 00:00:00;A;B\n2015-01-02 00:00:00;"A;B\n2315-01-03 00:00:00;A;\n')
+    (tmp_path / "y.csv").write_text("2016-01-01 00:00:00;A\n")
+    (tmp_path / "z.csv").write_text("start_time;start_station_name\n2017-01-01 00:00:00;A\n")
+    feed = feeds.FeedSpec("x", ["parse_times"], sep=";", fixes=[["2015", "2315", "2015"]], drop_unbalanced=True, headers=[["2015", "start_time;start_station_name;end_station_name"]], headers_by_arity=["start_time;start_station_name"])
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    got = sorted((r.start_time, r.start_station_name, r.end_station_name) for r in feeds.read_feed(spark, feed, paths).collect())
+    assert got == [(datetime(2015, 1, 1), "A", "B"), (datetime(2015, 1, 3), "A", None), (datetime(2016, 1, 1), "A", None), (datetime(2017, 1, 1), "A", None)]
+    (tmp_path / "w.csv").write_text("1;2;3;4\n")
+    with pytest.raises(Exception, match="no header for 4 fields"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "w.csv")])
+    (tmp_path / "v.csv").write_text('start_time;"end_time"\t\n2020-01-01 00:00:00;2020-01-01 00:01:00\t\n')
+    feed = feeds.FeedSpec("x", ["parse_times"], encoding="ISO-8859-1", delimiters=True)
+    assert [r.end_time.minute for r in feeds.read_feed(spark, feed, [str(tmp_path / "v.csv")]).collect()] == [1]
+
+
+def test_all_gates_of_a_feed_are_told_at_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("start_time,end_time,start_station_name,gender,birth year\n" + "".join(f"bad{k},2020-01-01 00:00:00,A,robot,19x\n" for k in range(7)))
+    (tmp_path / "b.csv").write_text("start_time,end_time,usertype\n2020-01-01 00:00:00,2020-01-01 00:01:00,Emperor\n")
+    with pytest.raises(quality.QualityError) as e:
+        feeds.read_feed(spark, spec(), [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert "start_time: 7 rows, such as ['bad0', 'bad1', 'bad2', 'bad3', 'bad4']" in str(e.value)
+    assert all(x in str(e.value) for x in ("gender: 7 rows, such as ['robot']", "birth_year: 7 rows, such as ['19x']", "membership_type: 1 rows, such as ['Emperor']"))
+
+
+def test_removed_rows_do_not_hide_findings(spark):
+    df = spark.createDataFrame([("soon", "X"), ("2020-01-01 00:00:00", "X"), ("2020-01-02 00:00:00", "A")], "start_time string, start_station_name string")
+    feed = feeds.FeedSpec("x", ["parse_times", "remove_invalid"], invalid={"start_station_name": ["X"]})
+    with pytest.raises(quality.QualityError, match="soon"):
+        feeds.apply_steps(df, feed)
+    assert feeds.apply_steps(df.where("start_time <> 'soon'"), feed).count() == 1
+
+
+def test_dates_and_clocks_with_lost_hours(spark, tmp_path):
+    rows = ["01/02/2020,9:55:08,01/02/2020,10:00:00", "01/02/2020,9:55:09,01/02/2020,00:30.5", "01/02/2020,55:10.1,01/02/2020,10:59:00", "01/02/2020,9:58:00,01/02/2020,01:10.0", "01/02/2020,10:10:00,01/02/2020,11:02:00"]
+    (tmp_path / "s.csv").write_text("d,t,e,u\n" + "\n".join(rows) + "\n")
+    names = {"d": "start_date", "t": "start_clock", "e": "end_date", "u": "end_clock"}
+    feed = feeds.FeedSpec("x", ["rename", "recover_times", "combine_times"], rename=names, date_formats=["d/M/y"], ordered=True, lost_hour_files=["s.csv"])
+    got = feeds.read_feed(spark, feed, [str(tmp_path / "s.csv")]).collect()
+    clock = lambda t: None if t is None else t.strftime("%H:%M:%S")
+    assert sorted(((clock(r.start_time), clock(r.end_time)) for r in got), key=str) == sorted([("09:55:08", "10:00:00"), ("09:55:09", "10:00:30"), (None, "10:59:00"), ("09:58:00", None), ("10:10:00", "11:02:00")], key=str)
+    feed.lost_hour_files = []
+    with pytest.raises(quality.QualityError, match="00:30.5"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "s.csv")])
+    (tmp_path / "s.csv").write_text("d,t,e,u\n" + "\n".join(rows[::-1]) + "\n")
+    feed.lost_hour_files = ["s.csv"]
+    with pytest.raises(quality.QualityError, match="not sorted"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "s.csv")])
+
+
+def test_steps_by_era(spark):
+    yearly = spark.createDataFrame([(2019, "1", "Old"), (2020, "1", "New")], "year int, code string, name string")
+    mapping, dim = spark.createDataFrame([("a", "01")], "legacy_id string, new_id string"), spark.createDataFrame([("01", "One"), ("1", "Uno")], "id string, name string")
+    feed = feeds.FeedSpec("x", ["by_era", "select_final"], yearly_stations=yearly, renumbering=mapping, stations=dim, eras=[
+        {"has": ["start_station_code"], "steps": ["parse_times", "stations_by_year"]},
+        {"has": ["legacy"], "steps": ["parse_times", "renumber_stations"]},
+        {"has": ["start_station_id"], "steps": ["station_ids", "station_names", "epoch_millis"]},
+    ])
+
+    def named(schema, *row):
+        r = feeds.apply_steps(spark.createDataFrame([row], schema), feed).first()
+        return r.start_station_name, r.end_station_name, r.start_time
+
+    assert named("start_time string, start_station_code string, end_station_code string", "2019-05-01 00:00:00", "1", "1") == ("Old", "Old", datetime(2019, 5, 1))
+    assert named("start_time string, start_station_id string, end_station_id string, legacy int", "2019-05-01 00:00:00", "a", "a", 1)[:2] == ("One", "One")
+    assert named("start_time string, start_station_id string, end_station_id string", "1556668800123", "001", "1") == ("Uno", "Uno", datetime(2019, 5, 1, 0, 0, 0, 123000))
+    with pytest.raises(quality.QualityError, match="start_station_id without a name: 1 rows, such as .'z'"):
+        named("start_time string, start_station_id string, end_station_id string, legacy int", "2019-05-01 00:00:00", "z", "a", 1)
+    feed.on_missing = "drop"
+    assert feeds.apply_steps(spark.createDataFrame([("2019-05-01 00:00:00", "z", "a", 1)], "start_time string, start_station_id string, end_station_id string, legacy int"), feed).count() == 0
+    with pytest.raises(quality.QualityError, match="no era"):
+        named("when string", "x")
+
+
+def test_times_do_not_depend_on_the_sessions_zone(spark):
+    df = spark.createDataFrame([("2019-03-31 02:30:00", "1553996000000")], "t string, e string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+        r = df.select(tm.parse_ntz(F.col("t"), tm.DEFAULT_FORMATS).cast("string").alias("t"), tm.from_epoch_millis(F.col("e")).cast("string").alias("e")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.t, r.e) == ("2019-03-31 02:30:00", "2019-03-31 01:33:20")
+
+
+def test_a_rebuild_has_no_months_of_before(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "start_time timestamp_ntz, year int, month int"
+    feeds.write_trips(spark.createDataFrame([(None, None, None), (None, 2020, 1), (None, 2020, 2)], schema), path)
+    assert spark.read.parquet(path).count() == 3
+    feeds.write_trips(spark.createDataFrame([(None, 2020, 2)], schema), path)
+    assert [(r.year, r.month) for r in spark.read.parquet(path).collect()] == [(2020, 2)]
+    feeds.write_trips(spark.createDataFrame([], schema), path)
+    assert not [x for x in os.listdir(path) if x.startswith("year")]
+
+
+def test_missing_stations_stay_apart_by_side(spark):
+    t = spark.createDataFrame([(2020, None, "A"), (2020, "A", None), (2020, None, None)], "year int, start_station_name string, end_station_name string")
+    from tripforge.operators import analytics
+
+    flow = sorted(((r.station, r.trips_from, r.trips_to) for r in analytics.station_flow(t).collect()), key=str)
+    assert flow == sorted([("A", 1, 1), (None, 2, 0), (None, 0, 2)], key=str)
+    assert [(r.dockless_from, r.dockless_to) for r in analytics.station_trip_counts(t)[1].collect()] == [(2, 2)]
+
+
+def test_components_beyond_one_contraction(spark, monkeypatch):
+    import random
+
+    from tripforge.operators import graph
+
+    monkeypatch.setattr(graph, "CONTRACTED", 50)
+    random.seed(2)
+    order = random.sample(range(3000), 3000)
+    edges = [(order[k], order[k + 1]) for k in range(2999) if k % 500 != 499] + [(7, 7), (9000, 9000), (5, 5)]
+    df = spark.createDataFrame(edges + [(None, 1)], "a long, b long").repartition(6)
+    got = {r.node: r.label for r in graph.connected_components(df).collect()}
+    want = {x: min(order[k - k % 500 : k - k % 500 + 500]) for k, x in enumerate(order)}
+    assert got == want | {9000: 9000}
+    words = spark.createDataFrame([("b", "c"), ("a", "b"), ("x", "y")], "a string, b string")
+    assert {r.node: r.label for r in graph.connected_components(words).collect()} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+
+
+def test_coverage_gate(spark):
+    counts = spark.createDataFrame([(9, 10)], "kept long, named long")
+    assert quality.require_coverage(counts, "kept", "named", 0.9).first().coverage == 0.9
+    with pytest.raises(quality.QualityError, match="coverage under 0.95"):
+        quality.require_coverage(counts, "kept", "named", 0.95)
+
+
 def test_unknown_step_and_unknown_key(spark):
     df = spark.range(1)
     with pytest.raises(KeyError):
@@ -112,6 +303,11 @@ def test_archives_nested_and_broken(spark, tmp_path):
     (tmp_path / "bad.zip").write_bytes(b"no zip")
     got = {(r.member, r.line_no, r.line) for r in src.read_archives(spark, str(tmp_path)).collect()}
     assert got == {("d/x.csv", 1, "1"), ("d/x.csv", 2, "2"), ("in.zip!deep.txt", 1, "p"), ("in.zip!deep.txt", 2, "q"), (None, None, None)}
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("y.csv", "a\x0bb,\u2028c\r\n\r\nd\re")
+    (tmp_path / "c.rar").write_bytes(b"Rar!")
+    got = {(r.member, r.line_no, r.line) for r in src.read_archives(spark, [str(tmp_path / "b.zip"), str(tmp_path / "c.rar")]).collect()}
+    assert got == {("y.csv", 1, "a\x0bb,\u2028c"), ("y.csv", 2, ""), ("y.csv", 3, "d"), ("y.csv", 4, "e"), (None, None, "rar archives are not read")}
 
 
 def test_ndjson_and_gbfs(spark, tmp_path):
@@ -171,6 +367,14 @@ def test_lookups_raise_or_fall_back(spark):
     assert lookups.renumber_and_name(legacy, mapping, dim, "drop").count() == 1
 
 
+@pytest.mark.parametrize("block", [1, 2, 3, 100])
+def test_share_of_rising_steps_across_blocks(spark, block):
+    values = [1, 2, None, 2, 1, 5, 4, None, 9]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)] + [("b", 0, 1)], "file string, n int, v int")
+    got = {r.file: (r.share, r.n) for r in fill.monotonic_share(df, "file", "n", "v", block).collect()}
+    assert got == {"a": (round(4 / 6, 6), 7), "b": (None, 1)}
+
+
 def test_unsorted_files_are_nulled(spark):
     df = spark.createDataFrame([("a", i, i) for i in range(5)] + [("b", i, -i) for i in range(5)], "file string, n int, v int")
     shares = fill.monotonic_share(df, "file", "n", "v")
@@ -187,30 +391,49 @@ def test_fill_across_blocks(spark):
     assert (c.present, c.recovered, c.missing) == (4, 6, 2)
 
 
-def test_incremental_run(spark, tmp_path):
-    root, table = tmp_path / "in", str(tmp_path / "trips")
-    root.mkdir()
-    head = "start_time,end_time,start_station_name,end_station_name\n"
+def trips_file(path, *days):
+    path.write_text("start_time,end_time,start_station_name,end_station_name\n" + "".join(f"{d} 10:00:00,{d} 10:05:00,A,B\n" for d in days))
 
-    def put(name, *days):
-        (root / name).write_text(head + "".join(f"{d} 10:00:00,{d} 10:05:00,A,B\n" for d in days))
 
+def test_incremental_runs(spark, tmp_path):
+    root, table, state = tmp_path / "in put", str(tmp_path / "trips"), str(tmp_path / "state")
+    root.mkdir()
     feed = feeds.FeedSpec("x", ["parse_times", "select_final"])
-    read = lambda paths: feeds.read_feed(spark, feed, paths)
-    put("a.csv", "2020-01-01", "2020-02-01")
-    put("b.csv", "2020-02-02")
-    empty = spark.createDataFrame([], "path string, length long, modified timestamp_ntz")
-    first = incremental.manifest(spark, str(root)).localCheckpoint()
-    assert len(incremental.apply_changes(spark, first, empty, read, table)) == 2
-    assert spark.read.parquet(table).count() == 3
-    assert incremental.apply_changes(spark, first, first, read, table) == []
+    read_paths = []
+
+    def read(paths):
+        read_paths.append(sorted(os.path.basename(p) for p in paths))
+        return feeds.read_feed(spark, feed, paths)
+
+    def run(**more):
+        out = incremental.run(spark, incremental.manifest(spark, str(root)), state, read, table, **more).collect()
+        return {os.path.basename(r.path): (r.status, r.outputs) for r in out}
+
+    months = lambda: sorted(((r.year, r.month, r["count"]) for r in spark.read.parquet(table).groupBy("year", "month").count().collect()), key=str)
+    trips_file(root / "a+b.csv", "2020-01-01", "2020-02-01")
+    trips_file(root / "b.csv", "2020-02-02")
+    assert run() == {"a+b.csv": ("processed", ["year=2020/month=1", "year=2020/month=2"]), "b.csv": ("processed", ["year=2020/month=2"])}
+    assert run()["b.csv"] == ("kept", ["year=2020/month=2"]) and read_paths == [["a+b.csv", "b.csv"]]
     time.sleep(0.05)
-    put("a.csv", "2020-03-01")
+    trips_file(root / "a+b.csv", "2020-03-01")
+    (root / "c.csv").write_text("start_time,end_time,start_station_name,end_station_name\n,,A,B\n")
+    assert run() == {"a+b.csv": ("processed", ["year=2020/month=3"]), "b.csv": ("kept", ["year=2020/month=2"]), "c.csv": ("processed", ["year=__HIVE_DEFAULT_PARTITION__/month=__HIVE_DEFAULT_PARTITION__"])}
+    assert sorted(os.listdir(f"{table}/year=2020")) == ["month=2", "month=3"]
+    shutil.rmtree(f"{table}/year=2020/month=2")
+    assert run()["b.csv"][0] == "processed" and read_paths[-1] == ["b.csv"] and (2020, 2, 1) in months()
     os.remove(root / "b.csv")
-    second = incremental.manifest(spark, str(root))
-    assert len(incremental.apply_changes(spark, second, first, read, table)) == 1
-    got = spark.read.parquet(table)
-    assert [(r.year, r.month) for r in got.collect()] == [(2020, 3)]
+    os.remove(root / "c.csv")
+    assert run() == {"a+b.csv": ("kept", ["year=2020/month=3"])} and months() == [(2020, 3, 1)]
+    assert run(force=True)["a+b.csv"][0] == "processed" and months() == [(2020, 3, 1)]
+
+
+def test_manifest_of_inputs_without_outputs(spark):
+    now = spark.createDataFrame([("a", 1, None), ("b", 2, None), ("c", 3, None)], "path string, length long, modified timestamp_ntz")
+    outputs = spark.createDataFrame([("b", ["x"])], "path string, outputs array<string>")
+    due = spark.createDataFrame([("a",), ("c",)], "path string")
+    made = spark.createDataFrame([("c", ["y"])], "path string, made array<string>")
+    got = {r.path: (r.outputs, r.status) for r in incremental.recorded(now, outputs, due, made).collect()}
+    assert got == {"a": ([], "processed"), "b": (["x"], "kept"), "c": (["y"], "processed")}
 
 
 def test_reference_table_untouched_when_unchanged(spark, tmp_path):
@@ -231,6 +454,11 @@ def test_publish_gates_and_same_bytes(spark, tmp_path):
         return [p.read_bytes() for p in (tmp_path / k / "v1" / "volume").glob("*.json")]
 
     assert read("x") == read("y")
+    before = read("x")
+    with pytest.raises(quality.QualityError, match="repeated"):
+        publish.publish(both | {"c": {"v": one.union(one)}}, out, str(tmp_path / "x"))
+    assert [p.read_bytes() for p in (tmp_path / "x" / "v1" / "volume").glob("*.json")] == before
+    assert os.listdir(tmp_path / "x") == ["v1"]
     with pytest.raises(quality.QualityError, match="no section"):
         publish.merge_section({"a": {}}, out[0])
     with pytest.raises(quality.QualityError, match="repeated"):

@@ -21,10 +21,10 @@ def strip_fraction(raw: Column) -> Column:
 
 
 def parse_ntz(raw: Column, formats: tuple[str, ...]) -> Column:
-    """The first format that fits, in order, without a zone, at millisecond precision; a leading weekday name is dropped."""
+    """The first format that fits, in order, whatever the session's zone; fractions and a leading weekday name are dropped."""
     plain = F.regexp_replace(strip_fraction(F.trim(raw)), r"^[A-Za-z]{3}, ", "")
     tried = [F.to_timestamp_ntz(F.when(F.try_to_timestamp(plain, F.lit(f)).isNotNull(), plain), F.lit(f)) for f in formats]
-    return F.date_trunc("MILLISECOND", reduce(lambda a, b: F.coalesce(a, b), tried)).cast("timestamp_ntz")
+    return reduce(lambda a, b: F.coalesce(a, b), tried)
 
 
 def parse_offset(raw: Column) -> Column:
@@ -43,8 +43,9 @@ def to_local(raw: Column, zone: str, formats: tuple[str, ...] = ("y-M-d'T'H:m:s"
 
 
 def from_epoch_millis(raw: Column) -> Column:
-    """Epoch milliseconds as text to the wall clock in UTC; a text that is no number raises under ANSI."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_millis(raw.cast("bigint")).cast("timestamp_ntz"))
+    """Epoch milliseconds as text to the wall clock in UTC, whatever the session's zone; null for a text that is no number."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (raw.try_cast("bigint") / 1000).cast("decimal(18,6)"))
 
 
 def combine_date_time(date: Column, time: Column, dates: tuple[str, ...], times: tuple[str, ...]) -> Column:

@@ -51,13 +51,20 @@ def is_known(raw: Column, table: dict) -> Column:
     return text.isNull() | text.isin(*table)
 
 
-def birth_year(raw: Column, missing: tuple[str, ...] = ("", "NA", "NULL", "\\N"), least: int = 1900) -> Column:
-    """Markers to null, `1994.0` to 1994, years below `least` to null; other text raises under ANSI."""
+def birth_year(raw: Column, missing: tuple[str, ...] = ("", "NA", "NULL", "\\N"), least: int = 1900, strict: bool = True) -> Column:
+    """Markers to null, `1994.0` to 1994, years below `least` to null; other text raises under ANSI, or is null if not `strict`."""
     text = F.regexp_replace(F.trim(raw), r"\.0$", "")
-    year = F.when(~text.isin(*missing), text).cast("int")
+    told = F.when(~text.isin(*missing), text)
+    year = told.cast("int") if strict else told.try_cast("int")
     return F.when(year >= least, year)
 
 
+def is_year(raw: Column, missing: tuple[str, ...] = ("", "NA", "NULL", "\\N")) -> Column:
+    """Whether a birth year is missing, a marker or a number."""
+    text = F.regexp_replace(F.trim(raw), r"\.0$", "")
+    return raw.isNull() | text.isin(*missing) | text.try_cast("int").isNotNull()
+
+
 def station_id(raw: Column) -> Column:
     """Trimmed; leading zeros go from ids of digits only."""
     text = F.trim(raw)

@@ -110,10 +110,14 @@ def endpoints(trips: DataFrame) -> DataFrame:
     return trips.select("year", F.explode(ends).alias("e")).select("year", "e.station", "e.is_start")
 
 
+def _flow(trips: DataFrame, *keys) -> DataFrame:
+    return endpoints(trips).groupBy(*keys).agg(F.count_if("is_start").alias("trips_from"), F.count_if(~F.col("is_start")).alias("trips_to"))
+
+
 def station_flow(trips: DataFrame, per_year: bool = True) -> DataFrame:
-    """Departures and arrivals per station (and year of the start); missing stations form one row."""
+    """Departures and arrivals per station (and year of the start). Where a key is missing they are not matched: departures and arrivals are rows of their own."""
     keys = ["year", "station"] if per_year else ["station"]
-    return endpoints(trips).groupBy(*keys).agg(F.count_if("is_start").alias("trips_from"), F.count_if(~F.col("is_start")).alias("trips_to"))
+    return _flow(trips, *keys, F.when(any_null(*keys), F.col("is_start")).alias("__side")).drop("__side")
 
 
 def stations_by_year(trips: DataFrame) -> DataFrame:
@@ -122,8 +126,8 @@ def stations_by_year(trips: DataFrame) -> DataFrame:
 
 
 def station_trip_counts(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(counts of named stations per year, dockless ends per year)."""
-    flow = station_flow(trips)
+    """(counts of named stations per year, dockless ends per year); trips without a year count as of one year."""
+    flow = _flow(trips, "year", "station")
     return flow.where("station is not null"), flow.where("station is null").select("year", F.col("trips_from").alias("dockless_from"), F.col("trips_to").alias("dockless_to"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,26 +36,31 @@ def first_of(df: DataFrame, candidates: list[str]) -> str | None:
 
 def select_final(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Exactly these columns, in this order, of these types; a missing one is null. A value that does not cast raises under ANSI."""
-    return df.select(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+    return df.select(*final_columns(df, types))
+
+
+def final_columns(df: DataFrame, types: dict[str, str]) -> list[Column]:
+    return [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
 
 
 def optional_as_text(df: DataFrame, columns: tuple[str, ...] = OPTIONAL_TEXT) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns if c in df.columns})
 
 
-def drop_all_null(df: DataFrame) -> DataFrame:
-    return df.dropna(how="all")
+def drop_all_null(df: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that hold anything in columns other than `but`."""
+    return df.where(reduce(or_, [F.col(f"`{c}`").isNotNull() for c in df.columns if c not in but], F.lit(False)))
 
 
-def remove_values(df: DataFrame, invalid: dict[str, list[str]]) -> tuple[DataFrame, DataFrame]:
-    """(rows without the curated bad values, audit of removed rows by column and value).
+def without_values(invalid: dict[str, list[str]]) -> Column:
+    """Rows that hold none of the curated bad values; a null in one of the columns does not pass either."""
+    return F.coalesce(reduce(and_, [~F.col(c).isin(v) for c, v in invalid.items()], F.lit(True)), F.lit(False))
+
 
-    As the reference semantics have it, a row whose column is null is removed
-    with them.
-    """
-    keep = [~F.col(c).isin(v) for c, v in invalid.items()]
+def remove_values(df: DataFrame, invalid: dict[str, list[str]]) -> tuple[DataFrame, DataFrame]:
+    """(rows that pass `without_values`, audit of removed rows by column and value)."""
     audit = [df.where(F.col(c).isin(v)).groupBy(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).agg(F.count("*").alias("rows")) for c, v in invalid.items()]
-    return df.where(reduce(lambda a, b: a & b, keep, F.lit(True))), reduce(DataFrame.unionByName, audit)
+    return df.where(without_values(invalid)), reduce(DataFrame.unionByName, audit)
 
 
 def any_null(*columns: str) -> Column:
@@ -77,3 +82,8 @@ def id_order(column: str) -> list[Column]:
     """Sort keys: numeric ids by value, then the others by text."""
     number = F.col(column).try_cast("bigint")
     return [number.isNull().asc(), number.asc(), F.col(column).asc()]
+
+
+def spread_by_month(trips: DataFrame) -> DataFrame:
+    """Rows of a month together, in as many tasks as their size asks for."""
+    return trips.hint("rebalance", "year", "month")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripforge.operators.quality import QualityError
+
 #: Rows of a block.
 BLOCK_ROWS = 100_000
 
@@ -37,11 +39,21 @@ def sandwich_fill(df: DataFrame, file: str, row: str, value: str, out: str, bloc
     return both.withColumn(out, F.when(F.col(value).isNotNull(), F.col(value)).when(low == high, low)).drop("__b", "__before", "__after", "__left", "__right")
 
 
-def monotonic_share(df: DataFrame, file: str, row: str, value: str) -> DataFrame:
-    """Per file the share of consecutive non-null values that do not fall; null for fewer than two values."""
-    w = Window.partitionBy(file).orderBy(row)
-    step = F.col(value) >= F.lag(value).over(w)
-    return df.where(F.col(value).isNotNull()).select(file, step.cast("int").alias("__ok")).groupBy(file).agg(F.round(F.avg("__ok"), 6).alias("share"), F.count("*").alias("n"))
+def monotonic_share(df: DataFrame, file: str, row: str, value: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Per file the share of consecutive non-null values that do not fall; null for fewer than two values. Steps between blocks are taken from one row per block."""
+    base = df.where(F.col(value).isNotNull()).select(file, row, value, F.floor(F.col(row) / block_rows).alias("__b"))
+    step = F.col(value) >= F.lag(value).over(Window.partitionBy(file, "__b").orderBy(row))
+    inner = base.withColumn("__ok", step).groupBy(file, "__b").agg(F.count_if("__ok").alias("__up"), F.count("*").alias("__n"), F.min_by(value, row).alias("__first"), F.max_by(value, row).alias("__last"))
+    across = F.col("__first") >= F.lag("__last").over(Window.partitionBy(file).orderBy("__b"))
+    whole = inner.withColumn("__ok", across).groupBy(file).agg((F.sum("__up") + F.count_if("__ok")).alias("__up"), F.sum("__n").alias("n"))
+    return whole.select(file, F.when(F.col("n") > 1, F.round(F.col("__up") / (F.col("n") - 1), 6)).alias("share"), "n")
+
+
+def require_sorted(shares: DataFrame, file: str, least: float = 0.999) -> DataFrame:
+    """`shares` if no file's share of rising steps is under `least`, else raises."""
+    if bad := shares.where(F.col("share") < least).orderBy("share", file).limit(5).collect():
+        raise QualityError(f"not sorted: {[(r[file], r.share) for r in bad]}")
+    return shares
 
 
 def null_unsorted(df: DataFrame, file: str, shares: DataFrame, column: str, least: float = 0.999) -> DataFrame:
@@ -54,3 +66,24 @@ def counters(filled: DataFrame, value: str, out: str) -> DataFrame:
     """How many values were there, were recovered, and stay missing."""
     kept: Column = F.col(value).isNotNull()
     return filled.agg(F.count_if(kept).alias("present"), F.count_if(~kept & F.col(out).isNotNull()).alias("recovered"), F.count_if(F.col(out).isNull()).alias("missing"))
+
+
+#: A clock cell that lost its hour: minutes, seconds and a fraction.
+LOST_HOUR = r"^\d{1,2}:\d{2}\.\d+$"
+
+
+def recover_clocks(df: DataFrame, file: str, row: str, arrival: str, departure: str, arrived_at: Column, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Repairs `MM:SS.s` cells of files that are sorted by arrival; `arrived_at` orders the whole cells.
+
+    An arrival gets the hour that the last whole arrival before it and the first
+    after it share; where they differ it becomes null. Departures that lost their
+    hour become null. A file that is not sorted by arrival raises.
+    """
+    whole = F.when(~F.col(arrival).rlike(LOST_HOUR), arrived_at)
+    require_sorted(monotonic_share(df.withColumn("__at", whole), file, row, "__at", block_rows), file)
+    hour = F.when(~F.col(arrival).rlike(LOST_HOUR), F.split(arrival, ":")[0].try_cast("int"))
+    filled = sandwich_fill(df.withColumn("__hour", hour), file, row, "__hour", "__filled", block_rows)
+    minutes = F.split(arrival, r"[:.]")
+    told = F.concat_ws(":", F.lpad(F.col("__filled").cast("string"), 2, "0"), F.lpad(minutes[0], 2, "0"), minutes[1])
+    repaired = F.when(~F.col(arrival).rlike(LOST_HOUR), F.col(arrival)).when(F.col("__filled").isNotNull(), told)
+    return filled.withColumns({arrival: repaired, departure: F.when(~F.col(departure).rlike(LOST_HOUR), F.col(departure))}).drop("__hour", "__filled")

@@ -2,30 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripforge.work import saved
 
+#: Edges that a task contracts at a time.
+CONTRACTED = 500_000
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of up to about CONTRACTED rows as stars: each node with the smallest one that these edges reach."""
+    parent: dict = {}
+    kind = None
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    def stars() -> pa.RecordBatch:
+        nodes = list(parent)
+        return pa.RecordBatch.from_arrays([pa.array([root(x) for x in nodes], kind), pa.array(nodes, kind)], ["a", "b"])
+
+    held = 0
+    for batch in batches:
+        kind = batch.column(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+        held += batch.num_rows
+        if held >= CONTRACTED:
+            yield stars()
+            parent.clear()
+            held = 0
+    if parent:
+        yield stars()
+
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, label) with label the smallest node reachable; `edges` has columns a and b of one orderable type.
 
-    Minimum labels spread along edges, then each label jumps to its own label,
-    so that a path of length n takes about log n rounds. Every round is a
-    partially aggregated group-by and two equi-joins, written to the shared
-    folder. No edges give an empty table. Self loops and repeated edges change
-    nothing. Not reaching a fixed point in `max_rounds` raises.
+    Tasks first contract the edges that they hold to stars, which shortens
+    paths. Then minimum labels spread along what is left, and each label jumps to
+    its own label, so that a path of length n takes about log n rounds. Every
+    round is one job, a partially aggregated group-by and two equi-joins, written
+    to the shared folder with a count of the labels that changed. No edges give an
+    empty table. Self loops and repeated edges change nothing. Not reaching a
+    fixed point in `max_rounds` raises.
     """
+    pairs = edges.where("a is not null and b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    stars = pairs.mapInArrow(_contract, pairs.schema)
     ends = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
-    both = saved(edges.where("a is not null and b is not null").select(F.explode(ends).alias("e")).select("e.src", "e.dst").distinct(), "edges")
+    both = saved(stars.select(F.explode(ends).alias("e")).select("e.src", "e.dst").distinct(), "edges")
     labels = saved(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("label")), "labels")
     for _ in range(max_rounds):
-        spread = both.join(labels, both.src == labels.node).select(F.col("dst").alias("node"), "label").unionByName(labels).groupBy("node").agg(F.min("label").alias("near"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        seen = both.join(labels, both.src == labels.node).select(F.col("dst").alias("node"), "label").unionByName(own, allowMissingColumns=True)
+        spread = seen.groupBy("node").agg(F.min("label").alias("near"), F.max("was").alias("was"))
         to = labels.select(F.col("node").alias("at"), F.col("label").alias("far"))
-        moved = saved(spread.join(to, spread.near == to["at"]).select("node", F.least("near", "far").alias("label")), "labels")
-        changed = moved.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").limit(1).count()
-        labels = moved
-        if not changed:
+        moved = spread.join(to, spread.near == to["at"]).select("node", F.least("near", "far").alias("label"), "was")
+        told = Observation()
+        labels = saved(moved.observe(told, F.count_if(F.col("label") != F.col("was")).alias("changed")).select("node", "label"), "labels")
+        if not told.get["changed"]:
             return labels
     raise RuntimeError(f"components not settled after {max_rounds} rounds")

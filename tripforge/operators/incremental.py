@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.operators.columns import spread_by_month
 from tripforge.work import saved
 
 SIGNATURE = ("path", "length", "modified")
@@ -48,50 +51,124 @@ def touched_months(old_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
     return old_rows.select("year", "month").unionByName(new_rows.select("year", "month")).distinct()
 
 
-def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, read: Callable[[list[str]], DataFrame], table: str, force: bool = False) -> list[str]:
-    """Brings the partitioned trip table at `table` up to date; returns the inputs that were processed.
+#: Months of a table that are taken as folder names to the driver, at most.
+MONTHS = 100_000
 
-    `read(paths)` gives trips with year, month and source_file. Rows of changed
-    and removed inputs leave the months that they are in, rows of changed inputs
-    enter; only those months are overwritten. Paths, not rows, are collected:
-    as many as there are changed files.
-    """
-    todo = [r.path for r in (current if force else changed(current, stored)).select("path").orderBy("path").collect()]
-    gone = [r.path for r in removed(current, stored).select("path").collect()]
-    if not todo and not gone:
-        return []
-    stale = [*todo, *gone]
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at `path`; None where there is none yet or it has no rows."""
     try:
-        existing = spark.read.parquet(table)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        existing = None
-    fresh = read(todo) if todo else None
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _files(spark: SparkSession, path: str):
+    """(Hadoop file system, function from text to its paths)."""
+    jvm = spark.sparkContext._jvm
+    to_path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def month_folder() -> Column:
+    """The folder of a row's month below a table, as Spark names it."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return F.concat(F.lit("year="), name("year"), F.lit("/month="), name("month"))
+
+
+def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, read: Callable[[list[str]], DataFrame], table: str, force: bool = False) -> DataFrame:
+    """Brings the partitioned trip table at `table` up to date; returns the manifest to store.
+
+    `current` has path, length and modified, `stored` the same and outputs, the
+    months that each input went into. An input is processed if it is new, has
+    changed, lacks one of its outputs, or with `force`. `read(paths)` gives
+    trips with year, month and source_file. Rows of processed and removed inputs
+    leave the months that they are in, new rows enter; only those months are
+    written. The manifest comes back with status (processed or kept). Paths, not
+    rows, are collected: as many as there are files to process.
+    """
+    now = saved(current.select(*SIGNATURE), "current")
+    outputs = stored.select("path", "outputs") if "outputs" in stored.columns else stored.select("path", F.array().cast("array<string>").alias("outputs"))
+    outputs = saved(outputs, "outputs")
+    lacking = _lacking(spark, outputs, table)
+    due = now if force else changed(now, stored).unionByName(now.join(lacking, "path", "left_semi")).distinct()
+    due = saved(due, "due")
+    todo = [r.path for r in due.select("path").orderBy("path").collect()]
+    stale = saved(due.select("path").unionByName(removed(now, stored).select("path")).distinct().select(F.col("path").alias("__stale")), "stale")
+    made = None
+    if stale.limit(1).count():
+        fresh = saved(read(todo), "fresh") if todo else None
+        _replace(spark, stale, fresh, table)
+        if fresh is not None:
+            made = fresh.select(F.col("source_file").alias("path"), month_folder().alias("o")).distinct().groupBy("path").agg(F.array_sort(F.collect_list("o")).alias("made"))
+    return recorded(now, outputs, due, made)
+
+
+def recorded(now: DataFrame, outputs: DataFrame, due: DataFrame, made: DataFrame | None) -> DataFrame:
+    """The manifest after a run: path, length, modified, outputs, status. Inputs in `due` (path) have the outputs that `made` (path, made) lists, which may be none, all others keep theirs."""
+    out = now.join(outputs, "path", "left").join(due.select("path", F.lit(True).alias("__due")), "path", "left")
+    out = out.join(made, "path", "left") if made is not None else out.withColumn("made", F.lit(None).cast("array<string>"))
+    none = F.array().cast("array<string>")
+    processed = F.col("__due").isNotNull()
+    return out.select(*SIGNATURE, F.when(processed, F.coalesce("made", none)).otherwise(F.coalesce("outputs", none)).alias("outputs"), F.when(processed, "processed").otherwise("kept").alias("status"))
+
+
+def _lacking(spark: SparkSession, outputs: DataFrame, table: str) -> DataFrame:
+    """Inputs (path) with an output whose folder below `table` is gone."""
+    each = outputs.select("path", F.explode("outputs").alias("o"))
+    names = [r.o for r in each.select("o").distinct().limit(MONTHS + 1).collect()]
+    if len(names) > MONTHS:
+        raise ValueError(f"more than {MONTHS} months in the manifest")
+    fs, to_path = _files(spark, table)
+    gone = [n for n in names if not fs.exists(to_path(f"{table}/{n}"))]
+    return each.join(F.broadcast(spark.createDataFrame([(n,) for n in gone], "o string")), "o", "left_semi").select("path").distinct()
+
+
+def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, table: str) -> None:
+    """Takes the rows of stale inputs (__stale) out of the table and puts the fresh ones in, rewriting the months of both."""
+    existing = _table(spark, table)
     if existing is None:
         if fresh is not None:
-            fresh.repartition("year", "month").write.partitionBy("year", "month").mode("overwrite").parquet(table)
-        return todo
-    own = existing.where(F.col("source_file").isin(stale))
-    months = touched_months(own, fresh) if fresh is not None else own.select("year", "month").distinct()
-    kept = existing.join(F.broadcast(months), [existing.year.eqNullSafe(months.year), existing.month.eqNullSafe(months.month)], "left_semi").where(~F.col("source_file").isin(stale))
-    new = kept.unionByName(fresh, allowMissingColumns=True) if fresh is not None else kept
+            spread_by_month(fresh).write.partitionBy("year", "month").mode("overwrite").parquet(table)
+        return
+    old = existing.join(stale, existing.source_file == stale["__stale"], "left_semi")
+    months = saved(touched_months(old, fresh) if fresh is not None else old.select("year", "month").distinct(), "months")
+    slim = months.toDF("__year", "__month")
+    slim = F.broadcast(slim) if slim.limit(MONTHS + 1).count() <= MONTHS else slim
+    kept = existing.join(slim, existing.year.eqNullSafe(slim["__year"]) & existing.month.eqNullSafe(slim["__month"]), "left_semi").join(stale, existing.source_file == stale["__stale"], "left_anti")
     # the table is read and written at once, so the new months are set down first
-    new = saved(new, "months")
-    whole = [(r.year, r.month) for r in months.collect()]
-    left = {(r.year, r.month) for r in new.select("year", "month").distinct().collect()}
-    new.repartition("year", "month").write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
-    _drop_months(spark, table, [m for m in whole if m not in left])
-    return todo
-
-
-def _drop_months(spark: SparkSession, table: str, months: list[tuple]) -> None:
-    """Removes the folders of months that have no rows left."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for y, m in months:
-        folder = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in (("year", y), ("month", m)))
-        path = jvm.org.apache.hadoop.fs.Path(f"{table}/{folder}")
-        path.getFileSystem(conf).delete(path, True)
+    new = saved(kept.unionByName(fresh, allowMissingColumns=True) if fresh is not None else kept, "months")
+    spread_by_month(new).write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
+    left = new.select("year", "month").distinct().toDF("__y", "__m")
+    empty = months.join(left, months.year.eqNullSafe(left["__y"]) & months.month.eqNullSafe(left["__m"]), "left_anti")
+    fs, to_path = _files(spark, table)
+    for r in empty.select(month_folder().alias("o")).toLocalIterator():
+        fs.delete(to_path(f"{table}/{r.o}"), True)
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The stored manifest; an empty one where none is stored yet."""
+    found = _table(spark, path)
+    return spark.createDataFrame([], "path string, length long, modified timestamp_ntz, outputs array<string>") if found is None else found
+
+
+def store_manifest(rows: DataFrame, path: str) -> None:
+    """Writes the manifest beside the old one and then takes its place."""
+    spark = rows.sparkSession
+    fs, to_path = _files(spark, path)
+    beside = f"{path}-{uuid.uuid4().hex}"
+    rows.select(*SIGNATURE, "outputs").write.parquet(beside)
+    fs.delete(to_path(path), True)
+    fs.rename(to_path(beside), to_path(path))
+
+
+def run(spark: SparkSession, current: DataFrame, state: str, read: Callable[[list[str]], DataFrame], table: str, force: bool = False) -> DataFrame:
+    """One incremental run: the stored manifest at `state`, the changes, the new manifest, which comes back with each input's status."""
+    after = saved(apply_changes(spark, current, load_manifest(spark, state), read, table, force), "manifest")
+    store_manifest(after, state)
+    return after
 
 
 def write_by_file(rows: DataFrame, path: str) -> None:

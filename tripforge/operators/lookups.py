@@ -32,8 +32,13 @@ def name_both_ends(trips: DataFrame, dim: DataFrame, allowed: list[str] = (), ho
     return out
 
 
+def both_named(trips: DataFrame) -> DataFrame:
+    """Trips with a name at both ends."""
+    return trips.where("start_station_name is not null and end_station_name is not null")
+
+
 def renumber_and_name(trips: DataFrame, mapping: DataFrame, dim: DataFrame, on_missing: str = "raise") -> DataFrame:
-    """Legacy ids to new ids by mapping(legacy_id, new_id), then to names. `drop` loses trips that lack one, `raise` names them."""
+    """Legacy ids to new ids by mapping(legacy_id, new_id), then to names. `drop` loses trips that lack one, `raise` names them, `keep` keeps them."""
     mapping = small(mapping.dropDuplicates(["legacy_id"]))
     out = trips
     for end in ("start", "end"):
@@ -44,7 +49,7 @@ def renumber_and_name(trips: DataFrame, mapping: DataFrame, dim: DataFrame, on_m
         bad = out.where(lost).select("start_station_id", "end_station_id").distinct().orderBy("start_station_id", "end_station_id").limit(5).collect()
         if bad:
             raise ValueError(f"trips whose stations have no new id or name: {[tuple(r) for r in bad]}")
-    return out.where(~lost)
+    return out if on_missing == "keep" else both_named(out)
 
 
 def name_by_year(trips: DataFrame, yearly: DataFrame) -> DataFrame:

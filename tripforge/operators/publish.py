@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,18 +66,44 @@ def merge_section(results: dict[str, dict[str, DataFrame]], output: Output) -> D
     return merged
 
 
+#: Rows of an output that go into one file; larger ones are several files in order.
+ROWS_PER_FILE = 1_000_000
+
+
 def publish(results: dict[str, dict[str, DataFrame]], outputs: list[Output], root: str, version: int = 1) -> dict[str, int]:
-    """Builds and checks every output, then writes all as JSON lines under root/v<version>; rows in key order, so that a rerun gives the same bytes."""
+    """Builds and checks every output, writes all beside root/v<version>, and only then moves them there as JSON lines.
+
+    Rows are in key order, so that a rerun gives the same bytes. A failure before
+    the move leaves the published files as they were.
+    """
     validate(outputs)
     built = {o.name: (saved(merge_section(results, o), o.name), o) for o in outputs}
-    counts = {}
+    spark = next(iter(built.values()))[0].sparkSession if built else None
+    counts, beside = {}, f"{root}/.v{version}-{uuid.uuid4().hex}"
     for name, (df, o) in built.items():
-        columns = sorted(df.columns)
-        df.select(*columns).orderBy(*o.key).coalesce(1).write.mode("overwrite").json(f"{root}/v{version}/{name}")
         counts[name] = df.count()
+        ordered = df.select(*sorted(df.columns)).orderBy(*o.key)
+        (ordered.coalesce(1) if counts[name] <= ROWS_PER_FILE else ordered).write.json(f"{beside}/{name}")
+    if built:
+        _take_place(spark, beside, f"{root}/v{version}", list(built))
     return counts
 
 
+def _take_place(spark: SparkSession, beside: str, target: str, names: list[str]) -> None:
+    """Moves the folders `names` from `beside` into `target`; what they replace is deleted after all have moved."""
+    jvm = spark.sparkContext._jvm
+    to_path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = to_path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to_path(target))
+    fs.mkdirs(to_path(f"{beside}/.old"))
+    for name in names:
+        if fs.exists(to_path(f"{target}/{name}")) and not fs.rename(to_path(f"{target}/{name}"), to_path(f"{beside}/.old/{name}")):
+            raise OSError(f"{target}/{name} could not be moved")
+        if not fs.rename(to_path(f"{beside}/{name}"), to_path(f"{target}/{name}")):
+            raise OSError(f"{beside}/{name} could not be moved")
+    fs.delete(to_path(beside), True)
+
+
 def small_json(df: DataFrame, order: list[str], limit: int = 100_000, minified: bool = True, sort_keys: bool = False) -> str:
     """A small result as one JSON array; more than `limit` rows raise, as they belong into write.json."""
     rows = df.orderBy(*order).limit(limit + 1).toJSON().collect() if order else df.limit(limit + 1).toJSON().collect()

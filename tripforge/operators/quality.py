@@ -1,19 +1,27 @@
 """Quality gates: a value that is there but cannot be parsed, mapped or joined stops the job and is named.
 
-A gate is one aggregate over all checks; `examples` offenders of each go into
-the message. `offenders` gives the rows themselves for a quarantine instead.
+A gate is one aggregate over all checks; `EXAMPLES` offenders of each go into
+the message. Checks of several steps can be noted on the rows (`marked`) and
+settled in one aggregate at the end (`settled`). `offenders` gives the values
+themselves for a quarantine instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripforge.functions.values import is_known
 
 
+#: Offenders of a check that a message shows.
+EXAMPLES = 5
+#: The column that holds findings until they are settled.
+GATE = "__gate"
+
+
 class QualityError(ValueError):
     """A gate that did not pass."""
 
@@ -31,30 +39,59 @@ def unmapped(raw: Column, table: dict) -> Column:
     return ~is_known(raw, table)
 
 
-def check(df: DataFrame, checks: dict[str, tuple[Column, Column]], examples: int = 5) -> DataFrame:
-    """One row per check: name, n, and the `examples` smallest offending values. checks: name -> (bad, value shown)."""
-    one = [F.struct(F.lit(name).alias("name"), bad.alias("bad"), value.cast("string").alias("value")) for name, (bad, value) in checks.items()]
-    rows = df.select(F.explode(F.array(*one)).alias("c")).where("c.bad").select("c.name", "c.value")
-    counted = rows.groupBy("name", "value").agg(F.count("*").alias("n"))
-    # distinct values are summed up by name; a top list keeps the shown ones bounded
-    total = counted.groupBy("name").agg(F.sum("n").alias("n"), F.count("*").alias("n_values"), F.min("value").alias("first_value"))
-    return total.select("name", "n", "n_values", "first_value")
+def _found(name_value: DataFrame) -> DataFrame:
+    """name, n, n_values and examples (the EXAMPLES smallest values) from a row (name, value) per finding."""
+    counted = name_value.groupBy("name", "value").agg(F.count("*").alias("n"))
+    total = counted.groupBy("name").agg(F.sum("n").alias("n"), F.count("*").alias("n_values"))
+    first = counted.withColumn("r", F.row_number().over(Window.partitionBy("name").orderBy("value"))).where(F.col("r") <= EXAMPLES)
+    return total.join(first.groupBy("name").agg(F.array_sort(F.collect_list("value")).alias("examples")), "name")
+
+
+def _marks(checks: dict[str, tuple[Column, Column]]) -> Column:
+    one = [F.when(bad, F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"))) for name, (bad, value) in checks.items()]
+    return F.array_compact(F.array(*one))
 
 
-def offenders(df: DataFrame, bad: Column, value: Column, limit: int = 5) -> list[str]:
+def check(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """One row per check with findings: name, n, n_values, examples. checks: name -> (bad, value shown)."""
+    return _found(df.select(F.explode(_marks(checks)).alias("c")).select("c.name", "c.value"))
+
+
+def offenders(df: DataFrame, bad: Column, value: Column, limit: int = EXAMPLES) -> list[str]:
     """The first distinct offending values in order, for a message."""
     return [r[0] for r in df.where(bad).select(value.cast("string").alias("v")).distinct().orderBy("v").limit(limit).collect()]
 
 
-def gate(df: DataFrame, checks: dict[str, tuple[Column, Column]], examples: int = 5) -> DataFrame:
+def _raise_any(found: DataFrame) -> None:
+    if rows := found.orderBy("name").collect():
+        raise QualityError("; ".join(f"{r.name}: {r.n} rows, such as {r.examples}" for r in rows))
+
+
+def gate(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
     """Returns `df` if no check finds a row, else raises QualityError that names the checks and offenders."""
-    found = check(df, checks).orderBy("name").collect()
-    if found:
-        said = [f"{r.name}: {r.n} rows, such as {offenders(df, *checks[r.name], examples)}" for r in found]
-        raise QualityError("; ".join(said))
+    _raise_any(check(df, checks))
     return df
 
 
+def marked(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Notes what the checks find in the column GATE, for `settled`."""
+    marks = _marks(checks)
+    return df.withColumn(GATE, F.concat(GATE, marks) if GATE in df.columns else marks)
+
+
+def unmarked() -> Column:
+    """Rows without findings so far."""
+    return F.size(GATE) == 0
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` without GATE if no row has findings, else raises QualityError; one aggregate, whatever the number of checks."""
+    if GATE not in df.columns:
+        return df
+    _raise_any(_found(df.select(F.explode(GATE).alias("c")).select("c.name", "c.value")))
+    return df.drop(GATE)
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     if missing := [c for c in columns if c not in df.columns]:
         raise QualityError(f"columns missing: {', '.join(missing)}")
@@ -80,3 +117,11 @@ def coverage(counts: DataFrame, kept: str, named: str, least: float) -> DataFram
     """Adds coverage = kept / named and ok; nothing named counts as covered."""
     share = F.when(F.col(named) == 0, 1.0).otherwise(F.round(F.col(kept) / F.col(named), 6))
     return counts.withColumn("coverage", share).withColumn("ok", F.col("coverage") >= least)
+
+
+def require_coverage(counts: DataFrame, kept: str, named: str, least: float) -> DataFrame:
+    """`counts` with coverage; a row under `least` raises."""
+    rows = coverage(counts, kept, named, least)
+    if low := rows.where(~F.col("ok")).limit(EXAMPLES).collect():
+        raise QualityError(f"coverage under {least}: {[r.asDict() for r in low]}")
+    return rows

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripforge.operators.columns import id_order
 from tripforge.operators.lookups import latest_per_key
 
+#: Rows of a table that go into one file.
+ROWS_PER_FILE = 1_000_000
+
 
 def newest(files: DataFrame, key: str, values: list[str], order: list[str]) -> DataFrame:
     """One row per id from many dated files; blank ids are left out."""
@@ -39,9 +43,11 @@ def differs(old: DataFrame, new: DataFrame) -> bool:
     return bool(tagged.groupBy(*columns).agg(F.sum("__n").alias("n")).where("n <> 0").limit(1).count())
 
 
-def write_if_changed(old: DataFrame | None, new: DataFrame, path: str) -> bool:
-    """Writes `new` as CSV to `path` unless `old` holds the same rows; says whether it wrote."""
+def write_if_changed(old: DataFrame | None, new: DataFrame, path: str, key: str = "id") -> bool:
+    """Writes `new` as CSV to `path`, in order of ids, unless `old` holds the same rows; says whether it wrote. Up to ROWS_PER_FILE rows are one file."""
     if old is not None and not differs(old, new):
         return False
-    new.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    ordered = new.orderBy(*id_order(key))
+    few = new.limit(ROWS_PER_FILE + 1).count() <= ROWS_PER_FILE
+    (ordered.coalesce(1) if few else ordered).write.mode("overwrite").option("header", True).csv(path)
     return True

@@ -1,16 +1,19 @@
 """Declarative feeds: how one system's raw files become canonical trips.
 
 A feed names its steps; steps are functions (DataFrame, FeedSpec) -> DataFrame in
-a registry that users extend with `register_step`. Files are grouped by header,
-each group is read with its own all-text schema and goes through the steps, and
-the groups are united on the final columns.
+a registry that users extend with `register_step`. Files are grouped by charset
+and header, each group is read with its own all-text schema and goes through the
+steps, and the groups are united on the final columns.
+
+Steps note values that they cannot take on the rows; one aggregate over all
+groups settles them before a feed is handed out.
 """
 
 from __future__ import annotations
 
 import json
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, fields
 from functools import reduce
 
@@ -20,16 +23,34 @@ from pyspark.sql import functions as F
 from tripforge.functions import time as tm
 from tripforge.functions import values as vl
 from tripforge.operators import columns as cols
-from tripforge.operators import lookups, quality
+from tripforge.operators import fill, lookups, quality
 from tripforge.sources import files as src
+from tripforge.sources import lines as ln
 
 BASE_COLUMNS = {"start_time": "timestamp_ntz", "end_time": "timestamp_ntz", "start_station_name": "string", "end_station_name": "string"}
 #: Names of column types in feed files; others count as text.
 TYPES = {"Utf8": "string", "String": "string", "Int64": "bigint", "Float64": "double", "Date": "date", "Datetime": "timestamp_ntz", "Boolean": "boolean"}
 
 
+#: Columns that the library adds to raw rows; no step of a feed takes them for data.
+OWN = ("source_file", "source_row", "_corrupt", quality.GATE)
+
+
 @dataclass
 class FeedSpec:
+    """One system's feed.
+
+    Files: `include` and `exclude` pick paths; `sep` and `encoding` hold for
+    headers and rows, with `detect_encoding` files that are valid UTF-8 are read
+    as such; `json_fields` are the fields of `.json` files of JSON lines.
+    Lines: `fixes` (part of a file's name, old, new), `delimiters` and
+    `drop_unbalanced` repair them; `headers` (part of a file's name, header) and
+    `headers_by_arity` are for files without a header of their own.
+    Rows: another width than the header's raises, with `quarantine` such rows are
+    left out and `quarantined` gives them; `ordered` adds source_row.
+    Columns in `required` must be there once the final ones are selected.
+    """
+
     name: str
     steps: list[str]
     rename: dict[str, str] = field(default_factory=dict)
@@ -38,13 +59,31 @@ class FeedSpec:
     final: dict[str, str] = field(default_factory=lambda: dict(BASE_COLUMNS))
     sep: str = ","
     encoding: str = "UTF-8"
+    detect_encoding: bool = False
+    json_fields: list[str] = field(default_factory=list)
     null_values: list[str] = field(default_factory=list)
     include: list[str] = field(default_factory=list)
     exclude: list[str] = field(default_factory=list)
+    fixes: list[tuple[str, str, str]] = field(default_factory=list)
+    delimiters: bool = False
+    drop_unbalanced: bool = False
+    headers: list[tuple[str, str]] = field(default_factory=list)
+    headers_by_arity: list[str] = field(default_factory=list)
+    quarantine: bool = False
+    ordered: bool = False
+    required: list[str] = field(default_factory=lambda: ["start_time"])
     invalid: dict[str, list[str]] = field(default_factory=dict)
     allowed_ids: list[str] = field(default_factory=list)
+    date_formats: list[str] = field(default_factory=lambda: ["y-M-d"])
+    clock_formats: list[str] = field(default_factory=lambda: ["H:m:s"])
+    lost_hour_files: list[str] = field(default_factory=list)
+    eras: list[dict] = field(default_factory=list)
+    on_missing: str = "raise"
     before: list[str] = field(default_factory=list)
+    #: Dimensions, which a feed's text cannot hold: id, name; legacy_id, new_id; year, code, name.
     stations: DataFrame | None = None
+    renumbering: DataFrame | None = None
+    yearly_stations: DataFrame | None = None
 
     @classmethod
     def parse(cls, text: str) -> FeedSpec:
@@ -86,19 +125,28 @@ def _null_values(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 @register_step("drop_all_null")
 def _drop_all_null(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    return cols.drop_all_null(df)
+    return cols.drop_all_null(df, OWN)
+
+
+@register_step("optional_as_text")
+def _optional_as_text(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    return cols.optional_as_text(df)
 
 
 @register_step("remove_invalid")
 def _remove_invalid(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    return cols.remove_values(df, spec.invalid)[0] if spec.invalid else df
+    """Rows with findings stay, so that what a step could not take is not lost without a word."""
+    own = {c: v for c, v in spec.invalid.items() if c in df.columns}
+    keep = cols.without_values(own)
+    return df.where(keep | ~quality.unmarked() if quality.GATE in df.columns else keep)
 
 
 def _parsed(df: DataFrame, parse: Callable) -> DataFrame:
-    """Parses start_time and end_time where they are text, and stops at values that do not parse."""
+    """Parses start_time and end_time where they are text; values that do not parse are findings."""
     todo = [c for c in ("start_time", "end_time") if dict(df.dtypes).get(c) == "string"]
-    new = df.withColumns({f"__{c}": parse(F.col(c)) for c in todo})
-    quality.gate(new, {c: (quality.unparsed(F.col(c), F.col(f"__{c}")), F.col(c)) for c in todo}) if todo else None
+    if not todo:
+        return df
+    new = quality.marked(df.withColumns({f"__{c}": parse(F.col(c)) for c in todo}), {c: (quality.unparsed(F.col(c), F.col(f"__{c}")), F.col(c)) for c in todo})
     return new.drop(*todo).withColumnsRenamed({f"__{c}": c for c in todo})
 
 
@@ -119,7 +167,29 @@ def _parse_local_times(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 @register_step("epoch_millis")
 def _epoch_millis(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    return df.withColumns({c: tm.from_epoch_millis(F.col(c)) for c in ("start_time", "end_time") if dict(df.dtypes).get(c) == "string"})
+    return _parsed(df, tm.from_epoch_millis)
+
+
+@register_step("recover_times")
+def _recover_times(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Clock cells of `lost_hour_files` that lost their hour; needs `ordered`, and comes before steps that join."""
+    own = reduce(lambda a, b: a | b, [F.col("source_file").endswith("/" + f) for f in spec.lost_hour_files], F.lit(False))
+    whole = tm.combine_date_time(F.col("end_date"), F.col("end_clock"), tuple(spec.date_formats), tuple(spec.clock_formats))
+    lost = df.where(own)
+    repaired = fill.recover_clocks(lost, "source_file", "source_row", "end_clock", "start_clock", whole) if spec.lost_hour_files else lost
+    return df.where(~own).unionByName(repaired)
+
+
+@register_step("combine_times")
+def _combine_times(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """start_time and end_time from start_date, start_clock, end_date and end_clock."""
+    quality.require_columns(df, ("start_date", "start_clock", "end_date", "end_clock"))
+    out = df
+    for end in ("start", "end"):
+        date, clock = F.col(f"{end}_date"), F.col(f"{end}_clock")
+        out = out.withColumn(f"{end}_time", tm.combine_date_time(date, clock, tuple(spec.date_formats), tuple(spec.clock_formats)))
+        out = quality.marked(out, {f"{end}_time": (quality.present(date) & quality.present(clock) & F.col(f"{end}_time").isNull(), F.concat_ws(" ", date, clock))})
+    return out.drop("start_date", "start_clock", "end_date", "end_clock")
 
 
 @register_step("two_digit_years")
@@ -145,15 +215,13 @@ def _end_from_duration(df: DataFrame, spec: FeedSpec) -> DataFrame:
 @register_step("odd_hour_duration")
 def _odd_hour_duration(df: DataFrame, spec: FeedSpec) -> DataFrame:
     new = df.withColumn("__d", tm.hms_to_seconds(F.col("duration")))
-    quality.gate(new, {"duration": (quality.unparsed(F.col("duration"), F.col("__d")), F.col("duration"))})
-    return new.drop("duration").withColumnRenamed("__d", "duration")
+    return quality.marked(new, {"duration": (quality.unparsed(F.col("duration"), F.col("__d")), F.col("duration"))}).drop("duration").withColumnRenamed("__d", "duration")
 
 
 def _vocabulary(df: DataFrame, raw: str, out: str, table: dict) -> DataFrame:
     if raw not in df.columns:
         return df
-    quality.gate(df, {raw: (quality.unmapped(F.col(raw), table), F.col(raw))})
-    return df.withColumn(out, vl.mapped(F.col(raw), table))
+    return quality.marked(df, {raw: (quality.unmapped(F.col(raw), table), F.col(raw))}).withColumn(out, vl.mapped(F.col(raw), table))
 
 
 @register_step("gender")
@@ -175,25 +243,65 @@ def _bike_type(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 @register_step("birth_year")
 def _birth_year(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    return df.withColumn("birth_year", vl.birth_year(F.col("birth_year"))) if "birth_year" in df.columns else df
+    if "birth_year" not in df.columns:
+        return df
+    raw = F.col("birth_year")
+    return quality.marked(df, {"birth_year": (~vl.is_year(raw), raw)}).withColumn("birth_year", vl.birth_year(raw, strict=False))
+
+
+@register_step("station_ids")
+def _station_ids(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    return df.withColumns({c: vl.station_id(F.col(c)) for c in ("start_station_id", "end_station_id") if c in df.columns})
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """Findings for ids that got no name."""
+    ends = [(f"{end}_station_id", f"{end}_station_name") for end in ("start", "end")]
+    return quality.marked(df, {f"{key} without a name": (F.col(key).isNotNull() & F.col(name).isNull(), F.col(key)) for key, name in ends})
 
 
 @register_step("station_names")
 def _station_names(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    if bad := lookups.uncovered_ids(df, spec.stations, spec.allowed_ids).orderBy(*cols.id_order("id")).limit(5).collect():
-        raise quality.QualityError(f"station ids without a name: {[r.id for r in bad]}")
-    return lookups.name_both_ends(df, spec.stations, spec.allowed_ids)
+    return _named(lookups.name_both_ends(df, spec.stations, spec.allowed_ids))
+
+
+@register_step("renumber_stations")
+def _renumber_stations(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Legacy ids to new ones and to names; with on_missing `drop`, trips that lack one are left out."""
+    out = lookups.renumber_and_name(df, spec.renumbering, spec.stations, "keep")
+    return lookups.both_named(out) if spec.on_missing == "drop" else _named(out)
+
+
+@register_step("stations_by_year")
+def _stations_by_year(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    out = lookups.name_by_year(df, spec.yearly_stations)
+    codes = [(f"{end}_station_code", f"{end}_station_name") for end in ("start", "end")]
+    return quality.marked(out, {f"{key} without a name": (F.col(key).isNotNull() & F.col(name).isNull(), F.col(key)) for key, name in codes})
+
+
+@register_step("by_era")
+def _by_era(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The steps of the first of `eras` ({"has": columns, "steps": names}) whose columns are all there; none raises."""
+    for era in spec.eras:
+        if set(era["has"]) <= set(df.columns):
+            return _run_steps(df, spec, era["steps"])
+    raise quality.QualityError(f"{spec.name}: no era has the columns {', '.join(df.columns)}")
 
 
 @register_step("select_final")
 def _select_final(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    extra = [c for c in ("source_file",) if c in df.columns]
-    return cols.select_final(df, spec.final | dict.fromkeys(extra, "string"))
+    quality.require_columns(df, [c for c in spec.required if c in spec.final])
+    own = [c for c in OWN if c in df.columns]
+    return df.select(*cols.final_columns(df, spec.final), *own)
+
+
+def _run_steps(df: DataFrame, spec: FeedSpec, steps: list[str]) -> DataFrame:
+    return reduce(lambda d, name: STEPS[name](d, spec), steps, df)
 
 
 def apply_steps(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    """The feed's steps in order; a name that is not registered raises KeyError."""
-    return reduce(lambda d, name: STEPS[name](d, spec), spec.steps, df)
+    """The feed's steps in order, settled; a name that is not registered raises KeyError."""
+    return quality.settled(_run_steps(df, spec, spec.steps))
 
 
 Hook = Callable[[SparkSession, FeedSpec], None]
@@ -221,18 +329,76 @@ def run_hooks(spark: SparkSession, spec: FeedSpec) -> list[str]:
     return failed
 
 
+def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding: str) -> Iterator[DataFrame]:
+    """Raw rows of files of one charset, a table per header, with source_file and the order of rows."""
+    repaired = lambda own: ln.cleaned(src.read_lines(spark, own, encoding), spec.fixes, spec.drop_unbalanced, spec.delimiters)
+    place = [F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__n")] if spec.ordered else []
+    if not (spec.fixes or spec.drop_unbalanced or spec.delimiters or spec.headers or spec.headers_by_arity):
+        for header, own in sorted(src.header_signatures(spark, paths, spec.sep, encoding).items()):
+            yield src.read_csv(spark, own, list(header), spec.sep, encoding, quarantine=spec.quarantine).select("*", src.file_path().alias("source_file"), *place)
+        return
+    sep = "," if spec.delimiters else spec.sep
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    lines = repaired(paths)
+    arity = {len(src.parse_header(h, sep)): h for h in spec.headers_by_arity}
+    firsts = ln.header_for_files(src.first_lines(lines).withColumnRenamed("header", "line"), spec.headers)
+    known = firsts.where("header is not null").select("file", "header", F.lit(False).alias("own"))
+    rest = firsts.where("header is null").select("file", F.lit(0).alias("n"), "line")
+    if arity:
+        rest = ln.header_by_arity(rest, arity, sep).select("file", "header", F.col("has_header").alias("own"))
+    else:
+        rest = rest.select("file", F.col("line").alias("header"), F.lit(True).alias("own"))
+    for r in known.unionByName(rest).orderBy("file").collect():
+        groups.setdefault((r.header, r.header if r.own else None), []).append(r.file)
+    for (header, line), own in sorted(groups.items(), key=str):
+        rows = repaired(own)
+        rows = (rows if line is None else rows.where(F.col("line") != line)).withColumnsRenamed({"file": "source_file", "start": "__start", "n": "__n"})
+        names = src.parse_header(header, sep)
+        yield ln.parse_lines(rows, src.text_schema(list(names)), sep, spec.quarantine).select(*[f"`{c}`" for c in names], *(["_corrupt"] if spec.quarantine else []), "source_file", *(["__start", "__n"] if spec.ordered else []))
+
+
+def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[DataFrame]:
+    """The feed's files as text columns, a table per charset and header, with source_file and, where asked for, source_row and _corrupt. No file left raises."""
+    kept = [p for p in paths if src.wanted(p, spec.include, spec.exclude)]
+    if not kept:
+        raise quality.QualityError(f"{spec.name}: no input files")
+    documents = [p for p in kept if p.removesuffix(".gz").endswith(".json")]
+    if documents and not spec.json_fields:
+        raise quality.QualityError(f"{spec.name}: no json_fields for {documents[0]}")
+    tables = [src.read_ndjson(spark, documents, spec.json_fields, with_file=True)] if documents else []
+    if texts := [p for p in kept if p not in documents]:
+        charsets = src.pick_encoding(spark, texts, spec.encoding) if spec.detect_encoding else {spec.encoding: texts}
+        for encoding, own in sorted(charsets.items()):
+            tables += _by_header(spark, spec, own, encoding)
+    if spec.ordered:
+        tables = [src.numbered(t, "source_file", "__start", "__n", "source_row").drop("__start", "__n") if "__n" in t.columns else t for t in tables]
+    return tables
+
+
+def quarantined(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
+    """(source_file, line) of the rows that a feed with `quarantine` leaves out."""
+    def set_aside(t: DataFrame) -> DataFrame:
+        # Spark reads the corrupt column only beside another one
+        beside = F.coalesce(F.length(F.col(f"`{t.columns[0]}`")) >= 0, F.lit(True))
+        return t.where(F.col("_corrupt").isNotNull() & beside).select("source_file", F.col("_corrupt").alias("line"))
+
+    return reduce(DataFrame.unionByName, [set_aside(t) for t in raw_tables(spark, spec, paths) if "_corrupt" in t.columns])
+
+
 def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
-    """Canonical trips of files whose headers may differ, with year, month and source_file."""
+    """Canonical trips of files whose headers may differ, with city, year, month and source_file. One pass over the files settles every gate; the trips themselves are read when they are used."""
     for message in run_hooks(spark, spec):
         warnings.warn(message, stacklevel=2)
     parts = []
-    for header, own in sorted(src.header_signatures(spark, paths).items()):
-        raw = src.read_csv(spark, own, list(header), spec.sep, spec.encoding).withColumn("source_file", F.col("_metadata.file_path"))
-        parts.append(_select_final(apply_steps(raw, spec), spec))
-    out = reduce(DataFrame.unionByName, parts)
+    for raw in raw_tables(spark, spec, paths):
+        whole = raw.where("_corrupt is null").drop("_corrupt") if "_corrupt" in raw.columns else raw
+        done = _select_final(_run_steps(whole, spec, spec.steps), spec)
+        parts.append(done if quality.GATE in done.columns else quality.marked(done, {}))
+    out = quality.settled(reduce(DataFrame.unionByName, parts)).drop("source_row")
     return out.withColumn("city", F.lit(spec.name)).withColumn("year", F.year("start_time")).withColumn("month", F.month("start_time"))
 
 
 def write_trips(trips: DataFrame, path: str) -> None:
-    """The trip table, partitioned by year and month; trips without a start go to the null partition."""
-    trips.repartition("year", "month").write.partitionBy("year", "month").mode("overwrite").parquet(path)
+    """The whole trip table, partitioned by year and month, in place of what is at `path`; no trips leave it empty. Trips without a start go to the null partition. A large month is written by several tasks."""
+    cols.spread_by_month(trips).write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+

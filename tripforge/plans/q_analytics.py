@@ -76,11 +76,11 @@ def stations_by_year(spark, sf_dir):
     return an.stations_by_year(trips(spark, sf_dir))
 
 
-@query(f"""WITH {EVENT_TRIPS}, d AS (SELECT year, start_station_name AS station, count(*) AS n FROM t WHERE start_station_name IS NOT NULL AND year IS NOT NULL GROUP BY 1, 2),
-    a AS (SELECT year, end_station_name AS station, count(*) AS n FROM t WHERE year IS NOT NULL GROUP BY 1, 2)
+@query(f"""WITH {EVENT_TRIPS}, d AS (SELECT year, start_station_name AS station, count(*) AS n FROM t GROUP BY 1, 2),
+    a AS (SELECT year, end_station_name AS station, count(*) AS n FROM t GROUP BY 1, 2)
     SELECT coalesce(d.year, a.year) AS year, coalesce(d.station, a.station) AS station, coalesce(d.n, 0) AS trips_from, coalesce(a.n, 0) AS trips_to FROM d FULL JOIN a ON d.year = a.year AND d.station = a.station""")
 def station_flow(spark, sf_dir):
-    return an.station_flow(trips(spark, sf_dir)).where("station is not null and year is not null")
+    return an.station_flow(trips(spark, sf_dir))
 
 
 @query(f"""WITH {EVENT_TRIPS} SELECT year, count(*) AS trips, count(*) FILTER (WHERE start_station_name = end_station_name) AS round_trips,

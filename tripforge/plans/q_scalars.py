@@ -298,7 +298,8 @@ def input_filter(spark, sf_dir):
 def unparsed_values(spark, sf_dir):
     g, y = _pick(_G), _pick([*_Y[:6], "19x4"])
     parsed = F.regexp_replace(F.trim(y), r"\.0$", "").try_cast("int")
-    return quality.check(_events(spark, sf_dir), {"gender": (quality.unmapped(g, vl.GENDERS), F.trim(g)), "year": (quality.unparsed(y, parsed), y)})
+    found = quality.check(_events(spark, sf_dir), {"gender": (quality.unmapped(g, vl.GENDERS), F.trim(g)), "year": (quality.unparsed(y, parsed), y)})
+    return found.select("name", "n", "n_values", F.col("examples")[0].alias("first_value"))
 
 
 @query(f"SELECT trim({_pick_sql(_B)}) AS value, count(*) AS n FROM events WHERE trim({_pick_sql(_B)}) = 'unicycle' GROUP BY 1")

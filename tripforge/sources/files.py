@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,9 +20,18 @@ def text_schema(header: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in header])
 
 
+def file_path() -> Column:
+    """The path of a row's file, as readers take it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_csv(spark: SparkSession, paths: list[str] | str, header: list[str], sep: str = ",", encoding: str = "UTF-8", with_header: bool = True, quarantine: bool = False) -> DataFrame:
-    """Every column as text; `.gz` is read as such. A row of another width raises, or with `quarantine` lands in `_corrupt` with the rest null."""
-    reader = spark.read.option("header", with_header).option("sep", sep).option("encoding", encoding).option("nullValue", _NEVER).option("emptyValue", "").option("enforceSchema", "true")
+    """Every column as text; `.gz` is read as such. A row of another width raises, or with `quarantine` lands in `_corrupt`.
+
+    Rows are parsed whole whatever columns a query takes, so that a row of
+    another width is found by every query that reads rows.
+    """
+    reader = spark.read.option("header", with_header).option("sep", sep).option("encoding", encoding).option("nullValue", _NEVER).option("emptyValue", "").option("enforceSchema", "true").option("columnPruning", "false")
     schema = text_schema(header)
     if quarantine:
         schema = schema.add("_corrupt", StringType())
@@ -29,6 +39,18 @@ def read_csv(spark: SparkSession, paths: list[str] | str, header: list[str], sep
     return reader.option("mode", "FAILFAST").schema(schema).csv(paths)
 
 
+def read_lines(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, start, n, line) of the lines with anything in them, decoded; (start, n) gives their order in a file."""
+    # a parser whose separator and quote no text holds leaves lines whole and knows all charsets
+    lines = spark.read.option("sep", _NEVER).option("quote", "\u0002").option("escape", "\u0002").option("encoding", encoding).option("mode", "FAILFAST").schema("line string").csv(paths)
+    return lines.select(file_path().alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "line")
+
+
+def numbered(rows: DataFrame, file: str, start: str, n: str, out: str) -> DataFrame:
+    """Adds `out`, which rises with a row's place in its file. Rows are numbered within the blocks that Spark reads, so no task sorts a whole file."""
+    return rows.withColumn(out, F.col(start) + F.row_number().over(Window.partitionBy(file, start).orderBy(n)))
+
+
 def listing(spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), glob: str = "*.csv*") -> DataFrame:
     """path, length, modificationTime of input files: the base name holds any of `include`, the whole path none of `exclude`, no `__MACOSX` folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).select("path", "length", "modificationTime")
@@ -46,17 +68,40 @@ def wanted_path(path: Column, include: list[str] | str = (), exclude: list[str]
     return keep
 
 
-def headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(file, header): the first line of each file."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
-    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+def wanted(path: str, include: list[str] = (), exclude: list[str] = ()) -> bool:
+    """`wanted_path` of one path."""
+    base = path.rsplit("/", 1)[-1]
+    return (not include or any(w in base for w in include)) and not any(w in path for w in (*exclude, "/__MACOSX/"))
+
+
+def ignored(spark: SparkSession, root: str, include: list[str] = (), exclude: list[str] = (), glob: str = "*.csv*") -> DataFrame:
+    """The files that `listing` leaves out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).select("path", "length", "modificationTime")
+    return files.where(~wanted_path(F.col("path"), include, exclude))
+
+
+def headers(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, header): the first line of each file that has anything in it."""
+    return first_lines(read_lines(spark, paths, encoding))
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """(file, header) of `read_lines`."""
+    return lines.where("start = 0").groupBy("file").agg(F.min_by("line", "n").alias("header"))
 
 
-def header_signatures(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. As many header groups as a feed has schema eras, and as many paths as it has files, reach the driver."""
+def parse_header(line: str, sep: str = ",") -> tuple[str, ...]:
+    """Column names of a header line; names in quotes may hold the separator."""
+    line = line.lstrip("\ufeff")
+    names = next(csv.reader([line], delimiter=sep, skipinitialspace=True)) if len(sep) == 1 else line.split(sep)
+    return tuple(x.strip().strip('"').strip() for x in names)
+
+
+def header_signatures(spark: SparkSession, paths: list[str] | str, sep: str = ",", encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """Files by header. As many header groups as a feed has schema eras, and as many paths as it has files, reach the driver. Files without a line are left out."""
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in headers(spark, paths).orderBy("file").collect():
-        out.setdefault(tuple(x.strip().strip('"') for x in r.header.lstrip("﻿").split(",")), []).append(r.file)
+    for r in headers(spark, paths, encoding).orderBy("file").collect():
+        out.setdefault(parse_header(r.header, sep), []).append(r.file)
     return out
 
 
@@ -71,12 +116,12 @@ def column_inventory(df: DataFrame, file: str, targets: dict[str, str], samples:
     columns = [c for c in df.columns if c != file]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]))
     long = df.select(F.col(file).alias("file"), pairs.alias("p")).select("file", "p.*").where("value is not null")
-    counted = long.groupBy("column").agg(F.countDistinct("file").alias("files"))
-    # the smallest values per column, from one row per distinct value
-    distinct = long.select("column", "value").distinct()
-    ranked = distinct.groupBy("column").agg(F.slice(F.array_sort(F.collect_set("value")), 1, samples).alias("samples")) if samples else None
+    out = long.groupBy("column").agg(F.countDistinct("file").alias("files"))
+    if samples:
+        # tasks pass on their smallest values of a column only
+        ranked = long.select("column", "value").distinct().withColumn("r", F.row_number().over(Window.partitionBy("column").orderBy("value"))).where(F.col("r") <= samples)
+        out = out.join(ranked.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("samples")), "column")
     to = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv]) if targets else None
-    out = counted if ranked is None else counted.join(ranked, "column")
     return out.withColumn("target", F.try_element_at(to, F.col("column")) if to is not None else F.lit(None).cast("string"))
 
 
@@ -86,11 +131,11 @@ def json_field(raw: Column, name: str) -> Column:
     return F.coalesce(F.get_json_object(raw, f"$.{name}.$date"), F.get_json_object(raw, f"$.{name}.$oid"), plain)
 
 
-def read_ndjson(spark: SparkSession, paths: list[str] | str, fields: list[str], required: list[str] = ()) -> DataFrame:
-    """Fields of JSON lines as text. Blank lines are skipped; a line that is no JSON, or lacks a required field, raises."""
+def read_ndjson(spark: SparkSession, paths: list[str] | str, fields: list[str], required: list[str] = (), with_file: bool = False) -> DataFrame:
+    """Fields of JSON lines as text, and source_file where asked for. Blank lines are skipped; a line that is no JSON, or lacks a required field, raises."""
     lines = spark.read.text(paths).where(F.trim("value") != "")
     checked = F.when(F.try_parse_json("value").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("value", 1, 80)))).otherwise(F.col("value"))
-    out = lines.select(checked.alias("raw")).select(*[json_field(F.col("raw"), f).alias(f) for f in fields])
+    out = lines.select(checked.alias("raw"), file_path().alias("source_file")).select(*[json_field(F.col("raw"), f).alias(f) for f in fields], *(["source_file"] if with_file else []))
     for f in required:
         out = out.withColumn(f, F.when(F.col(f).isNull(), F.raise_error(F.lit(f"record without {f}"))).otherwise(F.col(f)))
     return out
@@ -103,24 +148,31 @@ def read_gbfs_stations(spark: SparkSession, paths: list[str] | str) -> DataFrame
 
 
 def is_utf8(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(path, utf8): whether each plain file is valid UTF-8, from its whole contents."""
-    return spark.read.format("binaryFile").load(paths).select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
+    """(path, utf8): whether each file, unpacked if it is a `.gz`, is valid UTF-8 throughout. A file without a line is not listed."""
+    lines = spark.read.text(paths)
+    return lines.groupBy(file_path().alias("path")).agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
 
 
-def _members(data: bytes, suffixes: tuple[str, ...], prefix: str = "") -> Iterator[tuple[str, bytes]]:
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
+def _members(source, suffixes: tuple[str, ...], prefix: str = "") -> Iterator[tuple[str, io.TextIOBase]]:
+    with zipfile.ZipFile(source) as z:
         for name in z.namelist():
             base = name.rsplit("/", 1)[-1]
             if name.endswith("/") or base.startswith("._") or "__MACOSX" in name:
                 continue
             if base.lower().endswith(".zip"):
-                yield from _members(z.read(name), suffixes, f"{prefix}{name}!")
+                yield from _members(io.BytesIO(z.read(name)), suffixes, f"{prefix}{name}!")
             elif base.lower().endswith(suffixes):
-                yield prefix + name, z.read(name)
+                with z.open(name) as member:
+                    yield prefix + name, io.TextIOWrapper(member, "utf-8", "replace")
 
 
 def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool = False) -> DataFrame:
-    """(archive, member, line_no, line) of CSV and text members of zip files, nested ones too; one archive is one task's work. An invalid archive gives one row with a null member."""
+    """(archive, member, line_no, line) of CSV and text members of zip files, nested ones too.
+
+    One archive is one task's work and must fit into its memory; members are
+    unpacked line by line, at line feeds and carriage returns. An archive that
+    cannot be read gives one row with a null member, a `.rar` one that says so.
+    """
     suffixes = (".csv", ".txt", ".json") if keep_json else (".csv", ".txt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,22 +181,34 @@ def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool =
         def rows(archive, member, first, lines):
             return pa.RecordBatch.from_arrays([pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()), pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.string())], names)
 
+        def bad(archive, why):
+            return pa.RecordBatch.from_arrays([pa.array([archive]), pa.array([None], pa.string()), pa.array([None], pa.int64()), pa.array([why], pa.string())], names)
+
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if path.lower().endswith(".rar"):
+                    yield bad(path, "rar archives are not read")
+                    continue
                 try:
-                    for member, data in _members(content, suffixes):
-                        lines = data.decode("utf-8", "replace").splitlines()
-                        for k in range(0, len(lines), 50_000):
-                            yield rows(path, member, k + 1, lines[k : k + 50_000])
+                    for member, text in _members(io.BytesIO(content), suffixes):
+                        first, held, size = 1, [], 0
+                        for line in text:
+                            held.append(line.rstrip("\n"))
+                            size += len(line)
+                            if size > 4_000_000:
+                                yield rows(path, member, first, held)
+                                first, held, size = first + len(held), [], 0
+                        if held:
+                            yield rows(path, member, first, held)
                 except zipfile.BadZipFile:
-                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([None], pa.string()), pa.array([None], pa.int64()), pa.array([None], pa.string())], names)
+                    yield bad(path, None)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,rar}").load(paths).select("path", "content")
     return files.mapInArrow(run, "archive string, member string, line_no long, line string")
 
 
 def pick_encoding(spark: SparkSession, paths: list[str] | str, declared: str) -> dict[str, list[str]]:
-    """Files by charset: UTF-8 where the whole contents are valid, else the feed's declared one. As many paths as files reach the driver."""
+    """Files by charset: UTF-8 where the whole contents, unpacked, are valid, else the feed's declared one. As many paths as files reach the driver."""
     out: dict[str, list[str]] = {}
     for r in is_utf8(spark, paths).orderBy("path").collect():
         out.setdefault("UTF-8" if r.utf8 else declared, []).append(r.path)
@@ -153,7 +217,7 @@ def pick_encoding(spark: SparkSession, paths: list[str] | str, declared: str) ->
 
 def read_lossy_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(file, line): text lines with broken UTF-8 replaced."""
-    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("line"))
+    return spark.read.text(paths).select(file_path().alias("file"), F.make_valid_utf8("value").alias("line"))
 
 
 def read_reference_table(spark: SparkSession, path: str) -> DataFrame:

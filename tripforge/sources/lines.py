@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def normalize_newlines(text: Column) -> Column:
@@ -31,7 +33,7 @@ def balanced_quotes(text: Column) -> Column:
 def header_by_arity(lines: DataFrame, headers: dict[int, str], sep: str = ",") -> DataFrame:
     """Adds `header` per file from the number of fields of its first line (file, n, line); a first line that is a header stays. Another arity raises."""
     first = lines.groupBy("file").agg(F.min_by("line", "n").alias("first"))
-    arity = F.size(F.split("first", sep, -1))
+    arity = F.size(F.split("first", re.escape(sep), -1))
     picked = F.lit(None).cast("string")
     for n, header in headers.items():
         picked = F.when(arity == n, header).otherwise(picked)
@@ -48,10 +50,14 @@ def cleaned(lines: DataFrame, fixes: list[tuple[str, str, str]] = (), drop_unbal
     return out.where(balanced_quotes(F.col("line"))) if drop_unbalanced else out
 
 
-def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
-    """Columns of cleaned lines; other columns stay. A line that does not fit raises."""
-    parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep, "mode": "FAILFAST"})
-    return lines.withColumn("__r", parsed).select(*[c for c in lines.columns if c != "line"], "__r.*")
+def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",", quarantine: bool = False) -> DataFrame:
+    """Columns of cleaned lines; other columns stay. A line of another width raises, or with `quarantine` is in `_corrupt`. An empty quoted text stays apart from a missing one."""
+    options = {"sep": sep, "nullValue": "\u0001", "emptyValue": "", "mode": "FAILFAST"}
+    if quarantine:
+        schema = StructType([*schema.fields, StructField("_corrupt", StringType())])
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    typed = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    return lines.withColumn("__r", F.from_csv("line", typed, options)).select(*[c for c in lines.columns if c != "line"], "__r.*")
 
 
 def header_for_files(lines: DataFrame, headers: list[tuple[str, str]]) -> DataFrame:

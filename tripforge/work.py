@@ -7,33 +7,49 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: set[str] = set()
+
 
 def work_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; a temporary folder only where that is unset, as in local tests."""
+    """`spark.checkpoint.dir`; a temporary folder only where that is unset and the session local, as in tests. A cluster without it raises, as executors share no local folder."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tripforge-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/tripforge-{uuid.uuid4().hex}/{name}"
+    folder = f"{work_dir(spark)}/tripforge-{uuid.uuid4().hex}"
+    _made.add(folder)
+    return f"{folder}/{name}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as Parquet to the shared folder and read back: lineage ends here and survives lost executors."""
+    """`df` written as Parquet to the shared folder and read back: lineage ends here and survives lost executors. It stays until `clean_up`."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean_up(spark: SparkSession) -> int:
+    """Deletes this process's intermediate tables and says how many. Results that were not written elsewhere cannot be read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
+
+
 #: Rows and bytes of an Arrow batch that goes to a Python worker, at most, where rows carry whole texts.
 BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batch limits, so that batches of long texts stay small on both sides of the exchange."""
+    """Lowers the session's Arrow batch limits, and leaves them so, as plans are run later: batches of long texts stay small on both sides of the exchange."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = str(spark.conf.get(key, str(most))).rstrip("b")
         if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
