@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripforge.work import saved
+
 OPTIONAL_TEXT = ("bike_id", "gender", "birth_year", "bike_type", "bike_model", "membership_type")
 
 
@@ -84,6 +86,17 @@ def id_order(column: str) -> list[Column]:
     return [number.isNull().asc(), number.asc(), F.col(column).asc()]
 
 
+def placed(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
+    """Adds each row's place in its group, from 1. Rows are sorted over all tasks, and a task's places begin where those before it end, so a large group is not one task's."""
+    cut = saved(df.orderBy(group, *order).withColumn("__part", F.spark_partition_id()), "sorted")
+    counts = cut.groupBy(F.col(group).alias("__g"), F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__g", "__p", before.alias("__before"))
+    own = F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order))
+    both = cut.withColumn("__own", own).join(offsets, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    return both.withColumn(out, F.col("__own") + F.col("__before")).drop("__part", "__own", "__g", "__p", "__before")
+
+
 def spread_by_month(trips: DataFrame) -> DataFrame:
     """Rows of a month together, in as many tasks as their size asks for."""
     return trips.hint("rebalance", "year", "month")
