@@ -52,7 +52,7 @@ def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     is_letter = _letter_table()[points]
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]
-    keep[0] = True
+    keep[at[:-1]] = True  # a text's own border before its first word
     points = np.where(is_letter, points, 0)[keep]
     kept = np.concatenate([[0], np.cumsum(keep)])
     letters = np.concatenate([[0], np.cumsum(is_letter)])
