@@ -1,8 +1,8 @@
 """BPE encoding by per-prefix dynamic programming, and decoding.
 
 For every prefix of a piece there is exactly one token that can end its
-encoding. The automaton of all tokens finds, at each end position, the tokens
-that are suffixes of the prefix; a token fits when the last token stored for
+encoding. An automaton of all tokens that follows suffix links finds, at each end
+position, the tokens that are suffixes of the prefix; a token fits when the last token stored for
 the remaining prefix may stand before it. Following those last tokens back from
 the full piece gives the ids that applying the merges by rank would give.
 
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from tripforge.work import bounded_batches
 
-#: The white space and the piece pattern of the vocabulary file's normalizer and pre-tokenizer.
+#: White space as the normalizer takes it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The steps that a vocabulary file must ask for; the pattern of pieces is read from the file.
+NORMALIZERS, PRE_TOKENIZERS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 
 #: Characters that str.split() takes for white space though they are none here.
 _NOT_WHITE = regex.compile(r"[\x1c-\x1f]")
@@ -49,25 +50,48 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in visible else chr(next(rest)) for b in range(256)]
 
 
+def _piece_pattern(spec: dict) -> str:
+    """The pattern of pieces; a file that asks for other steps than those written here raises."""
+    normal = (spec.get("normalizer") or {}).get("normalizers", [])
+    before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [x["type"] for x in normal] != NORMALIZERS or normal[1]["pattern"] != {"Regex": r"\s+"} or normal[1]["content"] != " ":
+        raise ValueError("the vocabulary's normalizer is not NFC, white space to one space, lower case")
+    if [x["type"] for x in before] != PRE_TOKENIZERS or (before[0]["behavior"], before[0]["invert"]) != ("Removed", True) or before[1]["add_prefix_space"] or before[1].get("use_regex", True):
+        raise ValueError("the vocabulary's pre-tokenizer does not take the pieces of a pattern as bytes")
+    pattern = before[0]["pattern"]["Regex"]
+    if regex.search(pattern, " "):
+        raise ValueError("the vocabulary's pieces hold white space")
+    return pattern
+
+
 class WordBpe:
-    """A vocabulary with word-end tokens, as read from a tokenizer file's JSON text."""
+    """A vocabulary with word-end tokens, as read from a tokenizer file's JSON text.
+
+    A file whose model, normalizer or pre-tokenizer is another one than the class
+    implements, or whose vocabulary lacks a byte, raises.
+    """
 
     def __init__(self, source: str) -> None:
         spec = json.loads(source)
         model = spec["model"]
         end = model.get("end_of_word_suffix") or ""
-        if not end or model.get("type") != "BPE":
-            raise ValueError("a BPE vocabulary with a word-end suffix is needed")
+        if not end or model.get("type") != "BPE" or model.get("continuing_subword_prefix") or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges"):
+            raise ValueError("a BPE vocabulary with a word-end suffix and nothing else is needed")
         self.names: dict[int, str] = {i: t for t, i in model["vocab"].items()}
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.names |= {i: t for t, i in self.specials.items()}
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self._pattern = regex.compile(PIECE)
+        if any(t.get(x) for t in spec.get("added_tokens", []) for x in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("special tokens must match as they are")
+        self._marks = {t[0] for t in self.specials if t}
+        self._pattern = regex.compile(_piece_pattern(spec))
 
         def symbols(token: str) -> str:
             return token[: -len(end) - 1] + chr(ord(token[-len(end) - 1]) + _FINAL) if token.endswith(end) and len(token) > len(end) else token
 
         ids = model["vocab"]
+        if lacking := [b for b, c in enumerate(_byte_characters()) if c not in ids or c + end not in ids]:
+            raise ValueError(f"the vocabulary lacks bytes: {lacking[:5]}")
         self._parts: dict[int, tuple[int, int]] = {}
         self._rank: dict[tuple[int, int], int] = {}
         self._made: dict[int, int] = {}
@@ -191,7 +215,7 @@ class WordBpe:
         if len(self._memo) >= MEMO:
             self._memo, self._older = {}, self._memo
         memo, chunked, ids = self._memo, self._encode_chunk, []
-        for k, part in enumerate(self._special.split(text) if self._special and "<" in text else [text]):
+        for k, part in enumerate(self._special.split(text) if self._special and any(m in text for m in self._marks) else [text]):
             if k % 2:
                 ids.append(np.int32(self.specials[part]).tobytes())
             else:
@@ -226,13 +250,15 @@ def bpe_encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     """One row per input row: doc_id, ids (array of int), decoded (string).
 
     `vocabulary` is the path of a tokenizer file on the driver; its text, whose
-    size does not depend on the data, is broadcast. Whole texts are encoded, a
+    size does not depend on the data, is broadcast, after it is held against what
+    WordBpe needs. Whole texts are encoded, a
     null text as an empty one, without special tokens added; special tokens'
     strings in a text give their ids. Repeated rows come back repeated, a null
     id as null, other columns are ignored, an empty table gives an empty table.
     """
     with open(vocabulary, encoding="utf-8") as f:
         source = f.read()
+    WordBpe(source)
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(source)
     key = hash(source)
