@@ -204,6 +204,29 @@ def test_bpe_odd_texts(spark, library):
     assert bpe_encode_decode(table(spark, []), queries.word_bpe_path()).count() == 0
 
 
+def test_bpe_refuses_vocabularies_that_it_does_not_implement():
+    import json
+
+    with open(queries.word_bpe_path(), encoding="utf-8") as f:
+        source = f.read()
+
+    def refused(change, match):
+        spec = json.loads(source)
+        change(spec)
+        with pytest.raises(ValueError, match=match):
+            WordBpe(json.dumps(spec))
+
+    refused(lambda s: s["model"]["vocab"].pop("z"), "lacks bytes")
+    refused(lambda s: s.update(normalizer=None), "normalizer")
+    refused(lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(invert=False), "pre-tokenizer")
+    refused(lambda s: s["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\s+|\S+"), "white space")
+    refused(lambda s: s["model"].update(end_of_word_suffix=None), "word-end")
+    refused(lambda s: s["added_tokens"][0].update(lstrip=True), "special tokens")
+    spec = json.loads(source)
+    spec["added_tokens"] = [{"id": 49406, "content": "[X]", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}]
+    assert WordBpe(json.dumps(spec)).encode("a[X]")[1] == 49406
+
+
 def test_every_token_is_its_own_encoding(library):
     model = WordBpe(open(queries.word_bpe_path(), encoding="utf-8").read())
     for word in ("internationalization", "the", "a", "aaaaaaa", "nananana"):
@@ -213,6 +236,77 @@ def test_every_token_is_its_own_encoding(library):
 # ---- classifiers ----------------------------------------------------------------------------------------------------
 
 
+def test_bit_sliced_lookup_equals_plain_filters(spark):
+    """A plain Python version: a set of positions per language, a look-up per n-gram, counts corrected one by one."""
+    from tripforge.llm import lang_id
+
+    rng = random.Random(4)
+    alphabets = ("abcdeé", "bcdfgh", "中文字母表")
+    make = lambda k: " ".join("".join(rng.choice(alphabets[k]) for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 25)))
+    rows = [(i, make(i % 3), "xyz"[i % 3]) for i in range(90)] + [(90, None, "x"), (91, "", "y"), (92, "a b", None)]
+    filters = fit_language_filters(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def grams(text):
+        word = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        return [f"\0{w}\0"[i : i + 3] for w in word for i in range(len(w)) if len(w) > 1]
+
+    def places(gram):
+        h = 0
+        for c in gram:
+            h = (h * 0x110001 + ord(c)) % 2**64
+        h = int(lang_id.mix64(np.array([h], np.uint64))[0])
+        step = h >> 32 | 1
+        return [(h + k * step) % 2**64 % lang_id.POSITIONS for k in range(lang_id.HASHES)]
+
+    held = [{p for p in np.flatnonzero(filters.words >> k & 1).tolist()} for k in range(3)]
+    texts = [t for _, t, _ in rows] + ["zzz qqq", "aé中", "1 2 3", "a", "ab\ncd"]
+    names, scores = filters.predict(texts)
+    assert [(n, s) for t in texts for n, s in zip(*filters.predict([t]))] == list(zip(names, scores))
+    for text, name, score in zip(texts, names, scores):
+        found = grams(text)
+        hits = [sum(all(p in held[k] for p in places(g)) for g in found) for k in range(3)]
+        fixed = [max(0.0, (h - len(found) * r) / (1 - r)) for h, r in zip(hits, filters.false_rates)]
+        if not any(c.isalpha() for c in text or ""):
+            assert (name, score) == ("und", 0.0)
+        elif max(fixed) > 0:
+            assert name == "xyz"[fixed.index(max(fixed))] and abs(score - max(fixed) / sum(fixed)) < 1e-9
+        else:
+            assert (name, score) == (filters.common, 0.0)
+
+
+def test_non_negative_risk_equals_a_plain_version():
+    """Full-batch Adam on the clipped risk, with gradients by plain loops over dense rows."""
+    import math
+
+    from tripforge.llm.pu_learning import Rows, fit_nnpu
+
+    rng = np.random.default_rng(3)
+    n, prior, steps, rate = 6, 0.4, 60, 0.05
+    lists = [[np.flatnonzero(rng.random(n) < 0.4) for _ in range(k)] for k in (9, 14)]
+    w, _ = fit_nnpu(Rows.of(lists[0]), Rows.of(lists[1]), n, prior, steps=steps, rate=rate, decay=1e-5)
+    weights, b, m, v = [0.0] * n, math.log(prior / (1 - prior)), [0.0] * (n + 1), [0.0] * (n + 1)
+    sig, soft = (lambda z: 1 / (1 + math.exp(-z))), (lambda z: math.log1p(math.exp(-abs(z))) + max(z, 0))
+    for t in range(1, steps + 1):
+        z = [[b + sum(weights[j] for j in x) for x in side] for side in lists]
+        negative = sum(map(soft, z[1])) / 14 - prior * sum(map(soft, z[0])) / 9
+        g = [1e-5 * x for x in weights] + [0.0]
+        for side, count in ((0, 9), (1, 14)):
+            for x, own in zip(lists[side], z[side]):
+                up = -prior * sig(-own) / 9 if side == 0 else 0.0
+                down = (-prior if side == 0 else 1.0) * sig(own) / count
+                d = up + down if negative >= 0 else -down
+                for j in (*x.tolist(), n):
+                    g[j] += d
+        for j in range(n + 1):
+            m[j], v[j] = 0.9 * m[j] + 0.1 * g[j], 0.999 * v[j] + 0.001 * g[j] ** 2
+            step = rate * (m[j] / (1 - 0.9**t)) / (math.sqrt(v[j] / (1 - 0.999**t)) + 1e-8)
+            if j < n:
+                weights[j] -= step
+            else:
+                b -= step
+    assert np.allclose(w, weights, atol=1e-9)
+
+
 def labelled(spark, seed=1, n=600):
     rng = random.Random(seed)
     docs, labels = [], []
