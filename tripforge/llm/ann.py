@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 
 from tripforge.work import saved
 
-#: Vectors that centroids and the number of probes are fitted on, at most about. All vectors are indexed.
-SAMPLE = 20_000
+#: Vectors that centroids and the number of probes are fitted on, about: PER_LIST for each of as many lists as the root of the table, from SAMPLE to MOST_SAMPLE. All vectors are indexed.
+SAMPLE, MOST_SAMPLE, PER_LIST = 20_000, 400_000, 20
 #: Columns of a block, and the strictness of the abandonment test.
 COLUMNS, EPSILON = 16, 2.1
 #: Candidates and queries that one task compares at a time.
 CANDIDATES, QUERIES_AT_ONCE = 4_096, 512
-#: Vectors that are held against all centroids at a time.
-ROWS = 2_048
+#: Vectors, and distances to centroids, that are held at a time.
+ROWS, DISTANCES = 2_048, 4_000_000
 #: Share of true neighbours within the probed lists that the fit asks for, on the sample.
 COVERAGE = 0.97
 
@@ -45,24 +45,27 @@ class Lists:
 
 def _nearest_list(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """The nearest centroid of each vector, in blocks of bounded size."""
-    return np.concatenate([_squares(vectors[k : k + ROWS], centroids).argmin(1) for k in range(0, max(1, len(vectors)), ROWS)])
+    step = max(1, min(ROWS, DISTANCES // len(centroids)))
+    return np.concatenate([_squares(vectors[k : k + step], centroids).argmin(1) for k in range(0, max(1, len(vectors)), step)])
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances, in double precision, which holds those of any floats."""
+    a, b = a.astype(np.float64, copy=False), b.astype(np.float64, copy=False)
     return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :]
 
 
 def _fit(sample: np.ndarray, total: int, k: int, seed: int = 13) -> Lists:
     rng = np.random.Generator(np.random.PCG64(seed))
     d = sample.shape[1]
-    rotation = np.linalg.qr(rng.standard_normal((d, d)))[0].astype(np.float32)
-    count = int(np.clip(round(math.sqrt(total)), 1, max(1, len(sample) // 20)))
-    centroids = sample[rng.choice(len(sample), count, replace=False)].copy()
+    rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
+    count = int(np.clip(round(math.sqrt(total)), 1, max(1, len(sample) // PER_LIST)))
+    centroids = sample[rng.choice(len(sample), count, replace=False)].astype(np.float64)
     for _ in range(8):
         own = _nearest_list(sample, centroids)
-        for j in range(count):
-            if (mine := sample[own == j]).size:
-                centroids[j] = mine.mean(0)
+        order = np.argsort(own, kind="stable")
+        first = np.flatnonzero(np.diff(own[order], prepend=-1))
+        centroids[own[order][first]] = np.add.reduceat(sample[order].astype(np.float64), first, axis=0) / np.diff(np.append(first, len(own)))[:, None]
     own = _nearest_list(sample, centroids)
     asked = rng.choice(len(sample), min(400, len(sample)), replace=False)
     away = _squares(sample[asked], sample)
@@ -78,9 +81,9 @@ def _fit(sample: np.ndarray, total: int, k: int, seed: int = 13) -> Lists:
 def _scan(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, rotation: np.ndarray, k: int) -> tuple[list, list, list]:
     """The k best of one block of candidates for each query, with early abandonment."""
     d = candidates.shape[1]
-    turned, asked = candidates @ rotation, queries @ rotation
-    blocks = [(a, np.ascontiguousarray(turned[:, a : a + COLUMNS])) for a in range(0, d, COLUMNS)]
     exact = candidates.astype(np.float64)
+    turned, asked = exact @ rotation, queries.astype(np.float64) @ rotation
+    blocks = [(a, np.ascontiguousarray(turned[:, a : a + COLUMNS])) for a in range(0, d, COLUMNS)]
     out_q, out_v, out_s = [], [], []
     for i, q in enumerate(queries):
         q64 = q.astype(np.float64)
@@ -90,7 +93,7 @@ def _scan(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, id
             alive = np.arange(begin, min(len(ids), begin + step))
             alive = alive[ids[alive] != query_ids[i]]
             bound = float(best_d[k - 1]) ** 2 if len(best_d) >= k else math.inf
-            partial = np.zeros(len(alive), np.float32)
+            partial = np.zeros(len(alive))
             for a, block in blocks:
                 partial = partial + ((block[alive] - asked[i, a : a + COLUMNS]) ** 2).sum(1)
                 seen = min(a + COLUMNS, d)
@@ -113,7 +116,7 @@ def _scan(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, id
 
 def _vectors(column: pa.Array, d: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float32).reshape(-1, d)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -126,11 +129,14 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
     part; of rows that repeat an id each is a candidate, and the least vector is
     the query. Equal distances go to
     the smaller id. A query with fewer candidates gets all that there are; an
-    empty table gives an empty table. Centroids and probes are fitted on about
-    SAMPLE vectors; every vector is indexed.
+    empty table gives an empty table. Floats stay floats, vectors of other numbers
+    are taken as doubles; finite components of any size that a float holds are
+    told apart. Centroids and probes are fitted on a bounded sample; every vector
+    is indexed.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
+    kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{kind}>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(fine)
     lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
@@ -139,7 +145,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, total = lengths.d, lengths.n
     rows = rows.where(F.size("v") == d)
-    share = int(min(1.0, SAMPLE / total) * (1 << 30))
+    share = int(min(1.0, np.clip(PER_LIST * math.sqrt(total), SAMPLE, MOST_SAMPLE) / total) * (1 << 30))
     sample = _vectors(rows.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < share).orderBy(F.xxhash64("vec_id")).select("v").toArrow().column(0), d)
     if not len(sample):
         sample = _vectors(rows.limit(1).select("v").toArrow().column(0), d)
@@ -151,13 +157,14 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
                 own = _nearest_list(_vectors(batch.column(1), d), lists.value.centroids)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.astype(np.int32))], ["vec_id", "v", "list"])
 
-    indexed = saved(rows.mapInArrow(assign, "vec_id long, v array<float>, list int"), "indexed")
+    indexed = saved(rows.mapInArrow(assign, f"vec_id long, v array<{kind}>, list int"), "indexed")
     sizes = {r.list: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}
     amounts = np.array([sizes.get(j, 0) for j in range(len(lists.value.centroids))])
 
     def probe(batches):
         own = lists.value
-        for batch in (x.slice(k, ROWS) for x in batches for k in range(0, x.num_rows, ROWS)):
+        step = max(1, min(ROWS, DISTANCES // len(own.centroids)))
+        for batch in (x.slice(k, step) for x in batches for k in range(0, x.num_rows, step)):
             order = own.nearest(_vectors(batch.column(1), d))
             # at least the fitted number of lists, and more until enough candidates are in them
             enough = (np.cumsum(amounts[order], axis=1) < 4 * (k + 1)).sum(1) + 1
@@ -166,7 +173,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
             flat = np.concatenate([o[:m] for o, m in zip(order, many)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["vec_id", "v", "lists"])
 
-    asked = saved(indexed.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("v").alias("v")).mapInArrow(probe, "vec_id long, v array<float>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list")), "asked")
+    asked = saved(indexed.where(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min("v").alias("v")).mapInArrow(probe, f"vec_id long, v array<{kind}>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list")), "asked")
     wanted = {r.list: r.n for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
     # as many rows as there are lists
     grid = spark.createDataFrame([(j, math.ceil(sizes.get(j, 0) / CANDIDATES), math.ceil(wanted.get(j, 0) / QUERIES_AT_ONCE)) for j in range(len(amounts)) if sizes.get(j) and wanted.get(j)] or [(-1, 1, 1)], "list int, cs int, qs int")
