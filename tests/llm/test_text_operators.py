@@ -534,3 +534,34 @@ def test_equal_vectors_in_one_list(spark):
     got = nearest_neighbours(same, lambda c: c % 100 == 0)
     assert [r.vec_id for r in got.where("query_id = 200").orderBy("rank").collect()] == list(range(10))
     assert got.agg(F.max("score")).first()[0] == 0.0
+
+
+@pytest.mark.parametrize("kind, big", [("float", 1e30), ("double", 1e9)])
+def test_neighbours_of_huge_and_of_close_components(spark, kind, big):
+    """Squares beyond floats, and doubles that a float cannot tell apart; the largest ids repeat an id."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 8)) * big if kind == "float" else big + rng.standard_normal((300, 8)) * 1e-3
+    x = x.astype(np.float32).astype(float) if kind == "float" else x
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(299, x[0].tolist())]
+    got = nearest_neighbours(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), lambda c: c % 100 == 0).orderBy("query_id", "rank").collect()
+    full, ids = np.concatenate([x, x[:1]]), np.append(np.arange(300), 299)
+    hit = 0
+    for q in (0, 100, 200):
+        d = np.sqrt(((full - x[q]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        mine = [r for r in got if r.query_id == q]
+        hit += len(set(np.lexsort((ids, d))[:10].tolist()) & {i for r in mine for i in np.flatnonzero(ids == r.vec_id)})
+        assert len(mine) == 10 and all(np.isclose(r.score, d[ids == r.vec_id], rtol=1e-9).any() for r in mine)
+    assert hit >= 27 and got[0].vec_id == 299 and got[0].score == 0
+
+
+def test_neighbours_query_reaches_the_recall(spark, sf):
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    x, ids = np.stack(table.embedding).astype(float), table.vec_id.to_numpy()
+    got, hit, n = queries.op9_ann(spark, sf).toPandas(), 0, 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hit += len(set(ids[np.lexsort((ids, d))[:10]]) & set(got[got.query_id == ids[q]].vec_id))
+        n += 10
+    assert len(got) == n and hit / n >= 0.9
