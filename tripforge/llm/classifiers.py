@@ -54,8 +54,8 @@ def _sample(docs: DataFrame, labels: DataFrame, label_col: str, trusted, id_col:
 
 # ---- toxicity: words and word beginnings ----------------------------------------------------------------------------
 
-#: Letters of word beginnings that are features beside the whole word, and letters of a word that count.
-PREFIXES, LONGEST = (3, 4, 5, 6, 7, 8), 12
+#: Letters of word beginnings that are features beside the whole word.
+PREFIXES = (3, 4, 5, 6, 7, 8)
 #: Features that the classifier weighs, at most; the least standard score of one, and the least share of label 1 among texts that have it, as estimated from the prior.
 FEATURES, LEAST_SCORE, LEAST_PURITY = 2_048, 4.5, 0.6
 _BINS = 1 << 20
@@ -66,17 +66,18 @@ def word_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     points, at, _ = _codes(texts)
     letter = points > 0
     starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     of = np.searchsorted(at, starts, side="right") - 1
-    h = np.zeros(len(starts), np.uint64)
-    out, owner = [], []
-    live = np.arange(len(starts))
-    padded = np.concatenate([points, np.zeros(LONGEST + 1, points.dtype)])
-    for k in range(LONGEST + 1):
+    # a word's letters, each weighed by its place, whatever the word's length; border marks weigh nothing
+    place = np.arange(starts[0], len(points)) - np.repeat(starts, np.diff(np.append(starts, len(points))))
+    weighed = points[starts[0] :].astype(np.uint64) * (mix64(place.astype(np.uint64)) | np.uint64(1))
+    out, owner = [mix64(np.add.reduceat(weighed, starts - starts[0]) ^ np.uint64(0xABCDEF))], [of]
+    h, live = np.zeros(len(starts), np.uint64), np.arange(len(starts))
+    padded = np.concatenate([points, np.zeros(max(PREFIXES), points.dtype)])
+    for k in range(max(PREFIXES)):
         own = padded[starts[live] + k]
-        ended = (own == 0) | (k == LONGEST)
-        out.append(mix64(h[live[ended]] ^ np.uint64(0xABCDEF)))
-        owner.append(of[live[ended]])
-        live, own = live[~ended], own[~ended]
+        live, own = live[own > 0], own[own > 0]
         h[live] = h[live] * np.uint64(0x110003) + own.astype(np.uint64)
         if k + 1 in PREFIXES:
             out.append(mix64(h[live] + np.uint64(k + 1)))
