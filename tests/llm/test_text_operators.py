@@ -335,6 +335,17 @@ def test_classifiers_on_held_out_rows(spark, fit, label, threshold):
     assert score_documents(table(spark, []), model).count() == 0
 
 
+def test_word_features_are_whole_words_and_their_beginnings():
+    from tripforge.llm.classifiers import word_features
+
+    long = "a" * 500
+    f, o = word_features(["Hello, hello", None, "", "1 2", f"{long}b {long}c", "hell"])
+    by = {k: set(f[o == k].tolist()) for k in range(6)}
+    assert len(by[0]) == 4 and len(f[o == 0]) == 8 and not by[1] and not by[2] and not by[3]
+    assert len(by[4]) == 2 + 6 and len(by[0] & by[5]) == 2 and len(by[5]) == 3
+    assert all(set(word_features([t])[0].tolist()) == by[k] for k, t in ((0, "hello"), (5, "hell")))
+
+
 @pytest.mark.parametrize("fit", [fit_quality, fit_toxicity])
 def test_classifiers_without_labels(spark, fit):
     docs, labels, _ = labelled(spark, n=20)
