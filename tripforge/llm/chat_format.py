@@ -19,7 +19,6 @@ values are blanked, and the texts are read from the record's own JSON.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +28,7 @@ TURNS = "array<struct<role string, text string>>".replace(" string", ":string")
 END = "</turn>\n"
 #: Bytes of a record from which its texts are read outside the variant, and of a blanked copy from which a variant may not hold it.
 LONG, MOST_BLANKED = 10_000_000, 40_000_000
-_WHOLE = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}
+_WHOLE = f"map('mode', 'FAILFAST', 'maxStringLen', '{2**31 - 1}')"
 #: What a variant's schema is made of: types with their opening, closings, names.
 _TOKENS = r"OBJECT<|ARRAY<|VOID|VARIANT|>|`(?:[^`]|``)*`|[A-Za-z_0-9]+(?=: )"
 
@@ -40,13 +39,15 @@ class Layout:
 
     In paths, `a.b` is a field of a field and `[]` an array's element; `[none]`
     stands for an array without elements, `{}` for an object or a mix of types.
-    Odd names are in backticks. A layout's paths must be texts or other scalars. `turns` takes the variant; of a long
-    record, its copy with blanked texts and the JSON text that they are read from.
+    Odd names are in backticks. A layout's paths must be texts or other scalars.
+
+    `turns` is SQL over __v, the variant, __long, the JSON text of a long record,
+    whose variant has blanked texts, else null, and __hashes of the record's paths.
     """
 
     name: str
     paths: tuple[str, ...]
-    turns: Callable[..., Column]
+    turns: str
 
 
 def field_paths(record: Column) -> Column:
@@ -93,62 +94,47 @@ def _variant(raw: Column) -> Column:
     return F.when(F.octet_length(raw) > LONG, long).otherwise(F.try_parse_json(raw))
 
 
-def _unblanked(blank: Column, whole: Column) -> Column:
-    return F.when(blank == "", whole).otherwise(blank)
-
-
+#: Fields that hold a text for the system, the first that has one counts.
+SYSTEM = ("system", "system_prompt")
 #: Names that roles go by, in lower case, and the canonical ones.
 ROLES = {"human": "user", "gpt": "assistant", "chatgpt": "assistant", "bard": "assistant", "bing": "assistant", "bot": "assistant", "model": "assistant"}
 
 
-def _turn(role: Column, text: Column) -> Column:
-    return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
-
-
-def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[..., Column]:
-    """Turns from an array of objects; a text field by itself, or, as `field[].part`, the parts of one joined."""
-    field, _, part = text.partition("[].")
-    kind = f"array<struct<{role}:string,{field}:{f'array<struct<{part}:string>>' if part else 'string'}>>"
+def _has(path: str) -> str:
+    """SQL: whether a record has a path that ends in a scalar."""
+    there = lambda p: f"array_contains(__hashes, xxhash64('{p}'))"
+    return f"({there(path)} AND NOT {there(path + '{}')} AND NOT {there(path + '[]')})"
 
-    def turns(v: Column, raw: Column | None = None) -> Column:
-        whole = None if raw is None else F.from_json(raw, f"struct<{path}:{kind}>", _WHOLE)[path]
-        rows = F.variant_get(v, f"$.{path}", kind) if whole is None or not part else whole
-        if whole is not None and not part:
-            rows = F.zip_with(rows, whole, lambda b, x: F.struct(*[_unblanked(b[c], x[c]).alias(c) for c in (role, field)]))
 
-        def one(x: Column) -> Column:
-            known = x[role]
-            for written, canonical in (names or {}).items():
-                known = F.when(F.lower(x[role]) == written, canonical).otherwise(known)
-            return _turn(known, F.array_join(F.transform(x[field], lambda p: p[part]), "", "") if part else x[field])
+def _turn(role: str, text: str) -> str:
+    return f"named_struct('role', coalesce({role}, ''), 'text', coalesce({text}, ''))"
 
-        return F.transform(F.coalesce(rows, F.array().cast(kind)), one)
 
-    return turns
-
-
-def _fixed(*fields: tuple[tuple[str, ...], str]) -> Callable[..., Column]:
-    """Turns from fields of their own: (fields, role). Of several fields those with a text are joined by a blank line. A system turn is there only with a text."""
-
-    def turns(v: Column, raw: Column | None = None) -> Column:
-        def text(path: str) -> Column:
-            own = F.variant_get(v, f"$.{path}", "string")
-            return own if raw is None else _unblanked(own, F.from_json(raw, f"struct<{path}:string>", _WHOLE)[path])
-
-        def joined(paths: tuple[str, ...]) -> Column:
-            return text(paths[0]) if len(paths) == 1 else F.concat_ws("\n\n", *[F.nullif(text(p), F.lit("")) for p in paths])
+def _listed(path: str, role: str, text: str, names: dict[str, str] | None = None) -> str:
+    """Turns from an array of objects; a text field by itself, or, as `field[].part`, the parts of one joined."""
+    field, _, part = text.partition("[].")
+    kind = f"array<struct<`{role}`:string,`{field}`:{f'array<struct<`{part}`:string>>' if part else 'string'}>>"
+    # of a long record the array is read from its own text, which has no blanks
+    rows = f"coalesce(from_json(__long, 'struct<`{path}`:{kind}>', {_WHOLE}).`{path}`, variant_get(__v, '$.{path}', '{kind}'), cast(array() AS {kind}))"
+    known = f"x.`{role}`"
+    if names:
+        pairs = ", ".join(f"'{n}'" for pair in names.items() for n in pair)
+        known = f"coalesce(try_element_at(map({pairs}), lower({known})), {known})"
+    return f"transform({rows}, x -> {_turn(known, f"array_join(transform(x.`{field}`, p -> p.`{part}`), '', '')" if part else f'x.`{field}`')})"
 
-        made = [F.when(F.length(joined(paths)) > 0, _turn(F.lit(role), joined(paths))) if role == "system" else _turn(F.lit(role), joined(paths)) for paths, role in fields]
-        return F.array_compact(F.array(*made))
 
-    return turns
+def _pair(question: str, answer: str, *more: str) -> Layout:
+    """A question and an answer. Fields `more`, where they hold a text, go behind the question after a blank line, a system text before it as a turn of its own."""
 
+    def text(path: str) -> str:
+        own = f"variant_get(__v, '$.{path}', 'string')"
+        return f"CASE WHEN {own} = '' AND __long IS NOT NULL THEN from_json(__long, 'struct<`{path}`:string>', {_WHOLE}).`{path}` ELSE {own} END"
 
-def _pair(name: str, question: str, answer: str, *more: str) -> tuple[Layout, ...]:
-    """Layouts of a question and an answer, with and without a system text."""
-    asked = ((question, *more), "user"), ((answer,), "assistant")
-    systems = tuple(Layout(f"{name}_{s}", (s, question, answer, *more), _fixed(((s,), "system"), *asked)) for s in ("system", "system_prompt"))
-    return (*systems, Layout(name, (question, answer, *more), _fixed(*asked)))
+    there = lambda path: f"CASE WHEN {_has(path)} THEN nullif({text(path)}, '') END"
+    asked = f"concat_ws('\n\n', nullif({text(question)}, ''), {', '.join(map(there, more))})" if more else text(question)
+    system = f"coalesce({', '.join(map(there, SYSTEM))})"
+    turns = [f"CASE WHEN {system} IS NOT NULL THEN {_turn("'system'", system)} END", _turn("'user'", asked), _turn("'assistant'", text(answer))]
+    return Layout(f"{question}_{answer}", (question, answer), f"array_compact(array({', '.join(turns)}))")
 
 
 #: In order: of layouts whose paths a record has, the first counts.
@@ -161,16 +147,14 @@ LAYOUTS = (
     Layout("conversation_roles", ("conversations[].content", "conversations[].role"), _listed("conversations", "role", "content", ROLES)),
     Layout("conversation", ("conversation[].content", "conversation[].role"), _listed("conversation", "role", "content", ROLES)),
     Layout("dialogue", ("dialogue[].role", "dialogue[].text"), _listed("dialogue", "role", "text", ROLES)),
-    *_pair("instruction_input", "instruction", "output", "input"),
-    *_pair("instruction", "instruction", "output"),
-    *_pair("instruction_response_input", "instruction", "response", "input"),
-    *_pair("instruction_response", "instruction", "response"),
-    *_pair("prompt_response", "prompt", "response"),
-    *_pair("prompt_completion", "prompt", "completion"),
-    *_pair("question_answer", "question", "answer"),
-    *_pair("question_response", "question", "response"),
-    *_pair("query_response", "query", "response"),
-    *_pair("input_output", "input", "output"),
+    _pair("instruction", "output", "input"),
+    _pair("instruction", "response", "input"),
+    _pair("prompt", "response"),
+    _pair("prompt", "completion"),
+    _pair("question", "answer"),
+    _pair("question", "response"),
+    _pair("query", "response"),
+    _pair("input", "output"),
 )
 
 
@@ -183,22 +167,15 @@ def canonical_turns(records: DataFrame, raw_col: str = "raw", layouts: tuple[Lay
     are replaced. A long record of a known layout that cannot be read whole stops
     the job.
     """
-    long, hashes = F.octet_length(F.col(raw_col)) > LONG, F.col("__hashes")
+    hashes = F.col("__hashes")
     out = records.withColumn("__v", _variant(F.col(raw_col))).withColumn("__hashes", F.transform(field_paths(F.col("__v")), lambda p: F.xxhash64(p)))
-    known = F.lit(None).cast("int")
-    for i, layout in reversed(list(enumerate(layouts))):
-        has = F.lit(True)
-        for path in layout.paths:
-            there = lambda p: F.array_contains(hashes, F.xxhash64(F.lit(p)))
-            has = has & there(path) & ~there(path + "{}") & ~there(path + "[]")
-        known = F.when(has, i).otherwise(known)
-    out = out.withColumn("__layout", known)
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for i, layout in enumerate(layouts):
-        hit = F.col("__layout") == i
-        name = F.when(hit, layout.name).otherwise(name)
-        turns = F.when(hit & long, layout.turns(F.col("__v"), F.col(raw_col))).when(hit, layout.turns(F.col("__v"))).otherwise(turns)
-    return out.withColumn("fingerprint", F.when(hashes.isNotNull(), F.xxhash64(hashes))).withColumn("layout", name).withColumn("turns", turns).drop("__v", "__hashes", "__layout")
+    choice = " ".join(f"WHEN {' AND '.join(map(_has, layout.paths))} THEN {i}" for i, layout in enumerate(layouts))
+    out = out.withColumns({"__layout": F.expr(f"CASE {choice} END"), "__long": F.when(F.octet_length(raw_col) > LONG, F.col(raw_col))})
+    # flat choices, of which one branch is evaluated
+    name = " ".join(f"WHEN {i} THEN '{layout.name}'" for i, layout in enumerate(layouts))
+    turns = " ".join(f"WHEN {i} THEN cast({layout.turns} AS {TURNS})" for i, layout in enumerate(layouts))
+    made = {"fingerprint": F.when(hashes.isNotNull(), F.xxhash64(hashes)), "layout": F.expr(f"CASE __layout {name} END"), "turns": F.expr(f"CASE __layout {turns} END")}
+    return out.withColumns(made).drop("__v", "__hashes", "__layout", "__long")
 
 
 def _escaped(text: Column) -> Column:
