@@ -143,8 +143,8 @@ def test_chat_layouts_of_records_with_other_fields(spark):
         ({"conversations": [{"from": "human", "value": "q"}, {"from": "GPT", "value": "a"}], "source": {"u": ["v"]}}, "conversations", pair),
         ({"conversations": [{"role": "human", "content": "q"}, {"role": "assistant", "content": "a"}]}, "conversation_roles", pair),
         ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": [{"text": "a"}]}]}, "message_parts", pair),
-        ({"system": "s", "question": "q", "answer": "a"}, "question_answer_system", [("system", "s"), *pair]),
-        ({"system_prompt": "", "instruction": "q", "input": "", "output": "a"}, "instruction_input_system_prompt", pair),
+        ({"system": "s", "question": "q", "answer": "a"}, "question_answer", [("system", "s"), *pair]),
+        ({"system_prompt": "", "instruction": "q", "input": "", "output": "a"}, "instruction_output", pair),
         ({"a b": 1, "c.d": [[{"e": 2}]], "query": "q", "response": "a"}, "query_response", pair),
         ({"messages": ["q", "a"]}, None, None),
         ({"messages": [{"role": "user", "content": "q"}, {"role": "user", "content": ["a"]}]}, None, None),
@@ -209,7 +209,7 @@ def test_chat_long_records_read_as_short_ones(spark, monkeypatch):
     records += ['{"messages": []}', '{"messages": [{"role": "a", "content": {"x": "y"}}]}', '{"a\\"b": ["c", "d:"]}', "no json", '{"prompt": "', '"only text"', None]
     df = spark.createDataFrame(list(enumerate(records)), "conv_id long, raw string")
     short = cf.canonical_turns(df).orderBy("conv_id").collect()
-    assert [r.layout for r in short] == ["messages", "messages", "conversations", "prompt_response", "prompt_response", "instruction_input", "messages"] + [None] * 6
+    assert [r.layout for r in short] == ["messages", "messages", "conversations", "prompt_response", "prompt_response", "instruction_output", "messages"] + [None] * 6
     monkeypatch.setattr(cf, "LONG", 0)
     assert cf.canonical_turns(df).orderBy("conv_id").collect() == short
     with pytest.raises(Exception, match="(?i)malformed"):
