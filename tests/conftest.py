@@ -21,7 +21,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     builder = SparkSession.builder.master("local[4]").appName("tests")
-    conf = SETTINGS | {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+    conf = SETTINGS | {"spark.driver.memory": "3g", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
     for k, v in conf.items():
         builder = builder.config(k, v)
     s = builder.getOrCreate()
