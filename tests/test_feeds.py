@@ -130,8 +130,13 @@ def test_files_of_a_feed_and_documents_without_fields(spark, tmp_path):
     with pytest.raises(quality.QualityError, match="json_fields"):
         feeds.read_feed(spark, feed, [str(tmp_path / "trips.json")])
     feed.json_fields = ["at", "from"]
+    feed.ordered = True
     got = feeds.read_feed(spark, feed, [*paths, str(tmp_path / "trips.json")]).collect()
     assert sorted((r.month, r.start_station_name) for r in got) == [(1, "A"), (5, "A")]
+    (tmp_path / "no-trips.csv").write_text("\n")
+    none = feeds.read_feed(spark, feeds.FeedSpec("x", ["parse_times"], quarantine=True), [str(tmp_path / "no-trips.csv")])
+    assert none.collect() == [] and none.columns == feeds.read_feed(spark, feed, paths).columns
+    assert feeds.quarantined(spark, feeds.FeedSpec("x", [], quarantine=True), [str(tmp_path / "no-trips.csv")]).count() == 0
 
 
 def test_files_without_headers_and_with_broken_lines(spark, tmp_path):
@@ -254,6 +259,12 @@ def test_components_beyond_one_contraction(spark, monkeypatch):
     assert {r.node: r.label for r in graph.connected_components(words).collect()} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
 
 
+def test_a_feed_without_gates(spark, tmp_path):
+    trips_file(tmp_path / "a.csv", "2020-01-01")
+    feed = feeds.FeedSpec("x", ["rename"], final={"start_time": "timestamp_ntz", "end_station_name": "string"})
+    assert [(r.month, r.end_station_name) for r in feeds.read_feed(spark, feed, [str(tmp_path / "a.csv")]).collect()] == [(1, "B")]
+
+
 def test_coverage_gate(spark):
     counts = spark.createDataFrame([(9, 10)], "kept long, named long")
     assert quality.require_coverage(counts, "kept", "named", 0.9).first().coverage == 0.9

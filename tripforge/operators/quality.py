@@ -49,7 +49,7 @@ def _found(name_value: DataFrame) -> DataFrame:
 
 def _marks(checks: dict[str, tuple[Column, Column]]) -> Column:
     one = [F.when(bad, F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"))) for name, (bad, value) in checks.items()]
-    return F.array_compact(F.array(*one))
+    return F.array_compact(F.array(*one)).cast("array<struct<name:string,value:string>>")
 
 
 def check(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:

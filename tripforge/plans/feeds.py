@@ -362,11 +362,12 @@ def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[Da
     kept = [p for p in paths if src.wanted(p, spec.include, spec.exclude)]
     if not kept:
         raise quality.QualityError(f"{spec.name}: no input files")
-    documents = [p for p in kept if p.removesuffix(".gz").endswith(".json")]
+    is_json = lambda p: p.removesuffix(".gz").endswith(".json")
+    documents = [p for p in kept if is_json(p)]
     if documents and not spec.json_fields:
         raise quality.QualityError(f"{spec.name}: no json_fields for {documents[0]}")
     tables = [src.read_ndjson(spark, documents, spec.json_fields, with_file=True)] if documents else []
-    if texts := [p for p in kept if p not in documents]:
+    if texts := [p for p in kept if not is_json(p)]:
         charsets = src.pick_encoding(spark, texts, spec.encoding) if spec.detect_encoding else {spec.encoding: texts}
         for encoding, own in sorted(charsets.items()):
             tables += _by_header(spark, spec, own, encoding)
@@ -377,24 +378,32 @@ def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[Da
 
 def quarantined(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
     """(source_file, line) of the rows that a feed with `quarantine` leaves out."""
+
     def set_aside(t: DataFrame) -> DataFrame:
         # Spark reads the corrupt column only beside another one
         beside = F.coalesce(F.length(F.col(f"`{t.columns[0]}`")) >= 0, F.lit(True))
         return t.where(F.col("_corrupt").isNotNull() & beside).select("source_file", F.col("_corrupt").alias("line"))
 
-    return reduce(DataFrame.unionByName, [set_aside(t) for t in raw_tables(spark, spec, paths) if "_corrupt" in t.columns])
+    none = spark.createDataFrame([], "source_file string, line string")
+    return reduce(DataFrame.unionByName, [set_aside(t) for t in raw_tables(spark, spec, paths) if "_corrupt" in t.columns], none)
 
 
 def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
-    """Canonical trips of files whose headers may differ, with city, year, month and source_file. One pass over the files settles every gate; the trips themselves are read when they are used."""
+    """Canonical trips of files whose headers may differ, with city, year, month and source_file.
+
+    One pass over the files settles every gate; the trips themselves are read
+    when they are used. Files without a line add nothing.
+    """
     for message in run_hooks(spark, spec):
         warnings.warn(message, stacklevel=2)
     parts = []
     for raw in raw_tables(spark, spec, paths):
         whole = raw.where("_corrupt is null").drop("_corrupt") if "_corrupt" in raw.columns else raw
-        done = _select_final(_run_steps(whole, spec, spec.steps), spec)
+        done = _select_final(_run_steps(whole, spec, spec.steps), spec).drop("source_row")
         parts.append(done if quality.GATE in done.columns else quality.marked(done, {}))
-    out = quality.settled(reduce(DataFrame.unionByName, parts)).drop("source_row")
+    if not parts:
+        parts = [quality.marked(spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in (spec.final | {"source_file": "string"}).items())), {})]
+    out = quality.settled(reduce(DataFrame.unionByName, parts))
     return out.withColumn("city", F.lit(spec.name)).withColumn("year", F.year("start_time")).withColumn("month", F.month("start_time"))
 
 
