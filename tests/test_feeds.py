@@ -247,7 +247,14 @@ def test_components_beyond_one_contraction(spark, monkeypatch):
 
     from tripforge.operators import graph
 
+    # within tasks: stars of no more edges than are held at a time
+    import pyarrow as pa
+
     monkeypatch.setattr(graph, "CONTRACTED", 50)
+    path = [pa.RecordBatch.from_arrays([pa.array(range(k, k + 20)), pa.array(range(k + 1, k + 21))], ["a", "b"]) for k in range(0, 100, 20)]
+    stars = list(graph._contract(iter(path)))
+    assert [sorted(set(b.column(0).to_pylist())) for b in stars] == [[0], [60]] and [b.num_rows for b in stars] == [61, 41]
+    monkeypatch.undo()
     random.seed(2)
     order = random.sample(range(3000), 3000)
     edges = [(order[k], order[k + 1]) for k in range(2999) if k % 500 != 499] + [(7, 7), (9000, 9000), (5, 5)]
