@@ -12,6 +12,7 @@ from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
 from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
+from tripforge.llm.spelling import count_words, spelling_variants
 from tripforge.llm.url_filters import filter_urls, host_of
 from tripforge.llm.warc import page_records, read_pages, write_warc
 from tripforge.work import fresh_path
@@ -112,6 +113,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, model, 4, 2, 0.3)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(count_words(_table(spark, sf_dir, "documents"), damage=31), ratio=10)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_warc": op2_warc,
@@ -123,6 +128,7 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling": op11_spelling,
 }
 
 SQL: dict[str, str] = {
