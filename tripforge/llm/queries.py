@@ -9,6 +9,7 @@ from tripforge.llm.ann import nearest_neighbours
 from tripforge.llm.bpe import bpe_encode_decode
 from tripforge.llm.chat_format import as_records, digests, format_chats, gather_turns
 from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
+from tripforge.llm.cover_tree import near_vectors
 from tripforge.llm.decontaminate import contaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, identify_languages
 from tripforge.llm.near_dup import near_duplicates
@@ -117,6 +118,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(count_words(_table(spark, sf_dir, "documents"), damage=31), ratio=10)
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_warc": op2_warc,
@@ -129,6 +134,7 @@ QUERIES = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
     "op11_spelling": op11_spelling,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -177,4 +183,12 @@ SQL: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM d LEFT JOIN f USING (payload_digest)""",
+    "op13_embedding_dedup": """
+        WITH RECURSIVE e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+             k AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+             r AS (SELECT DISTINCT a, a AS b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a),
+             m AS (SELECT a AS vec_id, min(b) AS least FROM r GROUP BY 1),
+             n AS (SELECT a AS vec_id, count(*) AS n_links FROM k GROUP BY 1)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN m USING (vec_id) LEFT JOIN n USING (vec_id)""",
 }
