@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.llm.alignment import align_tokenizers
 from tripforge.llm.ann import nearest_neighbours
 from tripforge.llm.bpe import bpe_encode_decode
 from tripforge.llm.chat_format import as_records, digests, format_chats, gather_turns
@@ -23,10 +24,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def word_bpe_path() -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_bpe_path() -> str:
+    return tokenizer_path("word_bpe_49k.json")
 
 
 def dated_entries(pages: DataFrame) -> DataFrame:
@@ -118,6 +123,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(count_words(_table(spark, sf_dir, "documents"), damage=31), ratio=10)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
 
@@ -134,6 +143,7 @@ QUERIES = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
     "op11_spelling": op11_spelling,
+    "op12_token_alignment": op12_token_alignment,
     "op13_embedding_dedup": op13_embedding_dedup,
 }
 
