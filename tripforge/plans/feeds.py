@@ -47,7 +47,9 @@ class FeedSpec:
     `drop_unbalanced` repair them; `headers` (part of a file's name, header) and
     `headers_by_arity` are for files without a header of their own.
     Rows: another width than the header's raises, with `quarantine` such rows are
-    left out and `quarantined` gives them; `ordered` adds source_row.
+    left out and `quarantined` gives them; `ordered` adds source_row. Quoted cells may
+    hold line breaks, which costs a count of quotes over the files, unless
+    `quoted_breaks` is off or `drop_unbalanced` or `delimiters` work line by line.
     Columns in `required` must be there once the final ones are selected.
     """
 
@@ -70,6 +72,7 @@ class FeedSpec:
     headers: list[tuple[str, str]] = field(default_factory=list)
     headers_by_arity: list[str] = field(default_factory=list)
     quarantine: bool = False
+    quoted_breaks: bool = True
     ordered: bool = False
     required: list[str] = field(default_factory=lambda: ["start_time"])
     invalid: dict[str, list[str]] = field(default_factory=dict)
@@ -331,13 +334,15 @@ def run_hooks(spark: SparkSession, spec: FeedSpec) -> list[str]:
 
 def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding: str) -> Iterator[DataFrame]:
     """Raw rows of files of one charset, a table per header, with source_file and the order of rows."""
-    repaired = lambda own: ln.cleaned(src.read_lines(spark, own, encoding), spec.fixes, spec.drop_unbalanced, spec.delimiters)
-    place = [F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__n")] if spec.ordered else []
+    by_line = spec.drop_unbalanced or spec.delimiters or not spec.quoted_breaks
+    broken = [] if by_line else src.broken_files(spark, paths) if src.bytewise(encoding) else None
     if not (spec.fixes or spec.drop_unbalanced or spec.delimiters or spec.headers or spec.headers_by_arity):
         for header, own in sorted(src.header_signatures(spark, paths, spec.sep, encoding).items()):
-            yield src.read_csv(spark, own, list(header), spec.sep, encoding, quarantine=spec.quarantine).select("*", src.file_path().alias("source_file"), *place)
+            rows = src.read_csv(spark, own, list(header), spec.sep, encoding, quarantine=spec.quarantine, place=True, broken=broken)
+            yield rows if spec.ordered else rows.drop("__start", "__n")
         return
     sep = "," if spec.delimiters else spec.sep
+    repaired = lambda own: ln.cleaned(src.read_whole_lines(spark, own, sep, encoding, broken or ()), spec.fixes, spec.drop_unbalanced, spec.delimiters)
     groups: dict[tuple[str, str | None], list[str]] = {}
     lines = repaired(paths)
     arity = {len(src.parse_header(h, sep)): h for h in spec.headers_by_arity}

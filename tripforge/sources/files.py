@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tripforge.sources.lines import balanced_quotes, parse_lines
+from tripforge.sources.records import broken_files, bytewise, file_path, read_records
+
 #: A value that no file holds, so that an empty quoted text stays apart from a missing one.
 _NEVER = "\u0001"
 
@@ -20,23 +25,69 @@ def text_schema(header: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in header])
 
 
-def file_path() -> Column:
-    """The path of a row's file, as readers take it."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+#: Where a row stands: its file, the block that it was read from, and a number that rises within the block.
+PLACE = ("source_file", "__start", "__n")
+
+
+def _place() -> list[Column]:
+    return [file_path().alias(PLACE[0]), F.col("_metadata.file_block_start").alias(PLACE[1]), F.monotonically_increasing_id().alias(PLACE[2])]
 
 
-def read_csv(spark: SparkSession, paths: list[str] | str, header: list[str], sep: str = ",", encoding: str = "UTF-8", with_header: bool = True, quarantine: bool = False) -> DataFrame:
-    """Every column as text; `.gz` is read as such. A row of another width raises, or with `quarantine` lands in `_corrupt`.
+def read_csv(spark: SparkSession, paths: list[str] | str, header: list[str], sep: str = ",", encoding: str = "UTF-8", with_header: bool = True, quarantine: bool = False, place: bool = False, broken: list[str] | None = None) -> DataFrame:
+    """Every column as text; `.gz` is read as such; with `place` the columns PLACE as well. A row of another width raises, or with `quarantine` lands in `_corrupt`.
+
+    Cells are those of RFC 4180: a doubled quote in a quoted cell is one quote, and a
+    quoted cell may hold separators and line breaks, which stay as they are. Files
+    with such breaks, `broken`, are found by counting quotes if they are not given, one
+    pass more over the files, and are read by `read_records`; in other files a cell with a
+    break is a row of another width. Charsets that write quotes and breaks with other
+    bytes than ASCII are read a file a task.
 
     Rows are parsed whole whatever columns a query takes, so that a row of
     another width is found by every query that reads rows.
     """
-    reader = spark.read.option("header", with_header).option("sep", sep).option("encoding", encoding).option("nullValue", _NEVER).option("emptyValue", "").option("enforceSchema", "true").option("columnPruning", "false")
+    whole = broken is None and not bytewise(encoding)
+    if broken is None:
+        broken = [] if whole else broken_files(spark, paths)
+    rest, broken = _apart(spark, paths, broken)
+    reader = spark.read.option("header", with_header).option("sep", sep).option("quote", '"').option("escape", '"').option("encoding", encoding).option("nullValue", _NEVER).option("emptyValue", "").option("enforceSchema", "true").option("columnPruning", "false").option("multiLine", whole)
     schema = text_schema(header)
     if quarantine:
         schema = schema.add("_corrupt", StringType())
-        return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema).csv(paths)
-    return reader.option("mode", "FAILFAST").schema(schema).csv(paths)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    names = [f"`{c}`" for c in schema.names]
+    parts = []
+    if rest:
+        plain = reader.schema(schema).csv(rest)
+        parts.append(plain.select(*names, *_place()) if place else plain)
+    if broken:
+        records = read_records(spark, broken, sep, encoding)
+        if with_header:
+            first = records.where("start = 0").groupBy("file").agg(F.min("n").alias("__first"))
+            # a row for each of the files that `broken` names
+            records = records.join(F.broadcast(first), "file").where("start > 0 or n > __first").drop("__first")
+        parsed = parse_lines(records.toDF(*PLACE, "line"), text_schema(header), sep, quarantine)
+        parts.append(parsed.select(*names, *(PLACE if place else ())))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _apart(spark: SparkSession, paths: list[str] | str, broken: list[str]) -> tuple[list[str] | str, list[str]]:
+    """(the other files below `paths`, those of them that are in `broken`)."""
+    if not broken:
+        return paths, []
+    plain = lambda p: re.sub(r"^file:/+", "/", p)
+    known = {plain(b) for b in broken}
+    every = [r.path for r in spark.read.format("binaryFile").load(paths).select("path").orderBy("path").collect()]
+    return [p for p in every if plain(p) not in known], [p for p in every if plain(p) in known]
+
+
+def read_whole_lines(spark: SparkSession, paths: list[str] | str, sep: str = ",", encoding: str = "UTF-8", broken: list[str] = ()) -> DataFrame:
+    """`read_lines`, but of files in `broken` a line is a whole record, with the line breaks of quoted cells."""
+    rest, broken = _apart(spark, paths, list(broken))
+    parts = ([read_lines(spark, rest, encoding)] if rest else []) + ([read_records(spark, broken, sep, encoding)] if broken else [])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_lines(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> DataFrame:
@@ -80,9 +131,16 @@ def ignored(spark: SparkSession, root: str, include: list[str] = (), exclude: li
     return files.where(~wanted_path(F.col("path"), include, exclude))
 
 
-def headers(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> DataFrame:
-    """(file, header): the first line of each file that has anything in it."""
-    return first_lines(read_lines(spark, paths, encoding))
+def headers(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
+    """(file, header): the first record of each file that has anything in it."""
+    found = first_lines(read_lines(spark, paths, encoding))
+    if not bytewise(encoding):
+        return found
+    cut = [r.file for r in found.where(~balanced_quotes(F.col("header"))).select("file").collect()]
+    if not cut:
+        return found
+    # a name with a line break
+    return found.where(~F.col("file").isin(cut)).unionByName(first_lines(read_records(spark, cut, sep, encoding)))
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -93,14 +151,14 @@ def first_lines(lines: DataFrame) -> DataFrame:
 def parse_header(line: str, sep: str = ",") -> tuple[str, ...]:
     """Column names of a header line; names in quotes may hold the separator."""
     line = line.lstrip("\ufeff")
-    names = next(csv.reader([line], delimiter=sep, skipinitialspace=True)) if len(sep) == 1 else line.split(sep)
+    names = next(csv.reader(io.StringIO(line, newline=""), delimiter=sep, skipinitialspace=True)) if len(sep) == 1 else line.split(sep)
     return tuple(x.strip().strip('"').strip() for x in names)
 
 
 def header_signatures(spark: SparkSession, paths: list[str] | str, sep: str = ",", encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
     """Files by header. As many header groups as a feed has schema eras, and as many paths as it has files, reach the driver. Files without a line are left out."""
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in headers(spark, paths, encoding).orderBy("file").collect():
+    for r in headers(spark, paths, encoding, sep).orderBy("file").collect():
         out.setdefault(parse_header(r.header, sep), []).append(r.file)
     return out
 
@@ -233,7 +291,8 @@ def read_station_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Station files of differing columns, united by name as text, with `file` to tell which is newer."""
     parts = []
     for header, own in sorted(header_signatures(spark, paths).items()):
-        parts.append(read_csv(spark, own, list(header)).withColumn("file", F.col("_metadata.file_name")))
+        rows = read_csv(spark, own, list(header), place=True)
+        parts.append(rows.withColumn("file", F.substring_index("source_file", "/", -1)).drop(*PLACE))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

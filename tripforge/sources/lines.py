@@ -51,8 +51,8 @@ def cleaned(lines: DataFrame, fixes: list[tuple[str, str, str]] = (), drop_unbal
 
 
 def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",", quarantine: bool = False) -> DataFrame:
-    """Columns of cleaned lines; other columns stay. A line of another width raises, or with `quarantine` is in `_corrupt`. An empty quoted text stays apart from a missing one."""
-    options = {"sep": sep, "nullValue": "\u0001", "emptyValue": "", "mode": "FAILFAST"}
+    """Columns of cleaned lines or records; other columns stay. Cells are those of RFC 4180, with line breaks if a line is a whole record. A line of another width raises, or with `quarantine` is in `_corrupt`. An empty quoted text stays apart from a missing one."""
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n", "nullValue": "\u0001", "emptyValue": "", "mode": "FAILFAST"}
     if quarantine:
         schema = StructType([*schema.fields, StructField("_corrupt", StringType())])
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
