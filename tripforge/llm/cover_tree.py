@@ -39,7 +39,7 @@ CELL, MOST_CELLS = 4_096, 16_384
 SAMPLED = 8
 #: Classes on either side of a tile.
 BLOCK = 4_096
-#: Nodes with fewer points are leaves; so are balls of a radius under TINY.
+#: Children of no more points are taken apart into these; balls of a radius under TINY are leaves.
 LEAF, TINY = 12, 1e-7
 #: By which distances of unit vectors in double precision may be off.
 SLACK = 1e-6
@@ -111,9 +111,9 @@ class CoverTree:
             self.children.append(None)
             if parent >= 0:
                 below.setdefault(parent, []).append(node)
-            while level >= radius and level > TINY:
+            while level >= radius > TINY:
                 level /= 2
-            if len(points) <= LEAF or radius <= TINY or level <= TINY:
+            if len(points) == 1 or radius <= TINY:
                 self.order[filled : filled + len(points)] = points
                 filled += len(points)
                 continue
@@ -121,7 +121,10 @@ class CoverTree:
             by = np.argsort(own, kind="stable")
             cuts = np.flatnonzero(np.diff(own[by], prepend=-1))
             # children are popped, and so numbered and laid out, one whole subtree after the other
-            for k, part in enumerate(np.split(by, cuts[1:])):
+            for part in np.split(by, cuts[1:]):
+                if len(part) <= LEAF:
+                    todo += [(points[p : p + 1], level, node) for p in part]
+                    continue
                 head = net[own[part[0]]]
                 todo.append((points[np.concatenate([[head], part[part != head]])], level, node))
         for node, own_children in below.items():
@@ -167,9 +170,9 @@ def link_trees(a: CoverTree, b: CoverTree | None, raw_a: np.ndarray, raw_b: np.n
     other, raw_other = (a, raw_a) if b is None else (b, raw_b)
     whole: set[tuple[int, int]] = set()
 
-    def mark(node_lo: int, node_hi: int) -> None:
-        if node_hi - node_lo > 1:
-            whole.add((node_lo, node_hi))
+    def mark(lo: np.ndarray, hi: np.ndarray) -> None:
+        several = hi - lo > 1
+        whole.update(zip(lo[several].tolist(), hi[several].tolist()))
 
     def linked(i: np.ndarray, j: np.ndarray, same: bool) -> None:
         """Nodes i of a and j of the other tree, linked as a whole; `same` pairs are of a node with itself."""
@@ -177,10 +180,8 @@ def link_trees(a: CoverTree, b: CoverTree | None, raw_a: np.ndarray, raw_b: np.n
         if not same:
             links.add(other.lo[j] + shift, other.hi[j] + shift, a.heavy[i])
         links.join(a.lo[i], other.lo[j] + shift)
-        for lo, hi in zip(a.lo[i], a.hi[i]):
-            mark(int(lo), int(hi))
-        for lo, hi in zip(other.lo[j], other.hi[j]):
-            mark(int(lo) + shift, int(hi) + shift)
+        mark(a.lo[i], a.hi[i])
+        mark(other.lo[j] + shift, other.hi[j] + shift)
 
     def measure(i: int, j: int) -> None:
         p, q = np.arange(a.lo[i], a.hi[i]), np.arange(other.lo[j], other.hi[j])
@@ -211,7 +212,9 @@ def link_trees(a: CoverTree, b: CoverTree | None, raw_a: np.ndarray, raw_b: np.n
             measure(i, j)
             continue
         if b is None and i == j:
-            todo += [(int(k), int(k)) for k in left]
+            close = 2 * a.radius[left] + SLACK <= t
+            linked(left[close], left[close], True)
+            todo += [(int(k), int(k)) for k in left[~close]]
         if left is None or right is not None and not (b is None and i == j) and other.radius[j] > 2 * a.radius[i]:
             left = np.array([i])
         elif right is None or not (b is None and i == j) and a.radius[i] > 2 * other.radius[j]:
