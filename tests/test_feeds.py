@@ -566,3 +566,84 @@ def test_orphans_and_files_of_their_own(spark, tmp_path):
     incremental.write_by_file(spark.createDataFrame([("f1", 1), ("f2", 2)], "source_file string, v int"), out)
     incremental.write_by_file(spark.createDataFrame([("f2", 3)], "source_file string, v int"), out)
     assert {tuple(r) for r in spark.read.parquet(out).select("source_file", "v").collect()} == {("f1", 1), ("f2", 3)}
+
+
+def _counted(spark):
+    """A step that counts the rows that pass it, and the counter."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    feeds.STEPS["counted"] = lambda df, spec: df.mapInArrow(count, df.schema)
+    return rows
+
+
+def _trip_files(tmp_path, bad):
+    (tmp_path / "a.csv").write_text("start_time,end_time,start_station_name,end_station_name,bike_type\n" + "".join(f"2020-01-{i % 28 + 1:02d} 00:00:00,2020-02-01 00:00:00,A{i},B,docked_bike\n" for i in range(200)))
+    lines = ["noon,,A,B,docked_bike", "2020-01-01 00:00:00,,A,B,unicycle", "midnight,,A,B,unicycle", "2020-01-02 00:00:00,,A"] if bad else []
+    (tmp_path / "b.csv").write_text("\n".join(["start_time,end_time,start_station_name,end_station_name,bike_type", *lines, "2021-03-01 00:00:00,,C,D,"]))
+    return [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+
+
+def _town(**more):
+    return feeds.FeedSpec("town", ["counted", "drop_all_null", "parse_times", "bike_type", "select_final"], final={**feeds.BASE_COLUMNS, "bike_type": "string"}, **more)
+
+
+def test_published_in_one_pass_or_not_at_all(spark, tmp_path):
+    rows, out = _counted(spark), str(tmp_path / "out")
+    assert feeds.publish_feed(spark, _town(), _trip_files(tmp_path, False), out) == {"kept": 201, "found": 0}
+    assert rows.value == 201
+    assert spark.read.parquet(out).groupBy("year").count().orderBy("year").collect() == [(2020, 200), (2021, 1)]
+    (tmp_path / "b.csv").write_text((tmp_path / "b.csv").read_text() + "\nnoon,,A,B,docked_bike\n2020-01-01 00:00:00,,A,B,unicycle\n")
+    with pytest.raises(quality.QualityError, match="bike_type: 1 rows, such as .'unicycle'.*start_time: 1 rows, such as .'noon'"):
+        feeds.publish_feed(spark, _town(), [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], out)
+    assert spark.read.parquet(out).count() == 201
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a.csv", "b.csv", "out"]
+    del feeds.STEPS["counted"]
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_offenders_go_to_dead_letters_in_one_pass(spark, tmp_path, ordered):
+    rows, out, dead = _counted(spark), str(tmp_path / "out"), str(tmp_path / "dead")
+    paths = _trip_files(tmp_path, True)
+    for _ in range(2):
+        assert feeds.publish_feed(spark, _town(ordered=ordered), paths, out, dead) == {"kept": 201, "found": 4}
+    assert rows.value == 2 * 205
+    trips = spark.read.parquet(out)
+    assert set(trips.columns) == {"start_time", "end_time", "start_station_name", "end_station_name", "bike_type", "source_file", "city", "year", "month"} and trips.count() == 201
+    found = sorted((r.source_file.rsplit("/", 1)[-1], r.source_row is not None, r.step, r.value) for r in spark.read.parquet(dead).collect())
+    assert found == sorted(("b.csv", ordered, *x) for x in [("start_time", "noon"), ("bike_type", "unicycle"), ("start_time", "midnight"), ("bike_type", "unicycle"), (feeds.WIDTH, "2020-01-02 00:00:00,,A")])
+    del feeds.STEPS["counted"]
+
+
+def test_many_headers_are_one_plan(spark, tmp_path):
+    names = {"start_time": ["Start", "start time", "begin"], "end_time": ["End", "end time", "finish"], "start_station_name": ["From", "origin"], "end_station_name": ["To", "target"]}
+    want = []
+    for i in range(60):
+        columns = list(names)
+        columns = columns[i % 4 :] + columns[: i % 4] + [f"junk {k}" for k in range(i % 3)] + (["usertype"] if i % 5 == 0 else [])
+        head = [names[c][i % len(names[c])] if c in names else c for c in columns]
+        cell = {"start_time": f"2020-01-01 00:{i:02d}:00", "end_time": "", "start_station_name": f'A "{i}", x', "end_station_name": f"B{i}", "usertype": "Subscriber"}
+        row = ['"' + cell.get(c, "j").replace('"', '""') + '"' if cell.get(c, "j") else "" for c in columns]
+        (tmp_path / f"{i:03d}.csv").write_text(",".join(f' "{h}"' if k else h for k, h in enumerate(head)) + "\n" + ",".join(row) + "\n")
+        want.append((f"2020-01-01 00:{i:02d}:00", f'A "{i}", x', f"B{i}", True if i % 5 == 0 else None))
+    feed = feeds.FeedSpec("x", ["clean_headers", "rename", "drop_all_null", "parse_times", "is_member", "select_final"], rename={h: c for c, own in names.items() for h in own} | {"usertype": "membership_type"}, final={**feeds.BASE_COLUMNS, "is_member": "boolean"})
+    got = feeds.read_feed(spark, feed, [str(p) for p in sorted(tmp_path.iterdir())])
+    assert sorted((str(r.start_time), r.start_station_name, r.end_station_name, r.is_member) for r in got.collect()) == want
+    # a table with and one without members, each a scan per width
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 8
+    bad = tmp_path / "bad.csv"
+    bad.write_text("Start,From\n2020-01-01 00:00:00,A,B\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        feeds.read_feed(spark, feed, [str(p) for p in sorted(tmp_path.iterdir())])
+
+
+def test_steps_that_ask_for_columns_keep_headers_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("start,from,to\n2020-01-01 00:00:00,A,B\n")
+    (tmp_path / "b.csv").write_text("from,to\nA,B\n")
+    feed = feeds.FeedSpec("x", ["rename", "parse_times", "select_final"], rename={"start": "start_time", "from": "start_station_name", "to": "end_station_name"})
+    with pytest.raises(quality.QualityError, match="start_time"):
+        feeds.read_feed(spark, feed, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])

@@ -13,27 +13,31 @@ from tripforge.work import saved
 OPTIONAL_TEXT = ("bike_id", "gender", "birth_year", "bike_type", "bike_model", "membership_type")
 
 
-def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Renames the headers that are there. Two headers that would get one name raise."""
-    new = [names.get(c, c) for c in df.columns]
+def renamed(columns: list[str], names: dict[str, str]) -> list[str]:
+    """The headers under their new names. Two headers that would get one name raise."""
+    new = [names.get(c, c) for c in columns]
     if twice := sorted({c for c in new if new.count(c) > 1}):
         raise ValueError(f"several columns would be named {', '.join(twice)}")
-    return df.toDF(*new)
+    return new
 
 
-def clean_headers(df: DataFrame) -> DataFrame:
+def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Renames the headers that are there."""
+    return df.toDF(*renamed(df.columns, names))
+
+
+def cleaned_headers(columns: list[str]) -> list[str]:
     """Headers trimmed and without one pair of matching quotes around them."""
 
     def one(c: str) -> str:
         c = c.strip()
         return c[1:-1].strip() if len(c) > 1 and c[0] == c[-1] and c[0] in "\"'" else c
 
-    return df.toDF(*map(one, df.columns))
+    return [one(c) for c in columns]
 
 
-def first_of(df: DataFrame, candidates: list[str]) -> str | None:
-    """The first candidate that is a column."""
-    return next((c for c in candidates if c in df.columns), None)
+def clean_headers(df: DataFrame) -> DataFrame:
+    return df.toDF(*cleaned_headers(df.columns))
 
 
 def select_final(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -49,9 +53,13 @@ def optional_as_text(df: DataFrame, columns: tuple[str, ...] = OPTIONAL_TEXT) ->
     return df.withColumns({c: F.col(c).cast("string") for c in columns if c in df.columns})
 
 
+def any_there(df: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """Whether a row holds anything in columns other than `but`."""
+    return reduce(or_, [F.col(f"`{c}`").isNotNull() for c in df.columns if c not in but], F.lit(False))
+
+
 def drop_all_null(df: DataFrame, but: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that hold anything in columns other than `but`."""
-    return df.where(reduce(or_, [F.col(f"`{c}`").isNotNull() for c in df.columns if c not in but], F.lit(False)))
+    return df.where(any_there(df, but))
 
 
 def without_values(invalid: dict[str, list[str]]) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge.operators.columns import spread_by_month
-from tripforge.work import saved
+from tripforge.work import beside, file_system, put_in_place, saved
 
 SIGNATURE = ("path", "length", "modified")
 
@@ -65,13 +64,6 @@ def _table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _files(spark: SparkSession, path: str):
-    """(Hadoop file system, function from text to its paths)."""
-    jvm = spark.sparkContext._jvm
-    to_path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
-
-
 def month_folder() -> Column:
     """The folder of a row's month below a table, as Spark names it."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
@@ -121,7 +113,7 @@ def _lacking(spark: SparkSession, outputs: DataFrame, table: str) -> DataFrame:
     names = [r.o for r in each.select("o").distinct().limit(MONTHS + 1).collect()]
     if len(names) > MONTHS:
         raise ValueError(f"more than {MONTHS} months in the manifest")
-    fs, to_path = _files(spark, table)
+    fs, to_path = file_system(spark, table)
     gone = [n for n in names if not fs.exists(to_path(f"{table}/{n}"))]
     return each.join(F.broadcast(spark.createDataFrame([(n,) for n in gone], "o string")), "o", "left_semi").select("path").distinct()
 
@@ -143,7 +135,7 @@ def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, tab
     spread_by_month(new).write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
     left = new.select("year", "month").distinct().toDF("__y", "__m")
     empty = months.join(left, months.year.eqNullSafe(left["__y"]) & months.month.eqNullSafe(left["__m"]), "left_anti")
-    fs, to_path = _files(spark, table)
+    fs, to_path = file_system(spark, table)
     for r in empty.select(month_folder().alias("o")).toLocalIterator():
         fs.delete(to_path(f"{table}/{r.o}"), True)
 
@@ -155,13 +147,10 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_manifest(rows: DataFrame, path: str) -> None:
-    """Writes the manifest beside the old one and then takes its place."""
-    spark = rows.sparkSession
-    fs, to_path = _files(spark, path)
-    beside = f"{path}-{uuid.uuid4().hex}"
-    rows.select(*SIGNATURE, "outputs").write.parquet(beside)
-    fs.delete(to_path(path), True)
-    fs.rename(to_path(beside), to_path(path))
+    """Writes the manifest beside the old one, which is moved aside and deleted once the new one has its name."""
+    staged = beside(path)
+    rows.select(*SIGNATURE, "outputs").write.parquet(staged)
+    put_in_place(rows.sparkSession, staged, path)
 
 
 def run(spark: SparkSession, current: DataFrame, state: str, read: Callable[[list[str]], DataFrame], table: str, force: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ BROADCAST_ROWS; otherwise Spark picks a shuffle join that can split skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -32,9 +32,9 @@ def name_both_ends(trips: DataFrame, dim: DataFrame, allowed: list[str] = (), ho
     return out
 
 
-def both_named(trips: DataFrame) -> DataFrame:
-    """Trips with a name at both ends."""
-    return trips.where("start_station_name is not null and end_station_name is not null")
+def have_both_names() -> Column:
+    """Whether a trip has a name at both ends."""
+    return F.col("start_station_name").isNotNull() & F.col("end_station_name").isNotNull()
 
 
 def renumber_and_name(trips: DataFrame, mapping: DataFrame, dim: DataFrame, on_missing: str = "raise") -> DataFrame:
@@ -49,7 +49,7 @@ def renumber_and_name(trips: DataFrame, mapping: DataFrame, dim: DataFrame, on_m
         bad = out.where(lost).select("start_station_id", "end_station_id").distinct().orderBy("start_station_id", "end_station_id").limit(5).collect()
         if bad:
             raise ValueError(f"trips whose stations have no new id or name: {[tuple(r) for r in bad]}")
-    return out if on_missing == "keep" else both_named(out)
+    return out if on_missing == "keep" else out.where(have_both_names())
 
 
 def name_by_year(trips: DataFrame, yearly: DataFrame) -> DataFrame:

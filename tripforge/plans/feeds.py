@@ -14,10 +14,10 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge.functions import time as tm
@@ -26,6 +26,7 @@ from tripforge.operators import columns as cols
 from tripforge.operators import fill, lookups, quality
 from tripforge.sources import files as src
 from tripforge.sources import lines as ln
+from tripforge.work import beside, file_system, put_in_place, saved
 
 BASE_COLUMNS = {"start_time": "timestamp_ntz", "end_time": "timestamp_ntz", "start_station_name": "string", "end_station_name": "string"}
 #: Names of column types in feed files; others count as text.
@@ -126,9 +127,14 @@ def _null_values(df: DataFrame, spec: FeedSpec) -> DataFrame:
     return df.select(*[vl.sentinels_to_null(F.col(f"`{c}`"), tuple(spec.null_values)).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def _unless_found(df: DataFrame, keep: Column) -> DataFrame:
+    """Rows that `keep` holds for, and rows with findings, so that what a step could not take is not lost without a word."""
+    return df.where(keep | ~quality.unmarked() if quality.GATE in df.columns else keep)
+
+
 @register_step("drop_all_null")
 def _drop_all_null(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    return cols.drop_all_null(df, OWN)
+    return _unless_found(df, cols.any_there(df, OWN))
 
 
 @register_step("optional_as_text")
@@ -138,10 +144,7 @@ def _optional_as_text(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 @register_step("remove_invalid")
 def _remove_invalid(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Rows with findings stay, so that what a step could not take is not lost without a word."""
-    own = {c: v for c, v in spec.invalid.items() if c in df.columns}
-    keep = cols.without_values(own)
-    return df.where(keep | ~quality.unmarked() if quality.GATE in df.columns else keep)
+    return _unless_found(df, cols.without_values({c: v for c, v in spec.invalid.items() if c in df.columns}))
 
 
 def _parsed(df: DataFrame, parse: Callable) -> DataFrame:
@@ -272,7 +275,7 @@ def _station_names(df: DataFrame, spec: FeedSpec) -> DataFrame:
 def _renumber_stations(df: DataFrame, spec: FeedSpec) -> DataFrame:
     """Legacy ids to new ones and to names; with on_missing `drop`, trips that lack one are left out."""
     out = lookups.renumber_and_name(df, spec.renumbering, spec.stations, "keep")
-    return lookups.both_named(out) if spec.on_missing == "drop" else _named(out)
+    return _unless_found(out, lookups.have_both_names()) if spec.on_missing == "drop" else _named(out)
 
 
 @register_step("stations_by_year")
@@ -332,14 +335,63 @@ def run_hooks(spark: SparkSession, spec: FeedSpec) -> list[str]:
     return failed
 
 
-def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding: str) -> Iterator[DataFrame]:
-    """Raw rows of files of one charset, a table per header, with source_file and the order of rows."""
+#: Steps that take a missing column just as one without values, but for the columns in PRESENCE.
+TOLERANT = {"null_values", "drop_all_null", "optional_as_text", "remove_invalid", "parse_times", "parse_offset_times", "parse_local_times", "epoch_millis", "two_digit_years", "gender", "is_member", "bike_type", "birth_year", "station_ids", "by_era", "select_final"}
+PRESENCE = {"start_time", "end_time", "bike_type", "bike_model", "membership_type", "is_member"}
+#: Steps on names alone, which are taken before the rows are read, and what they do.
+ON_NAMES: dict[str, Callable[[list[str], FeedSpec], list[str]]] = {"clean_headers": lambda names, spec: cols.cleaned_headers(names), "rename": lambda names, spec: cols.renamed(names, spec.rename)}
+_BUILT_IN = dict(STEPS)
+#: Files whose headers are broadcast together, a row each; more files are read by further scans.
+FILES = 100_000
+
+
+def _alike(spec: FeedSpec, steps: list[str], names: list[str]) -> frozenset[str]:
+    """What files must have in common to go through the steps as one table: the columns whose presence the steps ask for, or all where a step is not known to be tolerant."""
+    every = [*steps, *(x for era in spec.eras for x in era["steps"])]
+    if not all(x in TOLERANT and STEPS.get(x) is _BUILT_IN[x] for x in every):
+        return frozenset(names)
+    return frozenset(names) & {*PRESENCE, *spec.required, *spec.invalid, *(c for era in spec.eras for c in era["has"])}
+
+
+def _mapped(spark: SparkSession, spec: FeedSpec, files: dict[str, list[str]], encoding: str, broken: list[str] | None) -> DataFrame:
+    """Rows of files with differing headers, `files` with the names of their columns, under the union of the names. Files of one width are one scan; each file's cells go to their columns by a broadcast table of places."""
+    columns = list(dict.fromkeys(c for names in files.values() for c in names))
+    parts = []
+    for width in sorted({len(names) for names in files.values()}):
+        own = sorted(f for f, names in files.items() if len(names) == width)
+        cells = [f"_{k}" for k in range(width)]
+        rows = src.read_csv(spark, own, cells, spec.sep, encoding, quarantine=spec.quarantine, place=True, broken=broken)
+        parts.append(rows.select(F.array(*cells).alias("__cells"), *src.PLACE, *(["_corrupt"] if spec.quarantine else [])))
+    places = spark.createDataFrame([(f, [names.index(c) if c in names else -1 for c in columns]) for f, names in files.items()], "__file string, __at array<int>")
+    rows = reduce(DataFrame.unionByName, parts).join(F.broadcast(places), F.col("source_file") == F.col("__file"))
+    at = lambda k: F.get("__at", F.lit(k))
+    return rows.select(*[F.when(at(k) >= 0, F.get("__cells", at(k))).alias(c) for k, c in enumerate(columns)], *(["_corrupt"] if spec.quarantine else []), *src.PLACE)
+
+
+def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding: str) -> Iterator[tuple[DataFrame, list[str]]]:
+    """Raw rows of files of one charset with source_file and the order of rows, a table for each kind of header that the steps tell apart, and the steps left to do."""
     by_line = spec.drop_unbalanced or spec.delimiters or not spec.quoted_breaks
     broken = [] if by_line else src.broken_files(spark, paths) if src.bytewise(encoding) else None
     if not (spec.fixes or spec.drop_unbalanced or spec.delimiters or spec.headers or spec.headers_by_arity):
+        done = 0
+        while done < len(spec.steps) and spec.steps[done] in ON_NAMES and STEPS[spec.steps[done]] is _BUILT_IN[spec.steps[done]]:
+            done += 1
+        kinds: dict[frozenset[str], dict[str, list[str]]] = {}
         for header, own in sorted(src.header_signatures(spark, paths, spec.sep, encoding).items()):
-            rows = src.read_csv(spark, own, list(header), spec.sep, encoding, quarantine=spec.quarantine, place=True, broken=broken)
-            yield rows if spec.ordered else rows.drop("__start", "__n")
+            names = reduce(lambda n, step: ON_NAMES[step](n, spec), spec.steps[:done], list(header))
+            if done and len(set(names)) < len(names):
+                raise ValueError(f"columns named twice in {own[0]}")
+            kinds.setdefault(_alike(spec, spec.steps[done:], names), {}).update(dict.fromkeys(own, names))
+        for files in kinds.values():
+            listed = sorted(files)
+            for k in range(0, len(listed), FILES):
+                some = {f: files[f] for f in listed[k : k + FILES]}
+                first = next(iter(some.values()))
+                if all(names == first for names in some.values()):
+                    rows = src.read_csv(spark, list(some), first, spec.sep, encoding, quarantine=spec.quarantine, place=True, broken=broken)
+                else:
+                    rows = _mapped(spark, spec, some, encoding, broken)
+                yield rows if spec.ordered else rows.drop("__start", "__n"), spec.steps[done:]
         return
     sep = "," if spec.delimiters else spec.sep
     repaired = lambda own: ln.cleaned(src.read_whole_lines(spark, own, sep, encoding, broken or ()), spec.fixes, spec.drop_unbalanced, spec.delimiters)
@@ -359,11 +411,11 @@ def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding:
         rows = repaired(own)
         rows = (rows if line is None else rows.where(F.col("line") != line)).withColumnsRenamed({"file": "source_file", "start": "__start", "n": "__n"})
         names = src.parse_header(header, sep)
-        yield ln.parse_lines(rows, src.text_schema(list(names)), sep, spec.quarantine).select(*[f"`{c}`" for c in names], *(["_corrupt"] if spec.quarantine else []), "source_file", *(["__start", "__n"] if spec.ordered else []))
+        yield ln.parse_lines(rows, src.text_schema(list(names)), sep, spec.quarantine).select(*[f"`{c}`" for c in names], *(["_corrupt"] if spec.quarantine else []), "source_file", *(["__start", "__n"] if spec.ordered else [])), spec.steps
 
 
-def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[DataFrame]:
-    """The feed's files as text columns, a table per charset and header, with source_file and, where asked for, source_row and _corrupt. No file left raises."""
+def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[tuple[DataFrame, list[str]]]:
+    """The feed's files as text columns, a table for each charset and kind of header, with source_file and, where asked for, source_row and _corrupt; and the steps that each still goes through. No file left raises."""
     kept = [p for p in paths if src.wanted(p, spec.include, spec.exclude)]
     if not kept:
         raise quality.QualityError(f"{spec.name}: no input files")
@@ -371,13 +423,13 @@ def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[Da
     documents = [p for p in kept if is_json(p)]
     if documents and not spec.json_fields:
         raise quality.QualityError(f"{spec.name}: no json_fields for {documents[0]}")
-    tables = [src.read_ndjson(spark, documents, spec.json_fields, with_file=True)] if documents else []
+    tables = [(src.read_ndjson(spark, documents, spec.json_fields, with_file=True), spec.steps)] if documents else []
     if texts := [p for p in kept if not is_json(p)]:
         charsets = src.pick_encoding(spark, texts, spec.encoding) if spec.detect_encoding else {spec.encoding: texts}
         for encoding, own in sorted(charsets.items()):
             tables += _by_header(spark, spec, own, encoding)
     if spec.ordered:
-        tables = [src.numbered(t, "source_file", "__start", "__n", "source_row").drop("__start", "__n") if "__n" in t.columns else t for t in tables]
+        tables = [(src.numbered(t, "source_file", "__start", "__n", "source_row").drop("__start", "__n") if "__n" in t.columns else t, steps) for t, steps in tables]
     return tables
 
 
@@ -386,32 +438,82 @@ def quarantined(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFr
 
     def set_aside(t: DataFrame) -> DataFrame:
         # Spark reads the corrupt column only beside another one
-        beside = F.coalesce(F.length(F.col(f"`{t.columns[0]}`")) >= 0, F.lit(True))
-        return t.where(F.col("_corrupt").isNotNull() & beside).select("source_file", F.col("_corrupt").alias("line"))
+        another = F.coalesce(F.length(F.col(f"`{t.columns[0]}`")) >= 0, F.lit(True))
+        return t.where(F.col("_corrupt").isNotNull() & another).select("source_file", F.col("_corrupt").alias("line"))
 
     none = spark.createDataFrame([], "source_file string, line string")
-    return reduce(DataFrame.unionByName, [set_aside(t) for t in raw_tables(spark, spec, paths) if "_corrupt" in t.columns], none)
+    return reduce(DataFrame.unionByName, [set_aside(t) for t, _ in raw_tables(spark, spec, paths) if "_corrupt" in t.columns], none)
 
 
-def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
-    """Canonical trips of files whose headers may differ, with city, year, month and source_file.
+#: The check that rows of another width do not pass.
+WIDTH = "row of another width"
 
-    One pass over the files settles every gate; the trips themselves are read
-    when they are used. Files without a line add nothing.
-    """
+
+def _noted(spark: SparkSession, spec: FeedSpec, paths: list[str], aside: bool = False) -> DataFrame:
+    """Trips with the findings of all steps in quality.GATE. Rows of another width are left out, or with `aside` are rows without values and a finding that holds the line."""
     for message in run_hooks(spark, spec):
-        warnings.warn(message, stacklevel=2)
+        warnings.warn(message, stacklevel=3)
     parts = []
-    for raw in raw_tables(spark, spec, paths):
-        whole = raw.where("_corrupt is null").drop("_corrupt") if "_corrupt" in raw.columns else raw
-        done = _select_final(_run_steps(whole, spec, spec.steps), spec).drop("source_row")
+    for raw, steps in raw_tables(spark, spec, paths):
+        if "_corrupt" in raw.columns and aside:
+            sound = F.col("_corrupt").isNull()
+            emptied = raw.select(*[F.when(sound, F.col(f"`{c}`")).alias(c) for c in raw.columns if c not in OWN], *[c for c in raw.columns if c in OWN])
+            raw = quality.marked(emptied, {WIDTH: (~sound, F.col("_corrupt"))}).drop("_corrupt")
+        elif "_corrupt" in raw.columns:
+            raw = raw.where("_corrupt is null").drop("_corrupt")
+        done = _select_final(_run_steps(raw, spec, steps), spec)
         parts.append(done if quality.GATE in done.columns else quality.marked(done, {}))
     if not parts:
         parts = [quality.marked(spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in (spec.final | {"source_file": "string"}).items())), {})]
-    out = quality.settled(reduce(DataFrame.unionByName, parts))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return out.withColumn("city", F.lit(spec.name)).withColumn("year", F.year("start_time")).withColumn("month", F.month("start_time"))
 
 
+def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
+    """Canonical trips of files whose headers may differ, with city, year, month and source_file.
+
+    One pass over the files settles every gate; the trips themselves are read
+    when they are used (`publish_feed` does both in one pass). Files without a line add nothing.
+    """
+    return quality.settled(_noted(spark, spec, paths)).drop("source_row")
+
+
+def publish_feed(spark: SparkSession, spec: FeedSpec, paths: list[str], table: str, dead: str | None = None) -> dict[str, int]:
+    """Writes a feed's trips by year and month in place of what is at `table`, reading the files once; returns rows kept and rows with findings.
+
+    The trips go to a folder beside `table`, and the write itself counts the rows that
+    a gate would stop. Without any the folder takes the place of `table`; else it
+    is discarded, `table` stays as it is, and QualityError names checks and offenders
+    (for which the files are read again).
+
+    With `dead` such rows, and those of another width, are left out instead, and their
+    findings replace what is there: source_file, source_row (null unless the feed is
+    `ordered`), step (the check), value. Then rows and findings are parsed into one
+    table in the shared folder, and both are written from that.
+    """
+    staged = beside(table)
+    fs, to_path = file_system(spark, table)
+    if dead is None:
+        rows, told = _noted(spark, spec, paths), Observation()
+        seen = rows.observe(told, F.count_if(quality.unmarked()).alias("kept"), F.count_if(~quality.unmarked()).alias("found"))
+        write_trips(seen.where(quality.unmarked()).drop(quality.GATE, "source_row"), staged)
+        if told.get["found"]:
+            fs.delete(to_path(staged), True)
+            quality.settled(rows)
+            raise quality.QualityError(f"{spec.name}: findings that were not met again")
+        put_in_place(spark, staged, table)
+        return {"kept": told.get["kept"], "found": 0}
+    rows, told = _noted(spark, replace(spec, quarantine=True), paths, aside=True), Observation()
+    rows = rows if "source_row" in rows.columns else rows.withColumn("source_row", F.lit(None).cast("bigint"))
+    parsed = saved(rows.observe(told, F.count_if(quality.unmarked()).alias("kept"), F.count_if(~quality.unmarked()).alias("found")), "parsed")
+    write_trips(parsed.where(quality.unmarked()).drop(quality.GATE, "source_row"), staged)
+    letters = beside(dead)
+    parsed.where(~quality.unmarked()).select("source_file", "source_row", F.explode(quality.GATE).alias("c")).select("source_file", "source_row", F.col("c.name").alias("step"), "c.value").write.parquet(letters)
+    put_in_place(spark, letters, dead)
+    put_in_place(spark, staged, table)
+    return {k: told.get[k] for k in ("kept", "found")}
+
+
 def write_trips(trips: DataFrame, path: str) -> None:
     """The whole trip table, partitioned by year and month, in place of what is at `path`; no trips leave it empty. Trips without a start go to the null partition. A large month is written by several tasks."""
     cols.spread_by_month(trips).write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

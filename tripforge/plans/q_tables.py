@@ -202,6 +202,18 @@ def scan_csv_roundtrip(spark, sf_dir):
     return src.read_csv(spark, path, ["id", "name", "k"], sep=";")
 
 
+@query("""SELECT doc_id::VARCHAR AS id, md5(replace(replace(text, 'e ', '" '), 'a', chr(92) || '"')) AS digest, length(text) + length(regexp_replace(text, '[^a]', '', 'g')) AS chars, lang FROM documents""")
+def csv_quotes(spark, sf_dir):
+    """Texts with doubled quotes, backslashes, separators and line breaks as CSV files, read back."""
+    quoted = F.replace(F.replace("text", F.lit("e "), F.lit('" ')), F.lit("a"), F.lit('\\"'))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), quoted.alias("text"), "lang")
+    path = fresh_path(spark, "csv")
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(header=True, quote='"', escape='"', emptyValue='""', nullValue="", **whole).csv(path)
+    back = src.read_csv(spark, path, ["id", "text", "lang"])
+    return back.select("id", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").alias("chars"), "lang")
+
+
 @query(f"WITH {EVENT_TRIPS} SELECT 'events' AS city, event_id, start_time, end_time, start_station_name, end_station_name, CASE WHEN event_id % 2 = 0 THEN 'classic' ELSE 'electric' END AS bike_type FROM te")
 def feed_steps(spark, sf_dir):
     """Raw text trips through a feed's declared steps, gates included."""
@@ -244,6 +256,32 @@ def feed_files(spark, sf_dir):
     return both.drop("source_file")
 
 
+@query(f"""WITH {EVENT_TRIPS}, b AS (SELECT *, event_id % 100 = 7 AS clock, event_id % 150 = 11 AS vehicle, event_id % 90 = 5 AS wide FROM t)
+    SELECT 'trips' AS step, NULL AS value, count(*) AS n, sum(event_id)::BIGINT AS ids FROM b WHERE NOT (clock OR vehicle OR wide)
+    UNION ALL SELECT 'start_time', 'noon', count(*), NULL FROM b WHERE clock AND NOT wide
+    UNION ALL SELECT 'bike_type', 'unicycle', count(*), NULL FROM b WHERE vehicle AND NOT wide
+    UNION ALL SELECT 'row of another width', NULL, count(*), NULL FROM b WHERE wide""")
+def feed_quarantine(spark, sf_dir):
+    """A feed with bad values and rows of another width, parsed once: the trips that are kept, and the findings of the others by check."""
+    e = F.col("event_id")
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    t = event_trips(spark, sf_dir)
+    there = lambda c: F.coalesce(c, F.lit(""))
+    cells = [e.cast("string"), F.when(e % 100 == 7, "noon").otherwise(there(shown("start_time"))), there(shown("end_time")), there("start_station_name"), there("end_station_name"), F.when(e % 150 == 11, "unicycle").otherwise("docked_bike")]
+    lines = t.select(F.concat_ws(",", *cells, F.when(e % 90 == 5, "more")).alias("line"))
+    folder = fresh_path(spark, "feed")
+    header = "event_id,start_time,end_time,start_station_name,end_station_name,bike_type"
+    # the line's column name is the header, so that the files are CSV with rows of two widths
+    plain = {"header": True, "quote": "\u0000", "sep": "\u0001"}
+    lines.toDF(header).write.options(**plain).csv(f"{folder}/files")
+    spec = feeds.FeedSpec("events", ["parse_times", "bike_type", "select_final"], final={"event_id": "bigint", **feeds.BASE_COLUMNS, "bike_type": "string"})
+    feeds.publish_feed(spark, spec, [r.path for r in incremental.manifest(spark, f"{folder}/files", "*.csv").orderBy("path").collect()], f"{folder}/trips", f"{folder}/dead")
+    kept = spark.read.parquet(f"{folder}/trips").agg(F.lit("trips").alias("step"), F.lit(None).cast("string").alias("value"), F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    shown_value = F.when(F.col("step") != feeds.WIDTH, F.col("value")).alias("value")
+    found = spark.read.parquet(f"{folder}/dead").groupBy("step", shown_value).agg(F.count("*").alias("n"), F.lit(None).cast("bigint").alias("ids"))
+    return kept.unionByName(found)
+
+
 @query(f"""WITH {EVENT_TRIPS} SELECT year, month, count(*) AS trips, sum(event_id)::BIGINT AS ids FROM t WHERE event_id % 4 IN (0, 3) OR (event_id % 4 = 1 AND event_id % 8 < 4) GROUP BY 1, 2""")
 def incremental_apply(spark, sf_dir):
     """Two incremental runs over files of event trips: some files stay, one kind is replaced by fewer rows, one goes, one is new."""

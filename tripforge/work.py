@@ -34,13 +34,39 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """(the Hadoop file system of a path, function from text to its paths)."""
+    to_path = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def beside(path: str) -> str:
+    """A new name beside `path`, on the same file system."""
+    return f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+
+
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Renames the folder `staged` to `path`. What is at `path` is moved aside first, comes back if the rename fails, and is deleted once it is through."""
+    fs, to_path = file_system(spark, path)
+    old = beside(path)
+    had = fs.exists(to_path(path))
+    if had and not fs.rename(to_path(path), to_path(old)):
+        raise OSError(f"{path} could not be moved aside")
+    if not fs.rename(to_path(staged), to_path(path)):
+        if had:
+            fs.rename(to_path(old), to_path(path))
+        raise OSError(f"{staged} could not be renamed to {path}")
+    if had:
+        fs.delete(to_path(old), True)
+
+
 def clean_up(spark: SparkSession) -> int:
     """Deletes this process's intermediate tables and says how many. Results that were not written elsewhere cannot be read any more."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        gone += path.getFileSystem(conf).delete(path, True)
+        path = _made.pop()
+        fs, to_path = file_system(spark, path)
+        gone += fs.delete(to_path(path), True)
     return gone
 
 
