@@ -160,6 +160,36 @@ def test_chat_layouts_of_records_with_other_fields(spark):
     assert a == b != c
 
 
+@pytest.mark.parametrize("long", [10_000_000, 0])
+def test_chat_loses_no_text_without_a_word(spark, monkeypatch, long):
+    monkeypatch.setattr(cf, "LONG", long)
+    q, a, pair = {"role": "human", "content": "q"}, {"role": "AI", "content": "a"}, [("user", "q"), ("assistant", "a")]
+    parts = [{"type": "text", "text": "a"}]
+    records = [
+        ({"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, [("system", "s"), *pair], []),
+        ({"system_prompt": "s", "system": "t", "messages": [q, a]}, [("system", "t"), *pair], ["system_prompt"]),
+        ({"instruction": "q", "output": "a", "history": [["x", "y"], ["z", "w"]]}, [("user", "x"), ("assistant", "y"), ("user", "z"), ("assistant", "w"), *pair], []),
+        ({"instruction": "q", "output": "a", "history": []}, pair, []),
+        ({"instruction": "q", "output": "a", "history": [["x", "y", "z"]]}, pair, ["history[][]"]),
+        ({"question": "q", "context": "c", "answer": "a"}, [("user", "q\n\nc"), ("assistant", "a")], []),
+        ({"prompt": "p", "response": "r", "messages": [q, a]}, pair, ["prompt", "response"]),
+        ({"messages": [q, {"role": "assistant", "content": parts}]}, pair, []),
+        ({"messages": [q, {"role": "assistant", "content": [*parts, {"type": "image", "url": "u"}]}]}, pair, ["messages[].content"]),
+        ({"messages": [{"role": "user", "content": [{"text": "q"}, {"image": "i"}]}, {"role": "assistant", "content": parts}]}, pair, ["messages[].content[].image", "messages[].content[].type"]),
+        ([q, a], pair, []),
+        ({"chosen": [q, a], "rejected": [q, {"role": "ai", "content": "b"}]}, pair, ["rejected[].content", "rejected[].role"]),
+        ({"inputs": "q", "targets": "a", "id": "7"}, pair, ["id"]),
+        ({"turns": [{"role": "bot", "text": "x"}]}, [("bot", "x")], []),
+        ({"messages": ["q", {"role": "user", "content": "x"}]}, None, ["messages[]"]),
+        ({"text": "t", "n": 1}, None, ["text"]),
+        ({"prompt": ["q"], "response": "a"}, None, ["prompt[]", "response"]),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, *_) in enumerate(records)], "conv_id long, raw string")
+    got = {r.conv_id: (None if r.turns is None else [(t.role, t.text) for t in r.turns], r.unmapped) for r in cf.canonical_turns(df).collect()}
+    for i, (record, turns, unmapped) in enumerate(records):
+        assert got[i] == (turns, unmapped), record
+
+
 def test_chat_of_thousands_of_turns(spark):
     n = 8_000
     df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn </turn> "), F.col("id").cast("string")).alias("text"))
