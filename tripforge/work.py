@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """`saved(make(), name)`; the intermediate tables that making it left behind are deleted."""
+    before = set(_made)
+    made = make()
+    left = _made - before
+    out = saved(made, name)
+    _delete(out.sparkSession, left)
+    return out
+
+
 def file_system(spark: SparkSession, path: str):
     """(the Hadoop file system of a path, function from text to its paths)."""
     to_path = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
@@ -60,16 +71,20 @@ def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(to_path(old), True)
 
 
-def clean_up(spark: SparkSession) -> int:
-    """Deletes this process's intermediate tables and says how many. Results that were not written elsewhere cannot be read any more."""
+def _delete(spark: SparkSession, folders: set[str]) -> int:
     gone = 0
-    while _made:
-        path = _made.pop()
-        fs, to_path = file_system(spark, path)
-        gone += fs.delete(to_path(path), True)
+    for folder in folders:
+        _made.discard(folder)
+        fs, to_path = file_system(spark, folder)
+        gone += fs.delete(to_path(folder), True)
     return gone
 
 
+def clean_up(spark: SparkSession) -> int:
+    """Deletes this process's intermediate tables and says how many. Results that were not written elsewhere cannot be read any more."""
+    return _delete(spark, set(_made))
+
+
 #: Rows and bytes of an Arrow batch that goes to a Python worker, at most, where rows carry whole texts.
 BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
