@@ -7,13 +7,16 @@ the last returns each remaining document's ids and digests of ids and decoded te
 Rows with null or repeated ids are rows like any other: language, toxicity and
 decontamination judge each by its text, near-dedup compares each by itself and
 keeps, of a group, the row with the smallest id (null ids last, then the smallest
-contents). Null and blank texts have no language and go in the first stage.
+contents). Null and blank texts have no language and go in the first stage, as do
+texts in a language or script that the documents' own languages do not explain.
 Columns beside text and doc_id stay as they are, whatever their names. An empty
 table gives an empty table.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from tripforge.llm.decontaminate import keep_uncontaminated
 from tripforge.llm.lang_id import fit_language_filters, fold, keep_identified
 from tripforge.llm.near_dup import BROADCAST_IDS, near_duplicates
 from tripforge.llm.queries import word_bpe_path
-from tripforge.work import saved
+from tripforge.work import saved, saved_alone
 
 #: A document from this toxicity score on goes.
 TOXIC = 0.3
@@ -38,7 +41,7 @@ def _without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be determined: null texts and those without a letter. Repeated rows are judged alike and all stay or go."""
+    """Keeps documents in a language learned from the documents themselves, by the score and the share of n-grams that `keep_identified` asks for. Others go: null texts, texts without a letter, other languages and scripts. Very long texts are judged whole; repeated rows are judged alike and all stay or go."""
     return keep_identified(docs, fit_language_filters(docs.where(fold("doc_id", 4) != 2)))
 
 
@@ -95,9 +98,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents. What a stage set down on its way is deleted once its rows are written; the rows themselves stay until `work.clean_up`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = saved(docs, f"stage{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        docs = saved_alone(functools.partial(stage, spark, docs, sf_dir), f"stage{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)

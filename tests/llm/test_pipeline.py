@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+from tripforge import work
+from tripforge.llm.lang_id import fit_language_filters, identify_languages, keep_identified
 from tests.llm.test_text_operators import brute_components, brute_matches
 
 
@@ -61,3 +63,27 @@ def test_rows_with_null_and_repeated_ids_are_judged_like_any_other(spark, sf):
         both = stage(spark, both, sf)
         assert both.columns == table.columns
     assert [r.doc_id for r in both.collect()] == [7]
+
+
+def test_language_stage_rejects_what_was_not_learned(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    german = [r["text"] for r in rows if r["lang"] == "de" and len(r["text"]) > 400][:5]
+    texts = ["Привет, мир, как дела сегодня", "これは日本語の文章です", "zzz qqq xxx wwq kkz qxq", "A.", "12 34", german[0], german[1] * 200, "Привет и пока " * 50 + german[2][:60]]
+    more = spark.createDataFrame([(10_000_000 + i, t, None, "s", len(t)) for i, t in enumerate(texts)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify(spark, docs.unionByName(more), sf).select("doc_id").collect()}
+    assert {i for i in kept if i >= 10_000_000} == {10_000_003, 10_000_005, 10_000_006}
+    assert {r["doc_id"] for r in rows if re.search(r"[^\W\d_]", r["text"] or "")} <= kept
+    filters = fit_language_filters(docs)
+    only = {r.doc_id for r in keep_identified(docs, filters, languages=("de",)).collect()}
+    told = {r.doc_id: r for r in identify_languages(docs, filters).collect()}
+    assert only and only == {i for i, r in told.items() if r.lang_pred == "de"}
+    high = {r.doc_id for r in keep_identified(docs, filters, least_score=0.6).collect()}
+    assert {i for i, r in told.items() if r.score >= 0.6} <= high < {r["doc_id"] for r in rows}
+
+
+def test_run_leaves_only_the_rows_of_stages(spark, sf):
+    before = set(work._made)
+    assert corpus_pipeline.run(spark, sf).count() > 0
+    left = work._made - before
+    assert len(left) == len(corpus_pipeline.STAGES) - 1

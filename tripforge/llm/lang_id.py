@@ -98,6 +98,10 @@ class LanguageFilters:
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self.measure(texts)[:2]
+
+    def measure(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text its language, its score, the share of its n-grams that the language's filter holds, corrected for false positives, and the number of its n-grams."""
         points, at, lettered = _codes(texts)
         grams, of = _grams(points, at, self.size)
         masks, n = self.masks(grams), np.diff(of).astype(np.float64)
@@ -111,7 +115,7 @@ class LanguageFilters:
         top, total = fixed.max(0, initial=0.0), fixed.sum(0)
         score = np.where(lettered & (total > 0), top / np.maximum(total, 1e-9), 0.0)
         names = [UNDETERMINED if not ok or not self.languages else self.languages[b] if t > 0 else self.common for ok, b, t in zip(lettered, best, top)]
-        return names, np.clip(score, 0.0, 1.0)
+        return names, np.clip(score, 0.0, 1.0), top / np.maximum(n, 1), n
 
 
 def fit_language_filters(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> LanguageFilters:
@@ -190,15 +194,28 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, id_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, filters: LanguageFilters, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, whose language is not `und`. Filters that learned no language reject no text with a letter."""
+#: A text stays from this score, and from this share of its n-grams in the filter of its language; one of fewer n-grams than FEW is too short to reject.
+LEAST_SCORE, LEAST_COVERED, FEW = 0.2, 0.3, 6
+
+
+def keep_identified(docs: DataFrame, filters: LanguageFilters, languages: tuple[str, ...] | None = None, least_score: float = LEAST_SCORE, least_covered: float = LEAST_COVERED, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, in one of `languages` (null: all that were learned).
+
+    A text goes if it is null or has no letter; if its language is another one; or if
+    its score is under `least_score` or its language's filter holds less than
+    `least_covered` of its n-grams, as for a language or script that was not learned.
+    Texts of fewer than FEW n-grams are not rejected for the last two. Whole texts are
+    looked up, however long. Filters that learned no language reject no text with a letter.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def keep(column: pa.Array) -> np.ndarray:
         texts = column.to_pylist()
         if not shared.value.languages:
             return _codes(texts)[2]
-        return np.array([x != UNDETERMINED for x in shared.value.predict(texts)[0]], bool)
+        names, score, covered, n = shared.value.measure(texts)
+        wanted = np.array([x != UNDETERMINED and (languages is None or x in languages) for x in names], bool)
+        return wanted & ((n < FEW) | (score >= least_score) & (covered >= least_covered))
 
     return filter_rows(docs, text_col, keep)
 
