@@ -5,15 +5,13 @@ from __future__ import annotations
 import csv
 import io
 import re
-import zipfile
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tripforge.sources.archives import read_archives  # noqa: F401
 from tripforge.sources.lines import balanced_quotes, parse_lines
 from tripforge.sources.records import broken_files, bytewise, file_path, read_records
 
@@ -211,60 +209,6 @@ def is_utf8(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return lines.groupBy(file_path().alias("path")).agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
 
 
-def _members(source, suffixes: tuple[str, ...], prefix: str = "") -> Iterator[tuple[str, io.TextIOBase]]:
-    with zipfile.ZipFile(source) as z:
-        for name in z.namelist():
-            base = name.rsplit("/", 1)[-1]
-            if name.endswith("/") or base.startswith("._") or "__MACOSX" in name:
-                continue
-            if base.lower().endswith(".zip"):
-                yield from _members(io.BytesIO(z.read(name)), suffixes, f"{prefix}{name}!")
-            elif base.lower().endswith(suffixes):
-                with z.open(name) as member:
-                    yield prefix + name, io.TextIOWrapper(member, "utf-8", "replace")
-
-
-def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool = False) -> DataFrame:
-    """(archive, member, line_no, line) of CSV and text members of zip files, nested ones too.
-
-    One archive is one task's work and must fit into its memory; members are
-    unpacked line by line, at line feeds and carriage returns. An archive that
-    cannot be read gives one row with a null member, a `.rar` one that says so.
-    """
-    suffixes = (".csv", ".txt", ".json") if keep_json else (".csv", ".txt")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["archive", "member", "line_no", "line"]
-
-        def rows(archive, member, first, lines):
-            return pa.RecordBatch.from_arrays([pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()), pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.string())], names)
-
-        def bad(archive, why):
-            return pa.RecordBatch.from_arrays([pa.array([archive]), pa.array([None], pa.string()), pa.array([None], pa.int64()), pa.array([why], pa.string())], names)
-
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if path.lower().endswith(".rar"):
-                    yield bad(path, "rar archives are not read")
-                    continue
-                try:
-                    for member, text in _members(io.BytesIO(content), suffixes):
-                        first, held, size = 1, [], 0
-                        for line in text:
-                            held.append(line.rstrip("\n"))
-                            size += len(line)
-                            if size > 4_000_000:
-                                yield rows(path, member, first, held)
-                                first, held, size = first + len(held), [], 0
-                        if held:
-                            yield rows(path, member, first, held)
-                except zipfile.BadZipFile:
-                    yield bad(path, None)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,rar}").load(paths).select("path", "content")
-    return files.mapInArrow(run, "archive string, member string, line_no long, line string")
-
-
 def pick_encoding(spark: SparkSession, paths: list[str] | str, declared: str) -> dict[str, list[str]]:
     """Files by charset: UTF-8 where the whole contents, unpacked, are valid, else the feed's declared one. As many paths as files reach the driver."""
     out: dict[str, list[str]] = {}
