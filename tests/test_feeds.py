@@ -647,3 +647,70 @@ def test_steps_that_ask_for_columns_keep_headers_apart(spark, tmp_path):
     feed = feeds.FeedSpec("x", ["rename", "parse_times", "select_final"], rename={"start": "start_time", "from": "start_station_name", "to": "end_station_name"})
     with pytest.raises(quality.QualityError, match="start_time"):
         feeds.read_feed(spark, feed, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+
+
+def _stages(spark, tmp_path, log):
+    def extract(paths):
+        log.append(("extract", sorted(os.path.basename(p) for p in paths)))
+        found = src.read_archives(spark, paths, sep=",").where("member is not null")
+        return found.select(F.col("archive").alias("source_file"), incremental.output_name("archive", "member").alias("output"), F.lit(0).cast("long").alias("start"), F.col("line_no").alias("n"), "line")
+
+    def clean(paths):
+        log.append(("clean", len(paths)))
+        kept = ln.cleaned(incremental.lines_of(spark, paths), [("", "Xville", "X")])
+        return kept.select(F.col("file").alias("source_file"), incremental.output_name(F.element_at(F.split("file", "output="), -1)).alias("output"), "start", "n", "line")
+
+    feed = feeds.FeedSpec("town", ["parse_times", "select_final"])
+
+    def read(paths):
+        log.append(("months", len(paths)))
+        return feeds.read_feed(spark, feed, incremental.lines_of(spark, paths))
+
+    raw, clean_at = incremental.FileStage(extract, str(tmp_path / "raw"), str(tmp_path / "raw-state")), incremental.FileStage(clean, str(tmp_path / "clean"), str(tmp_path / "clean-state"))
+    return [raw, clean_at], read
+
+
+def _zip(path, **members):
+    with zipfile.ZipFile(path, "w") as z:
+        for name, days in members.items():
+            z.writestr(f"{name}.csv", "start_time,end_time,start_station_name,end_station_name\n" + "".join(f'{d} 00:00:00,,"Xville ""{name}"",\nnorth",B\n' for d in days))
+
+
+def test_stages_pass_on_only_what_changed(spark, tmp_path):
+    log, root = [], tmp_path / "archives"
+    root.mkdir()
+    stages, read = _stages(spark, tmp_path, log)
+    _zip(root / "a.zip", a1=["2020-01-01", "2020-02-01"], a2=["2020-03-01"])
+    _zip(root / "b.zip", b1=["2020-02-02"])
+    with zipfile.ZipFile(root / "c.zip", "w") as z:
+        z.writestr("readme.md", "nothing here")
+
+    def run():
+        log.clear()
+        out = incremental.run_chain(spark, incremental.manifest(spark, str(root), "*.zip"), stages, read, str(tmp_path / "trips"), str(tmp_path / "trips-state"))
+        names = {os.path.basename(r.path): (r.status, len(r.outputs)) for r in out[0].collect()}
+        return names, sorted(r.status for r in out[1].collect()), sorted(r.status for r in out[2].collect())
+
+    def files(name):
+        return {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for p in (tmp_path / name).rglob("*.parquet")}
+
+    trips = lambda: sorted((str(r.start_time.date()), r.start_station_name) for r in spark.read.parquet(str(tmp_path / "trips")).collect())
+    assert run() == ({"a.zip": ("processed", 2), "b.zip": ("processed", 1), "c.zip": ("processed", 0)}, ["processed"] * 3, ["processed"] * 3)
+    assert trips() == [("2020-01-01", 'X "a1",\nnorth'), ("2020-02-01", 'X "a1",\nnorth'), ("2020-02-02", 'X "b1",\nnorth'), ("2020-03-01", 'X "a2",\nnorth')]
+    assert run() == ({"a.zip": ("kept", 2), "b.zip": ("kept", 1), "c.zip": ("kept", 0)}, ["kept"] * 3, ["kept"] * 3) and log == []
+    before = files("raw") | files("clean") | files("trips")
+    time.sleep(0.05)
+    _zip(root / "b.zip", b1=["2020-04-02"], b2=["2020-04-03"])
+    assert run() == ({"a.zip": ("kept", 2), "b.zip": ("processed", 2), "c.zip": ("kept", 0)}, ["kept"] * 2 + ["processed"] * 2, ["kept"] * 2 + ["processed"] * 2)
+    assert log == [("extract", ["b.zip"]), ("clean", 2), ("months", 2)]
+    after = files("raw") | files("clean") | files("trips")
+    untouched = {f for f in before if after.get(f) == before[f]}
+    assert {f for f in untouched if f.startswith("trips")} == {f for f in before if "month=1/" in f or "month=3/" in f}
+    assert sum(f.startswith("raw") for f in untouched) == sum(f.startswith("clean") for f in untouched) == 2
+    assert [d for d, _ in trips()] == ["2020-01-01", "2020-02-01", "2020-03-01", "2020-04-02", "2020-04-03"]
+    (root / "a.zip").unlink()
+    run()
+    assert [d for d, _ in trips()] == ["2020-04-02", "2020-04-03"] and len(list((tmp_path / "raw").glob("output=*"))) == len(list((tmp_path / "clean").glob("output=*"))) == 2
+    shutil.rmtree(next((tmp_path / "clean").glob("output=*b1*")))
+    run()
+    assert log == [("clean", 1), ("months", 0)] or log == [("clean", 1)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,8 @@ def touched_months(old_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
     return old_rows.select("year", "month").unionByName(new_rows.select("year", "month")).distinct()
 
 
+#: Inputs of a run whose paths are broadcast.
+INPUTS = 100_000
 #: Months of a table that are taken as folder names to the driver, at most.
 MONTHS = 100_000
 
@@ -91,8 +94,14 @@ def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, re
     stale = saved(due.select("path").unionByName(removed(now, stored).select("path")).distinct().select(F.col("path").alias("__stale")), "stale")
     made = None
     if stale.limit(1).count():
-        fresh = saved(read(todo), "fresh") if todo else None
-        _replace(spark, stale, fresh, table)
+        fresh = read(todo) if todo else None
+        if fresh is not None and _table(spark, table) is None:
+            # nothing to merge with: the rows are written once, and read back for what they touch
+            spread_by_month(fresh).write.partitionBy("year", "month").mode("overwrite").parquet(table)
+            fresh = _table(spark, table)
+        else:
+            fresh = saved(fresh, "fresh") if fresh is not None else None
+            _replace(spark, stale, fresh, table)
         if fresh is not None:
             made = fresh.select(F.col("source_file").alias("path"), month_folder().alias("o")).distinct().groupBy("path").agg(F.array_sort(F.collect_list("o")).alias("made"))
     return recorded(now, outputs, due, made)
@@ -122,8 +131,6 @@ def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, tab
     """Takes the rows of stale inputs (__stale) out of the table and puts the fresh ones in, rewriting the months of both."""
     existing = _table(spark, table)
     if existing is None:
-        if fresh is not None:
-            spread_by_month(fresh).write.partitionBy("year", "month").mode("overwrite").parquet(table)
         return
     old = existing.join(stale, existing.source_file == stale["__stale"], "left_semi")
     months = saved(touched_months(old, fresh) if fresh is not None else old.select("year", "month").distinct(), "months")
@@ -160,6 +167,92 @@ def run(spark: SparkSession, current: DataFrame, state: str, read: Callable[[lis
     return after
 
 
+@dataclass
+class FileStage:
+    """A step from files to files, such as from archives to their members or from raw to cleaned lines.
+
+    `make(inputs)` takes (path) rows as a list of paths and gives the lines of the
+    outputs: source_file (the input), output (a name that no other input makes), start,
+    n and line. Outputs are folders of Parquet below `target`, one each; `state` keeps
+    the stage's manifest.
+    """
+
+    make: Callable[[list[str]], DataFrame]
+    target: str
+    state: str
+
+
+def output_name(*parts: Column | str) -> Column:
+    """A name for an output from the names that it comes from, fit for a folder; different parts give different names."""
+    shown = F.regexp_replace(F.concat_ws("!", *parts), "[^A-Za-z0-9._-]", "_")
+    return F.concat(F.right(shown, F.lit(80)), F.lit("-"), F.lower(F.hex(F.xxhash64(*parts))))
+
+
+def made_by(recorded: DataFrame, target: str) -> DataFrame:
+    """What the next stage takes as inputs: path, length, modified of each output. The signature is that of the inputs that made it, so an output of unchanged inputs counts as unchanged."""
+    each = recorded.select(F.explode("outputs").alias("output"), F.struct(*SIGNATURE).alias("of"))
+    one = each.groupBy("output").agg(F.xxhash64(F.array_sort(F.collect_list("of"))).alias("length"), F.max("of.modified").alias("modified"))
+    return one.select(F.concat(F.lit(f"{target}/output="), "output").alias("path"), "length", "modified")
+
+
+def run_files(spark: SparkSession, current: DataFrame, stage: FileStage, force: bool = False) -> DataFrame:
+    """Brings a stage's outputs up to date with `current` (path, length, modified); returns its manifest, with each input's outputs, which may be none, and status.
+
+    Inputs are processed that are new or changed, or whose outputs are gone, or all with
+    `force`. Outputs that no input makes any more are deleted, and the manifest is
+    stored, last of all. Two inputs that make one output raise.
+    """
+    stored = load_manifest(spark, stage.state)
+    now = saved(current.select(*SIGNATURE), "current")
+    outputs = saved(stored.select("path", "outputs"), "outputs")
+    # a folder per output: one listing tells which are there
+    fs, to_path = file_system(spark, stage.target)
+    there = [p.getPath().getName().removeprefix("output=") for p in fs.listStatus(to_path(stage.target))] if fs.exists(to_path(stage.target)) else []
+    known = spark.createDataFrame([(x,) for x in there], "o string")
+    lacking = outputs.select("path", F.explode("outputs").alias("o")).join(known, "o", "left_anti").select("path").distinct()
+    due = saved(now if force else changed(now, stored).unionByName(now.join(lacking, "path", "left_semi")).distinct(), "due")
+    todo = [r.path for r in due.select("path").orderBy("path").collect()]
+    made = None
+    if todo:
+        rows = stage.make(todo).hint("rebalance", "output")
+        rows.write.partitionBy("output").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(stage.target)
+        mine = due.select(F.col("path").alias("source_file"))
+        fresh = spark.read.parquet(stage.target).join(F.broadcast(mine) if len(todo) <= INPUTS else mine, "source_file", "left_semi")
+        made = saved(fresh.groupBy(F.col("source_file").alias("path")).agg(F.array_sort(F.collect_set(F.col("output").cast("string"))).alias("made")), "made")
+    after = saved(recorded(now, outputs, due, made), "manifest")
+    alive = after.select(F.explode("outputs").alias("output"))
+    if twice := alive.groupBy("output").count().where("count > 1").limit(1).collect():
+        raise ValueError(f"several inputs make {twice[0].output}")
+    orphans = outputs.select(F.explode("outputs").alias("output")).distinct().join(alive, "output", "left_anti")
+    for r in orphans.toLocalIterator():
+        fs.delete(to_path(f"{stage.target}/output={r.output}"), True)
+    store_manifest(after, stage.state)
+    return after
+
+
+def lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, start, n, line) of outputs of a FileStage; `file` is the output's folder."""
+    base = paths[0].rsplit("/output=", 1)[0]
+    rows = spark.read.option("basePath", base).parquet(*paths)
+    return rows.select(F.concat(F.lit(f"{base}/output="), F.col("output").cast("string")).alias("file"), "start", "n", "line")
+
+
+def run_chain(spark: SparkSession, current: DataFrame, stages: list[FileStage], read: Callable[[list[str]], DataFrame], table: str, state: str) -> list[DataFrame]:
+    """Stages one after the other, each on the outputs of the one before, and at the end the months of a trip table; returns their manifests.
+
+    A changed input has its own outputs made again, only these are inputs that changed
+    for the next stage, and only the months that they touch are written. `read` gets
+    paths of the last stage's outputs, for `lines_of`, and gives trips whose
+    source_file is that path.
+    """
+    manifests = []
+    for stage in stages:
+        manifests.append(run_files(spark, current, stage))
+        current = made_by(manifests[-1], stage.target)
+    manifests.append(run(spark, current, state, read, table))
+    return manifests
+
+
 def write_by_file(rows: DataFrame, path: str) -> None:
     """One folder per input file (`source_file`); only the folders of files in `rows` are overwritten."""
     rows.repartition("source_file").write.partitionBy("source_file").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -395,8 +395,12 @@ def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding:
         return
     sep = "," if spec.delimiters else spec.sep
     repaired = lambda own: ln.cleaned(src.read_whole_lines(spark, own, sep, encoding, broken or ()), spec.fixes, spec.drop_unbalanced, spec.delimiters)
+    yield from _from_lines(spec, repaired(paths), repaired, sep)
+
+
+def _from_lines(spec: FeedSpec, lines: DataFrame, of: Callable[[list[str]], DataFrame], sep: str) -> Iterator[tuple[DataFrame, list[str]]]:
+    """Raw rows from lines (file, start, n, line) with or without headers of their own, a table per header; `of` gives the lines of some files."""
     groups: dict[tuple[str, str | None], list[str]] = {}
-    lines = repaired(paths)
     arity = {len(src.parse_header(h, sep)): h for h in spec.headers_by_arity}
     firsts = ln.header_for_files(src.first_lines(lines).withColumnRenamed("header", "line"), spec.headers)
     known = firsts.where("header is not null").select("file", "header", F.lit(False).alias("own"))
@@ -408,14 +412,18 @@ def _by_header(spark: SparkSession, spec: FeedSpec, paths: list[str], encoding:
     for r in known.unionByName(rest).orderBy("file").collect():
         groups.setdefault((r.header, r.header if r.own else None), []).append(r.file)
     for (header, line), own in sorted(groups.items(), key=str):
-        rows = repaired(own)
+        rows = of(own)
         rows = (rows if line is None else rows.where(F.col("line") != line)).withColumnsRenamed({"file": "source_file", "start": "__start", "n": "__n"})
         names = src.parse_header(header, sep)
         yield ln.parse_lines(rows, src.text_schema(list(names)), sep, spec.quarantine).select(*[f"`{c}`" for c in names], *(["_corrupt"] if spec.quarantine else []), "source_file", *(["__start", "__n"] if spec.ordered else [])), spec.steps
 
 
-def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[tuple[DataFrame, list[str]]]:
+def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str] | DataFrame) -> list[tuple[DataFrame, list[str]]]:
     """The feed's files as text columns, a table for each charset and kind of header, with source_file and, where asked for, source_row and _corrupt; and the steps that each still goes through. No file left raises."""
+    if isinstance(paths, DataFrame):
+        kept_lines = ln.cleaned(paths.where(src.wanted_path(F.col("file"), spec.include, spec.exclude)), spec.fixes, spec.drop_unbalanced, spec.delimiters)
+        tables = list(_from_lines(spec, kept_lines, lambda own: kept_lines.where(F.col("file").isin(own)), "," if spec.delimiters else spec.sep))
+        return [(_ordered(t, spec), steps) for t, steps in tables]
     kept = [p for p in paths if src.wanted(p, spec.include, spec.exclude)]
     if not kept:
         raise quality.QualityError(f"{spec.name}: no input files")
@@ -428,9 +436,11 @@ def raw_tables(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> list[tu
         charsets = src.pick_encoding(spark, texts, spec.encoding) if spec.detect_encoding else {spec.encoding: texts}
         for encoding, own in sorted(charsets.items()):
             tables += _by_header(spark, spec, own, encoding)
-    if spec.ordered:
-        tables = [(src.numbered(t, "source_file", "__start", "__n", "source_row").drop("__start", "__n") if "__n" in t.columns else t, steps) for t, steps in tables]
-    return tables
+    return [(_ordered(t, spec), steps) for t, steps in tables]
+
+
+def _ordered(table: DataFrame, spec: FeedSpec) -> DataFrame:
+    return src.numbered(table, "source_file", "__start", "__n", "source_row").drop("__start", "__n") if spec.ordered and "__n" in table.columns else table
 
 
 def quarantined(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
@@ -469,8 +479,8 @@ def _noted(spark: SparkSession, spec: FeedSpec, paths: list[str], aside: bool =
     return out.withColumn("city", F.lit(spec.name)).withColumn("year", F.year("start_time")).withColumn("month", F.month("start_time"))
 
 
-def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
-    """Canonical trips of files whose headers may differ, with city, year, month and source_file.
+def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str] | DataFrame) -> DataFrame:
+    """Canonical trips of files whose headers may differ, with city, year, month and source_file; `paths` may be a table of their lines (file, start, n, line) instead.
 
     One pass over the files settles every gate; the trips themselves are read
     when they are used (`publish_feed` does both in one pass). Files without a line add nothing.

@@ -26,6 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.sources.records import Quotes
 from tripforge.work import saved
 
 #: Bytes that are unpacked at a time, and characters of lines that leave a task at a time.
@@ -155,6 +156,19 @@ def text_lines(pieces: Iterator[bytes]) -> Iterator[str]:
         yield rest
 
 
+def whole_records(lines: Iterator[str], sep: str) -> Iterator[str]:
+    """Lines joined to CSV records: a quoted cell may hold line breaks, which come out as line feeds."""
+    quotes, held, inside = Quotes(sep.encode()), [], False
+    for line in lines:
+        held.append(line)
+        inside = quotes.scan(line.encode(), inside)[0]
+        if not inside:
+            yield "\n".join(held)
+            held = []
+    if held:
+        yield "\n".join(held)
+
+
 def _batches(archive: str, name: str, lines: Iterator[str]) -> Iterator[pa.RecordBatch]:
     held, first, size = [], 1, 0
 
@@ -181,12 +195,13 @@ def _open(path: str):
     return where.open_input_file(at)
 
 
-def _read(archive: str, z: zipfile.ZipFile, names: list[str], suffixes: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+def _read(archive: str, z: zipfile.ZipFile, names: list[str], suffixes: tuple[str, ...], sep: str | None = None) -> Iterator[pa.RecordBatch]:
     try:
         for name in names:
             with z.open(name) as member:
                 for inner, pieces in _texts(name, _pieces(member), suffixes):
-                    yield from _batches(archive, inner, text_lines(pieces))
+                    lines = text_lines(pieces)
+                    yield from _batches(archive, inner, lines if sep is None else whole_records(lines, sep))
     except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError):
         yield _bad(archive, None)
 
@@ -207,8 +222,8 @@ def list_members(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(run, "archive string, member string, packed long")
 
 
-def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool = False) -> DataFrame:
-    """(archive, member, line_no, line) of CSV and text members of zip files, nested ones too.
+def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool = False, sep: str | None = None) -> DataFrame:
+    """(archive, member, line_no, line) of CSV and text members of zip files, nested ones too; with `sep` a line is a whole CSV record.
 
     Members are read apart from each other, so an archive of any size is spread over
     as many tasks as it has members and needs no more memory than pieces of one;
@@ -230,14 +245,14 @@ def read_archives(spark: SparkSession, paths: list[str] | str, keep_json: bool =
                 names.setdefault(archive, []).append(member)
             for archive, own in names.items():
                 with _open(archive) as f, zipfile.ZipFile(f) as z:
-                    yield from _read(archive, z, own, suffixes)
+                    yield from _read(archive, z, own, suffixes, sep)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        yield from _read(path, z, [x for x in z.namelist() if _wanted(x)], suffixes)
+                        yield from _read(path, z, [x for x in z.namelist() if _wanted(x)], suffixes, sep)
                 except zipfile.BadZipFile:
                     yield _bad(path, None)
 
