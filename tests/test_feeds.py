@@ -266,6 +266,48 @@ def test_components_beyond_one_contraction(spark, monkeypatch):
     assert {r.node: r.label for r in graph.connected_components(words).collect()} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
 
 
+@pytest.mark.parametrize("hub", [100_000, 30])
+def test_components_of_hubs_and_long_paths(spark, monkeypatch, caplog, hub):
+    import random
+
+    from tripforge.operators import graph
+
+    monkeypatch.setattr(graph, "_contract", lambda batches: batches)  # so that all is left to the rounds
+    monkeypatch.setattr(graph, "HUB", hub)
+    rng = random.Random(4)
+    names = rng.sample(range(10_000), 4000)
+    edges = [(names[0], x) for x in names[1:800]] + [(names[k], names[k + 1]) for k in range(1000, 1400)]
+    edges += [(names[2000 + rng.randrange(900)], names[2000 + rng.randrange(900)]) for _ in range(700)] + [(names[3500 + k // 40], x) for k, x in enumerate(names[3600:4000])]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    with caplog.at_level("INFO", logger="tripforge.operators.graph"):
+        got = {r.node: r.label for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(16)).collect()}
+    assert got == {x: find(x) for x in root}
+    assert 1 < len(caplog.records) < 12 and "settled" in caplog.records[-1].message
+
+
+def test_the_centre_of_a_large_component_is_no_single_tasks(spark):
+    """A star of a million edges: no task of a round reads three times the rows of the median one."""
+    from tripforge.operators import graph
+
+    n = 1_000_000
+    star = spark.range(n).select(F.lit(0).cast("long").alias("a"), (F.col("id") + 1).alias("b")).repartition(8)
+    both = graph._nearest(star.select(F.col("a").alias("u"), F.col("b").alias("v")), n)
+    sizes = sorted(r["count"] for r in both.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == n and both.agg(F.min("m"), F.max("m")).first() == (1, 1)
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    out = graph.connected_components(star)
+    assert out.agg(F.count("*"), F.max("label")).first() == (n + 1, 0)
+
+
 def test_a_feed_without_gates(spark, tmp_path):
     trips_file(tmp_path / "a.csv", "2020-01-01")
     feed = feeds.FeedSpec("x", ["rename"], final={"start_time": "timestamp_ntz", "end_station_name": "string"})
