@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import math
 import os
 import shutil
 import time
@@ -548,6 +549,56 @@ def test_near_pairs_at_high_latitude(spark):
     assert got == {(p[0], q[0]) for p in pts for q in pts if p[0] < q[0] and metres(p, q) < 5.0} and got
 
 
+def _single_linkage(rows, radius):
+    def away(a, b):
+        p = math.pi / 180
+        return 6371000.0 * math.hypot((b[1] - a[1]) * p, (b[2] - a[2]) * p * math.cos((a[1] + b[1]) / 2 * p))
+
+    label = {r[0]: r[0] for r in rows}
+    changed = True
+    links = [(a[0], b[0]) for i, a in enumerate(rows) for b in rows[i + 1 :] if None not in (*a, *b) and away(a, b) < radius]
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+@pytest.mark.parametrize("lat, compared", [(0.0, 64), (1.99996, 64), (59.99999, 64), (-45.0, 0), (78.0, 0), (-0.00001, 0)])
+def test_clusters_equal_single_linkage(spark, monkeypatch, lat, compared):
+    import random
+
+    monkeypatch.setattr(st, "COMPARED", compared)  # without a budget all goes down to single spots
+    rng = random.Random(int(lat) + compared)
+    metre = 1 / 111194.93
+    rows = []
+    for _ in range(12):
+        y, x = rng.uniform(-60, 60), rng.uniform(-60, 60)
+        rows += [(y + rng.gauss(0, s), x + rng.gauss(0, s)) for s in (rng.choice([0.5, 3, 6]),) for _ in range(rng.choice([1, 5, 25]))]
+    rows += [(k * 4.9, 100.0) for k in range(8)] + [(k * 5.1, 200.0) for k in range(4)] + [rows[0]] * 3
+    rows = [(k * 7 % 997, lat + y * metre, 13.0 + x * metre / math.cos(math.radians(lat))) for k, (y, x) in enumerate(rows)] + [(2000, None, 1.0), (2001, 1.0, None)]
+    got = {r.key: r.cluster for r in st.clusters(spark.createDataFrame(rows, "key long, lat double, lng double"), 5.0).collect()}
+    assert got == _single_linkage(rows, 5.0)
+
+
+def test_clusters_of_a_dense_place_in_linear_work(spark):
+    n = 100_000
+    dense = spark.range(n).select(F.col("id").alias("key"), (F.rand(1) * 4.5e-5 + 48.0).alias("lat"), (F.rand(2) * 4.5e-5 + 11.0).alias("lng"))
+    apart = spark.range(3).select((F.col("id") + n).alias("key"), (F.col("id") * 0.001 + 49.0).alias("lat"), F.lit(11.0).alias("lng"))
+    began = time.perf_counter()
+    got = st.clusters(dense.unionByName(apart), 5.0).groupBy("cluster").count().orderBy("cluster").collect()
+    assert [tuple(r) for r in got] == [(0, n)] + [(n + k, 1) for k in range(3)]
+    assert time.perf_counter() - began < 60
+
+
+def test_latest_names_onto_points(spark):
+    points = spark.createDataFrame([("1", 5), ("2", 6), ("3", 7)], "station string, n int")
+    names = spark.createDataFrame([("1", "Zoo", 2019), ("1", "Arena", 2021), ("2", "B", 2020), ("2", "A", 2020), ("3", None, 2022), (None, "X", 2022)], "id string, name string, year int")
+    assert {(r.station, r.name) for r in st.name_points(points, names, "year").collect()} == {("1", "Arena"), ("2", "B"), ("3", None)}
+
+
 def test_stream_appends_each_file_once(spark, tmp_path):
     source, table = str(tmp_path / "s"), str(tmp_path / "t")
     rows = [(datetime(2024, 1, 1, 10, 5), "A"), (datetime(2024, 1, 1, 10, 50), "A"), (None, "B")]

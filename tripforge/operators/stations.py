@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripforge.operators.graph import connected_components
+from tripforge.work import saved
 
 #: Parts of names that a canonical name should not have.
 DEPRIORITIZED = ("former", "temp", "temporary", "winter", "pbsc", "warehouse", "test")
@@ -101,10 +102,74 @@ def near_pairs(points: DataFrame, radius_m: float, key: str = "key") -> DataFram
     return joined.where(metres(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) < radius_m).select(F.col("k").alias("a"), F.col("k2").alias("b"))
 
 
+def _boxes(points: DataFrame, *by: str) -> DataFrame:
+    """Of points (lat, lng) by cell: their number, the box around them, and those that lie farthest out in eight directions."""
+    at, lat, lng = F.struct("lat", "lng"), F.col("lat"), F.col("lng") * F.cos(F.radians("lat"))
+    ends = [pick(at, by_) for by_ in (lat, lng, lat + lng, lat - lng) for pick in (F.min_by, F.max_by)]
+    return points.groupBy(*by).agg(F.count("*").alias("n"), F.min("lat").alias("s"), F.max("lat").alias("t"), F.min("lng").alias("w"), F.max("lng").alias("e"), F.array(*ends).alias("ends"))
+
+
+def _linked_cells(points: DataFrame, boxes: DataFrame, pairs: DataFrame, radius_m: float, side: float, budget: int, level: int = 0) -> DataFrame:
+    """The (a, b) of `pairs` (a, b, and two cells x, y of points) of which some x and y hold two points closer than the radius.
+
+    Boxes too far apart are dropped, and points that lie far out settle most of the rest.
+    What is left is compared point by point if that is no more than `budget` pairs, else
+    in cells of half the side. `points` is (name, lat, lng), `boxes` has their cells' names.
+    """
+    one, two = (boxes.select(*[F.col(c).alias(f"{c}{k}") for c in boxes.columns]) for k in (1, 2))
+    apart = lambda lo, hi: F.greatest(F.lit(0.0), F.col(f"{lo}2") - F.col(f"{hi}1"), F.col(f"{lo}1") - F.col(f"{hi}2"))
+    # no pair of points has a mean latitude beyond the farthest edge
+    least_cos = F.cos(F.radians(F.greatest(*[F.abs(F.col(f"{c}{k}")) for c in "st" for k in "12"])))
+    gap = EARTH_M * math.pi / 180 * F.hypot(apart("s", "t"), apart("w", "e") * least_cos)
+    met = F.exists("ends1", lambda p: F.exists("ends2", lambda q: metres(p.lat, p.lng, q.lat, q.lng) < radius_m))
+    spots = F.expr("s1 = t1 AND w1 = e1 AND s2 = t2 AND w2 = e2")
+    both = pairs.join(one, F.col("x") == F.col("name1")).join(two, F.col("y") == F.col("name2")).where(gap * 0.999999 < radius_m)
+    both = saved(both.select("a", "b", "x", "y", "n1", "n2", met.alias("met"), spots.alias("spots")), "pairs")
+    sure = both.where("met").select("a", "b").distinct()
+    open_ = saved(both.where("not met and not spots").select("a", "b", "x", "y", "n1", "n2").join(sure, ["a", "b"], "left_anti"), "open")
+    work = open_.agg(F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0))).first()[0]
+    if not work:
+        return sure
+    if work <= budget or level > 40:
+        p, q = points.toDF("name1", "lat1", "lng1"), points.toDF("name2", "lat2", "lng2")
+        near = open_.join(p, F.col("x") == F.col("name1")).join(q, F.col("y") == F.col("name2")).where(metres(F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2")) < radius_m)
+        return sure.unionByName(near.select("a", "b").distinct())
+    half = side / 2
+    cells = open_.select(F.explode(F.array("x", "y")).alias("of")).distinct()
+    finer = points.join(cells, F.col("name") == F.col("of")).select("name", F.concat_ws("/", "name", F.floor(F.col("lat") / half).cast("string"), F.floor(F.col("lng") * F.cos(F.radians("lat")) / half).cast("string")).alias("part"), "lat", "lng")
+    finer = saved(finer, "finer")
+    parts = finer.select("name", "part").distinct()
+    below = open_.select("a", "b", "x", "y").join(parts.toDF("x", "px"), "x").join(parts.toDF("y", "py"), "y").select("a", "b", F.col("px").alias("x"), F.col("py").alias("y"))
+    fine = finer.select(F.col("part").alias("name"), "lat", "lng")
+    return sure.unionByName(_linked_cells(fine, saved(_boxes(fine, "name"), "boxes"), below, radius_m, half, budget, level + 1)).distinct()
+
+
+#: Pairs of points that clustering may compare for each point.
+COMPARED = 64
+
+
 def clusters(points: DataFrame, radius_m: float, key: str = "key") -> DataFrame:
-    """(key, cluster): single linkage within the radius; the cluster is its smallest key."""
-    found = connected_components(near_pairs(points, radius_m, key))
-    return points.select(key).join(found, F.col(key) == F.col("node"), "left").select(key, F.coalesce("label", key).alias("cluster"))
+    """(key, cluster): single linkage within the radius; the cluster is its smallest key. A point without a place is a cluster of its own.
+
+    Points are put into cells that fit into a circle of the radius across, so that all of
+    a cell belong together however many they are, and cells are linked by their boxes
+    and outer points; see `_linked_cells`. So work grows with the points, not with the
+    pairs of a dense place.
+    """
+    side = radius_m / math.sqrt(2) * 0.999 / (EARTH_M * math.pi / 180)
+    band = F.floor(F.col("lat") / 2)
+    # a cell's width in degrees holds at the edge of its two-degree band nearest to the equator, where it is widest
+    width = side / F.cos(F.radians(F.least(F.least(F.abs(band * 2), F.abs(band * 2 + 2)) * (band * 2 * (band * 2 + 2) > 0).cast("int"), F.lit(89.0))))
+    own = points.select(F.col(key).alias("k"), F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")).where("k is not null and lat is not null and lng is not null")
+    placed = saved(own.select("k", "lat", "lng", F.concat_ws("/", band.cast("string"), F.floor(F.col("lat") / side).cast("string"), F.floor(F.col("lng") / width).cast("string")).alias("name")), "placed")
+    boxes = saved(_boxes(placed, "name"), "boxes")
+    centres = boxes.select(F.col("name").alias("key"), F.col("s").alias("lat"), F.col("w").alias("lng"))
+    pairs = near_pairs(centres, 3.01 * radius_m).select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+    budget = COMPARED * placed.count()
+    found = connected_components(_linked_cells(placed.select("name", "lat", "lng"), boxes, pairs, radius_m, side, budget))
+    whole = placed.select("k", "name").join(found, F.col("name") == F.col("node"), "left").select("k", F.coalesce("label", "name").alias("group"))
+    least = whole.groupBy("group").agg(F.min("k").alias("cluster"))
+    return points.select(key).join(whole.join(least, "group").select("k", "cluster"), F.col(key) == F.col("k"), "left").select(key, F.coalesce("cluster", key).alias("cluster"))
 
 
 def canonical_members(clustered: DataFrame, n_obs_floor: int = 1, deprioritized: tuple[str, ...] = DEPRIORITIZED) -> DataFrame:
@@ -127,7 +192,7 @@ def canonical_stations(points: DataFrame, radius_m: float = 5.0, n_obs_floor: in
     return out.select("name", "lat", "lng", "first_seen", "last_seen", "aliases", *(["ids"] if keep_ids else []))
 
 
-def name_points(points: DataFrame, names: DataFrame) -> DataFrame:
-    """Adds the latest names (id, name) to points keyed by station id; a point without one keeps a null name."""
-    one = names.groupBy("id").agg(F.max("name").alias("name"))
+def name_points(points: DataFrame, names: DataFrame, order: str) -> DataFrame:
+    """Adds the latest name of names (id, name and an order column) to points keyed by station id; equally late names give the greatest, null ones none, a point without one keeps a null name."""
+    one = names.where("id is not null and name is not null").groupBy("id").agg(F.max_by("name", F.struct(order, "name")).alias("name"))
     return points.join(one.toDF("__id", "name"), F.col("station") == F.col("__id"), "left").drop("__id")
