@@ -436,6 +436,26 @@ def test_share_of_rising_steps_across_blocks(spark, block):
     assert got == {"a": (round(4 / 6, 6), 7), "b": (None, 1)}
 
 
+def test_order_statistics_of_values_of_any_size(spark):
+    import random
+
+    from tripforge.operators import analytics
+
+    rng = random.Random(8)
+    rows = [(k % 3 or None, v) for k, v in enumerate([0.0, -0.0, 1.0, 1 + 2**-52, 1 - 2**-53, 2.0, 2 - 2**-52, 1e-320, 5e-324, 1e308, -1e308, float("inf"), float("-inf"), -1.5, -1.5 - 2**-50, None] + [rng.choice([rng.gauss(0, 1), rng.gauss(0, 1) * 10 ** rng.randint(-9, 9), float(rng.randint(0, 9)), 600 + rng.random() * 1e-6]) for _ in range(900)])]
+    df = spark.createDataFrame(rows, "key int, v double")
+    shares = {f"q{k}": k / 20 for k in range(21)}
+    got = {r.key: [r[n] for n in shares] for r in analytics.nearest_rank(df, ["key"], "v", shares).collect()}
+    mid = {r.key: r.m for r in analytics.interpolated_median(df.where("abs(v) < 1e300"), ["key"], "v", "m").collect()}
+    for key in (None, 1, 2):
+        own = sorted(v for k, v in rows if k == key and v is not None)
+        assert got[key] == [own[math.floor((len(own) - 1) * q + 0.5)] for q in shares.values()]
+        own = [v for v in own if abs(v) < 1e300]
+        assert mid[key] == (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2
+    whole = spark.createDataFrame([("a", x) for x in (3, 1, 2**60, 2**60 + 1, 2**60 + 3)], "key string, v long")
+    assert analytics.nearest_rank(whole, ["key"], "v", {"low": 0.0, "mid": 0.75, "high": 1.0}).collect() == [("a", 1, 2**60 + 1, 2**60 + 3)]
+
+
 def test_unsorted_files_are_nulled(spark):
     df = spark.createDataFrame([("a", i, i) for i in range(5)] + [("b", i, -i) for i in range(5)], "file string, n int, v int")
     shares = fill.monotonic_share(df, "file", "n", "v")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,27 +30,67 @@ def valid() -> Column:
     return F.col("duration").isNotNull() & F.coalesce(duration_seconds(F.col("start_time"), F.col("end_time")) >= 0, F.lit(False))
 
 
-def nearest_rank(trips: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact quantiles by nearest rank (index floor((n - 1) q + 0.5)).
+#: Parts that a power of two is cut into by the coarse buckets of a value, and parts of a coarse bucket.
+COARSE, FINE = 512, 65_536
+
+
+def _buckets(value: Column) -> tuple[Column, Column]:
+    """(coarse, fine): integers that never fall as the value rises, fine ones within a coarse bucket. Both follow from the binary exponent and the digits behind it, so they fit values of any size."""
+    x = value.cast("double")
+    size, far = F.abs(x), F.isnan(x) | (F.abs(x) == float("inf"))
+    power = F.floor(F.log2(size))
+    digits = size / F.pow(F.lit(2.0), power) * (COARSE / 2)
+    sign = F.when(x < 0, -1).otherwise(1)
+    coarse = F.when(x == 0, 0).when(far, F.when(x < 0, -10_000_000).otherwise(10_000_000)).otherwise(sign * ((power + 1100) * COARSE + F.floor(digits)))
+    fine = F.when((x == 0) | far, 0).otherwise(sign * F.floor((digits - F.floor(digits)) * FINE))
+    return coarse.cast("int"), fine.cast("int")
 
-    Values are counted first, so the running count sees one row per distinct
-    value and key, not raw rows.
+
+def at_ranks(counted: DataFrame, keys: list[str], value: str, n: str, places: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Exact order statistics of a table of value counts (keys, value, n): per key, a column for each of `places`, which gives an index from 0 of the ordered values from their number.
+
+    Counts are summed by coarse buckets, of which a key has a few thousand at most; of
+    those that hold a wanted index alone, by fine buckets; and only values of one fine
+    bucket are put in order. So no key's distinct values are ordered in one task.
+    Null values do not count; a key without others has no row. Null keys are a key.
     """
-    counted = trips.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys)
-    running = counted.withColumn("__cum", F.sum("__n").over(w.orderBy(value))).withColumn("__all", F.sum("__n").over(w))
-    picks = [F.min(F.when(F.col("__cum") > F.floor((F.col("__all") - 1) * q + 0.5), F.col(value))).alias(name) for name, q in shares.items()]
-    return running.groupBy(*keys).agg(*picks)
+    names = [f"__k{i}" for i in range(len(keys))]
+    coarse, fine = _buckets(F.col(value))
+    base = counted.where(F.col(value).isNotNull()).select(*[F.col(k).alias(m) for k, m in zip(keys, names)], F.col(value).alias("__v"), F.col(n).alias("__n"), coarse.alias("__b"), fine.alias("__f"))
+
+    def met(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+        there = wanted.select(*[F.col(c).alias(f"{c}_") for c in on], "__name", "__at")
+        return rows.join(there, reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in on])).drop(*[f"{c}_" for c in on])
+
+    def step(rows: DataFrame, by: list[str], bucket: str) -> DataFrame:
+        """For each name the bucket that holds its index, and the index within it."""
+        summed = rows.groupBy(*by, "__name", "__at", bucket).agg(F.sum("__n").alias("__n"))
+        before = F.sum("__n").over(Window.partitionBy(*by, "__name").orderBy(bucket)) - F.col("__n")
+        return summed.withColumn("__before", before).where("__before <= __at and __at < __before + __n").withColumn("__at", F.col("__at") - F.col("__before"))
+
+    sums = base.groupBy(*names, "__b").agg(F.sum("__n").alias("__n"))
+    whole = sums.withColumn("__all", F.sum("__n").over(Window.partitionBy(*names))).withColumn("__before", F.sum("__n").over(Window.partitionBy(*names).orderBy("__b")) - F.col("__n"))
+    asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.floor(place(F.col("__all"))).cast("long").alias("at")) for name, place in places.items()]))
+    first = whole.select("*", asked.alias("__w")).where("__before <= __w.at and __w.at < __before + __n").select(*names, "__b", F.col("__w.name").alias("__name"), (F.col("__w.at") - F.col("__before")).alias("__at"))
+    second = step(met(base, first, [*names, "__b"]), [*names, "__b"], "__f").select(*names, "__b", "__f", "__name", "__at")
+    third = step(met(base, second, [*names, "__b", "__f"]), [*names, "__b", "__f"], "__v")
+    picked = third.groupBy(*names).agg(*[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in places])
+    return picked.withColumnsRenamed(dict(zip(names, keys)))
+
+
+def _counted(trips: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return trips.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+
+
+def nearest_rank(trips: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Exact quantiles by nearest rank (index floor((n - 1) q + 0.5)), from value counts."""
+    return at_ranks(_counted(trips, keys, value), keys, value, "__n", {name: lambda n, q=q: (n - 1) * q + 0.5 for name, q in shares.items()})
 
 
 def interpolated_median(trips: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Exact medians, the mean of the two middle values, from value counts."""
-    counted = trips.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys)
-    running = counted.withColumn("__cum", F.sum("__n").over(w.orderBy(value))).withColumn("__all", F.sum("__n").over(w))
-    low = F.min(F.when(F.col("__cum") > F.floor((F.col("__all") - 1) / 2), F.col(value)))
-    high = F.min(F.when(F.col("__cum") > F.floor(F.col("__all") / 2), F.col(value)))
-    return running.groupBy(*keys).agg(((low + high) / 2).alias(name))
+    both = at_ranks(_counted(trips, keys, value), keys, value, "__n", {"__low": lambda n: (n - 1) / 2, "__high": lambda n: n / 2})
+    return both.select(*keys, ((F.col("__low") + F.col("__high")) / 2).alias(name))
 
 
 def summary(trips: DataFrame, keys: tuple[str, ...] = ("year",)) -> DataFrame:
@@ -58,20 +102,12 @@ def summary(trips: DataFrame, keys: tuple[str, ...] = ("year",)) -> DataFrame:
     """
     keys, d = list(keys), F.col("__d")
     counted = trips.groupBy(*keys, F.when(valid(), F.col("duration")).alias("__d")).agg(F.count("*").alias("__n"), F.count_if(any_null(*KEY_COLUMNS)).alias("__nulls"))
-    w, ok = Window.partitionBy(*keys), F.when(d.isNotNull(), F.col("__n"))
-    running = counted.withColumn("__cum", F.when(d.isNotNull(), F.sum(ok).over(w.orderBy("__d")))).withColumn("__all", F.sum(ok).over(w))
-    at = lambda place: F.min(F.when(F.col("__cum") > F.floor(place), d))
-    rank = lambda q: at((F.col("__all") - 1) * q + 0.5)
-    return running.groupBy(*keys).agg(
-        F.sum("__n").alias("trip_count"),
-        F.coalesce(F.sum(ok), F.lit(0)).alias("valid_duration_count"),
-        F.sum("__nulls").alias("null_rows"),
-        rank(0.05).alias("duration_5_percent"),
-        rank(0.25).alias("duration_q1"),
-        rank(0.75).alias("duration_q3"),
-        rank(0.95).alias("duration_95_percent"),
-        ((at((F.col("__all") - 1) / 2) + at(F.col("__all") / 2)) / 2).alias("duration_median"),
-    )
+    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("trip_count"), F.coalesce(F.sum(F.when(d.isNotNull(), F.col("__n"))), F.lit(0)).alias("valid_duration_count"), F.sum("__nulls").alias("null_rows"))
+    shares = {"duration_5_percent": 0.05, "duration_q1": 0.25, "duration_q3": 0.75, "duration_95_percent": 0.95}
+    places = {name: lambda n, q=q: (n - 1) * q + 0.5 for name, q in shares.items()} | {"__low": lambda n: (n - 1) / 2, "__high": lambda n: n / 2}
+    ranks = at_ranks(counted, keys, "__d", "__n", places).withColumnsRenamed({k: f"__{k}" for k in keys})
+    both = totals.join(ranks, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left")
+    return both.select(*keys, "trip_count", "valid_duration_count", "null_rows", *shares, ((F.col("__low") + F.col("__high")) / 2).alias("duration_median"))
 
 
 def null_rows(trips: DataFrame) -> DataFrame:
