@@ -9,10 +9,11 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tripforge.llm import queries
+from tripforge.llm import ann, queries
 from tripforge.llm.ann import nearest_neighbours
 from tripforge.llm.bpe import WordBpe, bpe_encode_decode
 from tripforge.llm.classifiers import fit_quality, fit_toxicity, score_documents
@@ -533,6 +534,24 @@ def test_neighbours_recall_order_and_odd_rows(spark):
     assert list(got[got.query_id == 100].sort_values("rank").vec_id[:2]) == [2000, 2001]
 
 
+@pytest.mark.parametrize("n, alone", [(3_000, 65_536), (3_000, 100), (30_000, 65_536), (30_000, 100)])
+def test_neighbours_recall_below_and_above_the_sample(spark, monkeypatch, n, alone):
+    """Tables smaller and larger than what is sampled, fitted in one process and in tasks."""
+    monkeypatch.setattr(ann, "ALONE", alone)
+    assert (n > ann.SAMPLE) == (n == 30_000)
+    rng = np.random.default_rng(n)
+    v = (rng.standard_normal((60, 16))[rng.integers(0, 60, n)] * 2 + rng.standard_normal((n, 16))).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(v.ravel(), 16).cast(pa.list_(pa.float32()))})).repartition(5)
+    got: dict = {}
+    for r in ann.nearest_neighbours(df, lambda c: c % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = np.arange(0, n, 100)
+    away = ((v[asked].astype(np.float64)[:, None, :] - v[None, :, :]) ** 2).sum(2) if n < 5_000 else np.stack([((v.astype(np.float64) - v[i]) ** 2).sum(1) for i in asked])
+    away[np.arange(len(asked)), asked] = np.inf
+    true = np.argpartition(away, 10, axis=1)[:, :10]
+    assert np.mean([len(got[int(i)] & set(t.tolist())) / 10 for i, t in zip(asked, true)]) >= 0.9
+
+
 def test_neighbours_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<float>")
     got = nearest_neighbours(few, lambda c: c % 100 == 0).orderBy("rank").collect()

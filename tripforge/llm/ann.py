@@ -22,6 +22,8 @@ from tripforge.work import saved
 
 #: Vectors that centroids and the number of probes are fitted on, about: PER_LIST for each of as many lists as the root of the table, from SAMPLE to MOST_SAMPLE. All vectors are indexed.
 SAMPLE, MOST_SAMPLE, PER_LIST = 20_000, 400_000, 20
+#: Sampled vectors that one process fits by itself; more are fitted in tasks, which send sums back. Rounds of fitting, and queries on which probes are fitted.
+ALONE, ROUNDS, ASKED = 65_536, 8, 400
 #: Columns of a block, and the strictness of the abandonment test.
 COLUMNS, EPSILON = 16, 2.1
 #: Candidates and queries that one task compares at a time.
@@ -55,27 +57,118 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :]
 
 
+def _lists(n: int, total: int) -> int:
+    return int(np.clip(round(math.sqrt(total)), 1, max(1, n // PER_LIST)))
+
+
+def _rotation(d: int, rng: np.random.Generator) -> np.ndarray:
+    return np.linalg.qr(rng.standard_normal((d, d)))[0]
+
+
+def _sums(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists that vectors are nearest to, how many are, and their sums."""
+    own = _nearest_list(vectors, centroids)
+    order = np.argsort(own, kind="stable")
+    first = np.flatnonzero(np.diff(own[order], prepend=-1))
+    return own[order][first], np.diff(np.append(first, len(own))), np.add.reduceat(vectors[order].astype(np.float64), first, axis=0)
+
+
+def _probes(ranks: np.ndarray) -> int:
+    """Lists to probe, from the places that the lists of true neighbours have among a query's lists."""
+    depth = np.sort(ranks.ravel()) if ranks.size else np.zeros(1, int)
+    return int(depth[min(len(depth) - 1, int(COVERAGE * len(depth)))]) + 1
+
+
+def _places(asked: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The place of each list among the lists of each of `asked`, nearest first."""
+    order = np.argsort(_squares(asked, centroids), axis=1)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(len(centroids))[None, :].repeat(len(asked), 0), 1)
+    return rank
+
+
 def _fit(sample: np.ndarray, total: int, k: int, seed: int = 13) -> Lists:
     rng = np.random.Generator(np.random.PCG64(seed))
-    d = sample.shape[1]
-    rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-    count = int(np.clip(round(math.sqrt(total)), 1, max(1, len(sample) // PER_LIST)))
-    centroids = sample[rng.choice(len(sample), count, replace=False)].astype(np.float64)
-    for _ in range(8):
-        own = _nearest_list(sample, centroids)
-        order = np.argsort(own, kind="stable")
-        first = np.flatnonzero(np.diff(own[order], prepend=-1))
-        centroids[own[order][first]] = np.add.reduceat(sample[order].astype(np.float64), first, axis=0) / np.diff(np.append(first, len(own)))[:, None]
+    rotation = _rotation(sample.shape[1], rng)
+    centroids = sample[rng.choice(len(sample), _lists(len(sample), total), replace=False)].astype(np.float64)
+    for _ in range(ROUNDS):
+        own, n, sums = _sums(sample, centroids)
+        centroids[own] = sums / n[:, None]
     own = _nearest_list(sample, centroids)
-    asked = rng.choice(len(sample), min(400, len(sample)), replace=False)
-    away = _squares(sample[asked], sample)
-    away[np.arange(len(asked)), asked] = np.inf
-    near = np.argsort(away, axis=1)[:, : min(k, len(sample) - 1)]
-    order = np.argsort(_squares(sample[asked], centroids), axis=1)
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(count)[None, :].repeat(len(asked), 0), 1)
-    depth = np.sort(np.take_along_axis(rank, own[near], 1).ravel()) if near.size else np.zeros(1, int)
-    return Lists(centroids, rotation, int(depth[min(len(depth) - 1, int(COVERAGE * len(depth)))]) + 1)
+    asked = rng.choice(len(sample), min(ASKED, len(sample)), replace=False)
+    rank, near = _places(sample[asked], centroids), []
+    for at, i in enumerate(asked):
+        away = _squares(sample[i : i + 1], sample)[0]
+        away[i] = np.inf
+        few = min(k, len(sample) - 1)
+        near.append(rank[at, own[np.argpartition(away, few - 1)[:few]]] if few else np.zeros(0, int))
+    return Lists(centroids, rotation, _probes(np.array(near)))
+
+
+def _fit_in_tasks(sample: DataFrame, n: int, total: int, d: int, k: int, seed: int = 13) -> Lists:
+    """`_fit` of a table (h, v) of n sampled vectors, h a number of the row: every round is a job whose tasks send sums of lists, and neighbours are the nearest of each task's nearest."""
+    spark = sample.sparkSession
+    rotation = _rotation(d, np.random.Generator(np.random.PCG64(seed)))
+    centroids = _vectors(sample.orderBy("h").limit(_lists(n, total)).select("v").toArrow().column(0), d).astype(np.float64)
+    parts = max(1, min(len(centroids), spark.sparkContext.defaultParallelism))
+
+    def rows(own: np.ndarray, many: np.ndarray, sums: np.ndarray, *first: pa.Array) -> list[pa.Array]:
+        return [*first, pa.array(own, pa.int32()), pa.array(many, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * d, pa.int32()), pa.array(sums.ravel()))]
+
+    def step(shared):
+        def run(batches):
+            sums, many = np.zeros((len(shared.value), d)), np.zeros(len(shared.value), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    own, some, added = _sums(_vectors(batch.column(0), d), shared.value)
+                    sums[own] += added
+                    many[own] += some
+            own = np.flatnonzero(many)
+            yield pa.RecordBatch.from_arrays(rows(own, many[own], sums[own], pa.array(own % parts, pa.int32())), ["part", "list", "n", "s"])
+
+        return run
+
+    def add(table: pa.Table) -> pa.Table:
+        own, where = np.unique(table["list"].to_numpy(), return_inverse=True)
+        sums, many = np.zeros((len(own), d)), np.zeros(len(own), np.int64)
+        np.add.at(sums, where, _vectors(table["s"], d))
+        np.add.at(many, where, table["n"].to_numpy())
+        return pa.table(rows(own, many, sums), names=["list", "n", "s"])
+
+    for _ in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(centroids)
+        moved = sample.select("v").mapInArrow(step(shared), "part int, list int, n long, s array<double>").groupBy("part").applyInArrow(add, "list int, n long, s array<double>").toArrow()
+        centroids = centroids.copy()
+        centroids[moved.column("list").to_numpy()] = _vectors(moved.column("s"), d) / moved.column("n").to_numpy()[:, None]
+        shared.destroy()
+
+    few = sample.orderBy(F.xxhash64("h")).limit(ASKED).toArrow()
+    asked, names = _vectors(few.column("v"), d), few.column("h").to_numpy()
+    both = spark.sparkContext.broadcast((centroids, asked, names))
+
+    def near(batches):
+        centroids, asked, names = both.value
+        away, own = np.full((len(asked), 0), np.inf), np.zeros((len(asked), 0), np.int64)
+        for batch in (x.slice(j, ROWS) for x in batches for j in range(0, x.num_rows, ROWS)):
+            v = _vectors(batch.column(1), d)
+            far = _squares(asked, v)
+            far[names[:, None] == batch.column(0).to_numpy()[None, :]] = np.inf
+            away, own = np.concatenate([away, far], 1), np.concatenate([own, np.broadcast_to(_nearest_list(v, centroids), far.shape)], 1)
+            if away.shape[1] > k:
+                best = np.argpartition(away, k - 1, axis=1)[:, :k]
+                away, own = np.take_along_axis(away, best, 1), np.take_along_axis(own, best, 1)
+        query = np.repeat(np.arange(len(asked)), away.shape[1])
+        fine = np.isfinite(away.ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(query[fine], pa.int32()), pa.array(away.ravel()[fine]), pa.array(own.ravel()[fine], pa.int32())], ["query", "away", "list"])
+
+    # k rows for each of ASKED queries and each task
+    best = sample.select("h", "v").mapInArrow(near, "query int, away double, list int").toArrow()
+    query, away, own = (best.column(c).to_numpy() for c in ("query", "away", "list"))
+    order = np.lexsort((away, query))
+    query, own = query[order], own[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    rank = _places(asked, centroids)
+    return Lists(centroids, rotation, _probes(rank[query[place < k], own[place < k]]))
 
 
 def _scan(queries: np.ndarray, candidates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, rotation: np.ndarray, k: int) -> tuple[list, list, list]:
@@ -146,10 +239,14 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str =
     d, total = lengths.d, lengths.n
     rows = rows.where(F.size("v") == d)
     share = int(min(1.0, np.clip(PER_LIST * math.sqrt(total), SAMPLE, MOST_SAMPLE) / total) * (1 << 30))
-    sample = _vectors(rows.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < share).orderBy(F.xxhash64("vec_id")).select("v").toArrow().column(0), d)
-    if not len(sample):
-        sample = _vectors(rows.limit(1).select("v").toArrow().column(0), d)
-    lists = spark.sparkContext.broadcast(_fit(sample, total, k))
+    drawn = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < share).select(F.xxhash64("vec_id").alias("h"), "v")
+    if total * share / (1 << 30) > ALONE:
+        drawn = saved(drawn, "sample")
+        fitted = _fit_in_tasks(drawn, drawn.count(), total, d, k)
+    else:
+        sample = _vectors(drawn.orderBy("h").select("v").toArrow().column(0), d)
+        fitted = _fit(sample if len(sample) else _vectors(rows.limit(1).select("v").toArrow().column(0), d), total, k)
+    lists = spark.sparkContext.broadcast(fitted)
 
     def assign(batches):
         for batch in batches:

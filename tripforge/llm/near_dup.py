@@ -34,7 +34,7 @@ from tripforge.work import bounded_batches, saved
 #: Values of a signature that verification compares at a time, and all it has.
 BATCH, DEPTH = 64, 256
 #: Members of a bucket, and bytes of their shingle sets, that one task compares with as many others.
-BLOCK, BLOCK_BYTES = 256, 8 << 20
+BLOCK, BLOCK_BYTES = 2_048, 8 << 20
 #: Pairs of a document that meet one copy of its text in a task; a document with more pairs gets more copies.
 PAIRS_PER_COPY = 256
 #: Members by which sets cut to 32-bit hashes may differ from whole ones.
@@ -323,7 +323,7 @@ def _components(base: DataFrame, signed: DataFrame, rows: int, ngram: int, num:
     least_row = F.min(F.struct("doc_id", "n_shingles", "keys", "sig"))
     reps = saved(usable.groupBy("low", "high").agg(least_row.alias("r")).select("low", "high", F.col("r.doc_id").alias("doc_id"), F.col("r.n_shingles").alias("n"), F.col("r.keys").alias("keys"), F.col("r.sig").alias("sig")), "reps")
     classes = reps.select("low", "high", F.col("doc_id").alias("rep"))
-    spread = reps.select("doc_id", "keys").mapInArrow(_spread_bands, "bucket long, doc_id long")
+    spread = saved(reps.select("doc_id", "keys").mapInArrow(_spread_bands, "bucket long, doc_id long"), "spread")
     hubs = spread.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select(F.col("bucket").alias("of"), "hub")
     members = saved(spread.join(hubs, spread.bucket == hubs.of).select("bucket", "doc_id", "hub"), "members")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
