@@ -102,6 +102,17 @@ def test_lines_with_doubled_quotes_and_breaks(spark):
     assert [list(r) for r in got] == rows
 
 
+@pytest.mark.parametrize("sep", [",", ";", "|"])
+def test_census_splits_as_headers_are_parsed(spark, sep):
+    heads = [f'a{sep}b', f'"a{sep}b"{sep} "c ""d"""{sep} e ', f'\ufeff"x"{sep}y', f"a{sep}{sep}b", f'"q"r{sep}5" pipe{sep}"\'z\'"', f'a{sep}"" {sep}b', "one", f'é{sep} "ü{sep}{sep}"']
+    census = {r["column"]: r.files for r in src.header_census(spark.createDataFrame(list(enumerate(heads)), "file int, header string"), sep).collect()}
+    want: dict = {}
+    for h in heads:
+        for c in set(src.parse_header(h, sep)):
+            want[c] = want.get(c, 0) + 1
+    assert census == want
+
+
 @pytest.mark.parametrize("repair", [False, True])
 def test_feeds_with_breaks_in_cells_and_names(spark, tmp_path, blocks, repair):
     head = ["start_time", "start\nname", "end_station_name"]

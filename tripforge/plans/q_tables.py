@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.operators import analytics as an
-from tripforge.operators import incremental, lookups, publish, quality, reference_tables
+from tripforge.operators import incremental, lookups, publish, quality, reference_tables, stations
 from tripforge.operators import columns as cols
 from tripforge.plans import feeds
 from tripforge.plans.catalog import query
 from tripforge.plans.views import EVENT_TRIPS, ORDER_TRIPS, event_trips, order_trips, table, trips
 from tripforge.sources import files as src
+from tripforge.sources import lines as ln
 from tripforge.work import fresh_path, saved
 
 
@@ -303,6 +306,97 @@ def incremental_apply(spark, sf_dir):
     return spark.read.parquet(table_path).groupBy("year", "month").agg(F.count("*").alias("trips"), F.sum("event_id").alias("ids"))
 
 
+@query(f"""WITH {EVENT_TRIPS}, k AS (SELECT year, month, event_id FROM t WHERE event_id % 3 <> 1 OR event_id % 2 = 0)
+    SELECT year, month, count(*) AS trips, sum(event_id)::BIGINT AS ids, 'kept,kept,processed' AS statuses, 2 AS cleaned FROM k GROUP BY 1, 2""")
+def incremental_chain(spark, sf_dir):
+    """Raw lines to cleaned lines to months, twice; between the runs one input of three is replaced by fewer rows, and only it goes through the stages again."""
+    e = F.col("event_id")
+    shown = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
+    t = event_trips(spark, sf_dir)
+    line = F.concat_ws(";", e.cast("string"), shown("start_time"), shown("end_time"), F.coalesce("start_station_name", F.lit("")), "end_station_name")
+    folder = fresh_path(spark, "chain")
+    header = "event_id;start_time;end_time;start_station_name;end_station_name"
+    spec = feeds.FeedSpec("events", ["parse_times", "select_final"], final={"event_id": "bigint", **feeds.BASE_COLUMNS}, headers=[("", header.replace(";", ","))])
+    raw = saved(t.select(F.concat(F.lit("in"), (e % 3).cast("string")).alias("path"), e.alias("n"), (e % 2 == 0).alias("even"), line.alias("line")), "raw")
+
+    def clean(old: bool):
+        def make(paths):
+            rows = raw.where(F.col("path").isin(paths) & (F.lit(old) | (F.col("path") != "in1") | F.col("even")))
+            kept = ln.cleaned(rows.withColumnRenamed("path", "file"), delimiters=True)
+            return kept.select(F.col("file").alias("source_file"), incremental.output_name("file").alias("output"), F.lit(0).cast("long").alias("start"), "n", "line")
+
+        return incremental.FileStage(make, f"{folder}/clean", f"{folder}/clean-state")
+
+    for old in (True, False):
+        at = F.when((F.col("path") == "in1") & F.lit(not old), F.lit("2024-01-02 00:00:00")).otherwise("2024-01-01 00:00:00").cast("timestamp_ntz")
+        now = raw.groupBy("path").agg(F.count_if(F.lit(old) | (F.col("path") != "in1") | F.col("even")).alias("length")).withColumn("modified", at)
+        states = incremental.run_chain(spark, now, [clean(old)], lambda paths: feeds.read_feed(spark, spec, incremental.lines_of(spark, paths)), f"{folder}/trips", f"{folder}/state")
+    told = [",".join(sorted(r.status for r in m.select("status").collect())) for m in states]
+    out = spark.read.parquet(f"{folder}/trips").groupBy("year", "month").agg(F.count("*").alias("trips"), F.sum("event_id").alias("ids"))
+    return out.withColumns({"statuses": F.lit(told[0]), "cleaned": F.lit(told[1].count("kept"))})
+
+
+@query(f"WITH {EVENT_TRIPS} SELECT event_id, start_time, end_time, CASE WHEN event_id % 2 = 0 THEN 'classic' END AS bike_type FROM t")
+def era_dispatch(spark, sf_dir):
+    """Two eras told apart by their columns: one with a kind of bike and plain times, one with times that carry an offset."""
+    e = F.col("event_id")
+    spec = feeds.FeedSpec(
+        "events", ["by_era", "select_final"], final={"event_id": "bigint", "start_time": "timestamp_ntz", "end_time": "timestamp_ntz", "bike_type": "string"}, rename={"started": "start_time", "ended": "end_time", "model": "bike_type"},
+        eras=[{"has": ["model"], "steps": ["rename", "parse_times", "bike_type"]}, {"has": ["started"], "steps": ["rename", "parse_offset_times"]}],
+    )
+    shown = lambda pattern: [F.date_format(c, pattern).alias(n) for c, n in (("start_time", "started"), ("end_time", "ended"))]
+    t = event_trips(spark, sf_dir)
+    old = t.where(e % 2 == 0).select("event_id", *shown("yyyy-MM-dd HH:mm:ss"), F.lit("docked_bike").alias("model"))
+    new = t.where(e % 2 == 1).select("event_id", *shown("yyyy-MM-dd HH:mm:ss'+00:00'"))
+    return feeds.apply_steps(old, spec).unionByName(feeds.apply_steps(new, spec))
+
+
+@query("""WITH n AS (SELECT s_nationkey, arg_max(s_name, s_suppkey) AS name FROM supplier WHERE s_suppkey % 5 <> 0 AND s_nationkey % 6 <> 0 GROUP BY 1)
+    SELECT c_nationkey::VARCHAR AS station, count(*) AS n_obs, any_value(name) AS name FROM customer LEFT JOIN n ON c_nationkey = s_nationkey GROUP BY 1""")
+def names_onto_ids(spark, sf_dir):
+    """The latest known name on points that are keyed by id; some names are missing, some ids have none."""
+    s = table(spark, sf_dir, "supplier").where("s_nationkey % 6 <> 0")
+    names = s.select(F.col("s_nationkey").cast("string").alias("id"), F.when(F.col("s_suppkey") % 5 != 0, F.col("s_name")).alias("name"), F.col("s_suppkey").alias("seen"))
+    points = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("string").alias("station")).agg(F.count("*").alias("n_obs"))
+    return stations.name_points(points, names, "seen")
+
+
+@query("SELECT doc_id::VARCHAR AS id, md5(text) AS digest FROM documents")
+def charset_read(spark, sf_dir):
+    """Texts written in Latin-1 and in UTF-8, each file read in the charset that its contents are valid in."""
+    docs, path = table(spark, sf_dir, "documents"), fresh_path(spark, "charsets")
+    whole = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for k, charset in enumerate(("ISO-8859-1", "UTF-8")):
+        docs.where(F.col("doc_id") % 2 == k).select(F.col("doc_id").cast("string").alias("id"), "text").write.options(encoding=charset, **whole).csv(f"{path}/{k}")
+    files = [r.path for r in incremental.manifest(spark, path, "*.csv").orderBy("path").collect()]
+    parts = [src.read_csv(spark, own, ["id", "text"], encoding=charset) for charset, own in src.pick_encoding(spark, files, "ISO-8859-1").items()]
+    return reduce(DataFrame.unionByName, parts).select("id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS id, s_name AS name, CASE WHEN s_suppkey % 3 > 0 THEN s_nationkey::VARCHAR END AS lat, CASE WHEN s_suppkey % 3 = 2 THEN s_suppkey::VARCHAR END AS lng, 'stations' || s_suppkey % 3 AS era FROM supplier""")
+def station_files_union(spark, sf_dir):
+    """Station files of three eras with differing columns, united by name."""
+    k, path = F.col("s_suppkey"), fresh_path(spark, "stations")
+    s = table(spark, sf_dir, "supplier").select(k.cast("string").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("lat"), k.cast("string").alias("lng"), (k % 3).alias("era"))
+    for era, columns in enumerate((["name", "id"], ["id", "name", "lat"], ["lng", "lat", "name", "id"])):
+        s.where(F.col("era") == era).select(*columns).write.option("header", True).csv(f"{path}/stations{era}")
+    own = [r.path for r in incremental.manifest(spark, path, "*.csv").orderBy("path").collect()]
+    eras = {p.rsplit("/", 1)[-1]: p.rsplit("/", 2)[-2] for p in own}
+    known = spark.createDataFrame(list(eras.items()) or [("", "")], "file string, era string")
+    return src.read_station_files(spark, own).join(F.broadcast(known), "file").select("id", "name", "lat", "lng", "era")
+
+
+@query("SELECT n_name AS city, year(o_orderdate) AS year, count(*) AS trips FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def publish_roundtrip(spark, sf_dir):
+    """A section of several cities, checked, published as JSON lines and read back."""
+    base = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    volume = saved(base.groupBy("n_name", F.year("o_orderdate").alias("year")).agg(F.count("*").alias("trips")), "volume")
+    names = [r.n_name for r in volume.select("n_name").distinct().orderBy("n_name").collect()]
+    root = fresh_path(spark, "published")
+    publish.publish({n: {"volume": volume.where(F.col("n_name") == n).drop("n_name")} for n in names}, [publish.Output("volume_by_year", "volume", ("city", "year"))], root)
+    return spark.read.schema("city string, year int, trips bigint").json(f"{root}/v1/volume_by_year")
+
+
 @query("SELECT sum(c_acctbal IS NULL)::BIGINT AS missing, count(*) AS rows FROM customer")
 def null_audit(spark, sf_dir):
     return table(spark, sf_dir, "customer").agg(F.count_if(cols.any_null("c_acctbal")).alias("missing"), F.count("*").alias("rows"))

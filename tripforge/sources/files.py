@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tripforge.sources.archives import read_archives  # noqa: F401
-from tripforge.sources.lines import balanced_quotes, parse_lines
+from tripforge.sources.lines import balanced_quotes, cell_texts, parse_lines
 from tripforge.sources.records import broken_files, bytewise, file_path, read_records
 
 #: A value that no file holds, so that an empty quoted text stays apart from a missing one.
@@ -161,9 +161,9 @@ def header_signatures(spark: SparkSession, paths: list[str] | str, sep: str = ",
     return out
 
 
-def header_census(found: DataFrame) -> DataFrame:
-    """How many files carry each column; `found` is (file, header)."""
-    names = F.transform(F.split("header", ","), lambda x: F.trim(F.regexp_replace(x, '"', "")))
+def header_census(found: DataFrame, sep: str = ",") -> DataFrame:
+    """How many files carry each column; `found` is (file, header), split by the rules of `parse_header`."""
+    names = cell_texts(F.regexp_replace("header", "^\ufeff", ""), sep)
     return found.select("file", F.explode(F.array_distinct(names)).alias("column")).groupBy("column").agg(F.count("*").alias("files"))
 
 
@@ -188,13 +188,19 @@ def json_field(raw: Column, name: str) -> Column:
 
 
 def read_ndjson(spark: SparkSession, paths: list[str] | str, fields: list[str], required: list[str] = (), with_file: bool = False) -> DataFrame:
-    """Fields of JSON lines as text, and source_file where asked for. Blank lines are skipped; a line that is no JSON, or lacks a required field, raises."""
+    """Fields of JSON lines as text, and source_file where asked for; a line is parsed once, for all of them. Blank lines are skipped; a line that is no JSON, or lacks a required field, raises."""
     lines = spark.read.text(paths).where(F.trim("value") != "")
-    checked = F.when(F.try_parse_json("value").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("value", 1, 80)))).otherwise(F.col("value"))
-    out = lines.select(checked.alias("raw"), file_path().alias("source_file")).select(*[json_field(F.col("raw"), f).alias(f) for f in fields], *(["source_file"] if with_file else []))
-    for f in required:
-        out = out.withColumn(f, F.when(F.col(f).isNull(), F.raise_error(F.lit(f"record without {f}"))).otherwise(F.col(f)))
-    return out
+    schema = StructType([*text_schema(fields).fields, StructField("__corrupt", StringType())])
+    parsed = lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}).alias("r"), "value", *([file_path().alias("source_file")] if with_file else []))
+    sound = F.when(F.col("r.__corrupt").isNotNull() | F.col("r").isNull(), F.raise_error(F.concat(F.lit("no JSON: "), F.substring("value", 1, 80))).cast("boolean")).otherwise(True)
+
+    def field(name: str) -> Column:
+        raw = F.col("r").getField(name)
+        wrapped = F.coalesce(F.get_json_object(raw, "$.$date"), F.get_json_object(raw, "$.$oid"), raw)
+        value = F.when(raw.startswith("{"), wrapped).otherwise(raw)
+        return F.when(value.isNull(), F.raise_error(F.lit(f"record without {name}"))).otherwise(value) if name in required else value
+
+    return parsed.where(sound).select(*[field(f).alias(f) for f in fields], *(["source_file"] if with_file else []))
 
 
 def read_gbfs_stations(spark: SparkSession, paths: list[str] | str) -> DataFrame:

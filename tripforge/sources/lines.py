@@ -30,6 +30,16 @@ def balanced_quotes(text: Column) -> Column:
     return F.pmod(F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit(""))), F.lit(2)) == 0
 
 
+def cell_texts(line: Column, sep: str = ",") -> Column:
+    """The cells of a line as an array, by the rules of `files.parse_header`: quoted cells may hold the separator and doubled quotes, blanks around cells are dropped."""
+    mark = re.escape(sep)
+    # possessive throughout, so that no line is tried in more than one way
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf'{mark}[ ]*+("(?:[^"]++|"")*+"[^{mark}]*+|[^{mark}]*+)' if len(sep) == 1 else rf"{mark}((?:(?!{mark}).)*+)"), F.lit(1))
+    quoted = lambda c: F.replace(F.regexp_replace(c, r'^"((?:[^"]++|"")*+)"(.*)$', "$1$2"), F.lit('""'), F.lit('"'))
+    inner = lambda c: F.when(c.startswith('"'), quoted(c)).otherwise(c)
+    return F.transform(found, lambda c: F.trim(F.regexp_replace(F.trim(inner(c)), r'^"+|"+$', "")))
+
+
 def header_by_arity(lines: DataFrame, headers: dict[int, str], sep: str = ",") -> DataFrame:
     """Adds `header` per file from the number of fields of its first line (file, n, line); a first line that is a header stays. Another arity raises."""
     first = lines.groupBy("file").agg(F.min_by("line", "n").alias("first"))
