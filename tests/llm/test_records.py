@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import zlib
 import json
 import time
 
@@ -97,6 +98,27 @@ def test_warc_records_in_any_members(spark, tmp_path, monkeypatch):
     assert df.count() == 48 and df.where("target_uri is not null").count() == 24 and df.where("target_uri is null").count() == 24
 
 
+def test_warc_bodies_without_their_encodings(spark, tmp_path):
+    text = b"<html>" + b"abc" * 300
+    chunks = b"".join(b"%x;x=1\r\n%s\r\n" % (len(c), c) for c in (text[:100], text[100:])) + b"0\r\n\r\n"
+    packed = gzip.compress(text)
+    cases = [
+        (b"Transfer-Encoding: chunked", chunks, text),
+        (b"Transfer-Encoding: chunked", text, text),
+        (b"Content-Encoding: gzip", packed, text),
+        (b"Content-Encoding: deflate\r\nTransfer-Encoding:\r\n chunked", b"%x\r\n%s\r\n0\r\n\r\n" % (len(zlib.compress(text)), zlib.compress(text)), text),
+        (b"Content-Encoding: gzip", text, text),
+        (b"Content-Encoding: br", text, text),
+        (b"X: y", chunks, chunks),
+    ]
+    with open(tmp_path / "a.warc", "wb") as f:
+        for i, (field, body, _) in enumerate(cases):
+            block = b"HTTP/1.1 200 OK\r\n" + field + b"\r\n\r\n" + body
+            f.write(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:%d>\r\nWARC-Target-URI: <http://h/%d\r\n x>\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, i, len(block), block))
+    got = {r.record_id: (bytes(r.payload), r.target_uri) for r in spark.read.format("warc").load(str(tmp_path / "a.warc")).collect()}
+    assert got == {f"<urn:{i}>": (want, f"http://h/{i} x") for i, (*_, want) in enumerate(cases)}
+
+
 def test_warc_missing_path_and_cut_file(spark, tmp_path):
     with pytest.raises(Exception, match="no WARC archives"):
         warc.read_warc(spark, str(tmp_path / "nowhere")).collect()

@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -595,3 +596,27 @@ def test_neighbours_query_reaches_the_recall(spark, sf):
         hit += len(set(ids[np.lexsort((ids, d))[:10]]) & set(got[got.query_id == ids[q]].vec_id))
         n += 10
     assert len(got) == n and hit / n >= 0.9
+
+
+# ---- queries whose results are learned, on rows that they did not learn from ----------------------------------------
+
+
+def test_language_query_on_held_out_rows(spark, sf):
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    found = queries.op5_language_id(spark, sf).collect()
+    assert sorted(r.doc_id for r in found) == sorted(rows) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in found)
+    own = [r for r in found if r.held_out and rows[r.doc_id].lang is not None]
+    assert len(own) > 20 and sum(r.lang_pred == rows[r.doc_id].lang for r in own) >= 0.97 * len(own)
+
+
+@pytest.mark.parametrize("name, label, parts, out, threshold", [("op7_quality", "quality", 3, 1, 0.5), ("op10_toxicity", "toxic", 4, 2, 0.3)])
+def test_scoring_queries_on_held_out_rows(spark, name, label, parts, out, threshold):
+    sf = "/root/testdata/sf0.1"  # smaller tables have too few labels to learn from
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    found = queries.QUERIES[name](spark, sf).collect()
+    assert len(found) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % parts == out) and r.predicted == int(r.score >= threshold) and 0 <= r.score <= 1 for r in found)
+    own = [(r.score, labels[r.doc_id], r.predicted) for r in found if r.held_out and labels.get(r.doc_id) is not None]
+    good, bad = [s for s, y, _ in own if y == 1], [s for s, y, _ in own if y == 0]
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert len(good) > 3 and len(bad) > 3 and auc > 0.95 and np.mean([p == y for _, y, p in own]) > 0.9

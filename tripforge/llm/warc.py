@@ -10,7 +10,8 @@ Other gzip files are unpacked in pieces of PIECE bytes, whatever the members tha
 they are cut into; of a rejected record no more is held at a time. Uncompressed
 archives are seeked through by Content-Length.
 
-A path that is not there raises, as does a file that ends within a record or
+Payloads of HTTP responses come without transfer and content encodings. A glob is no
+path. A path that is not there raises, as does a file that ends within a record or
 holds something else; an empty folder or file has no records.
 
 Paths may be local or any URI that pyarrow.fs.FileSystem.from_uri knows.
@@ -87,20 +88,69 @@ def parse_head(data: bytes) -> tuple[dict[str, str], int] | None:
     lines = data[:end].decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"no WARC record but {lines[0][:40]!r}")
+    out = _fields(lines[1:])
+    uri = out.get("warc-target-uri", "")
+    if uri.startswith("<") and uri.endswith(">"):  # as older archives write it
+        out["warc-target-uri"] = uri[1:-1]
+    return out, end + 4
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-case name; a line that begins with a blank goes on with the one before."""
     out: dict[str, str] = {}
-    for line in lines[1:]:
+    name = ""
+    for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            out[name] = f"{out[name]} {line.strip()}".strip()
+            continue
         name, _, value = line.partition(":")
-        out[name.strip().lower()] = value.strip()
-    return out, end + 4
+        name = name.strip().lower()
+        out[name] = value.strip()
+    return out
+
+
+def _dechunked(body: bytes) -> bytes | None:
+    """A chunked body put together; null if it is none, as where an archive's writer has done that already."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not size or not set(size) <= set(b"0123456789abcdefABCDEF"):
+            return None
+        n = int(size, 16)
+        if not n:
+            return b"".join(out)
+        piece = body[end + 2 : end + 2 + n]
+        if len(piece) < n or body[end + 2 + n : end + 4 + n] != b"\r\n":
+            return None
+        out.append(piece)
+        at = end + 4 + n
+
+
+def decoded_body(head: bytes, body: bytes) -> bytes:
+    """An HTTP body without its transfer and content encodings (chunked; gzip, deflate). One that is not as its head says, or of another encoding, stays as it is."""
+    fields = _fields(head.decode("latin-1").split("\r\n")[1:])
+    if "chunked" in fields.get("transfer-encoding", "").lower() and (whole := _dechunked(body)) is not None:
+        body = whole
+    for encoding in reversed([x.strip() for x in fields.get("content-encoding", "").lower().split(",")]):
+        if encoding not in ("gzip", "x-gzip", "deflate"):
+            break
+        try:
+            unpack = zlib.decompressobj(47)  # the head tells gzip from zlib
+            body = unpack.decompress(body) + unpack.flush()
+        except zlib.error:
+            break
+    return body
 
 
 def _payload(headers: dict[str, str], block: bytes) -> bytes:
-    """A record's block without the HTTP head of a response; a revisit has none."""
+    """A record's block without the HTTP head of a response and the encodings that it names; a revisit has none."""
     kind = headers.get("content-type", "")
     if headers.get("warc-type") == "revisit":
         return b""
     if kind.startswith("application/http"):
-        return block.partition(b"\r\n\r\n")[2]
+        head, _, body = block.partition(b"\r\n\r\n")
+        return decoded_body(head, body)
     return block
 
 
