@@ -275,7 +275,8 @@ def header_by_arity(spark, sf_dir):
 
 @query("""SELECT trim(replace(c, '"', '')) AS "column", count(DISTINCT doc_id) AS files FROM (SELECT doc_id, unnest(string_split(split_part(text, chr(10), 1), ',')) AS c FROM documents) GROUP BY 1""")
 def header_census(spark, sf_dir):
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    # prose has stray quotes, which SQL cannot pair; both sides drop them
+    first = F.replace(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit('"'), F.lit(""))
     return src.header_census(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), first.alias("header")))
 
 
