@@ -84,16 +84,11 @@ def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, re
     written. The manifest comes back with status (processed or kept). Paths, not
     rows, are collected: as many as there are files to process.
     """
-    now = saved(current.select(*SIGNATURE), "current")
-    outputs = stored.select("path", "outputs") if "outputs" in stored.columns else stored.select("path", F.array().cast("array<string>").alias("outputs"))
-    outputs = saved(outputs, "outputs")
-    lacking = _lacking(spark, outputs, table)
-    due = now if force else changed(now, stored).unionByName(now.join(lacking, "path", "left_semi")).distinct()
-    due = saved(due, "due")
-    todo = [r.path for r in due.select("path").orderBy("path").collect()]
-    stale = saved(due.select("path").unionByName(removed(now, stored).select("path")).distinct().select(F.col("path").alias("__stale")), "stale")
+    inputs = _compared(spark, current, stored, _months_there(spark, table), force)
+    todo, gone = _to_do(inputs)
+    stale = inputs.where("state <> 'kept'").select(F.col("path").alias("__stale"))
     made = None
-    if stale.limit(1).count():
+    if todo or gone:
         fresh = read(todo) if todo else None
         if fresh is not None and _table(spark, table) is None:
             # nothing to merge with: the rows are written once, and read back for what they touch
@@ -104,7 +99,36 @@ def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, re
             _replace(spark, stale, fresh, table)
         if fresh is not None:
             made = fresh.select(F.col("source_file").alias("path"), month_folder().alias("o")).distinct().groupBy("path").agg(F.array_sort(F.collect_list("o")).alias("made"))
-    return recorded(now, outputs, due, made)
+    return _after(inputs, made)
+
+
+def _compared(spark: SparkSession, current: DataFrame, stored: DataFrame, there: DataFrame, force: bool) -> DataFrame:
+    """path, length, modified, outputs and state (due, kept or gone) of all inputs that are there or recorded. An input whose outputs are not all among `there` (o) is due."""
+    known = stored.select("path", F.col("length").alias("l"), F.col("modified").alias("m"), "outputs" if "outputs" in stored.columns else F.array().cast("array<string>").alias("outputs"))
+    lacking = known.select("path", F.explode("outputs").alias("o")).join(F.broadcast(there), "o", "left_anti").select("path", F.lit(True).alias("lacking")).distinct()
+    both = current.select(*SIGNATURE, F.lit(True).alias("here")).join(known, "path", "full").join(lacking, "path", "left")
+    same = F.col("length").eqNullSafe(F.col("l")) & F.col("modified").eqNullSafe(F.col("m")) & F.col("outputs").isNotNull() & F.col("lacking").isNull() & F.lit(not force)
+    return saved(both.select(*SIGNATURE, "outputs", F.when(F.col("here").isNull(), "gone").when(same, "kept").otherwise("due").alias("state")), "inputs")
+
+
+def _to_do(inputs: DataFrame) -> tuple[list[str], bool]:
+    """The paths of inputs that are due, and whether any are gone."""
+    rows = inputs.where("state <> 'kept'").select("path", "state").orderBy("path").collect()
+    return [r.path for r in rows if r.state == "due"], any(r.state == "gone" for r in rows)
+
+
+def _after(inputs: DataFrame, made: DataFrame | None) -> DataFrame:
+    return recorded(inputs.where("state <> 'gone'").select(*SIGNATURE), inputs.where("outputs is not null").select("path", "outputs"), inputs.where("state = 'due'"), made)
+
+
+def _months_there(spark: SparkSession, table: str) -> DataFrame:
+    """The month folders (o) of a table, as `month_folder` names them."""
+    fs, to_path = file_system(spark, table)
+    below = lambda p: [x.getPath() for x in fs.listStatus(p) if x.isDirectory()] if fs.exists(p) else []
+    names = [f"{y.getName()}/{m.getName()}" for y in below(to_path(table)) if y.getName().startswith("year=") for m in below(y)]
+    if len(names) > MONTHS:
+        raise ValueError(f"more than {MONTHS} months in the table")
+    return spark.createDataFrame([(n,) for n in names], "o string")
 
 
 def recorded(now: DataFrame, outputs: DataFrame, due: DataFrame, made: DataFrame | None) -> DataFrame:
@@ -116,17 +140,6 @@ def recorded(now: DataFrame, outputs: DataFrame, due: DataFrame, made: DataFrame
     return out.select(*SIGNATURE, F.when(processed, F.coalesce("made", none)).otherwise(F.coalesce("outputs", none)).alias("outputs"), F.when(processed, "processed").otherwise("kept").alias("status"))
 
 
-def _lacking(spark: SparkSession, outputs: DataFrame, table: str) -> DataFrame:
-    """Inputs (path) with an output whose folder below `table` is gone."""
-    each = outputs.select("path", F.explode("outputs").alias("o"))
-    names = [r.o for r in each.select("o").distinct().limit(MONTHS + 1).collect()]
-    if len(names) > MONTHS:
-        raise ValueError(f"more than {MONTHS} months in the manifest")
-    fs, to_path = file_system(spark, table)
-    gone = [n for n in names if not fs.exists(to_path(f"{table}/{n}"))]
-    return each.join(F.broadcast(spark.createDataFrame([(n,) for n in gone], "o string")), "o", "left_semi").select("path").distinct()
-
-
 def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, table: str) -> None:
     """Takes the rows of stale inputs (__stale) out of the table and puts the fresh ones in, rewriting the months of both."""
     existing = _table(spark, table)
@@ -134,8 +147,8 @@ def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, tab
         return
     old = existing.join(stale, existing.source_file == stale["__stale"], "left_semi")
     months = saved(touched_months(old, fresh) if fresh is not None else old.select("year", "month").distinct(), "months")
-    slim = months.toDF("__year", "__month")
-    slim = F.broadcast(slim) if slim.limit(MONTHS + 1).count() <= MONTHS else slim
+    # no more than the folders of the table and the new rows' months
+    slim = F.broadcast(months.toDF("__year", "__month"))
     kept = existing.join(slim, existing.year.eqNullSafe(slim["__year"]) & existing.month.eqNullSafe(slim["__month"]), "left_semi").join(stale, existing.source_file == stale["__stale"], "left_anti")
     # the table is read and written at once, so the new months are set down first
     new = saved(kept.unionByName(fresh, allowMissingColumns=True) if fresh is not None else kept, "months")
@@ -203,27 +216,25 @@ def run_files(spark: SparkSession, current: DataFrame, stage: FileStage, force:
     stored, last of all. Two inputs that make one output raise.
     """
     stored = load_manifest(spark, stage.state)
-    now = saved(current.select(*SIGNATURE), "current")
-    outputs = saved(stored.select("path", "outputs"), "outputs")
     # a folder per output: one listing tells which are there
     fs, to_path = file_system(spark, stage.target)
     there = [p.getPath().getName().removeprefix("output=") for p in fs.listStatus(to_path(stage.target))] if fs.exists(to_path(stage.target)) else []
-    known = spark.createDataFrame([(x,) for x in there], "o string")
-    lacking = outputs.select("path", F.explode("outputs").alias("o")).join(known, "o", "left_anti").select("path").distinct()
-    due = saved(now if force else changed(now, stored).unionByName(now.join(lacking, "path", "left_semi")).distinct(), "due")
-    todo = [r.path for r in due.select("path").orderBy("path").collect()]
+    inputs = _compared(spark, current, stored, spark.createDataFrame([(x,) for x in there], "o string"), force)
+    todo, gone = _to_do(inputs)
+    if not todo and not gone:
+        return _after(inputs, None)
     made = None
     if todo:
         rows = stage.make(todo).hint("rebalance", "output")
         rows.write.partitionBy("output").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(stage.target)
-        mine = due.select(F.col("path").alias("source_file"))
+        mine = inputs.where("state = 'due'").select(F.col("path").alias("source_file"))
         fresh = spark.read.parquet(stage.target).join(F.broadcast(mine) if len(todo) <= INPUTS else mine, "source_file", "left_semi")
         made = saved(fresh.groupBy(F.col("source_file").alias("path")).agg(F.array_sort(F.collect_set(F.col("output").cast("string"))).alias("made")), "made")
-    after = saved(recorded(now, outputs, due, made), "manifest")
+    after = saved(_after(inputs, made), "manifest")
     alive = after.select(F.explode("outputs").alias("output"))
     if twice := alive.groupBy("output").count().where("count > 1").limit(1).collect():
         raise ValueError(f"several inputs make {twice[0].output}")
-    orphans = outputs.select(F.explode("outputs").alias("output")).distinct().join(alive, "output", "left_anti")
+    orphans = inputs.select(F.explode("outputs").alias("output")).distinct().join(alive, "output", "left_anti")
     for r in orphans.toLocalIterator():
         fs.delete(to_path(f"{stage.target}/output={r.output}"), True)
     store_manifest(after, stage.state)
