@@ -827,3 +827,49 @@ def test_stages_pass_on_only_what_changed(spark, tmp_path):
     shutil.rmtree(next((tmp_path / "clean").glob("output=*b1*")))
     run()
     assert log == [("clean", 1), ("months", 0)] or log == [("clean", 1)]
+
+
+def test_rows_are_made_once_where_findings_are_settled(spark, tmp_path, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        made.add(1)
+        return x
+
+    name = F.udf(counted, "string").asNondeterministic()
+    step = lambda df, spec: quality.marked(df.withColumn("end_station_name", name("end_station_name")), {"end_station_name": (F.col("end_station_name") == "bad", F.col("end_station_name"))})
+    monkeypatch.setitem(feeds.STEPS, "counted", step)
+    feed, table, state = feeds.FeedSpec("x", ["parse_times", "counted", "select_final"]), tmp_path / "trips", str(tmp_path / "state")
+    root = tmp_path / "in"
+    root.mkdir()
+    trips_file(root / "a.csv", "2020-01-01", "2020-02-01", "2020-02-02")
+    assert feeds.read_feed(spark, feed, [str(root / "a.csv")]).where("end_station_name > ''").count() == 3
+    assert made.value == 6  # the gate, and the use
+
+    def run():
+        made.value = 0
+        incremental.run(spark, incremental.manifest(spark, str(root)), state, lambda paths: feeds.read_feed(spark, feed, paths, settle=False), str(table))
+        return made.value, sorted(str(r.start_time.date()) for r in spark.read.parquet(str(table)).collect())
+
+    head = "start_time,end_time,start_station_name,end_station_name\n"
+    (root / "b.csv").write_text(head + "2020-03-01 00:00:00,,A,bad\n")
+    with pytest.raises(quality.QualityError, match="end_station_name: 1 rows, such as .'bad'"):
+        run()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in"]
+    (root / "b.csv").unlink()
+    assert run() == (3, ["2020-01-01", "2020-02-01", "2020-02-02"])
+    trips_file(root / "c.csv", "2020-02-03")
+    assert run() == (1, ["2020-01-01", "2020-02-01", "2020-02-02", "2020-02-03"])
+    (root / "b.csv").write_text(head + "2020-01-05 00:00:00,,A,bad\n")
+    with pytest.raises(quality.QualityError, match="bad"):
+        run()
+    assert spark.read.parquet(str(table)).count() == 4
+
+
+def test_a_large_output_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "FILE_LINES", 2, raising=False)
+    lines = spark.range(10).select(F.lit("a").alias("source_file"), F.lit("x").alias("output"), F.lit(0).cast("long").alias("start"), F.col("id").alias("n"), F.col("id").cast("string").alias("line"))
+    now = spark.createDataFrame([("a", 1, datetime(2024, 1, 1))], "path string, length long, modified timestamp_ntz")
+    incremental.run_files(spark, now, incremental.FileStage(lambda paths: lines, str(tmp_path / "out"), str(tmp_path / "state")))
+    assert len(list((tmp_path / "out" / "output=x").glob("*.parquet"))) == 5
+    assert sorted(r.n for r in incremental.lines_of(spark, [str(tmp_path / "out" / "output=x")]).collect()) == list(range(10))

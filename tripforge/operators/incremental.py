@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.operators import quality
 from tripforge.operators.columns import spread_by_month
 from tripforge.work import beside, file_system, put_in_place, saved
 
@@ -53,6 +54,8 @@ def touched_months(old_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 #: Inputs of a run whose paths are broadcast.
 INPUTS = 100_000
+#: Lines of an output that go into one file, so that the next stage reads a large output in several tasks.
+FILE_LINES = 200_000
 #: Months of a table that are taken as folder names to the driver, at most.
 MONTHS = 100_000
 
@@ -79,7 +82,8 @@ def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, re
     `current` has path, length and modified, `stored` the same and outputs, the
     months that each input went into. An input is processed if it is new, has
     changed, lacks one of its outputs, or with `force`. `read(paths)` gives
-    trips with year, month and source_file. Rows of processed and removed inputs
+    trips with year, month and source_file; findings that are noted on them (quality.GATE)
+    are settled as they are written, before the table is touched. Rows of processed and removed inputs
     leave the months that they are in, new rows enter; only those months are
     written. The manifest comes back with status (processed or kept). Paths, not
     rows, are collected: as many as there are files to process.
@@ -92,10 +96,10 @@ def apply_changes(spark: SparkSession, current: DataFrame, stored: DataFrame, re
         fresh = read(todo) if todo else None
         if fresh is not None and _table(spark, table) is None:
             # nothing to merge with: the rows are written once, and read back for what they touch
-            spread_by_month(fresh).write.partitionBy("year", "month").mode("overwrite").parquet(table)
+            _first(spark, fresh, table)
             fresh = _table(spark, table)
         else:
-            fresh = saved(fresh, "fresh") if fresh is not None else None
+            fresh = quality.settled_by(fresh, lambda rows: saved(rows, "fresh")) if fresh is not None else None
             _replace(spark, stale, fresh, table)
         if fresh is not None:
             made = fresh.select(F.col("source_file").alias("path"), month_folder().alias("o")).distinct().groupBy("path").agg(F.array_sort(F.collect_list("o")).alias("made"))
@@ -140,6 +144,18 @@ def recorded(now: DataFrame, outputs: DataFrame, due: DataFrame, made: DataFrame
     return out.select(*SIGNATURE, F.when(processed, F.coalesce("made", none)).otherwise(F.coalesce("outputs", none)).alias("outputs"), F.when(processed, "processed").otherwise("kept").alias("status"))
 
 
+def _first(spark: SparkSession, fresh: DataFrame, table: str) -> None:
+    """Writes a table beside `table`, which it becomes if no row has findings."""
+    staged = beside(table)
+    try:
+        quality.settled_by(fresh, lambda rows: spread_by_month(rows).write.partitionBy("year", "month").parquet(staged))
+    except quality.QualityError:
+        fs, to_path = file_system(spark, staged)
+        fs.delete(to_path(staged), True)
+        raise
+    put_in_place(spark, staged, table)
+
+
 def _replace(spark: SparkSession, stale: DataFrame, fresh: DataFrame | None, table: str) -> None:
     """Takes the rows of stale inputs (__stale) out of the table and puts the fresh ones in, rewriting the months of both."""
     existing = _table(spark, table)
@@ -226,7 +242,7 @@ def run_files(spark: SparkSession, current: DataFrame, stage: FileStage, force:
     made = None
     if todo:
         rows = stage.make(todo).hint("rebalance", "output")
-        rows.write.partitionBy("output").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(stage.target)
+        rows.write.partitionBy("output").mode("overwrite").options(partitionOverwriteMode="dynamic", maxRecordsPerFile=FILE_LINES).parquet(stage.target)
         mine = inputs.where("state = 'due'").select(F.col("path").alias("source_file"))
         fresh = spark.read.parquet(stage.target).join(F.broadcast(mine) if len(todo) <= INPUTS else mine, "source_file", "left_semi")
         made = saved(fresh.groupBy(F.col("source_file").alias("path")).agg(F.array_sort(F.collect_set(F.col("output").cast("string"))).alias("made")), "made")

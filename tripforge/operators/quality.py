@@ -8,9 +8,9 @@ themselves for a quarantine instead.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tripforge.functions.values import is_known
@@ -85,13 +85,31 @@ def unmarked() -> Column:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """`df` without GATE if no row has findings, else raises QualityError; one aggregate, whatever the number of checks."""
+    """`df` without GATE if no row has findings, else raises QualityError; one count, whatever the number of checks. Only rows with findings are read again, for the message."""
     if GATE not in df.columns:
         return df
-    _raise_any(_found(df.select(F.explode(GATE).alias("c")).select("c.name", "c.value")))
+    if df.agg(F.count_if(~unmarked())).first()[0]:
+        raise_findings(df)
     return df.drop(GATE)
 
 
+def settled_by(df: DataFrame, write: Callable[[DataFrame], DataFrame | None]) -> DataFrame | None:
+    """What `write` makes of `df` without GATE. The write itself counts findings, so that rows are made once; where it met some, they are named in a QualityError after it."""
+    if GATE not in df.columns:
+        return write(df)
+    told = Observation()
+    out = write(df.observe(told, F.count_if(~unmarked()).alias("found")).drop(GATE))
+    if told.get.get("found"):
+        raise_findings(df)
+    return out
+
+
+def raise_findings(df: DataFrame) -> None:
+    """Raises QualityError that names the checks and offenders noted in GATE."""
+    _raise_any(_found(df.select(F.explode(GATE).alias("c")).select("c.name", "c.value")))
+    raise QualityError("findings that were not met again")
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     if missing := [c for c in columns if c not in df.columns]:
         raise QualityError(f"columns missing: {', '.join(missing)}")

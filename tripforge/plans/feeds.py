@@ -479,13 +479,16 @@ def _noted(spark: SparkSession, spec: FeedSpec, paths: list[str], aside: bool =
     return out.withColumn("city", F.lit(spec.name)).withColumn("year", F.year("start_time")).withColumn("month", F.month("start_time"))
 
 
-def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str] | DataFrame) -> DataFrame:
+def read_feed(spark: SparkSession, spec: FeedSpec, paths: list[str] | DataFrame, settle: bool = True) -> DataFrame:
     """Canonical trips of files whose headers may differ, with city, year, month and source_file; `paths` may be a table of their lines (file, start, n, line) instead.
 
     One pass over the files settles every gate; the trips themselves are read
-    when they are used (`publish_feed` does both in one pass). Files without a line add nothing.
+    when they are used (`publish_feed` does both in one pass). Without `settle` trips carry
+    their findings, for `incremental.run`, which settles them as it writes. Files without a
+    line add nothing.
     """
-    return quality.settled(_noted(spark, spec, paths)).drop("source_row")
+    rows = _noted(spark, spec, paths).drop("source_row")
+    return quality.settled(rows) if settle else rows
 
 
 def publish_feed(spark: SparkSession, spec: FeedSpec, paths: list[str], table: str, dead: str | None = None) -> dict[str, int]:

@@ -302,7 +302,7 @@ def incremental_apply(spark, sf_dir):
     files = saved(incremental.manifest(spark, folder, "*.csv"), "files")
     for kept in (["/a0/", "/a1/", "/a2/"], ["/a0/", "/b1/", "/b3/"]):
         now = files.where(src.wanted_path(F.concat("path", F.lit("/")), exclude=[f"/{x}/" for x in ("a0", "a1", "a2", "b1", "b3") if f"/{x}/" not in kept]))
-        incremental.run(spark, now, state, lambda paths: feeds.read_feed(spark, feed, paths), table_path)
+        incremental.run(spark, now, state, lambda paths: feeds.read_feed(spark, feed, paths, settle=False), table_path)
     return spark.read.parquet(table_path).groupBy("year", "month").agg(F.count("*").alias("trips"), F.sum("event_id").alias("ids"))
 
 
@@ -330,7 +330,7 @@ def incremental_chain(spark, sf_dir):
     for old in (True, False):
         at = F.when((F.col("path") == "in1") & F.lit(not old), F.lit("2024-01-02 00:00:00")).otherwise("2024-01-01 00:00:00").cast("timestamp_ntz")
         now = raw.groupBy("path").agg(F.count_if(F.lit(old) | (F.col("path") != "in1") | F.col("even")).alias("length")).withColumn("modified", at)
-        states = incremental.run_chain(spark, now, [clean(old)], lambda paths: feeds.read_feed(spark, spec, incremental.lines_of(spark, paths)), f"{folder}/trips", f"{folder}/state")
+        states = incremental.run_chain(spark, now, [clean(old)], lambda paths: feeds.read_feed(spark, spec, incremental.lines_of(spark, paths), settle=False), f"{folder}/trips", f"{folder}/state")
     told = [",".join(sorted(r.status for r in m.select("status").collect())) for m in states]
     out = spark.read.parquet(f"{folder}/trips").groupBy("year", "month").agg(F.count("*").alias("trips"), F.sum("event_id").alias("ids"))
     return out.withColumns({"statuses": F.lit(told[0]), "cleaned": F.lit(told[1].count("kept"))})
