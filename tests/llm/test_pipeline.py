@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import re
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tripforge import work
+from tripforge.llm.bpe import bpe_encode_decode
 from tripforge.llm.lang_id import fit_language_filters, identify_languages, keep_identified
+from tripforge.llm.queries import word_bpe_path
 from tests.llm.test_text_operators import brute_components, brute_matches
 
 
@@ -87,3 +93,17 @@ def test_run_leaves_only_the_rows_of_stages(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
     left = work._made - before
     assert len(left) == len(corpus_pipeline.STAGES) - 1
+
+
+def test_workers_let_go_of_the_vocabulary(spark):
+    """A worker that goes on to other work holds no model of an encoding that is done."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("some word "), F.col("id").cast("string")).alias("text")).repartition(8)
+    assert bpe_encode_decode(docs, word_bpe_path()).agg(F.sum(F.size("ids"))).first()[0] > 0
+
+    def held(batches):
+        for _ in batches:
+            pass
+        gc.collect()
+        yield pa.RecordBatch.from_pydict({"n": [sum(type(x).__name__ == "WordBpe" for x in gc.get_objects())]})
+
+    assert {r.n for r in spark.range(80).repartition(8).mapInArrow(held, "n long").collect()} == {0}

@@ -236,14 +236,19 @@ class WordBpe:
         return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self._strings.take(ids.values)), " ")
 
 
-_models: dict[int, WordBpe] = {}
+class Vocabulary:
+    """A tokenizer file's JSON text, as it is broadcast. A worker builds its model once and keeps it, memo and all, as long as it keeps the broadcast, which ends with the next function that does not use it."""
 
+    def __init__(self, source: str) -> None:
+        self.source, self._model = source, None
+
+    def __reduce__(self) -> tuple:
+        return Vocabulary, (self.source,)
 
-def _model(key: int, source: str) -> WordBpe:
-    if key not in _models:
-        _models.clear()
-        _models[key] = WordBpe(source)
-    return _models[key]
+    def model(self) -> WordBpe:
+        if self._model is None:
+            self._model = WordBpe(self.source)
+        return self._model
 
 
 def bpe_encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,11 +265,10 @@ def bpe_encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
         source = f.read()
     WordBpe(source)
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(source)
-    key = hash(source)
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(source))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(key, shared.value)
+        model = shared.value.model()
         for batch in batches:
             i = 0
             while i < batch.num_rows:
